@@ -1,3 +1,146 @@
-"""Registered queries."""
+"""Dataset completion sync over fx_completions / fx_processed."""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from aggrex import fixtures
+from aggrex.operators.completion import (completion_lookup, completion_payload, completion_summary,
+                                         completion_sync, completions_under, merge_ledger, unprocessed_org_units)
+from aggrex.operators.reports import COUNT_KEYS, completion_outcome
+from aggrex.registry import query
+from aggrex.session import checkpoint_dir
+
+VIEWS = ["fx_completions", "fx_processed", "fx_pyramid_source", "fx_data_values", "fx_import_reports"]
+# Fixture configuration: parents whose subtree is synchronised and the
+# source -> target dataset pairs.
+PARENTS = ["R1", "R3"]
+PAIRS = [("DS1", "TDS1"), ("DS2", "TDS2")]
+
+_IN_PARENTS_SQL = " OR ".join(f"list_contains(string_split(path, '/'), '{p}')" for p in PARENTS)
+_DS_SQL = ", ".join(f"'{s}'" for s, _ in PAIRS)
+_PAIRS_SQL = "(VALUES " + ", ".join(f"('{s}', '{t}')" for s, t in PAIRS) + ") AS pr(source_dataset, target_dataset)"
+
+_CTES = [
+    ("regs", f"""SELECT * FROM fx_completions WHERE dataSet IN ({_DS_SQL})
+      AND organisationUnit IN (SELECT id FROM fx_pyramid_source WHERE {_IN_PARENTS_SQL})"""),
+    ("todo", """SELECT DISTINCT substr(period, 1, 4) AS period, orgUnit AS org_unit FROM fx_data_values
+      WHERE orgUnit IS NOT NULL"""),
+    ("todo_now", """SELECT * FROM todo t WHERE NOT EXISTS (SELECT 1 FROM fx_processed p
+      WHERE p.org_unit IS NOT NULL AND p.period = t.period AND p.org_unit = t.org_unit)"""),
+    ("firsts", """SELECT dataSet, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
+      arg_min(completed, row_id) AS completed, min(row_id) AS row_id
+      FROM regs GROUP BY dataSet, period, organisationUnit"""),
+    ("with_status", "SELECT t.period, t.org_unit, f.dataSet, f.date, f.completed, f.row_id "
+                    "FROM todo_now t JOIN firsts f ON f.period = t.period AND f.org_unit = t.org_unit"),
+    ("payloads", f"""SELECT w.period, w.org_unit, pr.target_dataset AS dataset,
+      '{{"completeDataSetRegistrations":[{{"organisationUnit":"' || w.org_unit || '","period":"' || w.period
+      || '","completed":' || CASE WHEN w.completed THEN 'true' ELSE 'false' END || ',"date":"' || w.date
+      || '","dataSet":"' || pr.target_dataset || '"}}]}}' AS payload
+      FROM with_status w JOIN {_PAIRS_SQL} ON pr.source_dataset = w.dataSet"""),
+    ("resp", """SELECT p.period, p.org_unit, p.dataset, r.body FROM payloads p
+      JOIN fx_import_reports r ON 'C' || CAST(r.batch_id AS VARCHAR) = p.org_unit"""),
+    ("outcomes", """SELECT period, org_unit, dataset, status, outcome,
+      CASE WHEN outcome = 'no_json' THEN 1 WHEN outcome = 'conflict' THEN n_conf ELSE 0 END AS push_errors, """
+     + ", ".join(f"CASE WHEN outcome IN ('conflict', 'ok') THEN coalesce(CAST(json_extract(body, '$.importCount.{k}')"
+                 f" AS BIGINT), 0) ELSE 0 END AS {k}" for k in COUNT_KEYS) + """
+      FROM (SELECT *, CASE WHEN NOT json_valid(body) THEN 'no_json'
+                           WHEN status IN ('ERROR', 'WARNING') OR n_conf > 0 THEN 'conflict'
+                           WHEN status = 'SUCCESS' THEN 'ok' ELSE 'other' END AS outcome
+            FROM (SELECT *, CASE WHEN json_valid(body) THEN json_extract_string(body, '$.status') END AS status,
+                         CAST(CASE WHEN json_valid(body) THEN coalesce(json_array_length(body, '$.conflicts'), 0)
+                              ELSE 0 END AS INTEGER) AS n_conf FROM resp) a) b"""),
+]
+
+
+def _oracle(body: str, upto: str) -> str:
+    names = [n for n, _ in _CTES]
+    return fixtures.with_views(VIEWS, body, _CTES[:names.index(upto) + 1])
+
+
+def _inputs(spark, sf_dir):
+    fixtures.register(spark, sf_dir, VIEWS)
+    units = spark.table("fx_pyramid_source")
+    regs = completions_under(spark.table("fx_completions").where(F.col("dataSet").isin(*[s for s, _ in PAIRS])),
+                             units, PARENTS)
+    todo = (spark.table("fx_data_values").where(F.col("orgUnit").isNotNull())
+            .select(F.substring("period", 1, 4).alias("period"), F.col("orgUnit").alias("org_unit")).distinct())
+    pairs = spark.createDataFrame(PAIRS, "source_dataset string, target_dataset string")
+    return regs, todo, spark.table("fx_processed"), pairs
+
+
+@query("a8_scan_completions", _oracle("SELECT * FROM regs", "regs"))
+def q_a8(spark, sf_dir):
+    return _inputs(spark, sf_dir)[0]
+
+
+@query("c12_unprocessed_org_units", _oracle("SELECT * FROM todo_now", "todo_now"))
+def q_c12(spark, sf_dir):
+    _, todo, ledger, _ = _inputs(spark, sf_dir)
+    return unprocessed_org_units(todo, ledger)
+
+
+@query("c13_completion_lookup", _oracle("SELECT * FROM with_status", "with_status"))
+def q_c13(spark, sf_dir):
+    regs, todo, ledger, _ = _inputs(spark, sf_dir)
+    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id")
+    return with_status.select("period", "org_unit", "dataSet", "date", "completed", "row_id")
+
+
+def _payloads(spark, sf_dir):
+    regs, todo, ledger, pairs = _inputs(spark, sf_dir)
+    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id")
+    return completion_payload(with_status, pairs)
+
+
+@query("j4_completion_payload", _oracle("SELECT * FROM payloads", "payloads"))
+def q_j4(spark, sf_dir):
+    return _payloads(spark, sf_dir)
+
+
+def _outcomes(spark, sf_dir):
+    rep = spark.table("fx_import_reports")
+    p = _payloads(spark, sf_dir)
+    resp = p.join(rep, F.concat(F.lit("C"), F.col("batch_id").cast("string")) == F.col("org_unit"), "inner")
+    return completion_outcome(resp.select("period", "org_unit", "dataset", "body"),
+                              keep=["period", "org_unit", "dataset"])
+
+
+@query("j8_completion_outcome", _oracle("SELECT * FROM outcomes", "outcomes"))
+def q_j8(spark, sf_dir):
+    return _outcomes(spark, sf_dir)
+
+
+@query("d6_completion_summary", _oracle("SELECT dataset, " + ", ".join(
+    f"CAST(sum({k}) AS BIGINT) AS {k}" for k in COUNT_KEYS) + ", CAST(sum(push_errors) AS BIGINT) AS push_errors, "
+    "count(*) AS n_responses, count(*) FILTER (WHERE outcome = 'ok') AS n_ok FROM outcomes GROUP BY dataset",
+    "outcomes"))
+def q_d6(spark, sf_dir):
+    return completion_summary(_outcomes(spark, sf_dir), by=["dataset"])
+
+
+@query("g3_merge_ledger", _oracle("SELECT DISTINCT period, org_unit FROM todo_now", "todo_now"))
+def q_g3(spark, sf_dir):
+    _, todo, ledger, _ = _inputs(spark, sf_dir)
+    return merge_ledger(ledger, unprocessed_org_units(todo, ledger))
+
+
+@query("k4_resumable_completion_sync", _oracle(
+    "SELECT period, org_unit FROM fx_processed WHERE org_unit IS NOT NULL UNION SELECT period, org_unit FROM todo",
+    "todo"))
+def q_k4(spark, sf_dir):
+    """Two sync steps against a ledger table: the first appends every unit it
+    processed, the second finds nothing left. Returns the ledger."""
+    regs, todo, processed, pairs = _inputs(spark, sf_dir)
+    path = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
+    processed.write.partitionBy("period").parquet(path)
+    for step in range(2):
+        ledger = spark.read.schema("org_unit string, period string").parquet(path)
+        payloads, additions = completion_sync(todo, regs, ledger, pairs, "row_id")
+        additions = additions.checkpoint(eager=True)
+        if step == 1 and not additions.isEmpty():
+            raise AssertionError("a second sync step found unprocessed units")
+        additions.write.mode("append").partitionBy("period").parquet(path)
+    return spark.read.schema("org_unit string, period string").parquet(path).select("period", "org_unit")
