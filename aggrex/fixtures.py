@@ -125,14 +125,14 @@ SELECT o_orderkey AS batch_id,
 FROM orders
 """)
 
-# work ledger: every order asks for its month; finished orders close it 40 days later
+# work ledger: every order asks for its month; a finished order closes it as of 3 days before its date
 _view("fx_requested", [], """
 SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS unit, o_orderdate AS requested_at
 FROM orders
 """)
 _view("fx_finished", [], """
 SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS STRING) AS unit,
-       o_orderdate + INTERVAL 40 DAY AS finished_at
+       o_orderdate - INTERVAL 3 DAY AS finished_at
 FROM orders WHERE o_orderstatus = 'F'
 """)
 

@@ -1,3 +1,79 @@
-"""Registered queries."""
+"""Incremental push and work ledger."""
 
 from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from aggrex import fixtures
+from aggrex.operators.dims import config_dim
+from aggrex.operators.mapping import map_uids
+from aggrex.operators.normalise import normalise_data_values
+from aggrex.operators.push import classify_data_points, payload_batches
+from aggrex.registry import ORACLE, query
+from aggrex.registry.push_q import MAX_POST, UID_DEFAULTS, UID_ROWS, mapped_data_points
+from aggrex.schemas import UID_MAPPING
+from aggrex.session import checkpoint_dir
+from aggrex.sources import io
+from aggrex.streaming.incremental import changed_months, incremental_push, pending_batches, read_payloads
+
+J2_COLUMNS = ["phase", "phase_order", "period", "batch_no", "n_points", "first_org_unit", "last_org_unit", "body"]
+SPLIT_MONTH = "199801"
+
+
+def _scratch(spark, tag):
+    return f"{checkpoint_dir(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+@query("a11_write_payloads", ORACLE["j2_payload_batches"])
+def q_a11(spark, sf_dir):
+    path = _scratch(spark, "payloads")
+    c = classify_data_points(mapped_data_points(spark, sf_dir))
+    io.write_payloads(payload_batches(c, max_post=MAX_POST, tie_break="row_id"), path)
+    return spark.read.parquet(path).select(*J2_COLUMNS)
+
+
+@query("k1_incremental_push", ORACLE["j2_payload_batches"])
+def q_k1(spark, sf_dir):
+    """Two extract drops, each drained by an availableNow run of the same
+    stream; the second run sees only the new files."""
+    root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
+    dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
+    mapping = config_dim(spark, UID_ROWS, UID_MAPPING)
+
+    def transform(df):
+        return map_uids(df, mapping, UID_DEFAULTS)
+
+    for drop in (dv.where(F.col("period") < SPLIT_MONTH), dv.where(F.col("period") >= SPLIT_MONTH)):
+        io.write_extract(drop, root, extract_id="dsA", extract_period=F.col("period"))
+        incremental_push(spark, root, out, ckpt, transform, max_post=MAX_POST).awaitTermination()
+    return read_payloads(spark, out).select(*J2_COLUMNS)
+
+
+@query("k3_change_detection", fixtures.with_views(["fx_data_values"], """
+SELECT DISTINCT period AS unit FROM fx_data_values"""))
+def q_k3(spark, sf_dir):
+    """Two writes (the second rewrites a year and adds the rest); the months
+    to queue are the union of the partitions each write reports."""
+    root = _scratch(spark, "extracts")
+    dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
+    first = io.write_extract(dv.where(F.col("period") < SPLIT_MONTH), root, "dsA", F.col("period"))
+    first = first.checkpoint(eager=True)
+    second = io.write_extract(dv.where(F.col("period") >= "1997"), root, "dsA", F.col("period"))
+    yearly = io.write_extract(dv.withColumn("period", F.substring("period", 1, 4)), root, "dsY",
+                              F.col("period"))
+    return changed_months(first.unionByName(second).unionByName(yearly))
+
+
+@query("k5_pending_batches", fixtures.with_views(["fx_requested", "fx_finished"], """
+SELECT r.unit, CAST(min(r.requested_at) AS VARCHAR) AS open_since, count(*) AS n_open_requests,
+       CAST(max(d.last_finished) AS VARCHAR) AS last_finished
+FROM fx_requested r LEFT JOIN last_done d ON d.unit = r.unit
+WHERE d.last_finished IS NULL OR r.requested_at > d.last_finished
+GROUP BY r.unit""", [("last_done", "SELECT unit, max(finished_at) AS last_finished FROM fx_finished GROUP BY unit")]))
+def q_k5(spark, sf_dir):
+    fixtures.register(spark, sf_dir, ["fx_requested", "fx_finished"])
+    p = pending_batches(spark.table("fx_requested"), spark.table("fx_finished"))
+    return p.select("unit", F.col("open_since").cast("string").alias("open_since"), "n_open_requests",
+                    F.col("last_finished").cast("string").alias("last_finished"))
