@@ -80,11 +80,12 @@ def scan_dataset_metadata(spark: SparkSession, path: str, fmt: str = "json") ->
     return _reader(spark, DATASET, fmt).load(path)
 
 
-def dataset_bridges(datasets: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """A4: (dataset_id, pos, org_unit) and (dataset_id, pos, data_element)."""
-    ou = datasets.select(F.col("id").alias("dataset_id"),
+def dataset_bridges(datasets: DataFrame, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
+    """A4: (dataset_id, pos, org_unit) and (dataset_id, pos, data_element).
+    Metadata may arrive in pages (one row per page): ``carry`` keeps the page."""
+    ou = datasets.select(F.col("id").alias("dataset_id"), *carry,
                          F.posexplode("organisation_units").alias("pos", "org_unit"))
-    de = datasets.select(F.col("id").alias("dataset_id"),
+    de = datasets.select(F.col("id").alias("dataset_id"), *carry,
                          F.posexplode("data_elements").alias("pos", "data_element"))
     return ou, de
 
