@@ -13,10 +13,12 @@ from aggrex.operators.normalise import normalise_data_values
 from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.registry import ORACLE, query
 from aggrex.registry.push_q import MAX_POST, UID_DEFAULTS, UID_ROWS, mapped_data_points
+from aggrex.registry.push_q import _oracle as push_oracle
 from aggrex.schemas import UID_MAPPING
 from aggrex.session import checkpoint_dir
 from aggrex.sources import io
-from aggrex.streaming.incremental import changed_months, incremental_push, pending_batches, read_payloads
+from aggrex.streaming.incremental import (changed_months, extract_stream, incremental_push, pending_batches,
+                                         push_batch, read_payloads)
 
 J2_COLUMNS = ["phase", "phase_order", "period", "batch_no", "n_points", "first_org_unit", "last_org_unit", "body"]
 SPLIT_MONTH = "199801"
@@ -51,6 +53,26 @@ def q_k1(spark, sf_dir):
     return read_payloads(spark, out).select(*J2_COLUMNS)
 
 
+@query("k2_drain_until_finished", push_oracle(
+    "SELECT class AS phase, period, count(*) AS n_points FROM cls WHERE class IN ('valid', 'to_delete') "
+    "GROUP BY class, period"))
+def q_k2(spark, sf_dir):
+    """Drain a backlog in many small micro-batches (two files per trigger)
+    until nothing is left (availableNow), then stop. Batches of a period may
+    now be cut per micro-batch, so the check is lossless delivery: every
+    valid / to-delete point of every period is sent exactly once."""
+    root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
+    dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
+    mapping = config_dim(spark, UID_ROWS, UID_MAPPING)
+    io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"), files_per_partition=2)
+    q = (extract_stream(spark, root, max_files_per_trigger=16).writeStream
+         .foreachBatch(push_batch(lambda d: map_uids(d, mapping, UID_DEFAULTS), out, max_post=MAX_POST))
+         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return (read_payloads(spark, out).groupBy("phase", "period")
+            .agg(F.sum("n_points").alias("n_points")))
+
+
 @query("k3_change_detection", fixtures.with_views(["fx_data_values"], """
 SELECT DISTINCT period AS unit FROM fx_data_values"""))
 def q_k3(spark, sf_dir):

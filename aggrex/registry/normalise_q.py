@@ -92,6 +92,18 @@ def _scratch(spark, tag: str) -> str:
 
 # ---------------------------------------------------------------- A-series
 
+@query("a6_scan_data_values", fixtures.with_views(["fx_data_values"], """
+SELECT 'DATA_ELEMENT' AS data_type, dataElement AS dx_uid, period, orgUnit AS org_unit,
+       categoryOptionCombo AS category_option_combo, attributeOptionCombo AS attribute_option_combo,
+       CAST(NULL AS VARCHAR) AS rate_type, 'AGGREGATED' AS domain_type, value FROM fx_data_values"""))
+def q_a6(spark, sf_dir):
+    """Data value sets dumped as JSON lines (the API response shape), read
+    back with the fixed schema and normalised (B1)."""
+    path = _scratch(spark, "datavalues")
+    fixtures.view(spark, sf_dir, "fx_data_values").drop("row_id").write.json(path)
+    return normalise_data_values(io.scan_data_values(spark, path, fmt="json"))
+
+
 @query("a1_scan_extract", fixtures.with_views(["fx_data_values"], f"""
 SELECT 'DATA_ELEMENT' AS data_type, dataElement AS dx_uid, period, orgUnit AS org_unit,
        categoryOptionCombo AS category_option_combo, attributeOptionCombo AS attribute_option_combo,
@@ -263,7 +275,22 @@ def q_c9(spark, sf_dir):
     return invalid_rate_mappings(config_dim(spark, RATE_ROWS_BAD, RATE_MAPPING), rates(spark, sf_dir))
 
 
-@query("b12_dispatch_by_type", None)
+def _b12_oracle() -> str:
+    from aggrex.registry.push_q import _MAPPED_SQL
+    head = fixtures.with_views(["fx_data_values", "fx_analytics"], "").rstrip()
+    rates_dot = _gen1_rate_sql("(SELECT * FROM rates WHERE dx_uid IN (SELECT string_split(dx, '.')[1] FROM "
+                               "fx_analytics) AND row_id IN (SELECT row_id FROM fx_analytics WHERE dx LIKE '%.%'))")
+    body = f"""
+SELECT data_type, dx_uid, period, org_unit, category_option_combo, attribute_option_combo, rate_type, domain_type,
+       value, row_id FROM mapped
+UNION ALL {rates_dot}
+UNION ALL
+SELECT 'UNHANDLED', dx, pe, ou, CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), CAST(NULL AS VARCHAR), 'AGGREGATED',
+       value, row_id FROM fx_analytics WHERE dx NOT LIKE '%.%'"""
+    return head + "," + _MAPPED_SQL + "," + _RATES_CTE + "\n" + body
+
+
+@query("b12_dispatch_by_type", _b12_oracle())
 def q_b12(spark, sf_dir):
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"), carry=["row_id"])
     raw = io.rename_analytics(fixtures.view(spark, sf_dir, "fx_analytics"))
