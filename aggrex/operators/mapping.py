@@ -14,6 +14,31 @@ from aggrex.schemas import DATA_ELEMENT, DATA_POINT_COLUMNS, DATA_TYPES, REPORTI
 UID_FIELDS = ["dx_uid", "category_option_combo", "attribute_option_combo"]
 
 
+def uid_mapper(mapping: DataFrame, defaults: dict[str, str] | None = None,
+               data_type: str = DATA_ELEMENT) -> Callable[[DataFrame], DataFrame]:
+    """C5 + C6 as a reusable transform: the per-field dimensions are split and
+    size-checked once (e.g. once per stream, not once per micro-batch)."""
+    defaults = defaults or {}
+    dims = {}
+    for field in UID_FIELDS:
+        old, new = f"_old_{field}", f"_new_{field}"
+        dims[field] = sized_broadcast(mapping.where(F.col("field") == field)
+                                      .select(F.col("old_uid").alias(old), F.col("new_uid").alias(new)))
+
+    def apply(df: DataFrame) -> DataFrame:
+        is_type = F.col("data_type") == F.lit(data_type)
+        out = df
+        for field in UID_FIELDS:
+            if defaults.get(field):
+                out = out.withColumn(field, F.when(is_type, F.coalesce(F.col(field), F.lit(defaults[field])))
+                                     .otherwise(F.col(field)))
+            old, new = f"_old_{field}", f"_new_{field}"
+            out = (out.join(dims[field], (F.col(field) == F.col(old)) & is_type, "left")
+                   .withColumn(field, F.coalesce(F.col(new), F.col(field))).drop(old, new))
+        return out
+    return apply
+
+
 def map_uids(df: DataFrame, mapping: DataFrame, defaults: dict[str, str] | None = None,
              data_type: str = DATA_ELEMENT) -> DataFrame:
     """C5 + C6: on rows of ``data_type``, fill NULL option combos with the
@@ -23,19 +48,7 @@ def map_uids(df: DataFrame, mapping: DataFrame, defaults: dict[str, str] | None
 
     Each field is one broadcast hash join (no shuffle of the data).
     """
-    defaults = defaults or {}
-    is_type = F.col("data_type") == F.lit(data_type)
-    out = df
-    for field in UID_FIELDS:
-        if defaults.get(field):
-            out = out.withColumn(field, F.when(is_type, F.coalesce(F.col(field), F.lit(defaults[field])))
-                                 .otherwise(F.col(field)))
-        old, new = f"_old_{field}", f"_new_{field}"
-        dim = sized_broadcast(mapping.where(F.col("field") == field)
-                              .select(F.col("old_uid").alias(old), F.col("new_uid").alias(new)))
-        out = (out.join(dim, (F.col(field) == F.col(old)) & is_type, "left")
-               .withColumn(field, F.coalesce(F.col(new), F.col(field))).drop(old, new))
-    return out
+    return uid_mapper(mapping, defaults, data_type)(df)
 
 
 def _rate_dim(rate_mapping: DataFrame) -> DataFrame:
@@ -94,19 +107,25 @@ def map_rates_per_extract(df: DataFrame, rate_mapping: DataFrame, validate: bool
     if validate and not invalid_rate_mappings(rate_mapping, df).isEmpty():
         raise ValueError("rate mappings lack UID / CAT_OPTION_COMBO / ATTR_OPTION_COMBO")
     dim = sized_broadcast(_rate_dim(rate_mapping))
-    mapped_extracts = sized_broadcast(rate_mapping.select("extract_id").distinct())
-    unmapped = df.join(mapped_extracts, "extract_id", "left_anti")
-    j = df.join(dim, (F.col("extract_id") == F.col("_m_ex")) & (F.col("dx_uid") == F.col("_m_dx"))
-                & (F.col("rate_type") == F.col("_m_rt")), "inner")
+    mapped_extracts = sized_broadcast(rate_mapping.select("extract_id").distinct()
+                                      .withColumn("_has_map", F.lit(True)))
+    # One pass: both dimensions are broadcast; a row is kept when it matched a
+    # mapping or when its extract has no mapping at all.
+    j = (df.join(mapped_extracts, "extract_id", "left")
+           .join(dim, (F.col("extract_id") == F.col("_m_ex")) & (F.col("dx_uid") == F.col("_m_dx"))
+                 & (F.col("rate_type") == F.col("_m_rt")), "left")
+           .where(F.col("_m_dx").isNotNull() | F.col("_has_map").isNull()))
+    hit = F.col("_m_dx").isNotNull()
     num = to_number_or_null("value")
-    hundred = (F.col("rate_type") == F.lit(REPORTING_RATE)) & (num == F.lit(100.0))
-    mapped = (j.withColumn("dx_uid", F.col("_m_uid"))
-               .withColumn("category_option_combo", F.col("_m_coc"))
-               .withColumn("attribute_option_combo", F.col("_m_aoc"))
-               .withColumn("value_num", rate_100_to_1(num, F.col("rate_type")))
-               .withColumn("value", F.when(hundred, F.lit("1")).otherwise(F.col("value")))
-               .drop("_m_ex", "_m_dx", "_m_rt", "_m_uid", "_m_coc", "_m_aoc"))
-    return mapped.unionByName(unmapped.withColumn("value_num", to_number_or_null("value")))
+    hundred = hit & (F.col("rate_type") == F.lit(REPORTING_RATE)) & (num == F.lit(100.0))
+    return (j.withColumn("dx_uid", F.when(hit, F.col("_m_uid")).otherwise(F.col("dx_uid")))
+             .withColumn("category_option_combo",
+                         F.when(hit, F.col("_m_coc")).otherwise(F.col("category_option_combo")))
+             .withColumn("attribute_option_combo",
+                         F.when(hit, F.col("_m_aoc")).otherwise(F.col("attribute_option_combo")))
+             .withColumn("value_num", F.when(hit, rate_100_to_1(num, F.col("rate_type"))).otherwise(num))
+             .withColumn("value", F.when(hundred, F.lit("1")).otherwise(F.col("value")))
+             .drop("_has_map", "_m_ex", "_m_dx", "_m_rt", "_m_uid", "_m_coc", "_m_aoc"))
 
 
 def dispatch_by_type(df: DataFrame, handlers: dict[str, Callable[[DataFrame], DataFrame]]

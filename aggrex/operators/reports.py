@@ -97,10 +97,12 @@ def invalid_org_units(conflicts: DataFrame) -> DataFrame:
 
 
 def rejected_indexes(reports: DataFrame, keep: list[str] = ("batch_id",)) -> DataFrame:
-    """(batch id, position) of every rejected data point (nested first)."""
+    """(batch id, position) of every rejected data point (nested first).
+    Accepts raw or already parsed reports."""
+    p = reports if "r" in reports.columns else parse_reports(reports)
     r = F.col("r")
     idx = F.coalesce(r["response"]["rejectedIndexes"], r["rejectedIndexes"])
-    return parse_reports(reports).select(*keep, F.explode(idx).alias("pos"))
+    return p.select(*keep, F.explode(idx).alias("pos"))
 
 
 def rejected_data_points(reports: DataFrame, batch_rows: DataFrame) -> DataFrame:
@@ -119,12 +121,13 @@ def error_report(reports: DataFrame, batch_rows: DataFrame) -> DataFrame:
     n_conf = (F.size(F.coalesce(r["conflicts"], F.array())) + F.size(F.coalesce(r["response"]["conflicts"], F.array()))
               + F.size(F.coalesce(r["errorReports"], F.array()))
               + F.size(F.coalesce(r["response"]["errorReports"], F.array())))
-    base = p.select("batch_id", "phase", "is_json", status.alias("status"),
+    base = p.select("batch_id", "phase", "is_json", "r", status.alias("status"),
                     F.coalesce(r["response"]["description"], r["description"]).alias("description"),
                     _counts(r).alias("c"), n_conf.alias("n_conflicts"))
     failed = base.where(~F.col("is_json") | ~F.coalesce(F.col("status").isin("SUCCESS", "OK"), F.lit(False))
                         | (F.col("n_conflicts") > 0))
-    rejected = rejected_data_points(reports, batch_rows).groupBy("batch_id").agg(
+    rejected = rejected_indexes(failed.select("batch_id", "r")).join(
+        batch_rows.select("batch_id", "pos"), ["batch_id", "pos"]).groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rejected_rows"))
     return (failed.join(rejected, "batch_id", "left")
                   .select("batch_id", "phase", "is_json", "status", "description",

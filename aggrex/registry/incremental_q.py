@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from aggrex import fixtures
 from aggrex.operators.dims import config_dim
-from aggrex.operators.mapping import map_uids
+from aggrex.operators.mapping import uid_mapper
 from aggrex.operators.normalise import normalise_data_values
 from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.registry import ORACLE, query
@@ -42,10 +42,7 @@ def q_k1(spark, sf_dir):
     stream; the second run sees only the new files."""
     root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
-    mapping = config_dim(spark, UID_ROWS, UID_MAPPING)
-
-    def transform(df):
-        return map_uids(df, mapping, UID_DEFAULTS)
+    transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
 
     for drop in (dv.where(F.col("period") < SPLIT_MONTH), dv.where(F.col("period") >= SPLIT_MONTH)):
         io.write_extract(drop, root, extract_id="dsA", extract_period=F.col("period"))
@@ -63,10 +60,10 @@ def q_k2(spark, sf_dir):
     valid / to-delete point of every period is sent exactly once."""
     root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
-    mapping = config_dim(spark, UID_ROWS, UID_MAPPING)
+    transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
     io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"), files_per_partition=2)
-    q = (extract_stream(spark, root, max_files_per_trigger=16).writeStream
-         .foreachBatch(push_batch(lambda d: map_uids(d, mapping, UID_DEFAULTS), out, max_post=MAX_POST))
+    q = (extract_stream(spark, root, max_files_per_trigger=48).writeStream
+         .foreachBatch(push_batch(transform, out, max_post=MAX_POST))
          .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
     q.awaitTermination()
     return (read_payloads(spark, out).groupBy("phase", "period")

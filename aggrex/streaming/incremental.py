@@ -15,6 +15,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from aggrex.operators.dims import sized_broadcast
 from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.sources.io import EXTRACT_PARTITIONS, EXTRACT_TABLE
 
@@ -81,7 +82,9 @@ def pending_batches(requested: DataFrame, finished: DataFrame) -> DataFrame:
     ``finished`` (unit, finished_at) are append-only logs; a unit is pending
     when it was requested after it last finished. ``open_since`` is the first
     such request (the FIFO order), ``n_open_requests`` how many are open."""
-    last_done = finished.groupBy("unit").agg(F.max("finished_at").alias("last_finished"))
+    # One row per unit (units are periods / files, not data): broadcast when
+    # provably small, so a unit requested very often does not skew the join.
+    last_done = sized_broadcast(finished.groupBy("unit").agg(F.max("finished_at").alias("last_finished")))
     open_req = (requested.join(last_done, "unit", "left")
                 .where(F.col("last_finished").isNull() | (F.col("requested_at") > F.col("last_finished"))))
     return open_req.groupBy("unit").agg(F.min("requested_at").alias("open_since"),
