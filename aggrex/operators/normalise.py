@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from aggrex.operators.dims import sized_broadcast
 from aggrex.schemas import (AGGREGATED, DATA_ELEMENT, DATA_POINT_COLUMNS, DATA_TYPE_ALIASES,
                             DATA_TYPES, INDICATOR, PUSH_COLUMNS, REPORTING_RATE)
 
@@ -76,12 +77,13 @@ def filter_category_option_combos(df: DataFrame, combos: DataFrame, item_col: st
 
     ``combos`` is (item_id, coc) — a configuration-sized dimension, broadcast.
     """
-    listed = F.broadcast(combos.select(item_col).distinct())
-    keep_pairs = F.broadcast(combos.select(item_col, F.col("coc").alias("category_option_combo")))
-    filtered = df.join(listed, item_col, "left_semi").join(
-        keep_pairs, [item_col, "category_option_combo"], "left_semi")
-    unfiltered = df.join(listed, item_col, "left_anti")
-    return filtered.unionByName(unfiltered)
+    listed = sized_broadcast(combos.select(item_col).distinct().withColumn("_listed", F.lit(True)))
+    pairs = sized_broadcast(combos.select(item_col, F.col("coc").alias("category_option_combo")).distinct()
+                            .withColumn("_kept", F.lit(True)))
+    # One pass over the data: two broadcast lookups, then keep unlisted items
+    # and listed (item, combo) pairs.
+    return (df.join(listed, item_col, "left").join(pairs, [item_col, "category_option_combo"], "left")
+              .where(F.col("_listed").isNull() | F.col("_kept").isNotNull()).drop("_listed", "_kept"))
 
 
 def select_push_columns(df: DataFrame, carry: list[str] = ()) -> DataFrame:
@@ -107,14 +109,15 @@ def merge_extracts(extracts: DataFrame, months: DataFrame) -> DataFrame:
 
     ``extracts`` carries the 9 data point columns and ``extract_period``
     (``yyyyMM`` or ``yyyy``, the partition column). ``months`` is (month).
-    A year's rows join each month of that year. ``months`` is period-sized,
-    so it is broadcast.
+    Each month contributes two join keys — itself and its year — so one
+    equi-join (broadcast, period-sized) reads the extracts once, and a year's
+    rows join every month of that year. The distinct is a hash aggregate with
+    map-side combine, so heavily duplicated rows collapse before the shuffle.
     """
-    m = F.broadcast(months.select(F.col("month").alias("merge_month")).distinct())
-    monthly = extracts.join(m, extracts["extract_period"] == m["merge_month"])
-    yearly = extracts.join(m, extracts["extract_period"] == F.substring(m["merge_month"], 1, 4))
-    both = monthly.unionByName(yearly).select("merge_month", *DATA_POINT_COLUMNS)
-    return both.dropDuplicates()
+    keys = months.select(F.col("month").alias("merge_month")).distinct().select(
+        "merge_month", F.explode(F.array(F.col("merge_month"), F.substring("merge_month", 1, 4))).alias("_key"))
+    j = extracts.join(sized_broadcast(keys), F.col("extract_period") == F.col("_key"))
+    return j.select("merge_month", *DATA_POINT_COLUMNS).dropDuplicates()
 
 
 def check_data_types(df: DataFrame) -> DataFrame:
