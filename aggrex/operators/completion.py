@@ -22,7 +22,8 @@ def completions_under(registrations: DataFrame, units: DataFrame, parents: list[
     descendants (the bulk table the reference fetches per parent)."""
     below = descendants_by_path(units, parents) if use_path else select_descendants(units, parents)
     regs = registrations if dataset is None else registrations.where(F.col("dataSet") == F.lit(dataset))
-    return regs.join(below.select(F.col("id").alias("organisationUnit")), "organisationUnit", "left_semi")
+    return regs.join(sized_broadcast(below.select(F.col("id").alias("organisationUnit"))),
+                     "organisationUnit", "left_semi")
 
 
 def unprocessed_org_units(todo: DataFrame, ledger: DataFrame | None) -> DataFrame:

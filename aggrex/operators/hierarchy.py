@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from aggrex.operators.dims import DEFAULT_BROADCAST_ROWS
+
 
 def filter_level(units: DataFrame, level: int) -> DataFrame:
     """Ids of the org units at ``level``."""
@@ -43,8 +45,12 @@ def select_descendants(units: DataFrame, roots: DataFrame | list[str], max_itera
     visited = roots.select("id").distinct()
     frontier = visited
     for _ in range(max_iterations):
-        children = (edges.join(frontier.withColumnRenamed("id", "parent_id"), "parent_id", "left_semi")
-                         .select("id").distinct())
+        # The frontier is counted anyway (fixpoint test); when it is small it
+        # is broadcast, else the edges join it by sort-merge.
+        n = frontier.count()
+        f = frontier.withColumnRenamed("id", "parent_id")
+        f = F.broadcast(f) if n <= DEFAULT_BROADCAST_ROWS else f
+        children = edges.join(f, "parent_id", "left_semi").select("id").distinct()
         new = children.join(visited, "id", "left_anti")
         if checkpoint:
             new = new.checkpoint(eager=True)

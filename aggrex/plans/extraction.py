@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from aggrex.functions.periods import periods_for_frequency
+from aggrex.operators.dims import sized_broadcast
 
 
 def item_names(items: DataFrame) -> DataFrame:
@@ -42,6 +43,19 @@ def scope_org_units(items: DataFrame, datasets: DataFrame, ds_org_units: DataFra
     return chosen.join(ds_org_units, "dataset_id").select("item_pos", "org_unit").distinct()
 
 
+def scope_data(data: DataFrame, scope: DataFrame, elements: DataFrame,
+               org_unit_col: str = "org_unit", element_col: str = "dx_uid") -> DataFrame:
+    """B5 + B6 applied to data: the rows of each item — org unit in the item's
+    scope and data element among the item's elements. Both dimensions are
+    configuration-derived; they are broadcast when provably small, so a hot
+    org unit in the data is never funnelled into one join task."""
+    sc = sized_broadcast(scope.withColumnRenamed("org_unit", "_scope_ou"))
+    el = sized_broadcast(elements.withColumnsRenamed({"data_element": "_scope_de", "item_pos": "_scope_item"}))
+    return (data.join(sc, F.col(org_unit_col) == F.col("_scope_ou"))
+                .join(el, (F.col("item_pos") == F.col("_scope_item")) & (F.col(element_col) == F.col("_scope_de")))
+                .drop("_scope_ou", "_scope_de", "_scope_item"))
+
+
 def item_data_elements(items: DataFrame, datasets: DataFrame, ds_elements: DataFrame) -> DataFrame:
     """(item_pos, data_element) — the listed elements, or, for an item
     listing none, all elements of its first metadata dataset."""

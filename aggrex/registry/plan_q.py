@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 from aggrex import fixtures
 from aggrex.operators.dims import config_dim
 from aggrex.plans.extraction import (expand_category_combos, extraction_plan, item_data_elements, item_names,
-                                     rate_keys, rejected_rate_items, scope_org_units, skip_existing)
+                                     rate_keys, rejected_rate_items, scope_data, scope_org_units,
+                                     skip_existing)
 from aggrex.registry import query
 from aggrex.schemas import EXTRACT_ITEM, RATE_ITEM
 from aggrex.session import checkpoint_dir
@@ -166,9 +167,8 @@ def q_b5(spark, sf_dir):
     scope = scope_org_units(items, pages, ou)
     elements = item_data_elements(items, pages, de)
     dv = fixtures.view(spark, sf_dir, "fx_data_values")
-    return (dv.join(scope, F.col("orgUnit") == F.col("org_unit"))
-              .join(elements, ["item_pos"]).where(F.col("dataElement") == F.col("data_element"))
-              .select("item_pos", "row_id"))
+    return scope_data(dv, scope, elements, org_unit_col="orgUnit", element_col="dataElement").select(
+        "item_pos", "row_id")
 
 
 @query("b6_default_data_elements", _oracle("SELECT * FROM item_de", "item_de"))
