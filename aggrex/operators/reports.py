@@ -42,17 +42,18 @@ def parse_reports(reports: DataFrame, body: str = "body") -> DataFrame:
                    .withColumn("is_json", F.try_parse_json(F.col(body)).isNotNull()))
 
 
-def _counts(parsed: Column) -> Column:
+def _counts(parsed: Column, generation: str = "gen2") -> Column:
     """Counts at the top level when the top level has ``importCount``, else
-    under ``response``; missing keys are 0."""
+    under ``response`` (second generation); the first generation reads only
+    ``response.importCount``. Missing keys are 0."""
     top, nested = parsed["importCount"], parsed["response"]["importCount"]
-    src = F.when(top.isNotNull(), top).otherwise(nested)
+    src = nested if generation == "gen1" else F.when(top.isNotNull(), top).otherwise(nested)
     return F.struct(*[F.coalesce(src[k], F.lit(0)).alias(k) for k in COUNT_KEYS])
 
 
-def import_summary(reports: DataFrame, by: list[str] = ()) -> DataFrame:
+def import_summary(reports: DataFrame, by: list[str] = (), generation: str = "gen2") -> DataFrame:
     """Imported / updated / ignored / deleted summed over reports."""
-    p = parse_reports(reports).withColumn("_c", _counts(F.col("r")))
+    p = parse_reports(reports).withColumn("_c", _counts(F.col("r"), generation))
     return p.groupBy(*by).agg(*[F.sum(F.col("_c")[k]).alias(k) for k in COUNT_KEYS])
 
 

@@ -17,8 +17,9 @@ from aggrex.registry.push_q import _oracle as push_oracle
 from aggrex.schemas import UID_MAPPING
 from aggrex.session import checkpoint_dir
 from aggrex.sources import io
+from aggrex.functions.periods import month_range
 from aggrex.streaming.incremental import (changed_months, extract_stream, incremental_push, pending_batches,
-                                         push_batch, read_payloads)
+                                         push_batch, read_payloads, reopen_units)
 
 J2_COLUMNS = ["phase", "phase_order", "period", "batch_no", "n_points", "first_org_unit", "last_org_unit", "body"]
 SPLIT_MONTH = "199801"
@@ -96,3 +97,27 @@ def q_k5(spark, sf_dir):
     p = pending_batches(spark.table("fx_requested"), spark.table("fx_finished"))
     return p.select("unit", F.col("open_since").cast("string").alias("open_since"), "n_open_requests",
                     F.col("last_finished").cast("string").alias("last_finished"))
+
+
+REOPEN = ("199601", "199612", "2100-01-01 00:00:00")
+
+
+@query("k5_reopen_month_range", fixtures.with_views(["fx_requested", "fx_finished"], """
+SELECT r.unit, CAST(min(r.requested_at) AS VARCHAR) AS open_since, count(*) AS n_open_requests,
+       CAST(max(d.last_finished) AS VARCHAR) AS last_finished
+FROM req r LEFT JOIN last_done d ON d.unit = r.unit
+WHERE d.last_finished IS NULL OR r.requested_at > d.last_finished
+GROUP BY r.unit""", [
+    ("req", f"""SELECT unit, requested_at FROM fx_requested UNION ALL
+      SELECT strftime(d, '%Y%m'), TIMESTAMP '{REOPEN[2]}' FROM (SELECT unnest(generate_series(
+        strptime('{REOPEN[0]}', '%Y%m'), strptime('{REOPEN[1]}', '%Y%m'), INTERVAL 1 MONTH)) AS d) m"""),
+    ("last_done", "SELECT unit, max(finished_at) AS last_finished FROM fx_finished GROUP BY unit")]))
+def q_k5_reopen(spark, sf_dir):
+    """Re-open a month range by hand (H1 months appended to the request log),
+    then list what is pending."""
+    fixtures.register(spark, sf_dir, ["fx_requested", "fx_finished"])
+    months = spark.range(1).select(F.explode(month_range(F.lit(REOPEN[0]), F.lit(REOPEN[1]))).alias("unit"))
+    requested = spark.table("fx_requested").unionByName(reopen_units(months, REOPEN[2]))
+    p = pending_batches(requested, spark.table("fx_finished"))
+    return p.select("unit", F.col("open_since").cast("string").alias("open_since"), "n_open_requests",
+                    F.col("last_finished").cast("string").alias("last_finished"))

@@ -76,6 +76,18 @@ def q_d1(spark, sf_dir):
     return import_summary(_reports(spark, sf_dir), by=["phase"])
 
 
+_COUNTS_GEN1_CTE = [("cnt1", "SELECT batch_id, phase, " + ", ".join(
+    f"coalesce(CAST(CASE WHEN json_valid(body) THEN json_extract(body, '$.response.importCount.{k}') END AS BIGINT), 0)"
+    f" AS {k}" for k in COUNT_KEYS) + " FROM fx_import_reports")]
+
+
+@query("d1_import_summary_gen1", fixtures.with_views(REP, "SELECT phase, " + ", ".join(
+    f"CAST(sum({k}) AS BIGINT) AS {k}" for k in COUNT_KEYS) + " FROM cnt1 GROUP BY phase", _COUNTS_GEN1_CTE))
+def q_d1_gen1(spark, sf_dir):
+    """First-generation summary: counts read under ``response`` only."""
+    return import_summary(_reports(spark, sf_dir), by=["phase"], generation="gen1")
+
+
 @query("d5_invalid_org_units", fixtures.with_views(REP, """
 SELECT DISTINCT coalesce(nullif(org_unit, ''), nullif(object, '')) AS org_unit FROM conf
 WHERE (coalesce(value, '') LIKE '%Organisation unit not found%' OR coalesce(value, '') LIKE '%Invalid organisation unit%'

@@ -92,4 +92,11 @@ def pending_batches(requested: DataFrame, finished: DataFrame) -> DataFrame:
                                         F.max("last_finished").alias("last_finished"))
 
 
+def reopen_units(units: DataFrame, at) -> DataFrame:
+    """K5: re-open units by hand (e.g. a month range from H1): the rows to
+    append to the ``requested`` log so the units are pending again."""
+    at_col = at if not isinstance(at, str) else F.lit(at).cast("timestamp")
+    return units.select(F.col("unit"), at_col.alias("requested_at"))
+
+
 EXTRACT_KEYS = EXTRACT_PARTITIONS
