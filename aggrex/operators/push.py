@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from aggrex.operators.dims import sized_broadcast
@@ -108,11 +108,17 @@ def global_positions(df: DataFrame, order: list, group_cols: list[str] = (),
                   .drop("_mid"))
     if checkpoint:
         numbered = numbered.checkpoint(eager=True)
-    counts = numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
-    # One row per partition: the running sum is over #partitions rows, not data.
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    out = numbered.join(F.broadcast(offsets), "_pid").withColumn("_gpos", F.col("_off") + F.col("_loc"))
+    # One count per partition (bounded by the partition count, not the data),
+    # gathered like zipWithIndex does and turned into running offsets.
+    counts = sorted((r["_pid"], r["_n"]) for r in
+                    numbered.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n")).collect())
+    offsets, acc = [], 0
+    for pid, n in counts:
+        offsets.append((pid, acc))
+        acc += n
+    spark = df.sparkSession
+    off = spark.createDataFrame(offsets or [(0, 0)], "_pid long, _off long")
+    out = numbered.join(F.broadcast(off), "_pid").withColumn("_gpos", F.col("_off") + F.col("_loc"))
     out = out.drop("_pid", "_loc", "_off")
     if group_cols:
         firsts = sized_broadcast(out.groupBy(*group_cols).agg(F.min("_gpos").alias("_first")))
