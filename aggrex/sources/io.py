@@ -128,15 +128,19 @@ def scan_completions(spark: SparkSession, path: str, fmt: str = "json") -> DataF
 
 
 def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
-                  extract_period=None, files_per_partition: int = 8) -> DataFrame:
+                  extract_period=None, files_per_partition: int | None = None) -> DataFrame:
     """A10: write data points into the partitioned extract table, replacing
     only the partitions present in ``df`` (dynamic partition overwrite; the
     output commit protocol makes the replacement task-atomic).
 
     Returns the (data_type, extract_id, extract_period) partitions written —
-    the change feed for K3. Rows of one partition are spread over up to
-    ``files_per_partition`` writer tasks by a content hash, so a hot period
-    does not funnel through one task.
+    the change feed for K3.
+
+    The write shuffle is a range partitioning on (partition columns, row
+    hash): Spark samples the data, so a hot period is split over as many
+    writer tasks as its size needs while each task still writes into few
+    partition folders. ``files_per_partition`` instead hash-spreads each
+    partition over exactly that many tasks (small, predictable file counts).
     """
     out = df
     if extract_id is not None:
@@ -149,9 +153,12 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        salt = F.pmod(F.xxhash64(*DATA_POINT_COLUMNS), F.lit(files_per_partition))
-        (out.repartition(*EXTRACT_PARTITIONS, salt)
-            .write.mode("overwrite").partitionBy(*EXTRACT_PARTITIONS).parquet(root))
+        if files_per_partition:
+            salt = F.pmod(F.xxhash64(*DATA_POINT_COLUMNS), F.lit(files_per_partition))
+            spread = out.repartition(*EXTRACT_PARTITIONS, salt)
+        else:
+            spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.xxhash64(*DATA_POINT_COLUMNS))
+        spread.write.mode("overwrite").partitionBy(*EXTRACT_PARTITIONS).parquet(root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
     return (read_extract_table(spark, root).select(*EXTRACT_PARTITIONS).distinct()
