@@ -43,18 +43,20 @@ def select_descendants(units: DataFrame, roots: DataFrame | list[str], max_itera
     if isinstance(roots, list):
         roots = spark.createDataFrame([(r,) for r in roots], "id string")
     visited = roots.select("id").distinct()
-    frontier = visited
+    if checkpoint:
+        visited = visited.checkpoint(eager=True)
+    frontier, n = visited, visited.count()
     for _ in range(max_iterations):
-        # The frontier is counted anyway (fixpoint test); when it is small it
-        # is broadcast, else the edges join it by sort-merge.
-        n = frontier.count()
+        # The new frontier is counted once per round: the count is the
+        # fixpoint test and decides whether the next round broadcasts it.
         f = frontier.withColumnRenamed("id", "parent_id")
         f = F.broadcast(f) if n <= DEFAULT_BROADCAST_ROWS else f
         children = edges.join(f, "parent_id", "left_semi").select("id").distinct()
         new = children.join(visited, "id", "left_anti")
         if checkpoint:
             new = new.checkpoint(eager=True)
-        if new.isEmpty():
+        n = new.count()
+        if n == 0:
             break
         visited = visited.unionByName(new)
         if checkpoint:
