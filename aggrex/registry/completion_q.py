@@ -5,13 +5,18 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from aggrex import fixtures
 from aggrex.operators.completion import (completion_lookup, completion_payload, completion_summary,
                                          completion_sync, completions_under, merge_ledger, unprocessed_org_units)
 from aggrex.operators.reports import COUNT_KEYS, completion_outcome
 from aggrex.registry import query
+from aggrex.schemas import COMPLETION
 from aggrex.session import checkpoint_dir
+from aggrex.sources import io
+
+COMPLETION_WITH_ORDINAL = T.StructType(COMPLETION.fields + [T.StructField("row_id", T.LongType())])
 
 VIEWS = ["fx_completions", "fx_processed", "fx_pyramid_source", "fx_data_values", "fx_import_reports"]
 # Fixture configuration: parents whose subtree is synchronised and the
@@ -60,10 +65,18 @@ def _oracle(body: str, upto: str) -> str:
     return fixtures.with_views(VIEWS, body, _CTES[:names.index(upto) + 1])
 
 
+def _registrations(spark, sf_dir):
+    """Completion registrations dumped as JSON (the API shape) and read back
+    with the fixed schema; the ordinal travels along as a column."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/completions-{uuid.uuid4().hex}"
+    spark.table("fx_completions").write.json(path)
+    return io.scan_completions(spark, path, schema=COMPLETION_WITH_ORDINAL)
+
+
 def _inputs(spark, sf_dir):
     fixtures.register(spark, sf_dir, VIEWS)
     units = spark.table("fx_pyramid_source")
-    regs = completions_under(spark.table("fx_completions").where(F.col("dataSet").isin(*[s for s, _ in PAIRS])),
+    regs = completions_under(_registrations(spark, sf_dir).where(F.col("dataSet").isin(*[s for s, _ in PAIRS])),
                              units, PARENTS)
     todo = (spark.table("fx_data_values").where(F.col("orgUnit").isNotNull())
             .select(F.substring("period", 1, 4).alias("period"), F.col("orgUnit").alias("org_unit")).distinct())

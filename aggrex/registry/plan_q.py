@@ -131,15 +131,23 @@ def category_combos(spark, sf_dir):
 
 
 def _combo_bridge(spark, sf_dir, items):
+    """Category combos dumped as JSON and read back with the fixed schema (A5)."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/combos-{uuid.uuid4().hex}"
+    category_combos(spark, sf_dir).write.json(path)
     configured = items.select(F.explode("cat_combos").alias("cat_combo"))
-    return io.category_combo_bridge(category_combos(spark, sf_dir), configured)
+    return io.category_combo_bridge(io.scan_category_combos(spark, path), configured)
 
 
 @query("a4_scan_dataset_metadata", _oracle("""
 SELECT id AS dataset_id, page, CAST(i AS INTEGER) AS pos, organisation_units[i + 1] AS org_unit
 FROM (SELECT *, unnest(range(len(organisation_units))) AS i FROM pages) x""", "pages"))
 def q_a4(spark, sf_dir):
-    ou, _ = io.dataset_bridges(dataset_pages(spark, sf_dir), carry=["page"])
+    """Metadata pages dumped as JSON (the API shape), read back with the fixed
+    schema, then bridged."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/datasets-{uuid.uuid4().hex}"
+    dataset_pages(spark, sf_dir).write.json(path)
+    pages = io.scan_dataset_metadata(spark, path, schema=io.DATASET_PAGE)
+    ou, _ = io.dataset_bridges(pages, carry=["page"])
     return ou
 
 

@@ -75,9 +75,15 @@ def scan_pyramid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFr
     return spark.read.schema(ORG_UNIT).parquet(path)
 
 
-def scan_dataset_metadata(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """A4: datasets with org unit and data element lists."""
-    return _reader(spark, DATASET, fmt).load(path)
+# Dataset metadata as paged by the API: one row per (dataset, page).
+DATASET_PAGE = T.StructType(DATASET.fields + [T.StructField("ds_pos", T.IntegerType()),
+                                              T.StructField("page", T.LongType())])
+
+
+def scan_dataset_metadata(spark: SparkSession, path: str, fmt: str = "json", schema=DATASET) -> DataFrame:
+    """A4: datasets with org unit and data element lists (``DATASET_PAGE``
+    for paged dumps)."""
+    return _reader(spark, schema, fmt).load(path)
 
 
 def dataset_bridges(datasets: DataFrame, carry: list[str] = ()) -> tuple[DataFrame, DataFrame]:
@@ -122,9 +128,9 @@ def scan_analytics(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
     return rename_analytics(_reader(spark, ANALYTICS, fmt).load(path))
 
 
-def scan_completions(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
+def scan_completions(spark: SparkSession, path: str, fmt: str = "json", schema=COMPLETION) -> DataFrame:
     """A8 input: dataset completion registrations."""
-    return _reader(spark, COMPLETION, fmt).load(path)
+    return _reader(spark, schema, fmt).load(path)
 
 
 def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
