@@ -43,12 +43,22 @@ def first_registration(registrations: DataFrame, order_col: str) -> DataFrame:
             .agg(F.min_by(F.struct(*cols), F.col(order_col)).alias("_r")).select("_r.*"))
 
 
-def completion_lookup(todo: DataFrame, registrations: DataFrame, order_col: str) -> tuple[DataFrame, DataFrame]:
-    """(with status, without status) for the todo units. Units without a
-    status have nothing to push but still count as processed."""
+def completion_lookup(todo: DataFrame, registrations: DataFrame, order_col: str,
+                      direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    """(with status, without status) for the todo units: the first
+    registration from the bulk table (A8); units it lacks are looked up in
+    ``direct`` (all registrations — the reference's per-unit fetch) when
+    given. Units without any status have nothing to push but still count as
+    processed."""
     first = first_registration(registrations, order_col).withColumnRenamed("organisationUnit", "org_unit")
     with_status = todo.join(first, ["period", "org_unit"], "inner")
-    without = todo.join(first.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
+    if direct is not None:
+        missing = todo.join(first.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
+        fetched = first_registration(direct.join(missing.withColumnRenamed("org_unit", "organisationUnit"),
+                                                 ["period", "organisationUnit"], "left_semi"), order_col)
+        with_status = with_status.unionByName(
+            missing.join(fetched.withColumnRenamed("organisationUnit", "org_unit"), ["period", "org_unit"], "inner"))
+    without = todo.join(with_status.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
     return with_status, without
 
 
@@ -86,11 +96,12 @@ def merge_ledger(existing: DataFrame | None, processed: DataFrame) -> DataFrame:
 
 
 def completion_sync(todo: DataFrame, registrations: DataFrame, ledger: DataFrame | None,
-                    dataset_pairs: DataFrame, order_col: str) -> tuple[DataFrame, DataFrame]:
+                    dataset_pairs: DataFrame, order_col: str,
+                    direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """K4: one resumable step: skip processed units (C12), look up their
     status (C13), build payloads (J4) and the ledger rows to append (G3) —
     every processed unit is recorded, with or without a status."""
     todo_now = unprocessed_org_units(todo, ledger)
-    with_status, _ = completion_lookup(todo_now, registrations, order_col)
+    with_status, _ = completion_lookup(todo_now, registrations, order_col, direct)
     payloads = completion_payload(with_status, dataset_pairs)
     return payloads, merge_ledger(ledger, todo_now)

@@ -38,8 +38,15 @@ _CTES = [
     ("firsts", """SELECT dataSet, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
       arg_min(completed, row_id) AS completed, min(row_id) AS row_id
       FROM regs GROUP BY dataSet, period, organisationUnit"""),
-    ("with_status", "SELECT t.period, t.org_unit, f.dataSet, f.date, f.completed, f.row_id "
-                    "FROM todo_now t JOIN firsts f ON f.period = t.period AND f.org_unit = t.org_unit"),
+    ("all_firsts", f"""SELECT dataSet, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
+      arg_min(completed, row_id) AS completed, min(row_id) AS row_id
+      FROM fx_completions WHERE dataSet IN ({_DS_SQL}) GROUP BY dataSet, period, organisationUnit"""),
+    ("with_status", """SELECT t.period, t.org_unit, f.dataSet, f.date, f.completed, f.row_id
+      FROM todo_now t JOIN firsts f ON f.period = t.period AND f.org_unit = t.org_unit
+      UNION ALL
+      SELECT t.period, t.org_unit, a.dataSet, a.date, a.completed, a.row_id
+      FROM todo_now t JOIN all_firsts a ON a.period = t.period AND a.org_unit = t.org_unit
+      WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.period = t.period AND f.org_unit = t.org_unit)"""),
     ("payloads", f"""SELECT w.period, w.org_unit, pr.target_dataset AS dataset,
       '{{"completeDataSetRegistrations":[{{"organisationUnit":"' || w.org_unit || '","period":"' || w.period
       || '","completed":' || CASE WHEN w.completed THEN 'true' ELSE 'false' END || ',"date":"' || w.date
@@ -84,6 +91,11 @@ def _inputs(spark, sf_dir):
     return regs, todo, spark.table("fx_processed"), pairs
 
 
+def _direct(spark):
+    """All registrations of the synchronised datasets (the per-unit fetch)."""
+    return spark.table("fx_completions").where(F.col("dataSet").isin(*[s for s, _ in PAIRS]))
+
+
 @query("a8_scan_completions", _oracle("SELECT * FROM regs", "regs"))
 def q_a8(spark, sf_dir):
     return _inputs(spark, sf_dir)[0]
@@ -98,13 +110,13 @@ def q_c12(spark, sf_dir):
 @query("c13_completion_lookup", _oracle("SELECT * FROM with_status", "with_status"))
 def q_c13(spark, sf_dir):
     regs, todo, ledger, _ = _inputs(spark, sf_dir)
-    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id")
+    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id", _direct(spark))
     return with_status.select("period", "org_unit", "dataSet", "date", "completed", "row_id")
 
 
 def _payloads(spark, sf_dir):
     regs, todo, ledger, pairs = _inputs(spark, sf_dir)
-    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id")
+    with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id", _direct(spark))
     return completion_payload(with_status, pairs)
 
 
@@ -151,7 +163,7 @@ def q_k4(spark, sf_dir):
     processed.write.partitionBy("period").parquet(path)
     for step in range(2):
         ledger = spark.read.schema("org_unit string, period string").parquet(path)
-        payloads, additions = completion_sync(todo, regs, ledger, pairs, "row_id")
+        payloads, additions = completion_sync(todo, regs, ledger, pairs, "row_id", _direct(spark))
         additions = additions.checkpoint(eager=True)
         if step == 1 and not additions.isEmpty():
             raise AssertionError("a second sync step found unprocessed units")
