@@ -68,11 +68,24 @@ def month_window_defaults(as_of, window: int = 6) -> Column:
                     month_label(F.add_months(m, -1)).alias("end"))
 
 
-def is_valid_yyyymm(p) -> Column:
-    """H3: six characters, four digits then a month 01-12."""
+def is_valid_yyyymm(p, strict_year: bool = False) -> Column:
+    """H3: six characters whose last two are a month 1-12; the year is not
+    checked (as in the reference) unless ``strict_year``."""
     p = _c(p)
-    return F.coalesce(F.length(p) == 6, F.lit(False)) & F.coalesce(
-        p.rlike(r"^[0-9]{4}(0[1-9]|1[0-2])$"), F.lit(False))
+    month = F.substring(p, 5, 2).try_cast("int")
+    ok = (F.length(p) == 6) & month.between(1, 12)
+    if strict_year:
+        ok = ok & p.rlike(r"^[0-9]{4}")
+    return F.coalesce(ok, F.lit(False))
+
+
+def month_bounds_ok(start, end) -> Column:
+    """H3: both bounds valid (when given) and start not after end (compared
+    as text, which orders yyyyMM correctly)."""
+    s, e = _c(start), _c(end)
+    return (F.coalesce(s.isNull() | is_valid_yyyymm(s), F.lit(False))
+            & F.coalesce(e.isNull() | is_valid_yyyymm(e), F.lit(False))
+            & F.coalesce(s.isNull() | e.isNull() | (s <= e), F.lit(False)))
 
 
 def weeks_of_month(yyyymm) -> Column:

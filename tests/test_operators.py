@@ -98,3 +98,13 @@ def test_month_range_rejects_reversed_bounds(spark):
     df = spark.createDataFrame([("202405", "202401")], "s string, e string")
     with pytest.raises(Exception):
         df.select(P.month_range("s", "e")).collect()
+
+
+def test_month_validation_follows_the_reference(spark):
+    df = spark.createDataFrame([("202401",), ("202413",), ("abcd05",), ("20241",), (None,)], "p string")
+    got = [r[0] for r in df.select(P.is_valid_yyyymm("p")).collect()]
+    assert got == [True, False, True, False, False]
+    strict = [r[0] for r in df.select(P.is_valid_yyyymm("p", strict_year=True)).collect()]
+    assert strict == [True, False, False, False, False]
+    b = spark.createDataFrame([("202401", "202402"), ("202403", "202402"), (None, "202402")], "s string, e string")
+    assert [r[0] for r in b.select(P.month_bounds_ok("s", "e")).collect()] == [True, False, True]
