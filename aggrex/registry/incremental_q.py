@@ -40,10 +40,11 @@ def q_a11(spark, sf_dir):
 @query("k1_incremental_push", ORACLE["j2_payload_batches"])
 def q_k1(spark, sf_dir):
     """Two extract drops, each drained by an availableNow run of the same
-    stream; the second run sees only the new files."""
+    stream; the second run sees only the new files. Rows are routed by data
+    type (only data elements have a mapping here)."""
     root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
-    transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
+    transform = {"DATA_ELEMENT": uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)}
 
     for drop in (dv.where(F.col("period") < SPLIT_MONTH), dv.where(F.col("period") >= SPLIT_MONTH)):
         io.write_extract(drop, root, extract_id="dsA", extract_period=F.col("period"))

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from aggrex.operators.dims import sized_broadcast
+from aggrex.operators.mapping import dispatch_by_type
 from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.sources.io import EXTRACT_PARTITIONS, EXTRACT_TABLE
 
@@ -28,16 +29,26 @@ def extract_stream(spark: SparkSession, root: str, max_files_per_trigger: int |
     return r.parquet(root)
 
 
-def push_batch(transform: Callable[[DataFrame], DataFrame], out_root: str, max_post: int = 500,
+def push_batch(transform, out_root: str, max_post: int = 500,
                generation: str = "gen2", group_cols: tuple = ("extract_id", "period"),
                require_numeric: bool = False) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` body of K1: map (``transform``) -> classify
-    -> batch (J2) -> write payloads and the quarantine under
-    ``batch_id=<micro-batch id>`` (overwrite: idempotent on replay)."""
+    """The ``foreachBatch`` body of K1: map -> classify (I1) -> batch (J2) ->
+    write payloads and the quarantine under ``batch_id=<micro-batch id>``
+    (overwrite: idempotent on replay).
+
+    ``transform`` is either one mapping function or a dict {data type:
+    mapping function} (B12); with a dict, rows of a type without a handler
+    are skipped from the push and written to ``unknown_types``.
+    """
     def run(df: DataFrame, batch_id: int) -> None:
         if df.isEmpty():
             return
-        classified = classify_data_points(transform(df), require_numeric=require_numeric)
+        if isinstance(transform, dict):
+            mapped, unknown = dispatch_by_type(df, transform)
+            unknown.write.mode("overwrite").parquet(f"{out_root}/unknown_types/batch_id={batch_id}")
+        else:
+            mapped = transform(df)
+        classified = classify_data_points(mapped, require_numeric=require_numeric)
         classified = classified.persist()
         try:
             batches = payload_batches(classified, max_post=max_post, generation=generation,

@@ -122,3 +122,15 @@ def test_micro_batch_replay_does_not_duplicate(spark):
     again = sorted(tuple(r) for r in read_payloads(spark, out).collect())
     assert first == again
     assert sum(r["n_points"] for r in read_payloads(spark, out).collect()) == 50
+
+
+def test_unknown_types_are_set_aside(spark):
+    from aggrex.streaming.incremental import push_batch, read_payloads
+    out = os.path.join(tempfile.mkdtemp(prefix="aggrex-t-"), "push")
+    df = _dp(spark, [("DATA_ELEMENT", "D", "202401", "O1", "C", "A", None, "AGGREGATED", "1"),
+                     ("INDICATOR", "I", "202401", "O1", None, None, None, "AGGREGATED", "2")]
+             ).withColumn("extract_id", F.lit("E"))
+    push_batch({"DATA_ELEMENT": lambda d: d}, out, max_post=10)(df, 0)
+    assert sum(r["n_points"] for r in read_payloads(spark, out).collect()) == 1
+    unknown = spark.read.parquet(os.path.join(out, "unknown_types")).collect()
+    assert [r["data_type"] for r in unknown] == ["INDICATOR"]
