@@ -13,9 +13,6 @@ from aggrex.operators.dims import sized_broadcast
 from aggrex.operators.hierarchy import descendants_by_path, select_descendants
 from aggrex.operators.reports import COUNT_KEYS
 
-REGISTRATION_COLS = ["dataSet", "period", "organisationUnit", "date", "completed"]
-
-
 def completions_under(registrations: DataFrame, units: DataFrame, parents: list[str],
                       dataset: str | None = None, use_path: bool = True) -> DataFrame:
     """Registrations of ``dataset`` for the parents and all their

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aggrex.functions.values import rate_100_to_1, to_number_or_null
 from aggrex.operators.dims import sized_broadcast
-from aggrex.schemas import DATA_ELEMENT, DATA_POINT_COLUMNS, DATA_TYPES, REPORTING_RATE
+from aggrex.schemas import DATA_ELEMENT, REPORTING_RATE
 
 UID_FIELDS = ["dx_uid", "category_option_combo", "attribute_option_combo"]
 
@@ -143,6 +143,3 @@ def dispatch_by_type(df: DataFrame, handlers: dict[str, Callable[[DataFrame], Da
     unknown = df.where(~F.col("data_type").isin(*handled) | F.col("data_type").isNull())
     return out, unknown
 
-
-KNOWN_TYPES = DATA_TYPES
-CORE_COLUMNS = DATA_POINT_COLUMNS

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from aggrex.operators.dims import sized_broadcast
 from aggrex.operators.mapping import dispatch_by_type
 from aggrex.operators.push import classify_data_points, payload_batches
-from aggrex.sources.io import EXTRACT_PARTITIONS, EXTRACT_TABLE
+from aggrex.sources.io import EXTRACT_TABLE
 
 
 def extract_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
@@ -109,5 +109,3 @@ def reopen_units(units: DataFrame, at) -> DataFrame:
     at_col = at if not isinstance(at, str) else F.lit(at).cast("timestamp")
     return units.select(F.col("unit"), at_col.alias("requested_at"))
 
-
-EXTRACT_KEYS = EXTRACT_PARTITIONS
