@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aggrex.functions.values import rate_100_to_1, to_number_or_null
-from aggrex.operators.dims import sized_broadcast
+from aggrex.operators.dims import DEFAULT_BROADCAST_ROWS, sized_broadcast
 from aggrex.schemas import DATA_ELEMENT, REPORTING_RATE
 
 UID_FIELDS = ["dx_uid", "category_option_combo", "attribute_option_combo"]
@@ -19,11 +19,14 @@ def uid_mapper(mapping: DataFrame, defaults: dict[str, str] | None = None,
     """C5 + C6 as a reusable transform: the per-field dimensions are split and
     size-checked once (e.g. once per stream, not once per micro-batch)."""
     defaults = defaults or {}
+    # One size check for the whole mapping; each field's slice is then
+    # broadcast (or, beyond the bound, left to the planner).
+    small = mapping.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
     dims = {}
     for field in UID_FIELDS:
         old, new = f"_old_{field}", f"_new_{field}"
-        dims[field] = sized_broadcast(mapping.where(F.col("field") == field)
-                                      .select(F.col("old_uid").alias(old), F.col("new_uid").alias(new)))
+        d = mapping.where(F.col("field") == field).select(F.col("old_uid").alias(old), F.col("new_uid").alias(new))
+        dims[field] = F.broadcast(d) if small else d
 
     def apply(df: DataFrame) -> DataFrame:
         is_type = F.col("data_type") == F.lit(data_type)

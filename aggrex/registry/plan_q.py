@@ -108,8 +108,16 @@ def dataset_pages(spark, sf_dir):
                       F.coalesce("data_elements", F.array().cast("array<string>")).alias("data_elements")))
 
 
+def stored_pages(spark, sf_dir):
+    """The metadata pages as a pipeline keeps them: fetched (here: derived)
+    once, stored as JSON, then read back with the fixed schema."""
+    path = f"{checkpoint_dir(spark).rstrip('/')}/datasets-{uuid.uuid4().hex}"
+    dataset_pages(spark, sf_dir).write.json(path)
+    return io.scan_dataset_metadata(spark, path, schema=io.DATASET_PAGE)
+
+
 def _setup(spark, sf_dir):
-    pages = dataset_pages(spark, sf_dir)
+    pages = stored_pages(spark, sf_dir)
     ou_bridge, de_bridge = io.dataset_bridges(pages)
     items = config_dim(spark, ITEMS, EXTRACT_ITEM)
     return pages, ou_bridge.select("dataset_id", "org_unit"), de_bridge.select("dataset_id", "data_element").distinct(), items
@@ -144,10 +152,7 @@ FROM (SELECT *, unnest(range(len(organisation_units))) AS i FROM pages) x""", "p
 def q_a4(spark, sf_dir):
     """Metadata pages dumped as JSON (the API shape), read back with the fixed
     schema, then bridged."""
-    path = f"{checkpoint_dir(spark).rstrip('/')}/datasets-{uuid.uuid4().hex}"
-    dataset_pages(spark, sf_dir).write.json(path)
-    pages = io.scan_dataset_metadata(spark, path, schema=io.DATASET_PAGE)
-    ou, _ = io.dataset_bridges(pages, carry=["page"])
+    ou, _ = io.dataset_bridges(stored_pages(spark, sf_dir), carry=["page"])
     return ou
 
 
@@ -200,8 +205,8 @@ def q_b9(spark, sf_dir):
         "extract_uid", "rate_key", F.coalesce("n_cells", F.lit(0)).alias("n_cells"))
 
 
-def _plan(spark, sf_dir):
-    pages, _, de, items = _setup(spark, sf_dir)
+def _plan(spark, sf_dir, setup=None):
+    pages, _, de, items = setup or _setup(spark, sf_dir)
     elements = item_data_elements(items, pages, de)
     dv = fixtures.view(spark, sf_dir, "fx_data_values")
     months = (elements.join(dv.select("dataElement", "period").distinct(),
@@ -219,9 +224,10 @@ def q_b10(spark, sf_dir):
 SELECT n.item_pos, n.item_name, count(p.period) AS n_units FROM named n LEFT JOIN plan p ON p.item_pos = n.item_pos
 GROUP BY n.item_pos, n.item_name""", "plan"))
 def q_b11(spark, sf_dir):
-    _, _, _, items = _setup(spark, sf_dir)
+    setup = _setup(spark, sf_dir)
+    items = setup[3]
     names = item_names(items.where(F.size("data_sets") > 0)).select("item_pos", "item_name")
-    counts = _plan(spark, sf_dir).groupBy("item_pos").agg(F.count(F.lit(1)).alias("n_units"))
+    counts = _plan(spark, sf_dir, setup).groupBy("item_pos").agg(F.count(F.lit(1)).alias("n_units"))
     return names.join(counts, "item_pos", "left").select("item_pos", "item_name",
                                                         F.coalesce("n_units", F.lit(0)).alias("n_units"))
 
