@@ -62,6 +62,20 @@ def scan_extracts_for_periods(spark: SparkSession, root: str, periods: DataFrame
     return df.join(F.broadcast(periods.select("extract_period").distinct()), "extract_period", "left_semi")
 
 
+def unreadable_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
+    """Extract files that cannot be used: listed under ``root`` but giving no
+    readable rows (corrupt, truncated or holding no rows). A distributed
+    anti-join of the file listing (``binaryFile`` source, content not read)
+    against the files a tolerant read actually produced rows from — the
+    quarantine list that ``ignoreCorruptFiles`` alone would hide."""
+    listed = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
+              .option("recursiveFileLookup", "true").load(root).select("path", "length"))
+    readable = (spark.read.schema(DATA_POINT).option("ignoreCorruptFiles", "true")
+                .option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(root)
+                .select(F.col("_metadata.file_path").alias("path")).distinct())
+    return listed.join(readable, "path", "left_anti")
+
+
 def scan_extract_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """A2 for foreign, non-partitioned folders: all files matching ``glob``
     (e.g. ``*_extract_202401.parquet``) with the data point schema."""

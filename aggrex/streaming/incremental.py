@@ -21,9 +21,12 @@ from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.sources.io import EXTRACT_TABLE
 
 
-def extract_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None) -> DataFrame:
-    """New files of the partitioned extract table, with its fixed schema."""
-    r = spark.readStream.schema(EXTRACT_TABLE)
+def extract_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
+                   skip_unreadable: bool = True) -> DataFrame:
+    """New files of the partitioned extract table, with its fixed schema.
+    Unreadable files are skipped (the reference drops unreadable items);
+    ``sources.io.unreadable_files`` lists them for the quarantine."""
+    r = spark.readStream.schema(EXTRACT_TABLE).option("ignoreCorruptFiles", str(skip_unreadable).lower())
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(root)

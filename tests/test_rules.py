@@ -134,3 +134,20 @@ def test_unknown_types_are_set_aside(spark):
     assert sum(r["n_points"] for r in read_payloads(spark, out).collect()) == 1
     unknown = spark.read.parquet(os.path.join(out, "unknown_types")).collect()
     assert [r["data_type"] for r in unknown] == ["INDICATOR"]
+
+
+def test_unreadable_extract_files_are_listed_and_skipped(spark):
+    import glob
+    from aggrex.streaming.incremental import incremental_push, read_payloads
+    base = tempfile.mkdtemp(prefix="aggrex-t-")
+    root = os.path.join(base, "extracts")
+    df = _dp(spark, [("DATA_ELEMENT", "D", "202401", "O1", "C", "A", None, "AGGREGATED", "1")])
+    io.write_extract(df, root, "x", F.col("period"))
+    folder = glob.glob(os.path.join(root, "*", "*", "extract_period=202401"))[0]
+    with open(os.path.join(folder, "part-broken.parquet"), "wb") as fh:
+        fh.write(b"truncated upload")
+    bad = [r["path"] for r in io.unreadable_files(spark, root).collect()]
+    assert len(bad) == 1 and bad[0].endswith("part-broken.parquet")
+    q = incremental_push(spark, root, os.path.join(base, "out"), os.path.join(base, "ckpt"), lambda d: d, max_post=5)
+    q.awaitTermination()
+    assert sum(r["n_points"] for r in read_payloads(spark, os.path.join(base, "out")).collect()) == 1
