@@ -57,9 +57,10 @@ def scan_extracts_for_period(spark: SparkSession, root: str, period: str,
 def scan_extracts_for_periods(spark: SparkSession, root: str, periods: DataFrame) -> DataFrame:
     """A2 for many periods at once: ``periods`` is (extract_period). The join on
     the partition column lets dynamic partition pruning skip every folder whose
-    period is not requested; the period list is broadcast (period-sized)."""
+    period is not requested; the period list is broadcast behind a size check."""
+    from aggrex.operators.dims import sized_broadcast
     df = read_extract_table(spark, root)
-    return df.join(F.broadcast(periods.select("extract_period").distinct()), "extract_period", "left_semi")
+    return df.join(sized_broadcast(periods.select("extract_period").distinct()), "extract_period", "left_semi")
 
 
 def unreadable_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
