@@ -25,7 +25,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(SESSION_DEFAULTS)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf["spark.driver.memory"] = os.environ.get("AGGREX_DRIVER_MEMORY", "8g")
+    conf["spark.driver.memory"] = os.environ.get("AGGREX_DRIVER_MEMORY", "4g")
     conf.update(extra or {})
     for k, v in conf.items():
         builder = builder.config(k, v)
