@@ -137,9 +137,36 @@ FROM orders WHERE o_orderstatus = 'F'
 """)
 
 
+# Base tables each view reads.
+BASE_OF = {
+    "fx_pyramid_source": ["region", "nation", "customer"], "fx_pyramid_target": [],
+    "fx_data_values": ["orders"], "fx_analytics": ["events"], "fx_completions": ["orders"],
+    "fx_processed": ["orders"], "fx_import_reports": ["orders"], "fx_requested": ["orders"],
+    "fx_finished": ["orders"],
+}
+
+# (session, sf_dir) -> names registered in it; a different sf_dir replaces the views.
+_REGISTERED: dict[int, tuple[str, set]] = {}
+
+
+def _have(spark: SparkSession, sf_dir: str, name: str) -> bool:
+    cur = _REGISTERED.get(id(spark))
+    return bool(cur and cur[0] == sf_dir and name in cur[1] and spark.catalog.tableExists(name))
+
+
+def _mark(spark: SparkSession, sf_dir: str, name: str) -> None:
+    cur = _REGISTERED.get(id(spark))
+    if not cur or cur[0] != sf_dir:
+        cur = (sf_dir, set())
+        _REGISTERED[id(spark)] = cur
+    cur[1].add(name)
+
+
 def register_base_tables(spark: SparkSession, sf_dir: str, tables=BASE_TABLES) -> None:
     for t in tables:
-        spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+        if not _have(spark, sf_dir, t):
+            spark.read.parquet(f"{sf_dir}/{t}.parquet").createOrReplaceTempView(t)
+            _mark(spark, sf_dir, t)
 
 
 def _closure(names: list[str]) -> list[str]:
@@ -157,10 +184,14 @@ def _closure(names: list[str]) -> list[str]:
 
 
 def register(spark: SparkSession, sf_dir: str, names: list[str] | None = None) -> None:
-    """Register base tables and the requested fixture views (with deps)."""
-    register_base_tables(spark, sf_dir)
-    for n in _closure(names or list(VIEWS)):
-        spark.sql(f"CREATE OR REPLACE TEMP VIEW {n} AS {VIEWS[n][0]}")
+    """Register the requested fixture views (with their views and base tables);
+    what this session already has for ``sf_dir`` is not registered again."""
+    views = _closure(names or list(VIEWS))
+    register_base_tables(spark, sf_dir, sorted({t for v in views for t in BASE_OF[v]}))
+    for n in views:
+        if not _have(spark, sf_dir, n):
+            spark.sql(f"CREATE OR REPLACE TEMP VIEW {n} AS {VIEWS[n][0]}")
+            _mark(spark, sf_dir, n)
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

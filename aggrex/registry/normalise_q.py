@@ -348,6 +348,7 @@ SELECT src, id, v, {_NUM_SQL.format(v='v')} AS num FROM (
     FROM orders) c"""))
 def q_h9(spark, sf_dir):
     a = fixtures.view(spark, sf_dir, "fx_analytics")
+    fixtures.register_base_tables(spark, sf_dir, ["orders"])
     o = spark.table("orders")
     k = F.col("o_orderkey")
     c = (a.select(F.lit("rate").alias("src"), F.col("row_id").alias("id"), F.col("value").alias("v"))

@@ -125,6 +125,7 @@ def _setup(spark, sf_dir):
 
 def category_combos(spark, sf_dir):
     """Category combos from the tables: order status and order priority."""
+    fixtures.register_base_tables(spark, sf_dir, ["orders"])
     o = spark.table("orders")
 
     def combo(cid, name, col, prefix):
@@ -133,7 +134,6 @@ def category_combos(spark, sf_dir):
             F.concat(F.lit(prefix), F.col("v")).alias("id"), F.col("v").alias("displayName")))).alias(
             "categoryOptionCombos")).select(F.lit(cid).alias("id"), F.lit(name).alias("displayName"),
                                             "categoryOptionCombos")
-    fixtures.register_base_tables(spark, sf_dir)
     return combo("CC_STATUS", "Status", "o_orderstatus", "COC").unionByName(
         combo("CC_PRIORITY", "Priority", "o_orderpriority", "PRIO"))
 

@@ -151,3 +151,15 @@ def test_unreadable_extract_files_are_listed_and_skipped(spark):
     q = incremental_push(spark, root, os.path.join(base, "out"), os.path.join(base, "ckpt"), lambda d: d, max_post=5)
     q.awaitTermination()
     assert sum(r["n_points"] for r in read_payloads(spark, os.path.join(base, "out")).collect()) == 1
+
+
+def test_switching_scale_factor_in_one_session(spark):
+    import __spark_entry__ as entry
+    q = entry.queries()
+    small, mid = "/root/testdata/sf0.001", "/root/testdata/sf0.01"
+    n_small = spark.read.parquet(f"{small}/orders.parquet").count()
+    n_mid = spark.read.parquet(f"{mid}/orders.parquet").count()
+    assert q["b1_normalise_data_values"](spark, small).count() == n_small
+    assert q["b1_normalise_data_values"](spark, mid).count() == n_mid
+    assert q["h9_to_number_or_null"](spark, small).where("src = 'priority'").count() == n_small
+    assert q["b1_normalise_data_values"](spark, small).count() == n_small
