@@ -108,3 +108,31 @@ def test_month_validation_follows_the_reference(spark):
     assert strict == [True, False, False, False, False]
     b = spark.createDataFrame([("202401", "202402"), ("202403", "202402"), (None, "202402")], "s string, e string")
     assert [r[0] for r in b.select(P.month_bounds_ok("s", "e")).collect()] == [True, False, True]
+
+
+def test_invariants_on_fixture_tables(spark):
+    """SURVEY §5 invariants on the sf0.001 fixture views."""
+    from aggrex import fixtures
+    from aggrex.operators.align import org_units_matching, org_units_to_create
+    from aggrex.operators.normalise import merge_extracts, normalise_data_values
+    sf = "/root/testdata/sf0.001"
+    fixtures.register(spark, sf, ["fx_data_values", "fx_pyramid_target"])
+    dv = normalise_data_values(spark.table("fx_data_values"), carry=["row_id"])
+    # The three classes partition the input.
+    c = classify_data_points(dv)
+    assert c.count() == dv.count()
+    assert c.groupBy("class").count().agg(F.sum("count")).first()[0] == dv.count()
+    assert c.where(F.col("class").isNull()).count() == 0
+    # Units to create and matching units together are the source ids.
+    src, tgt = spark.table("fx_pyramid_source"), spark.table("fx_pyramid_target")
+    ids = {r[0] for r in org_units_to_create(src, tgt).select("id").collect()} | \
+          {r[0] for r in org_units_matching(src, tgt, order_col="k").select("id").collect()}
+    assert ids == {r[0] for r in src.select("id").collect()}
+    # Merging is idempotent (merging the merged months again changes nothing).
+    months = dv.select(F.col("period").alias("month")).distinct()
+    ex = dv.drop("row_id").withColumn("extract_period", F.col("period"))
+    once = merge_extracts(ex, months)
+    again = merge_extracts(once.drop("merge_month").withColumn("extract_period", F.col("period")), months)
+    def key(r):
+        return tuple("" if x is None else str(x) for x in r)
+    assert sorted(map(tuple, once.collect()), key=key) == sorted(map(tuple, again.collect()), key=key)
