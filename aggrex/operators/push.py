@@ -97,15 +97,20 @@ def global_positions(df: DataFrame, order: list, group_cols: list[str] = (),
     ``monotonically_increasing_id`` gives each row its partition index and its
     index within the sorted partition; per-partition counts (one row per
     partition) turn those into global positions. Ties in ``order`` must only
-    occur between identical rows. The numbered data is checkpointed so that the
+    occur between rows whose relative order does not matter (identical
+    payloads); a row ordinal breaks them so that even a third of the rows
+    being one key spreads over many partitions. The numbered data is checkpointed so that the
     counts and the rows come from the same materialisation (a recomputed sort
     could be coalesced differently by AQE) and lineage is cut.
     """
-    numbered = (df.orderBy(*_order(order))
+    # A row ordinal closes the order: range partitioning cannot split equal
+    # keys, so without it a group of identical copies would land in one task.
+    df = df.withColumn("_tie", F.monotonically_increasing_id())
+    numbered = (df.orderBy(*_order([*order, "_tie"]))
                   .withColumn("_mid", F.monotonically_increasing_id())
                   .withColumn("_pid", F.shiftright("_mid", _LOCAL_BITS))
                   .withColumn("_loc", F.col("_mid").bitwiseAND(F.lit((1 << _LOCAL_BITS) - 1)))
-                  .drop("_mid"))
+                  .drop("_mid", "_tie"))
     if checkpoint:
         numbered = numbered.checkpoint(eager=True)
     # One count per partition (bounded by the partition count, not the data),

@@ -158,7 +158,7 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
     the change feed for K3.
 
     The write shuffle is a range partitioning on (partition columns, row
-    hash): Spark samples the data, so a hot period is split over as many
+    ordinal): Spark samples the data, so a hot period is split over as many
     writer tasks as its size needs while each task still writes into few
     partition folders. ``files_per_partition`` instead hash-spreads each
     partition over exactly that many tasks (small, predictable file counts).
@@ -178,7 +178,9 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
             salt = F.pmod(F.xxhash64(*DATA_POINT_COLUMNS), F.lit(files_per_partition))
             spread = out.repartition(*EXTRACT_PARTITIONS, salt)
         else:
-            spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.xxhash64(*DATA_POINT_COLUMNS))
+            # The row ordinal (not a content hash) closes the key, so even
+            # identical copies spread over writer tasks.
+            spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.monotonically_increasing_id())
         spread.write.mode("overwrite").partitionBy(*EXTRACT_PARTITIONS).parquet(root)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)

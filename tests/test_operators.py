@@ -136,3 +136,19 @@ def test_invariants_on_fixture_tables(spark):
     def key(r):
         return tuple("" if x is None else str(x) for x in r)
     assert sorted(map(tuple, once.collect()), key=key) == sorted(map(tuple, again.collect()), key=key)
+
+
+def test_identical_copies_spread_over_range_partitions(spark):
+    rows = [("SAME", 0)] * 1000 + [(f"O{i:05d}", i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "org_unit string, v long").repartition(8)
+    out = global_positions(df, ["org_unit", "v"]).orderBy("_pos").collect()
+    assert [r["_pos"] for r in out] == list(range(3000))
+    # Tiny test data would be coalesced into one partition by AQE; measure
+    # the range partitioning itself.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        sizes = (df.withColumn("_tie", F.monotonically_increasing_id()).orderBy("org_unit", "v", "_tie")
+                   .groupBy(F.spark_partition_id().alias("p")).count().collect())
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(sizes) > 2 and max(r["count"] for r in sizes) < 1000
