@@ -115,6 +115,14 @@ def update_payloads(updates: DataFrame, keep_geometry: bool = True) -> DataFrame
     return updates.select(F.lit("UPDATE").alias("action"), "id", F.col("level"), body.alias("payload"))
 
 
+def ordered_for_sending(payloads: DataFrame) -> DataFrame:
+    """J3 send order: creates before updates, and parents before children
+    (ascending level), id as the tie-break — a global range-partitioned sort,
+    so a sink writing the result sequentially never sends a child first."""
+    action_rank = F.when(F.col("action") == "CREATE", F.lit(0)).otherwise(F.lit(1))
+    return payloads.orderBy(action_rank, F.col("level").asc_nulls_first(), F.col("id"))
+
+
 def import_status(responses: DataFrame) -> DataFrame:
     """Per org unit request (action, id, body): the response status and
     whether it counts as success — second generation SUCCESS / OK only, first

@@ -163,3 +163,16 @@ def test_switching_scale_factor_in_one_session(spark):
     assert q["b1_normalise_data_values"](spark, mid).count() == n_mid
     assert q["h9_to_number_or_null"](spark, small).where("src = 'priority'").count() == n_small
     assert q["b1_normalise_data_values"](spark, small).count() == n_small
+
+
+def test_org_unit_payloads_send_parents_first(spark):
+    from aggrex.operators.align import create_payloads, ordered_for_sending
+    units = spark.createDataFrame([
+        ("C1", "c", "c", "2001-01-01", None, "N1", 4, None), ("N1", "n", "n", "2001-01-01", None, "R1", 3, None),
+        ("R1", "r", "r", "2001-01-01", None, "ROOT", 2, '{"type":"Point","coordinates":[1,2]}')],
+        "id string, name string, shortName string, openingDate string, closedDate string, parent_id string, "
+        "level int, geometry string")
+    out = ordered_for_sending(create_payloads(units)).collect()
+    assert [r["id"] for r in out] == ["R1", "N1", "C1"]
+    assert out[0]["payload"] == ('{"id":"R1","name":"r","shortName":"r","openingDate":"2001-01-01",'
+                                 '"parent":{"id":"ROOT"},"geometry":{"type":"Point","coordinates":[1,2]}}')
