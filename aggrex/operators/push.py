@@ -126,9 +126,14 @@ def global_positions(df: DataFrame, order: list, group_cols: list[str] = (),
     out = numbered.join(F.broadcast(off), "_pid").withColumn("_gpos", F.col("_off") + F.col("_loc"))
     out = out.drop("_pid", "_loc", "_off")
     if group_cols:
-        firsts = sized_broadcast(out.groupBy(*group_cols).agg(F.min("_gpos").alias("_first")))
-        out = (out.join(firsts, [*group_cols], "inner")
-                  .withColumn("_pos", F.col("_gpos") - F.col("_first")).drop("_first"))
+        # First position of every group; joined null-safely so that a group
+        # whose key is NULL keeps its rows.
+        firsts = sized_broadcast(out.groupBy(*group_cols).agg(F.min("_gpos").alias("_first"))
+                                 .select(*[F.col(c).alias(f"_g_{c}") for c in group_cols], "_first"))
+        cond = [F.col(c).eqNullSafe(F.col(f"_g_{c}")) for c in group_cols]
+        out = (out.join(firsts, cond, "inner")
+                  .withColumn("_pos", F.col("_gpos") - F.col("_first"))
+                  .drop("_first", *[f"_g_{c}" for c in group_cols]))
         return out.drop("_gpos")
     return out.withColumnRenamed("_gpos", "_pos")
 

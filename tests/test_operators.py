@@ -152,3 +152,9 @@ def test_identical_copies_spread_over_range_partitions(spark):
     finally:
         spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
     assert len(sizes) > 2 and max(r["count"] for r in sizes) < 1000
+
+
+def test_positions_keep_rows_with_null_group_keys(spark):
+    df = spark.createDataFrame([(None, "a"), (None, "b"), ("g", "c")], "grp string, v string")
+    out = [(r["grp"], r["v"], r["_pos"]) for r in global_positions(df, ["grp", "v"], group_cols=["grp"]).collect()]
+    assert sorted(out, key=lambda x: (x[0] or "", x[1])) == [(None, "a", 0), (None, "b", 1), ("g", "c", 0)]
