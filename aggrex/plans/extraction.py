@@ -108,6 +108,18 @@ def skip_existing(plan: DataFrame, existing: DataFrame, overwrite: bool = False)
     return todo.where(F.col("frequency") != "yearly").unionByName(once)
 
 
+def require_known_combos(unknown: DataFrame, allow_unfiltered: bool = False) -> None:
+    """A5 / B4 guard: an item whose category combo does not exist would end up
+    with an empty option-combo list, i.e. no filter at all (the reference
+    lets that through silently). Refuse unless ``allow_unfiltered``.
+    ``unknown`` is configuration-sized; only a few names go into the message."""
+    if allow_unfiltered:
+        return
+    names = [r[0] for r in unknown.select("cat_combo").take(20)]
+    if names:
+        raise ValueError(f"unknown category combos (would disable the option combo filter): {names}")
+
+
 def expand_category_combos(items: DataFrame, combo_bridge: DataFrame) -> DataFrame:
     """C14: (item_pos, coc) — the listed option combos plus every option combo
     of the item's category combos (A5 bridge), distinct."""

@@ -84,7 +84,8 @@ def q_k3(spark, sf_dir):
     second = io.write_extract(dv.where(F.col("period") >= "1997"), root, "dsA", F.col("period"))
     yearly = io.write_extract(dv.withColumn("period", F.substring("period", 1, 4)), root, "dsY",
                               F.col("period"))
-    return changed_months(first.unionByName(second).unionByName(yearly))
+    months = dv.select(F.col("period").alias("month")).distinct()
+    return changed_months(first.unionByName(second).unionByName(yearly), run_months=months)
 
 
 @query("k5_pending_batches", fixtures.with_views(["fx_requested", "fx_finished"], """

@@ -84,11 +84,18 @@ def read_payloads(spark: SparkSession, out_root: str) -> DataFrame:
     return spark.read.parquet(f"{out_root}/payloads")
 
 
-def changed_months(written_partitions: DataFrame) -> DataFrame:
-    """K3: months to (re)queue: every month whose extracts were written — a
-    yearly partition queues nothing by itself (its months queue when merged)."""
+def changed_months(written_partitions: DataFrame, run_months: DataFrame | None = None) -> DataFrame:
+    """K3: months to (re)queue: every month whose extracts were written. A
+    rewritten yearly partition re-queues the run's months of that year
+    (``run_months``: (month), period-sized, broadcast behind a size check)."""
     p = F.col("extract_period")
-    return (written_partitions.where(F.length(p) == 6).select(p.alias("unit")).distinct())
+    monthly = written_partitions.where(F.length(p) == 6).select(p.alias("unit"))
+    if run_months is None:
+        return monthly.distinct()
+    months = sized_broadcast(run_months.select(F.col("month").alias("unit")).distinct())
+    years = written_partitions.where(F.length(p) == 4).select(p.alias("_year")).distinct()
+    yearly = years.join(months, F.col("_year") == F.substring("unit", 1, 4)).select("unit")
+    return monthly.unionByName(yearly).distinct()
 
 
 def pending_batches(requested: DataFrame, finished: DataFrame) -> DataFrame:

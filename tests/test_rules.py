@@ -176,3 +176,21 @@ def test_org_unit_payloads_send_parents_first(spark):
     assert [r["id"] for r in out] == ["R1", "N1", "C1"]
     assert out[0]["payload"] == ('{"id":"R1","name":"r","shortName":"r","openingDate":"2001-01-01",'
                                  '"parent":{"id":"ROOT"},"geometry":{"type":"Point","coordinates":[1,2]}}')
+
+
+def test_unknown_category_combos_are_refused(spark):
+    from aggrex.plans.extraction import require_known_combos
+    unknown = spark.createDataFrame([("CC_GONE",)], "cat_combo string")
+    with pytest.raises(ValueError):
+        require_known_combos(unknown)
+    require_known_combos(unknown, allow_unfiltered=True)
+    require_known_combos(unknown.where("false"))
+
+
+def test_yearly_rewrite_requeues_the_runs_months_of_that_year(spark):
+    from aggrex.streaming.incremental import changed_months
+    written = spark.createDataFrame([("DATA_ELEMENT", "y", "2024"), ("DATA_ELEMENT", "m", "202503")],
+                                    "data_type string, extract_id string, extract_period string")
+    run = spark.createDataFrame([("202401",), ("202402",), ("202503",)], "month string")
+    assert sorted(r["unit"] for r in changed_months(written, run).collect()) == ["202401", "202402", "202503"]
+    assert sorted(r["unit"] for r in changed_months(written).collect()) == ["202503"]
