@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aggrex.functions.periods import periods_for_frequency
+from aggrex.functions.periods import extract_periods, periods_for_frequency
 from aggrex.operators.dims import sized_broadcast
 
 
@@ -80,6 +80,23 @@ def rejected_rate_items(rate_items: DataFrame) -> DataFrame:
     return rate_items.withColumn("reason", reason).where(F.col("reason").isNotNull())
 
 
+def rate_extraction_plan(rate_items: DataFrame, as_of) -> DataFrame:
+    """B10, second generation: every valid rate extract x its periods (H7:
+    explicit start / end, else ``period_window`` periods back from ``as_of``,
+    at the extract's own frequency) x its metrics, as
+    (extract_uid, dataset_uid, metric, rate_key, period). Rejected items (see
+    ``rejected_rate_items``) are left out. Configuration-sized."""
+    valid = rate_items.where(F.col("extract_uid").isNotNull() & F.col("dataset_uid").isNotNull()
+                             & (F.size(F.coalesce("metrics", F.array())) > 0))
+    periods = extract_periods("period_start", "period_end", F.coalesce("period_window", F.lit(3)),
+                              F.col("period_frequency"), as_of)
+    return (valid.select("extract_uid", "dataset_uid", F.explode("metrics").alias("metric"),
+                         periods.alias("_periods"))
+                 .select("extract_uid", "dataset_uid", "metric",
+                         F.concat_ws(".", "dataset_uid", "metric").alias("rate_key"),
+                         F.explode("_periods").alias("period")))
+
+
 def extraction_plan(items: DataFrame, months: DataFrame) -> DataFrame:
     """(item_pos, item_name, frequency, month, period) units. ``months``
     is (item_pos, month) — the months each item is asked for; each month

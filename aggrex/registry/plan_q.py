@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from aggrex import fixtures
 from aggrex.operators.dims import config_dim
 from aggrex.plans.extraction import (expand_category_combos, extraction_plan, item_data_elements, item_names,
-                                     rate_keys, rejected_rate_items, scope_data, scope_org_units,
-                                     skip_existing)
+                                     rate_extraction_plan, rate_keys, rejected_rate_items, scope_data,
+                                     scope_org_units, skip_existing)
 from aggrex.registry import query
 from aggrex.schemas import EXTRACT_ITEM, RATE_ITEM
 from aggrex.session import checkpoint_dir
@@ -259,3 +259,27 @@ def q_c14(spark, sf_dir):
     counts = fixtures.view(spark, sf_dir, "fx_data_values").groupBy(
         F.col("categoryOptionCombo").alias("coc")).agg(F.count(F.lit(1)).alias("n_rows"))
     return cocs.join(counts, "coc", "left").select("item_pos", "coc", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
+
+
+@query("b10_rate_extraction_plan", fixtures.with_views(["fx_analytics"], """
+SELECT p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period, count(a.row_id) AS n_cells
+FROM plan_r p LEFT JOIN fx_analytics a ON a.dx = p.rate_key AND a.pe = p.period
+GROUP BY p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period""", [
+    ("run_day", "SELECT CAST(max(ts) AS DATE) AS d FROM events"),
+    ("rkeys", """SELECT * FROM (VALUES ('EXA', 'DS0', 'REPORTING_RATE'), ('EXA', 'DS0', 'REPORTING_RATE_ON_TIME'),
+                 ('EXB', 'DS3', 'EXPECTED_REPORTS')) AS k(extract_uid, dataset_uid, metric)"""),
+    ("rperiods", """SELECT strftime(date_trunc('month', d) - to_months(CAST(n AS INTEGER)), '%Y%m') AS period
+                    FROM run_day, (SELECT unnest(range(4)) AS n) r"""),
+    ("plan_r", """SELECT k.extract_uid, k.dataset_uid, k.metric, k.dataset_uid || '.' || k.metric AS rate_key, p.period
+                  FROM rkeys k JOIN rperiods p ON true""")]))
+def q_b10_rates(spark, sf_dir):
+    """The second-generation rate plan as of the latest event, with the number
+    of analytics cells available for each planned (rate key, period)."""
+    cells = fixtures.view(spark, sf_dir, "fx_analytics").groupBy(
+        F.col("dx").alias("rate_key"), F.col("pe").alias("period")).agg(F.count(F.lit(1)).alias("n_cells"))
+    fixtures.register_base_tables(spark, sf_dir, ["events"])
+    as_of = spark.table("events").agg(F.max("ts").cast("date")).first()[0]  # one value: the run's "now"
+    plan = rate_extraction_plan(config_dim(spark, RATE_ITEMS, RATE_ITEM), F.lit(as_of))
+    return (plan.join(cells, ["rate_key", "period"], "left")
+                .select("extract_uid", "dataset_uid", "metric", "rate_key", "period",
+                        F.coalesce("n_cells", F.lit(0)).alias("n_cells")))
