@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from aggrex.functions.periods import extract_periods, periods_for_frequency
+from aggrex.functions.periods import extract_periods, month_range, periods_for_frequency
 from aggrex.operators.dims import sized_broadcast
 
 
@@ -97,6 +97,22 @@ def rate_extraction_plan(rate_items: DataFrame, as_of) -> DataFrame:
                          F.explode("_periods").alias("period")))
 
 
+def rate_month_plan(rate_items: DataFrame, start, end) -> DataFrame:
+    """B10, first generation: every rate item with a dataset and metrics x
+    the months start..end (H1) x the periods its FREQUENCY covers in each
+    month (H5; a yearly item asks for the year, not the month) x its metrics.
+    The months come from an expression, so nothing is crossed."""
+    valid = rate_items.where(F.col("dataset_uid").isNotNull() & (F.size(F.coalesce("metrics", F.array())) > 0))
+    s = start if not isinstance(start, str) else F.lit(start)
+    e = end if not isinstance(end, str) else F.lit(end)
+    months = valid.select("dataset_uid", "metrics", F.lower(F.coalesce("period_frequency", F.lit("monthly")))
+                          .alias("frequency"), F.explode(month_range(s, e)).alias("month"))
+    units = months.select("dataset_uid", "metrics", "frequency", "month",
+                          F.explode(periods_for_frequency(F.col("frequency"), F.col("month"))).alias("period"))
+    return (units.select("dataset_uid", "frequency", "month", "period", F.explode("metrics").alias("metric"))
+                 .withColumn("rate_key", F.concat_ws(".", "dataset_uid", "metric")))
+
+
 def extraction_plan(items: DataFrame, months: DataFrame) -> DataFrame:
     """(item_pos, item_name, frequency, month, period) units. ``months``
     is (item_pos, month) — the months each item is asked for; each month

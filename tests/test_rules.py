@@ -194,3 +194,16 @@ def test_yearly_rewrite_requeues_the_runs_months_of_that_year(spark):
     run = spark.createDataFrame([("202401",), ("202402",), ("202503",)], "month string")
     assert sorted(r["unit"] for r in changed_months(written, run).collect()) == ["202401", "202402", "202503"]
     assert sorted(r["unit"] for r in changed_months(written).collect()) == ["202503"]
+
+
+def test_first_generation_rate_plan_honours_frequency(spark):
+    from aggrex.plans.extraction import rate_month_plan
+    from aggrex.schemas import RATE_ITEM
+    from aggrex.sources.config import rate_item_rows
+    cfg = {"RATE_UIDS": {"DSM": {"METRICS": {"REPORTING_RATE": "float"}, "FREQUENCY": "Monthly"},
+                         "DSY": {"METRICS": ["ACTUAL_REPORTS"], "FREQUENCY": "Yearly"}}}
+    items = spark.createDataFrame(rate_item_rows(cfg), RATE_ITEM)
+    got = sorted((r["rate_key"], r["month"], r["period"]) for r in rate_month_plan(items, "202411", "202501").collect())
+    assert got == [("DSM.REPORTING_RATE", "202411", "202411"), ("DSM.REPORTING_RATE", "202412", "202412"),
+                   ("DSM.REPORTING_RATE", "202501", "202501"), ("DSY.ACTUAL_REPORTS", "202411", "2024"),
+                   ("DSY.ACTUAL_REPORTS", "202412", "2024"), ("DSY.ACTUAL_REPORTS", "202501", "2025")]
