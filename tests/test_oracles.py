@@ -18,10 +18,8 @@ def test_query_matches_oracle(spark, duck, name):
     assert rows(got) == rows(want)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
-def test_query_without_oracle_runs(spark, name):
-    df = QUERIES[name](spark, SMALL)
-    assert df.count() >= 0
+def test_every_query_has_an_oracle():
+    assert sorted(QUERIES) == sorted(ORACLE)
 
 
 def test_entry(spark):
