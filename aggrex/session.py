@@ -35,6 +35,35 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     return spark
 
 
+def scale_settings(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings sized for the input: scan splits and shuffle partitions of about
+    ``target_partition_bytes`` (so a task's share fits executor memory and
+    spills stay small), AQE coalescing toward the same size, and skew
+    splitting for partitions several times the median. For 100 TB at 256 MB
+    that is ~400k shuffle partitions; AQE merges them when the data shrinks
+    after filters and aggregations."""
+    n = max(200, -(-int(input_bytes) // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.shuffle.partitions": str(n),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_scale_settings(spark: SparkSession, input_bytes: int, **kw) -> dict[str, str]:
+    """Set ``scale_settings`` on a running session (all are runtime SQL confs)."""
+    conf = scale_settings(input_bytes, **kw)
+    for k, v in conf.items():
+        spark.conf.set(k, v)
+    return conf
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 

@@ -207,3 +207,10 @@ def test_first_generation_rate_plan_honours_frequency(spark):
     assert got == [("DSM.REPORTING_RATE", "202411", "202411"), ("DSM.REPORTING_RATE", "202412", "202412"),
                    ("DSM.REPORTING_RATE", "202501", "202501"), ("DSY.ACTUAL_REPORTS", "202411", "2024"),
                    ("DSY.ACTUAL_REPORTS", "202412", "2024"), ("DSY.ACTUAL_REPORTS", "202501", "2025")]
+
+
+def test_scale_settings_size_partitions_from_the_input():
+    from aggrex.session import scale_settings
+    big = scale_settings(100 * 1024 ** 4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 << 20)
+    assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
