@@ -28,6 +28,12 @@ def load_configuration(path_or_text: str) -> dict:
     return json.loads(text)
 
 
+def rate_extracts(config: dict) -> list[dict]:
+    """Second-generation rate extracts: ``REPORTING_RATES.EXTRACTS``."""
+    section = config.get("REPORTING_RATES") or {}
+    return list(section.get("EXTRACTS") or []) if isinstance(section, dict) else []
+
+
 def uid_mapping_rows(config: dict) -> tuple[list[tuple], dict[str, str]]:
     """DATA_ELEMENT_MAPPINGS -> (field, old_uid, new_uid) rows and defaults."""
     m = config.get("DATA_ELEMENT_MAPPINGS", {}) or {}
@@ -52,7 +58,7 @@ def rate_mapping_rows(config: dict) -> list[tuple]:
     for ds, m in (config.get("RATE_MAPPINGS") or {}).items():
         rows.append((None, ds, m.get("RATE_TYPE"), m.get("UID"), m.get("CAT_OPTION_COMBO"),
                      m.get("ATTR_OPTION_COMBO")))
-    for ex in config.get("REPORTING_RATES_EXTRACTS", config.get("EXTRACTS", [])) or []:
+    for ex in rate_extracts(config):
         for ds, metrics in (ex.get("MAPPINGS") or {}).items():
             for metric, m in metrics.items():
                 rows.append((ex.get("EXTRACT_UID"), ds, metric, m.get("UID"), m.get("CAT_OPTION_COMBO"),
@@ -79,7 +85,7 @@ def rate_item_rows(config: dict) -> list[tuple]:
         metrics = spec.get("METRICS") or {}
         names = list(metrics.keys()) if isinstance(metrics, dict) else list(metrics)
         out.append((None, ds, names, None, spec.get("FREQUENCY"), None, None))
-    for ex in config.get("REPORTING_RATES_EXTRACTS", config.get("EXTRACTS", [])) or []:
+    for ex in rate_extracts(config):
         metrics = ex.get("METRICS") or []
         names = list(metrics.keys()) if isinstance(metrics, dict) else list(metrics)
         out.append((ex.get("EXTRACT_UID"), ex.get("DATASET_UID"), names, ex.get("PERIOD_WINDOW", 3),
@@ -90,7 +96,11 @@ def rate_item_rows(config: dict) -> list[tuple]:
 def config_dimensions(spark: SparkSession, config: dict) -> dict[str, DataFrame | dict]:
     """All dimensions of a configuration."""
     uid_rows, defaults = uid_mapping_rows(config)
+    settings = {}
+    for section in ("EXTRACT_SETTINGS", "PUSH_SETTINGS", "SETTINGS"):
+        settings.update(config.get(section) or {})
     return {
+        "settings": settings,
         "uid_mapping": config_dim(spark, uid_rows, UID_MAPPING),
         "uid_defaults": defaults,
         "rate_mapping": config_dim(spark, rate_mapping_rows(config), RATE_MAPPING),

@@ -214,3 +214,20 @@ def test_scale_settings_size_partitions_from_the_input():
     big = scale_settings(100 * 1024 ** 4)
     assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024 ** 4 // (256 << 20)
     assert scale_settings(10)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_second_generation_configuration(spark):
+    from aggrex.sources import config as cfg
+    conf = cfg.load_configuration("""{
+      "SETTINGS": {"MAX_POST": 500},
+      "REPORTING_RATES": {"EXTRACTS": [
+        {"EXTRACT_UID": "E1", "DATASET_UID": "DS1", "METRICS": ["REPORTING_RATE"], "PERIOD_WINDOW": 3,
+         "PERIOD_FREQUENCY": "MONTHLY",
+         "MAPPINGS": {"DS1": {"REPORTING_RATE": {"UID": "T1", "CAT_OPTION_COMBO": "c", "ATTR_OPTION_COMBO": "a"}}}}
+      ]}}""")
+    dims = cfg.config_dimensions(spark, conf)
+    assert dims["settings"]["MAX_POST"] == 500
+    assert [tuple(r) for r in dims["rate_mapping"].collect()] == [("E1", "DS1", "REPORTING_RATE", "T1", "c", "a")]
+    items = dims["rate_items"].collect()
+    assert [(r["extract_uid"], r["dataset_uid"], r["metrics"], r["period_window"]) for r in items] == \
+        [("E1", "DS1", ["REPORTING_RATE"], 3)]
