@@ -113,9 +113,28 @@ def pending_batches(requested: DataFrame, finished: DataFrame) -> DataFrame:
                                         F.max("last_finished").alias("last_finished"))
 
 
+def _at(at):
+    return at if not isinstance(at, str) else F.lit(at).cast("timestamp")
+
+
 def reopen_units(units: DataFrame, at) -> DataFrame:
-    """K5: re-open units by hand (e.g. a month range from H1): the rows to
-    append to the ``requested`` log so the units are pending again."""
-    at_col = at if not isinstance(at, str) else F.lit(at).cast("timestamp")
-    return units.select(F.col("unit"), at_col.alias("requested_at"))
+    """K5 enqueue / re-open by hand (e.g. a month range from H1): the rows to
+    append to the ``requested`` log so the units are pending (again)."""
+    return units.select(F.col("unit"), _at(at).alias("requested_at"))
+
+
+request_units = reopen_units
+
+
+def finish_units(units: DataFrame, at) -> DataFrame:
+    """K5 dequeue: the rows to append to the ``finished`` log once a unit has
+    been pushed successfully."""
+    return units.select(F.col("unit"), _at(at).alias("finished_at"))
+
+
+def next_pending(pending: DataFrame) -> DataFrame:
+    """K5 peek: the pending unit requested first (FIFO), as one row — an
+    aggregate, not a sort of the pending set."""
+    return pending.agg(F.min_by("unit", F.struct("open_since", "unit")).alias("unit"),
+                       F.min("open_since").alias("open_since"), F.count(F.lit(1)).alias("n_pending"))
 

@@ -231,3 +231,17 @@ def test_second_generation_configuration(spark):
     items = dims["rate_items"].collect()
     assert [(r["extract_uid"], r["dataset_uid"], r["metrics"], r["period_window"]) for r in items] == \
         [("E1", "DS1", ["REPORTING_RATE"], 3)]
+
+
+def test_work_ledger_queue_operations(spark):
+    from aggrex.streaming.incremental import finish_units, next_pending, request_units
+    empty_req = spark.createDataFrame([], "unit string, requested_at timestamp")
+    empty_fin = spark.createDataFrame([], "unit string, finished_at timestamp")
+    u = spark.createDataFrame([("202402",), ("202401",)], "unit string")
+    req = empty_req.unionByName(request_units(u.where("unit = '202402'"), "2024-03-01 00:00:00")) \
+        .unionByName(request_units(u.where("unit = '202401'"), "2024-03-02 00:00:00"))
+    head = next_pending(pending_batches(req, empty_fin)).first()
+    assert (head["unit"], head["n_pending"]) == ("202402", 2)  # first requested first
+    fin = empty_fin.unionByName(finish_units(u.where("unit = '202402'"), "2024-03-03 00:00:00"))
+    head = next_pending(pending_batches(req, fin)).first()
+    assert (head["unit"], head["n_pending"]) == ("202401", 1)
