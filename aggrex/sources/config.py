@@ -19,6 +19,25 @@ MAPPING_SECTIONS = {"CAT_OPTION_COMBOS": "category_option_combo",
                     "ATTR_OPTION_COMBOS": "attribute_option_combo"}
 
 
+# Accepted import strategies.
+IMPORT_STRATEGIES = ["CREATE", "UPDATE", "CREATE_AND_UPDATE"]
+
+
+def validate_push_settings(settings: dict, default_max_post: int = 500) -> dict:
+    """Check the push settings before anything is sent: a known import
+    strategy, a positive batch size, a boolean dry-run flag (dry run by
+    default). Returns the settings with defaults filled in."""
+    out = {"IMPORT_STRATEGY": "CREATE_AND_UPDATE", "DRY_RUN": True, "MAX_POST": default_max_post}
+    out.update({k: v for k, v in settings.items() if v is not None})
+    if out["IMPORT_STRATEGY"] not in IMPORT_STRATEGIES:
+        raise ValueError(f"invalid import strategy {out['IMPORT_STRATEGY']!r}; use one of {IMPORT_STRATEGIES}")
+    if not isinstance(out["MAX_POST"], int) or isinstance(out["MAX_POST"], bool) or out["MAX_POST"] < 1:
+        raise ValueError(f"MAX_POST must be a positive integer, got {out['MAX_POST']!r}")
+    if not isinstance(out["DRY_RUN"], bool):
+        raise ValueError(f"DRY_RUN must be true or false, got {out['DRY_RUN']!r}")
+    return out
+
+
 def load_configuration(path_or_text: str) -> dict:
     """Parse a configuration file (or its text)."""
     text = path_or_text

@@ -245,3 +245,12 @@ def test_work_ledger_queue_operations(spark):
     fin = empty_fin.unionByName(finish_units(u.where("unit = '202402'"), "2024-03-03 00:00:00"))
     head = next_pending(pending_batches(req, fin)).first()
     assert (head["unit"], head["n_pending"]) == ("202401", 1)
+
+
+def test_push_settings_are_checked():
+    from aggrex.sources.config import validate_push_settings
+    assert validate_push_settings({}) == {"IMPORT_STRATEGY": "CREATE_AND_UPDATE", "DRY_RUN": True, "MAX_POST": 500}
+    assert validate_push_settings({"MAX_POST": 5000, "DRY_RUN": False})["MAX_POST"] == 5000
+    for bad in ({"IMPORT_STRATEGY": "DELETE"}, {"MAX_POST": 0}, {"MAX_POST": "10"}, {"DRY_RUN": "yes"}):
+        with pytest.raises(ValueError):
+            validate_push_settings(bad)
