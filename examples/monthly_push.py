@@ -60,12 +60,13 @@ def main() -> None:
     # 3. remap through the configuration
     config = cfg.load_configuration(CONFIG)
     dims = cfg.config_dimensions(spark, config)
+    settings = cfg.validate_push_settings(dims["settings"])
     mapped = uid_mapper(dims["uid_mapping"], dims["uid_defaults"])(merged)
 
     # 4. classify, batch, write payloads
     classified = classify_data_points(mapped)
     class_counts(classified, by=["merge_month"]).orderBy("merge_month", "class").show(6)
-    batches = payload_batches(classified, max_post=config["PUSH_SETTINGS"]["MAX_POST"],
+    batches = payload_batches(classified, max_post=settings["MAX_POST"],
                               group_cols=["merge_month"])
     io.write_payloads(batches, f"{out}/payloads")
     print("payload batches:", spark.read.parquet(f"{out}/payloads").count())
