@@ -72,14 +72,26 @@ def completion_payload(status: DataFrame, dataset_pairs: DataFrame) -> DataFrame
                     F.to_json(F.struct(F.array(reg).alias("completeDataSetRegistrations"))).alias("payload"))
 
 
-def completion_summary(outcomes: DataFrame, by: list[str] = (), fetch_errors: DataFrame | None = None) -> DataFrame:
-    """Import counts and push errors summed (plus fetch errors when given)."""
+def split_fetch_errors(registrations: DataFrame, corrupt_column: str = "_corrupt_record"
+                       ) -> tuple[DataFrame, DataFrame]:
+    """(registrations, failed fetches): lines of a completions dump that were
+    not valid JSON are the fetches that failed (read with ``corrupt_column``)."""
+    ok = registrations.where(F.col(corrupt_column).isNull()).drop(corrupt_column)
+    # Referencing another column besides the corrupt one keeps the read legal.
+    failed = registrations.where(F.col(corrupt_column).isNotNull() & F.col("dataSet").isNull()) \
+        .select(corrupt_column)
+    return ok, failed
+
+
+def completion_summary(outcomes: DataFrame, by: list[str] = (), fetch_errors: int | None = None) -> DataFrame:
+    """Import counts and push errors summed, plus the number of failed
+    fetches when given (one number for the run)."""
     agg = outcomes.groupBy(*by).agg(
         *[F.sum(k).alias(k) for k in COUNT_KEYS], F.sum("push_errors").alias("push_errors"),
         F.count(F.lit(1)).alias("n_responses"),
         F.count_if(F.col("outcome") == "ok").alias("n_ok"))
     if fetch_errors is not None:
-        agg = agg.join(fetch_errors, list(by), "left").fillna(0, ["fetch_errors"])
+        agg = agg.withColumn("fetch_errors", F.lit(int(fetch_errors)).cast("bigint"))
     return agg
 
 

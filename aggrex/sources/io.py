@@ -143,8 +143,14 @@ def scan_analytics(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
     return rename_analytics(_reader(spark, ANALYTICS, fmt).load(path))
 
 
-def scan_completions(spark: SparkSession, path: str, fmt: str = "json", schema=COMPLETION) -> DataFrame:
-    """A8 input: dataset completion registrations."""
+def scan_completions(spark: SparkSession, path: str, fmt: str = "json", schema=COMPLETION,
+                     corrupt_column: str | None = None) -> DataFrame:
+    """A8 input: dataset completion registrations. With ``corrupt_column``,
+    lines that are not valid JSON (failed fetches) are kept with their raw
+    text in that column instead of being read as all-NULL rows."""
+    if corrupt_column:
+        schema = T.StructType(schema.fields + [T.StructField(corrupt_column, T.StringType())])
+        return _reader(spark, schema, fmt, mode="PERMISSIVE", columnNameOfCorruptRecord=corrupt_column).load(path)
     return _reader(spark, schema, fmt).load(path)
 
 

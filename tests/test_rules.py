@@ -254,3 +254,16 @@ def test_push_settings_are_checked():
     for bad in ({"IMPORT_STRATEGY": "DELETE"}, {"MAX_POST": 0}, {"MAX_POST": "10"}, {"DRY_RUN": "yes"}):
         with pytest.raises(ValueError):
             validate_push_settings(bad)
+
+
+def test_failed_fetches_are_counted(spark):
+    from aggrex.operators.completion import split_fetch_errors
+    path = os.path.join(tempfile.mkdtemp(prefix="aggrex-t-"), "completions.json")
+    with open(path, "w") as fh:
+        fh.write('{"dataSet":"DS1","period":"2024","organisationUnit":"O1","date":"2024-01-02","completed":true}\n')
+        fh.write('<html>504 Gateway Timeout</html>\n')
+        fh.write('{"dataSet":"DS1","period":"2024","organisationUnit":"O2","date":"2024-01-03","completed":false}\n')
+    regs = io.scan_completions(spark, path, corrupt_column="_corrupt_record")
+    ok, failed = split_fetch_errors(regs)
+    assert sorted(r["organisationUnit"] for r in ok.collect()) == ["O1", "O2"]
+    assert failed.count() == 1
