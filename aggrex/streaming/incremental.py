@@ -138,3 +138,32 @@ def next_pending(pending: DataFrame) -> DataFrame:
     return pending.agg(F.min_by("unit", F.struct("open_since", "unit")).alias("unit"),
                        F.min("open_since").alias("open_since"), F.count(F.lit(1)).alias("n_pending"))
 
+
+
+TODO_UNIT = "period string, org_unit string"
+
+
+def completion_sync_stream(spark: SparkSession, todo_root: str, ledger_path: str, out_root: str,
+                           checkpoint: str, registrations: DataFrame, dataset_pairs: DataFrame,
+                           order_col: str, direct: DataFrame | None = None, continuous_every: str | None = None):
+    """K4 as a stream: new files of (period, org_unit) units to sync arrive
+    under ``todo_root``; each micro-batch skips units already in the ledger,
+    writes the completion payloads of the rest under ``batch_id=<id>``
+    (overwrite) and then appends them to the ledger (partitioned by period).
+    A replayed batch rewrites the same payloads and appends nothing new, so
+    the run is resumable at any point. Returns the query handle."""
+    from aggrex.operators.completion import completion_sync
+
+    def run(todo: DataFrame, batch_id: int) -> None:
+        if todo.isEmpty():
+            return
+        ledger = spark.read.schema(TODO_UNIT).parquet(ledger_path)
+        payloads, additions = completion_sync(todo, registrations, ledger, dataset_pairs, order_col, direct)
+        additions = additions.checkpoint(eager=True)
+        payloads.write.mode("overwrite").parquet(f"{out_root}/completions/batch_id={batch_id}")
+        additions.write.mode("append").partitionBy("period").parquet(ledger_path)
+
+    w = (spark.readStream.schema(TODO_UNIT).parquet(todo_root).writeStream.foreachBatch(run)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(processingTime=continuous_every) if continuous_every else w.trigger(availableNow=True)
+    return w.start()

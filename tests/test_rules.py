@@ -267,3 +267,23 @@ def test_failed_fetches_are_counted(spark):
     ok, failed = split_fetch_errors(regs)
     assert sorted(r["organisationUnit"] for r in ok.collect()) == ["O1", "O2"]
     assert failed.count() == 1
+
+
+def test_completion_sync_stream_is_resumable(spark):
+    from aggrex.streaming.incremental import completion_sync_stream
+    base = tempfile.mkdtemp(prefix="aggrex-t-")
+    todo_root, ledger, out, ckpt = (os.path.join(base, x) for x in ("todo", "ledger", "out", "ckpt"))
+    regs = spark.createDataFrame([("DS", "2024", "A", "2024-01-01", True, 1), ("DS", "2024", "B", "2024-01-02", False, 2)],
+                                 "dataSet string, period string, organisationUnit string, date string, "
+                                 "completed boolean, row_id long")
+    pairs = spark.createDataFrame([("DS", "TDS")], "source_dataset string, target_dataset string")
+    spark.createDataFrame([("2024", "A")], "period string, org_unit string").write.partitionBy("period").parquet(ledger)
+    units = "period string, org_unit string"
+    spark.createDataFrame([("2024", "A"), ("2024", "B")], units).write.mode("append").parquet(todo_root)
+    completion_sync_stream(spark, todo_root, ledger, out, ckpt, regs, pairs, "row_id").awaitTermination()
+    spark.createDataFrame([("2024", "B"), ("2024", "C")], units).write.mode("append").parquet(todo_root)
+    completion_sync_stream(spark, todo_root, ledger, out, ckpt, regs, pairs, "row_id").awaitTermination()
+    got = sorted(r["org_unit"] for r in spark.read.schema(units).parquet(ledger).collect())
+    assert got == ["A", "B", "C"]  # A was already done, B only once, C has no status but counts as done
+    sent = spark.read.parquet(os.path.join(out, "completions")).collect()
+    assert [(r["org_unit"], r["dataset"]) for r in sent] == [("B", "TDS")]
