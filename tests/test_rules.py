@@ -287,3 +287,21 @@ def test_completion_sync_stream_is_resumable(spark):
     assert got == ["A", "B", "C"]  # A was already done, B only once, C has no status but counts as done
     sent = spark.read.parquet(os.path.join(out, "completions")).collect()
     assert [(r["org_unit"], r["dataset"]) for r in sent] == [("B", "TDS")]
+
+
+def test_rate_push_through_the_stream_body(spark):
+    from aggrex.streaming.incremental import push_batch, read_payloads
+    out = os.path.join(tempfile.mkdtemp(prefix="aggrex-t-"), "push")
+    rows = [("REPORTING_RATE", "DS", "202401", "O1", None, None, "REPORTING_RATE", "AGGREGATED", "100"),
+            ("REPORTING_RATE", "DS", "202401", "O2", None, None, "REPORTING_RATE", "AGGREGATED", "n/a"),
+            ("REPORTING_RATE", "DS", "202401", "O3", None, None, "ACTUAL_REPORTS", "AGGREGATED", "7")]
+    df = _dp(spark, rows).withColumn("extract_id", F.lit("E"))
+    mapping = spark.createDataFrame([("E", "DS", "REPORTING_RATE", "T", "c", "a"),
+                                     ("E", "DS", "ACTUAL_REPORTS", "TA", "c", "a")], RATE_MAPPING)
+    push_batch({"REPORTING_RATE": lambda d: map_rates_per_extract(d, mapping)}, out, max_post=10,
+               require_numeric=True)(df, 0)
+    body = read_payloads(spark, out).collect()[0]["body"]
+    assert '"orgUnit":"O1"' in body and '"value":"1"' in body and '"orgUnit":"O3"' in body
+    assert '"orgUnit":"O2"' not in body
+    q = spark.read.parquet(os.path.join(out, "quarantine")).collect()
+    assert [(r["org_unit"], r["missing"]) for r in q] == [("O2", "value_not_numeric")]
