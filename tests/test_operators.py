@@ -158,3 +158,25 @@ def test_positions_keep_rows_with_null_group_keys(spark):
     df = spark.createDataFrame([(None, "a"), (None, "b"), ("g", "c")], "grp string, v string")
     out = [(r["grp"], r["v"], r["_pos"]) for r in global_positions(df, ["grp", "v"], group_cols=["grp"]).collect()]
     assert sorted(out, key=lambda x: (x[0] or "", x[1])) == [(None, "a", 0), (None, "b", 1), ("g", "c", 0)]
+
+
+def test_positions_across_many_range_partitions(spark):
+    """Offsets from per-partition counts, with the sort really spread over 16
+    partitions (AQE would otherwise coalesce this small input into one)."""
+    rows = [(f"O{i % 97:03d}", i) for i in range(5000)]
+    df = spark.createDataFrame(rows, "org_unit string, v long")
+    prev = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        out = global_positions(df, ["org_unit", "v"]).collect()
+        grouped = global_positions(df, ["org_unit", "v"], group_cols=["org_unit"]).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", prev)
+    assert sorted((r["_pos"], r["org_unit"], r["v"]) for r in out) == \
+        [(i, o, v) for i, (o, v) in enumerate(sorted(rows))]
+    expect = {}
+    for o, v in sorted(rows):
+        expect[(o, v)] = sum(1 for k in expect if k[0] == o)
+    assert {(r["org_unit"], r["v"]): r["_pos"] for r in grouped} == expect
