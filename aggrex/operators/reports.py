@@ -123,6 +123,7 @@ def error_report(reports: DataFrame, batch_rows: DataFrame) -> DataFrame:
               + F.size(F.coalesce(r["errorReports"], F.array()))
               + F.size(F.coalesce(r["response"]["errorReports"], F.array())))
     base = p.select("batch_id", "phase", "is_json", "r", status.alias("status"),
+                    F.coalesce(r["response"]["responseType"], r["responseType"]).alias("response_type"),
                     F.coalesce(r["response"]["description"], r["description"]).alias("description"),
                     _counts(r).alias("c"), n_conf.alias("n_conflicts"))
     failed = base.where(~F.col("is_json") | ~F.coalesce(F.col("status").isin("SUCCESS", "OK"), F.lit(False))
@@ -131,7 +132,7 @@ def error_report(reports: DataFrame, batch_rows: DataFrame) -> DataFrame:
         batch_rows.select("batch_id", "pos"), ["batch_id", "pos"]).groupBy("batch_id").agg(
         F.count(F.lit(1)).alias("n_rejected_rows"))
     return (failed.join(rejected, "batch_id", "left")
-                  .select("batch_id", "phase", "is_json", "status", "description",
+                  .select("batch_id", "phase", "is_json", "status", "response_type", "description",
                           *[F.col("c")[k].alias(k) for k in COUNT_KEYS], "n_conflicts",
                           F.coalesce("n_rejected_rows", F.lit(0)).alias("n_rejected_rows")))
 

@@ -116,6 +116,8 @@ def q_c15(spark, sf_dir):
 SELECT c.batch_id, c.phase, json_valid(c.body) AS is_json,
        CASE WHEN json_valid(c.body) THEN coalesce(json_extract_string(c.body, '$.response.status'),
                                                    json_extract_string(c.body, '$.status')) END AS status,
+       CASE WHEN json_valid(c.body) THEN coalesce(json_extract_string(c.body, '$.response.responseType'),
+                                                   json_extract_string(c.body, '$.responseType')) END AS response_type,
        CASE WHEN json_valid(c.body) THEN coalesce(json_extract_string(c.body, '$.response.description'),
                                                    json_extract_string(c.body, '$.description')) END AS description,
        {', '.join('c.' + k for k in COUNT_KEYS)},
