@@ -127,11 +127,12 @@ def import_status(responses: DataFrame) -> DataFrame:
     """Per org unit request (action, id, body): the response status and
     whether it counts as success — second generation SUCCESS / OK only, first
     generation anything but ERROR. Rows without a body (not sent, invalid)
-    get status NOTVALID."""
+    get status NOTVALID. A ``status_code`` column (HTTP code) is carried along."""
     status = F.get_json_object("body", "$.status")
     st = F.when(F.col("body").isNull(), F.lit(NOT_VALID)).otherwise(status)
+    extra = [c for c in ("status_code",) if c in responses.columns]  # HTTP code when recorded
     return responses.select(
-        "action", "id", st.alias("status"),
+        "action", "id", *extra, st.alias("status"),
         F.coalesce(st.isin(*SUCCESS_STATUSES), F.lit(False)).alias("success"),
         (~st.eqNullSafe(F.lit("ERROR")) & ~st.eqNullSafe(F.lit(NOT_VALID))).alias("success_gen1"))
 

@@ -305,3 +305,10 @@ def test_rate_push_through_the_stream_body(spark):
     assert '"orgUnit":"O2"' not in body
     q = spark.read.parquet(os.path.join(out, "quarantine")).collect()
     assert [(r["org_unit"], r["missing"]) for r in q] == [("O2", "value_not_numeric")]
+
+
+def test_import_status_carries_the_http_code(spark):
+    df = spark.createDataFrame([("CREATE", "a", 409, '{"status":"ERROR"}')],
+                               "action string, id string, status_code int, body string")
+    r = import_status(df).first()
+    assert (r["status_code"], r["status"], r["success"]) == (409, "ERROR", False)
