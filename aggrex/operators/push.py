@@ -74,10 +74,13 @@ def quarantine_report(classified: DataFrame, order: list[str] | None = None) ->
                       (F.col("_pos") + 1).alias("line_no"))
 
 
-def data_point_json(classified: DataFrame) -> DataFrame:
+def data_point_json(classified: DataFrame, value_as_number: bool = False) -> DataFrame:
     """``payload`` = the API object of a valid row, or the deletion object
-    (value "" and a comment) of a to_delete row; NULL for invalid rows."""
-    valid = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in PAYLOAD_KEYS]))
+    (value "" and a comment) of a to_delete row; NULL for invalid rows.
+    With ``value_as_number`` (rate pipeline, needs ``value_num``) the value is
+    written as a JSON number, as the coerced rates of the reference are."""
+    value = F.col("value_num") if value_as_number else F.col("value")
+    valid = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in PAYLOAD_KEYS[:-1]], value.alias("value")))
     delete = F.to_json(F.struct(*[F.col(c).alias(k) for c, k in PAYLOAD_KEYS[:-1]],
                                 F.lit("").alias("value"), F.lit(DELETE_COMMENT).alias("comment")))
     return classified.withColumn(
@@ -148,7 +151,8 @@ def sort_by_org_unit(df: DataFrame, tie_break: str | None = None) -> DataFrame:
 
 
 def payload_batches(classified: DataFrame, max_post: int = 500, generation: str = "gen2",
-                    group_cols: list[str] = ("period",), tie_break: str | None = None) -> DataFrame:
+                    group_cols: list[str] = ("period",), tie_break: str | None = None,
+                    value_as_number: bool = False) -> DataFrame:
     """Cut the valid and to_delete rows into consecutive batches of at most
     ``max_post`` data points, per (phase, *group_cols), in org unit order.
 
@@ -161,7 +165,7 @@ def payload_batches(classified: DataFrame, max_post: int = 500, generation: str
         raise ValueError("max_post must be >= 1")
     order_of = PHASE_ORDER[generation]
     phase_order = F.when(F.col("class") == VALID, F.lit(order_of[VALID])).otherwise(F.lit(order_of[TO_DELETE]))
-    rows = (data_point_json(classified.where(F.col("class").isin(VALID, TO_DELETE)))
+    rows = (data_point_json(classified.where(F.col("class").isin(VALID, TO_DELETE)), value_as_number)
             .withColumn("phase", F.col("class")).withColumn("phase_order", phase_order))
     order = ["phase_order", *group_cols, "org_unit", "dx_uid", "period", "category_option_combo",
              "attribute_option_combo", "value"]

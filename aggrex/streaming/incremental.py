@@ -39,6 +39,9 @@ def push_batch(transform, out_root: str, max_post: int = 500,
     write payloads and the quarantine under ``batch_id=<micro-batch id>``
     (overwrite: idempotent on replay).
 
+    With ``require_numeric`` (rate extracts) values must be numbers and are
+    sent as JSON numbers.
+
     ``transform`` is either one mapping function or a dict {data type:
     mapping function} (B12); with a dict, rows of a type without a handler
     are skipped from the push and written to ``unknown_types``.
@@ -55,7 +58,7 @@ def push_batch(transform, out_root: str, max_post: int = 500,
         classified = classified.persist()
         try:
             batches = payload_batches(classified, max_post=max_post, generation=generation,
-                                      group_cols=list(group_cols))
+                                      group_cols=list(group_cols), value_as_number=require_numeric)
             (batches.withColumn("micro_batch", F.lit(batch_id)).write.mode("overwrite")
                     .parquet(f"{out_root}/payloads/batch_id={batch_id}"))
             (classified.where(F.col("class") == "invalid")

@@ -301,7 +301,7 @@ def test_rate_push_through_the_stream_body(spark):
     push_batch({"REPORTING_RATE": lambda d: map_rates_per_extract(d, mapping)}, out, max_post=10,
                require_numeric=True)(df, 0)
     body = read_payloads(spark, out).collect()[0]["body"]
-    assert '"orgUnit":"O1"' in body and '"value":"1"' in body and '"orgUnit":"O3"' in body
+    assert '"orgUnit":"O1"' in body and '"value":1.0' in body and '"value":7.0' in body
     assert '"orgUnit":"O2"' not in body
     q = spark.read.parquet(os.path.join(out, "quarantine")).collect()
     assert [(r["org_unit"], r["missing"]) for r in q] == [("O2", "value_not_numeric")]
