@@ -15,6 +15,7 @@ from aggrex.operators.mapping import (dispatch_by_type, invalid_rate_mappings, m
                                       map_rates_per_extract, map_uids)
 from aggrex.operators.normalise import (filter_category_option_combos, merge_extracts, normalise_data_values,
                                         normalise_indicators, normalise_rates, union_checked)
+from aggrex.operators.push import classify_data_points, payload_batches
 from aggrex.registry import query
 from aggrex.registry.push_q import UID_DEFAULTS, UID_ROWS, UID_VALUES_SQL
 from aggrex.schemas import DATA_POINT_COLUMNS, RATE_MAPPING, UID_MAPPING
@@ -371,3 +372,49 @@ def q_h10(spark, sf_dir):
     r = rates(spark, sf_dir)
     return r.select("row_id", "rate_type", "value",
                     rate_100_to_1(to_number_or_null("value"), F.col("rate_type")).alias("value_num"))
+
+
+# ---------------------------------------------------------------- rate push (C8 -> I1 -> J2)
+
+RATE_MAX_POST = 50
+_RATE_ORDER = ("org_unit NULLS FIRST, dx_uid NULLS FIRST, period NULLS FIRST, category_option_combo NULLS FIRST, "
+               "attribute_option_combo NULLS FIRST, value NULLS FIRST, row_id")
+_RATE_PUSH_CTE = _C8_CTE + f""",
+c8 AS ({_C8_SELECT}),
+rcls AS (
+  SELECT *, CASE
+      WHEN dx_uid IS NOT NULL AND period IS NOT NULL AND org_unit IS NOT NULL AND category_option_combo IS NOT NULL
+           AND attribute_option_combo IS NOT NULL AND value IS NOT NULL AND value_num IS NOT NULL
+           AND NOT isnan(value_num) THEN 'valid'
+      WHEN dx_uid IS NOT NULL AND period IS NOT NULL AND org_unit IS NOT NULL AND category_option_combo IS NOT NULL
+           AND attribute_option_combo IS NOT NULL AND value IS NULL THEN 'to_delete'
+      ELSE 'invalid' END AS class
+  FROM c8),
+rjs AS (
+  SELECT *, CASE class
+      WHEN 'valid' THEN '{{"dataElement":"' || dx_uid || '","period":"' || period || '","orgUnit":"' || org_unit
+        || '","categoryOptionCombo":"' || category_option_combo || '","attributeOptionCombo":"'
+        || attribute_option_combo || '","value":' || CAST(value_num AS VARCHAR) || '}}'
+      WHEN 'to_delete' THEN '{{"dataElement":"' || dx_uid || '","period":"' || period || '","orgUnit":"' || org_unit
+        || '","categoryOptionCombo":"' || category_option_combo || '","attributeOptionCombo":"'
+        || attribute_option_combo || '","value":"","comment":"deleted value"}}'
+    END AS payload
+  FROM rcls),
+rranked AS (
+  SELECT *, CASE class WHEN 'valid' THEN 0 ELSE 1 END AS phase_order,
+         row_number() OVER (PARTITION BY CASE class WHEN 'valid' THEN 0 ELSE 1 END, period
+                            ORDER BY {_RATE_ORDER}) - 1 AS pos
+  FROM rjs WHERE class IN ('valid', 'to_delete'))"""
+
+
+@query("j2_rate_payload_batches", _rates_sql(f"""
+SELECT class AS phase, phase_order, period, CAST(pos // {RATE_MAX_POST} AS BIGINT) AS batch_no, count(*) AS n_points,
+       arg_min(org_unit, pos) AS first_org_unit, arg_max(org_unit, pos) AS last_org_unit,
+       '{{"dataValues":[' || string_agg(payload, ',' ORDER BY pos) || ']}}' AS body
+FROM rranked GROUP BY class, phase_order, period, CAST(pos // {RATE_MAX_POST} AS BIGINT)""", _RATE_PUSH_CTE))
+def q_j2_rates(spark, sf_dir):
+    """The rate push: per-extract mapping (C8), numeric classification (I1),
+    batches with the values as JSON numbers (J2)."""
+    mapped = map_rates_per_extract(rates(spark, sf_dir), config_dim(spark, RATE_ROWS, RATE_MAPPING))
+    c = classify_data_points(mapped, require_numeric=True)
+    return payload_batches(c, max_post=RATE_MAX_POST, tie_break="row_id", value_as_number=True)
