@@ -35,13 +35,19 @@ def _reader(spark: SparkSession, schema, fmt: str, **options):
     return r
 
 
+def _canonical(df: DataFrame) -> DataFrame:
+    from aggrex.operators.normalise import canonical_data_type
+    return canonical_data_type(df)
+
+
 def scan_extract(spark: SparkSession, path: str, require_rows: bool = True) -> DataFrame:
     """A1: one extract (9-column data point table). A missing path raises
-    (analysis error); an empty extract raises when ``require_rows``."""
+    (analysis error); an empty extract raises when ``require_rows``. First-
+    generation type names (DATAELEMENT, DATASET) are mapped at ingest."""
     df = spark.read.schema(DATA_POINT).parquet(path)
     if require_rows and df.isEmpty():
         raise ValueError(f"extract is empty: {path}")
-    return df
+    return _canonical(df)
 
 
 def scan_extracts_for_period(spark: SparkSession, root: str, period: str,
@@ -79,8 +85,9 @@ def unreadable_files(spark: SparkSession, root: str, glob: str = "*.parquet") ->
 
 def scan_extract_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
     """A2 for foreign, non-partitioned folders: all files matching ``glob``
-    (e.g. ``*_extract_202401.parquet``) with the data point schema."""
-    return spark.read.schema(DATA_POINT).option("pathGlobFilter", glob).parquet(folder)
+    (e.g. ``*_extract_202401.parquet``) with the data point schema; first-
+    generation type names are mapped at ingest."""
+    return _canonical(spark.read.schema(DATA_POINT).option("pathGlobFilter", glob).parquet(folder))
 
 
 def scan_pyramid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

@@ -312,3 +312,15 @@ def test_import_status_carries_the_http_code(spark):
                                "action string, id string, status_code int, body string")
     r = import_status(df).first()
     assert (r["status_code"], r["status"], r["success"]) == (409, "ERROR", False)
+
+
+def test_first_generation_extract_files_are_canonicalised(spark):
+    folder = tempfile.mkdtemp(prefix="aggrex-t-")
+    old = _dp(spark, [("DATAELEMENT", "D", "202401", "O", "C", "A", None, "AGGREGATED", "1"),
+                      ("DATASET", "DS", "202401", "O", None, None, "REPORTING_RATE", "AGGREGATED", "90")])
+    old.toPandas().to_parquet(os.path.join(folder, "ds_extract_202401.parquet"))  # a foreign single file
+    got = sorted(r["data_type"] for r in io.scan_extract_files(spark, folder, "*_extract_202401.parquet").collect())
+    assert got == ["DATA_ELEMENT", "REPORTING_RATE"]
+    got = sorted(r["data_type"] for r in io.scan_extract(spark, os.path.join(folder, "ds_extract_202401.parquet"))
+                 .collect())
+    assert got == ["DATA_ELEMENT", "REPORTING_RATE"]
