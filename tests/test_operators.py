@@ -180,3 +180,28 @@ def test_positions_across_many_range_partitions(spark):
     for o, v in sorted(rows):
         expect[(o, v)] = sum(1 for k in expect if k[0] == o)
     assert {(r["org_unit"], r["v"]): r["_pos"] for r in grouped} == expect
+
+
+def test_yearly_extracts_join_every_month_of_their_year(spark):
+    from aggrex.operators.normalise import merge_extracts
+    from aggrex.schemas import DATA_POINT
+    rows = [("DATA_ELEMENT", "M", "202401", "O", "C", "A", None, "AGGREGATED", "1", "202401"),
+            ("DATA_ELEMENT", "M", "202401", "O", "C", "A", None, "AGGREGATED", "1", "202401"),  # copy
+            ("DATA_ELEMENT", "Y", "2024", "O", "C", "A", None, "AGGREGATED", "9", "2024")]
+    ex = spark.createDataFrame(rows, DATA_POINT.simpleString()[:-1] + ",extract_period:string>")
+    months = spark.createDataFrame([("202401",), ("202402",)], "month string")
+    got = sorted((r["merge_month"], r["dx_uid"]) for r in merge_extracts(ex, months).collect())
+    assert got == [("202401", "M"), ("202401", "Y"), ("202402", "Y")]
+
+
+def test_extract_periods_by_frequency(spark):
+    df = spark.createDataFrame([(dt.date(2024, 8, 15),)], "d date")
+    r = df.select(
+        P.extract_periods(None, None, 2, F.lit("QUARTERLY"), F.col("d")).alias("q"),
+        P.extract_periods(F.lit("2022"), None, 0, F.lit("YEARLY"), F.col("d")).alias("y"),
+        P.extract_periods(F.lit("202409"), F.lit("202401"), 0, F.lit("MONTHLY"), F.col("d")).alias("rev"),
+        P.extract_periods(None, None, 3, F.lit("MONTHLY"), F.col("d")).alias("m")).first()
+    assert r["q"] == ["2024Q1", "2024Q2", "2024Q3"]
+    assert r["y"] == ["2022", "2023", "2024"]
+    assert r["rev"] == ["202409"]  # start not before end: just the start
+    assert r["m"] == ["202405", "202406", "202407", "202408"]  # window 3 + the current period
