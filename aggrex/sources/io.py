@@ -201,7 +201,15 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
             .join(out.select(*EXTRACT_PARTITIONS).distinct(), EXTRACT_PARTITIONS, "left_semi"))
 
 
-def write_payloads(batches: DataFrame, path: str, fmt: str = "parquet") -> None:
-    """The send-ready batches, one row per request body. Delivery over
-    HTTP is left to the platform."""
-    (batches.write.mode("overwrite").format(fmt).save(path))
+def write_payloads(batches: DataFrame, path: str, fmt: str = "parquet",
+                   partition_by: list[str] | None = None) -> None:
+    """The send-ready batches, one row per request body, optionally one
+    folder per ``partition_by`` value (e.g. period). Inside each file the
+    rows are in send order (phase, then batch number) so a sequential sender
+    can read them as they are. Delivery over HTTP is left to the platform."""
+    order = [c for c in ("phase_order", "period", "batch_no") if c in batches.columns]
+    out = batches.sortWithinPartitions(*order) if order else batches
+    w = out.write.mode("overwrite").format(fmt)
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.save(path)

@@ -324,3 +324,15 @@ def test_first_generation_extract_files_are_canonicalised(spark):
     got = sorted(r["data_type"] for r in io.scan_extract(spark, os.path.join(folder, "ds_extract_202401.parquet"))
                  .collect())
     assert got == ["DATA_ELEMENT", "REPORTING_RATE"]
+
+
+def test_payloads_written_per_period(spark):
+    from aggrex.operators.push import classify_data_points, payload_batches
+    out = os.path.join(tempfile.mkdtemp(prefix="aggrex-t-"), "payloads")
+    rows = [("DATA_ELEMENT", "D", p, f"O{i}", "C", "A", None, "AGGREGATED", str(i)) for p in ("202401", "202402")
+            for i in range(12)]
+    batches = payload_batches(classify_data_points(_dp(spark, rows)), max_post=5)
+    io.write_payloads(batches, out, partition_by=["period"])
+    assert {"period=202401", "period=202402"} <= set(os.listdir(out))
+    back = spark.read.parquet(out)
+    assert back.where("period = '202402'").count() == 3 and back.agg(F.sum("n_points")).first()[0] == 24
