@@ -1,0 +1,51 @@
+"""Period expressions against Python's calendar on random dates (property test)."""
+
+import calendar
+import datetime as dt
+
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from aggrex.functions import periods as P
+
+DATES = st.lists(st.dates(min_value=dt.date(1990, 1, 1), max_value=dt.date(2035, 12, 31)), min_size=50, max_size=200)
+
+
+def _minus_months(d: dt.date, n: int) -> dt.date:
+    y, m = divmod(d.year * 12 + (d.month - 1) - n, 12)
+    return dt.date(y, m + 1, min(d.day, calendar.monthrange(y, m + 1)[1]))
+
+
+def _weeks_of_month(yyyymm: str) -> list[str]:
+    y, m = int(yyyymm[:4]), int(yyyymm[4:])
+    first, last = dt.date(y, m, 1), dt.date(y, m, calendar.monthrange(y, m)[1])
+    monday, out = first - dt.timedelta(days=first.weekday()), []
+    while monday <= last:
+        iy, iw, _ = monday.isocalendar()
+        out.append(f"{iy}W{iw}")
+        monday += dt.timedelta(days=7)
+    return out
+
+
+@settings(max_examples=4, deadline=None)
+@given(dates=DATES, n=st.integers(min_value=0, max_value=30))
+def test_period_expressions_match_the_calendar(spark, dates, n):
+    df = spark.createDataFrame([(d,) for d in dates], "d date")
+    got = df.select(
+        "d", P.iso_week_label("d").alias("w"), P.month_label("d").alias("m"), P.quarter_label("d").alias("q"),
+        P.period_back(F.col("d"), F.lit(n), F.lit("MONTHLY")).alias("back_m"),
+        P.period_back(F.col("d"), F.lit(n), F.lit("WEEKLY")).alias("back_w"),
+        P.weeks_of_month(P.month_label("d")).alias("weeks"),
+        P.first_day_of_future_month(P.month_label("d"), F.lit(n)).alias("first")).collect()
+    for r in got:
+        d = r["d"]
+        iy, iw, _ = d.isocalendar()
+        assert r["w"] == f"{iy}W{iw}"
+        assert r["m"] == d.strftime("%Y%m")
+        assert r["q"] == f"{d.year}Q{(d.month - 1) // 3 + 1}"
+        assert r["back_m"] == _minus_months(d, n).strftime("%Y%m")
+        wy, ww, _ = (d - dt.timedelta(weeks=n)).isocalendar()
+        assert r["back_w"] == f"{wy}W{ww}"
+        assert r["weeks"] == _weeks_of_month(d.strftime("%Y%m"))
+        assert r["first"] == _minus_months(d.replace(day=1), -n).strftime("%Y-%m-01")
