@@ -1,4 +1,4 @@
-"""Period expressions against Python's calendar on random dates (property test)."""
+"""Property tests: period expressions against the calendar, batching invariants."""
 
 import calendar
 import datetime as dt
@@ -49,3 +49,25 @@ def test_period_expressions_match_the_calendar(spark, dates, n):
         assert r["back_w"] == f"{wy}W{ww}"
         assert r["weeks"] == _weeks_of_month(d.strftime("%Y%m"))
         assert r["first"] == _minus_months(d.replace(day=1), -n).strftime("%Y-%m-01")
+
+
+ROWS = st.lists(st.tuples(st.sampled_from(["O1", "O2", "O3", "O4"]), st.sampled_from(["202401", "202402"]),
+                          st.one_of(st.none(), st.integers(0, 999).map(str))), min_size=1, max_size=300)
+
+
+@settings(max_examples=4, deadline=None)
+@given(rows=ROWS, max_post=st.integers(min_value=1, max_value=40))
+def test_payload_batches_are_bounded_consecutive_and_lossless(spark, rows, max_post):
+    import json
+    from aggrex.operators.push import classify_data_points, payload_batches
+    data = [("D", p, o, "C", "A", v, i) for i, (o, p, v) in enumerate(rows)]
+    df = spark.createDataFrame(data, "dx_uid string, period string, org_unit string, category_option_combo string, "
+                                     "attribute_option_combo string, value string, rid long")
+    batches = payload_batches(classify_data_points(df), max_post=max_post, tie_break="rid").collect()
+    assert sum(b["n_points"] for b in batches) == len(rows)
+    for (phase, period) in {(b["phase"], b["period"]) for b in batches}:
+        group = sorted((b for b in batches if (b["phase"], b["period"]) == (phase, period)), key=lambda b: b["batch_no"])
+        assert [b["batch_no"] for b in group] == list(range(len(group)))
+        assert all(b["n_points"] == max_post for b in group[:-1]) and 0 < group[-1]["n_points"] <= max_post
+        units = [v["orgUnit"] for b in group for v in json.loads(b["body"])["dataValues"]]
+        assert units == sorted(units)
