@@ -71,3 +71,16 @@ def test_payload_batches_are_bounded_consecutive_and_lossless(spark, rows, max_p
         assert all(b["n_points"] == max_post for b in group[:-1]) and 0 < group[-1]["n_points"] <= max_post
         units = [v["orgUnit"] for b in group for v in json.loads(b["body"])["dataValues"]]
         assert units == sorted(units)
+
+
+@settings(max_examples=4, deadline=None)
+@given(texts=st.lists(st.text(alphabet="0123456789.+-eE ", min_size=0, max_size=12), min_size=50, max_size=200))
+def test_number_coercion_matches_python(spark, texts):
+    import re
+    from aggrex.functions.values import NUMBER_PATTERN, to_number_or_null
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for r in df.select("v", to_number_or_null("v").alias("n")).collect():
+        if re.match(NUMBER_PATTERN, r["v"]):
+            assert r["n"] == float(r["v"].strip())
+        else:
+            assert r["n"] is None
