@@ -84,3 +84,23 @@ def test_number_coercion_matches_python(spark, texts):
             assert r["n"] == float(r["v"].strip())
         else:
             assert r["n"] is None
+
+
+@settings(max_examples=3, deadline=None)
+@given(seed=st.integers(min_value=0, max_value=10 ** 6))
+def test_descendants_match_a_plain_closure(spark, seed):
+    import random
+    from aggrex.operators.hierarchy import select_descendants
+    rnd = random.Random(seed)
+    n = 40
+    # Mostly a forest (parent earlier in the list), sometimes any node: cycles appear.
+    parents = [None] + [f"n{rnd.randrange(i)}" if rnd.random() < 0.9 else f"n{rnd.randrange(n)}" for i in range(1, n)]
+    units = [(f"n{i}", p) for i, p in enumerate(parents)]
+    roots = [f"n{rnd.randrange(n)}" for _ in range(3)] + ["absent"]
+    seen, frontier = set(roots), set(roots)
+    while frontier:
+        frontier = {u for u, p in units if p in frontier} - seen
+        seen |= frontier
+    want = sorted(u for u, _ in units if u in seen)
+    df = spark.createDataFrame(units, "id string, parent_id string")
+    assert sorted(r["id"] for r in select_descendants(df, roots).collect()) == want
