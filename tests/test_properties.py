@@ -104,3 +104,44 @@ def test_descendants_match_a_plain_closure(spark, seed):
     want = sorted(u for u, _ in units if u in seen)
     df = spark.createDataFrame(units, "id string, parent_id string")
     assert sorted(r["id"] for r in select_descendants(df, roots).collect()) == want
+
+
+@settings(max_examples=3, deadline=None)
+@given(seed=st.integers(min_value=0, max_value=10 ** 6))
+def test_pyramid_diff_matches_a_plain_diff(spark, seed):
+    import json
+    import random
+    from aggrex.operators.align import COMPARED_FIELDS, org_units_to_create, org_units_to_update
+    rnd = random.Random(seed)
+    geos = [None, '{"type":"Point","coordinates":[1,2]}', '{"coordinates": [1, 2], "type": "Point"}',
+            '{"type":"Point","coordinates":[1,3]}']
+
+    def unit(i):
+        return {"id": f"u{i}", "name": rnd.choice(["a", "b", None]), "shortName": rnd.choice(["s", None]),
+                "openingDate": rnd.choice(["2000-01-01", "2001-01-01"]), "closedDate": rnd.choice([None, "2030-12-31"]),
+                "parent_id": rnd.choice(["p1", "p2", None]), "level": 3, "path": f"/p/u{i}",
+                "geometry": rnd.choice(geos)}
+    src = [unit(i) for i in range(60)]
+    tgt = [unit(i) for i in range(60) if rnd.random() < 0.8]
+    cols = ["id", "name", "shortName", "openingDate", "closedDate", "parent_id", "level", "path", "geometry"]
+    schema = ("id string, name string, shortName string, openingDate string, closedDate string, parent_id string, "
+              "level int, path string, geometry string")
+    s_df = spark.createDataFrame([tuple(u[c] for c in cols) for u in src], schema)
+    t_df = spark.createDataFrame([tuple(u[c] for c in cols) for u in tgt], schema)
+
+    def canon(g):
+        return None if g is None else (lambda o: (o["type"], json.dumps(o["coordinates"])))(json.loads(g))
+    tmap = {u["id"]: u for u in tgt}
+    want_create = sorted(u["id"] for u in src if u["id"] not in tmap)
+    want_update = {}
+    for u in src:
+        t = tmap.get(u["id"])
+        if t is None:
+            continue
+        changed = [c for c in COMPARED_FIELDS
+                   if (canon(u[c]) != canon(t[c]) if c == "geometry" else u[c] != t[c])]
+        if changed:
+            want_update[u["id"]] = changed
+    assert sorted(r["id"] for r in org_units_to_create(s_df, t_df).collect()) == want_create
+    got = {r["id"]: list(r["changed"]) for r in org_units_to_update(s_df, t_df).collect()}
+    assert got == want_update
