@@ -145,3 +145,40 @@ def test_pyramid_diff_matches_a_plain_diff(spark, seed):
     assert sorted(r["id"] for r in org_units_to_create(s_df, t_df).collect()) == want_create
     got = {r["id"]: list(r["changed"]) for r in org_units_to_update(s_df, t_df).collect()}
     assert got == want_update
+
+
+@settings(max_examples=3, deadline=None)
+@given(seed=st.integers(min_value=0, max_value=10 ** 6))
+def test_import_counts_match_the_counting_rule(spark, seed):
+    import json
+    import random
+    from aggrex.operators.reports import COUNT_KEYS, import_summary
+    rnd = random.Random(seed)
+
+    def counts():
+        return {k: rnd.randrange(50) for k in COUNT_KEYS if rnd.random() < 0.7}
+    bodies = []
+    for _ in range(120):
+        kind = rnd.randrange(5)
+        if kind == 0:
+            bodies.append("not json")
+        elif kind == 1:
+            bodies.append(json.dumps({"status": "OK", "importCount": counts()}))
+        elif kind == 2:
+            bodies.append(json.dumps({"response": {"importCount": counts()}}))
+        elif kind == 3:
+            bodies.append(json.dumps({"importCount": counts(), "response": {"importCount": counts()}}))
+        else:
+            bodies.append(json.dumps({"status": "ERROR"}))
+    want = {k: 0 for k in COUNT_KEYS}
+    for b in bodies:
+        try:
+            r = json.loads(b)
+        except ValueError:
+            continue
+        c = r["importCount"] if "importCount" in r else r.get("response", {}).get("importCount", {})
+        for k in COUNT_KEYS:
+            want[k] += c.get(k, 0)
+    df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "batch_id long, body string")
+    got = import_summary(df).first().asDict()
+    assert {k: got[k] for k in COUNT_KEYS} == want
