@@ -76,9 +76,10 @@ def import_conflicts(reports: DataFrame, keep: list[str] = ("batch_id",)) -> Dat
     one row each (kind, level, object, org_unit, value, message, error_code,
     property)."""
     r = F.col("r")
-    items = F.concat(_conflict_rows(r["conflicts"], "top"), _error_rows(r["errorReports"], "top"),
-                     _conflict_rows(r["response"]["conflicts"], "response"),
-                     _error_rows(r["response"]["errorReports"], "response"))
+    # Order of the reference's list: all conflicts (top, nested), then all
+    # error reports (top, nested).
+    items = F.concat(_conflict_rows(r["conflicts"], "top"), _conflict_rows(r["response"]["conflicts"], "response"),
+                     _error_rows(r["errorReports"], "top"), _error_rows(r["response"]["errorReports"], "response"))
     return (parse_reports(reports).select(*keep, F.posexplode(items).alias("item_pos", "c"))
             .select(*keep, "item_pos", "c.*"))
 

@@ -33,8 +33,8 @@ def _len(path: str) -> str:
     return f"coalesce(json_array_length(json_extract(body, '{path}')), 0)"
 
 
-_PARTS = [("conflict", "top", "$.conflicts"), ("error_report", "top", "$.errorReports"),
-          ("conflict", "response", "$.response.conflicts"), ("error_report", "response", "$.response.errorReports")]
+_PARTS = [("conflict", "top", "$.conflicts"), ("conflict", "response", "$.response.conflicts"),
+          ("error_report", "top", "$.errorReports"), ("error_report", "response", "$.response.errorReports")]
 
 
 def _items_sql() -> str:

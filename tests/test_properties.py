@@ -182,3 +182,37 @@ def test_import_counts_match_the_counting_rule(spark, seed):
     df = spark.createDataFrame([(i, b) for i, b in enumerate(bodies)], "batch_id long, body string")
     got = import_summary(df).first().asDict()
     assert {k: got[k] for k in COUNT_KEYS} == want
+
+
+@settings(max_examples=3, deadline=None)
+@given(seed=st.integers(min_value=0, max_value=10 ** 6))
+def test_conflicts_are_all_extracted_in_order(spark, seed):
+    import json
+    import random
+    from aggrex.operators.reports import import_conflicts
+    rnd = random.Random(seed)
+
+    def items(tag):
+        return [{"object": f"{tag}{i}", "value": "v", "errorCode": "E1"} for i in range(rnd.randrange(3))]
+    bodies, want = [], []
+    for b in range(80):
+        if rnd.random() < 0.1:
+            bodies.append((b, "garbage"))
+            continue
+        body, conf, errs = {}, [], []
+        for level in ("top", "response"):
+            c, e = items("c"), [{"message": "m", "errorCode": "E2", "object": f"e{i}"} for i in range(rnd.randrange(2))]
+            node = body if level == "top" else body.setdefault("response", {})
+            if c:
+                node["conflicts"] = c
+            if e:
+                node["errorReports"] = e
+            conf += [(level, "conflict", x["object"]) for x in c]
+            errs += [(level, "error_report", x["object"]) for x in e]
+        order = conf + errs  # all conflicts first, then all error reports
+        bodies.append((b, json.dumps(body)))
+        want += [(b, pos, *o) for pos, o in enumerate(order)]
+    df = spark.createDataFrame(bodies, "batch_id long, body string")
+    got = sorted((r["batch_id"], r["item_pos"], r["level"], r["kind"], r["object"])
+                 for r in import_conflicts(df).collect())
+    assert got == sorted(want)
