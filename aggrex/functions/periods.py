@@ -167,3 +167,14 @@ def extract_periods(start, end, window, frequency, as_of) -> Column:
 def first_day_of_future_month(yyyymm, n) -> Column:
     """H8: ``yyyyMM`` + n months -> ``yyyy-MM-01``."""
     return F.date_format(F.add_months(month_start(yyyymm), _lit(n)), "yyyy-MM-01")
+
+
+# The form of each frequency's period labels.
+PERIOD_FORMS = {"monthly": "^[0-9]{6}$", "yearly": "^[0-9]{4}$", "weekly": "^[0-9]{4}W[0-9]{1,2}$",
+                "quarterly": "^[0-9]{4}Q[1-4]$"}
+
+
+def frequency_of(period) -> Column:
+    """The frequency whose label form ``period`` has; NULL for any other text."""
+    p = F.col(period) if isinstance(period, str) else period
+    return F.coalesce(*[F.when(p.rlike(form), F.lit(name)) for name, form in PERIOD_FORMS.items()])

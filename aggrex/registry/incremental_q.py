@@ -18,8 +18,8 @@ from aggrex.schemas import UID_MAPPING
 from aggrex.session import checkpoint_dir
 from aggrex.sources import io
 from aggrex.functions.periods import month_range
-from aggrex.streaming.incremental import (changed_months, extract_stream, incremental_push, pending_batches,
-                                         push_batch, read_payloads, reopen_units)
+from aggrex.streaming.incremental import (changed_units, incremental_push, pending_batches, read_payloads,
+                                         read_unreadable_files, reopen_units)
 
 J2_COLUMNS = ["phase", "phase_order", "period", "batch_no", "n_points", "first_org_unit", "last_org_unit", "body"]
 SPLIT_MONTH = "199801"
@@ -52,40 +52,81 @@ def q_k1(spark, sf_dir):
     return read_payloads(spark, out).select(*J2_COLUMNS)
 
 
+def damage(spark, source: str, target: str) -> None:
+    """Write to ``target`` a copy of the one Parquet file under ``source`` whose
+    footer is whole and whose data pages are not."""
+    content = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+                        .option("recursiveFileLookup", "true").load(source).first()["content"])
+    half = len(content) // 2
+    content[4:half] = bytes(half - 4)
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    try:
+        out.write(content)
+    finally:
+        out.close()
+
+
+@query("k1_damaged_extract", push_oracle("""
+SELECT 'sent' AS what, period, count(*) AS n FROM cls WHERE class IN ('valid', 'to_delete') GROUP BY period
+UNION ALL SELECT 'set aside', NULL, 1"""))
+def q_k1_damaged(spark, sf_dir):
+    """Good extracts and one whose data pages are damaged (footer whole). Every
+    point of the good ones is sent, none of the damaged one's, which is listed."""
+    root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
+    other = _scratch(spark, "other")
+    dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
+    io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"))
+    io.write_extract(dv.coalesce(1), other, "dsB", SPLIT_MONTH, files_per_partition=1)
+    damage(spark, other, f"{root}/data_type=DATA_ELEMENT/extract_id=dsB/extract_period={SPLIT_MONTH}/part-0.parquet")
+    transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
+    incremental_push(spark, root, out, ckpt, transform, max_post=MAX_POST, skip_unreadable=True).awaitTermination()
+    sent = read_payloads(spark, out).groupBy("period").agg(F.sum("n_points").alias("n"))
+    aside = read_unreadable_files(spark, out).agg(F.count_distinct("path").alias("n"))
+    return (sent.select(F.lit("sent").alias("what"), "period", "n")
+            .unionByName(aside.select(F.lit("set aside").alias("what"), F.lit(None).cast("string").alias("period"),
+                                      "n")))
+
+
 @query("k2_drain_until_finished", push_oracle(
     "SELECT class AS phase, period, count(*) AS n_points FROM cls WHERE class IN ('valid', 'to_delete') "
     "GROUP BY class, period"))
 def q_k2(spark, sf_dir):
-    """Drain a backlog in many small micro-batches (two files per trigger)
-    until nothing is left (availableNow), then stop. Batches of a period may
-    now be cut per micro-batch, so the check is lossless delivery: every
-    valid / to-delete point of every period is sent exactly once."""
+    """Drain a backlog in micro-batches of at most 48 files until nothing is left
+    (availableNow), then stop. Batches of a period may now be cut per
+    micro-batch, so the check is lossless delivery: every valid / to-delete
+    point of every period is sent exactly once."""
     root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
     transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
     io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"), files_per_partition=2)
-    q = (extract_stream(spark, root, max_files_per_trigger=48).writeStream
-         .foreachBatch(push_batch(transform, out, max_post=MAX_POST))
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
-    q.awaitTermination()
+    incremental_push(spark, root, out, ckpt, transform, max_post=MAX_POST,
+                     max_files_per_trigger=48).awaitTermination()
     return (read_payloads(spark, out).groupBy("phase", "period")
             .agg(F.sum("n_points").alias("n_points")))
 
 
-@query("k3_change_detection", fixtures.with_views(["fx_data_values"], """
-SELECT DISTINCT period AS unit FROM fx_data_values"""))
+_WEEK = "substr(period, 1, 4) || 'W' || CAST(CAST(substr(period, 5, 2) AS INT) * 4 AS {})"
+_QUARTER = "substr(period, 1, 4) || 'Q' || CAST(CAST(floor((CAST(substr(period, 5, 2) AS INT) + 2) / 3) AS INT) AS {})"
+
+
+@query("k3_change_detection", fixtures.with_views(["fx_data_values"], f"""
+SELECT DISTINCT period AS unit, 'monthly' AS frequency FROM fx_data_values
+UNION SELECT substr(period, 1, 4), 'yearly' FROM fx_data_values
+UNION SELECT {_WEEK.format('VARCHAR')}, 'weekly' FROM fx_data_values
+UNION SELECT {_QUARTER.format('VARCHAR')}, 'quarterly' FROM fx_data_values"""))
 def q_k3(spark, sf_dir):
-    """Two writes (the second rewrites a year and adds the rest); the months
-    to queue are the union of the partitions each write reports."""
+    """Writes at four frequencies, some periods twice; every period written is
+    to be queued once, weeks 4 to 48 and quarters included."""
     root = _scratch(spark, "extracts")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
-    first = io.write_extract(dv.where(F.col("period") < SPLIT_MONTH), root, "dsA", F.col("period"))
-    first = first.checkpoint(eager=True)
-    second = io.write_extract(dv.where(F.col("period") >= "1997"), root, "dsA", F.col("period"))
-    yearly = io.write_extract(dv.withColumn("period", F.substring("period", 1, 4)), root, "dsY",
-                              F.col("period"))
-    months = dv.select(F.col("period").alias("month")).distinct()
-    return changed_months(first.unionByName(second).unionByName(yearly), run_months=months)
+    feed = io.write_extract(dv.where(F.col("period") < SPLIT_MONTH), root, "dsA", F.col("period"))
+    feed = feed.unionByName(io.write_extract(dv.where(F.col("period") >= "1997"), root, "dsA", F.col("period")))
+    for label, period in (("dsY", "substr(period, 1, 4)"), ("dsW", _WEEK.format("STRING")),
+                          ("dsQ", _QUARTER.format("STRING"))):
+        feed = feed.unionByName(io.write_extract(dv, root, label, F.expr(period)))
+    return changed_units(feed)
 
 
 @query("k5_pending_batches", fixtures.with_views(["fx_requested", "fx_finished"], """

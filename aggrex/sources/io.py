@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from aggrex.functions.periods import frequency_of
 from aggrex.schemas import (ANALYTICS, CATEGORY_COMBO, COMPLETION, DATA_POINT, DATA_POINT_COLUMNS,
                             DATA_VALUE, DATASET, ORG_UNIT)
 
@@ -69,18 +70,45 @@ def scan_extracts_for_periods(spark: SparkSession, root: str, periods: DataFrame
     return df.join(sized_broadcast(periods.select("extract_period").distinct()), "extract_period", "left_semi")
 
 
+def split_readable(spark: SparkSession, paths: list[str], schema=DATA_POINT, fmt: str = "parquet",
+                   base_path: str | None = None) -> tuple[list[str], list[tuple[str, str]]]:
+    """(readable paths, [(unreadable path, error)]). Every column of every row is
+    read: footers say nothing about damaged pages. All files are read in one
+    job; only if that fails are halves tried, until the damaged files stand
+    alone, so the extra jobs grow with the damaged files."""
+    def reads(some: list[str]) -> str | None:
+        r = spark.read.schema(schema).format(fmt).option("ignoreCorruptFiles", "false")
+        if base_path:
+            r = r.option("basePath", base_path)
+        try:
+            r.load(some).write.format("noop").mode("overwrite").save()
+        except Exception as e:  # noqa: BLE001 - whatever the reader raises is the finding
+            return (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
+        return None
+
+    good, bad, todo = [], [], [list(paths)] if paths else []
+    while todo:
+        some = todo.pop()
+        error = reads(some)
+        if error is None:
+            good += some
+        elif len(some) == 1:
+            bad.append((some[0], error))
+        else:
+            todo += [some[:len(some) // 2], some[len(some) // 2:]]
+    return sorted(good), sorted(bad)
+
+
+UNREADABLE_FILE = "path string, error string"
+
+
 def unreadable_files(spark: SparkSession, root: str, glob: str = "*.parquet") -> DataFrame:
-    """Extract files that cannot be used: listed under ``root`` but giving no
-    readable rows (corrupt, truncated or holding no rows). A distributed
-    anti-join of the file listing (``binaryFile`` source, content not read)
-    against the files a tolerant read actually produced rows from — the
-    quarantine list that ``ignoreCorruptFiles`` alone would hide."""
+    """(path, error) of the extract files under ``root`` that cannot be read in
+    full — damaged, truncated or partly readable ones."""
     listed = (spark.read.format("binaryFile").option("pathGlobFilter", glob)
-              .option("recursiveFileLookup", "true").load(root).select("path", "length"))
-    readable = (spark.read.schema(DATA_POINT).option("ignoreCorruptFiles", "true")
-                .option("recursiveFileLookup", "true").option("pathGlobFilter", glob).parquet(root)
-                .select(F.col("_metadata.file_path").alias("path")).distinct())
-    return listed.join(readable, "path", "left_anti")
+              .option("recursiveFileLookup", "true").load(root).select("path"))
+    paths = [r["path"] for r in listed.toLocalIterator()]
+    return spark.createDataFrame(split_readable(spark, paths)[1], UNREADABLE_FILE)
 
 
 def scan_extract_files(spark: SparkSession, folder: str, glob: str) -> DataFrame:
@@ -152,7 +180,8 @@ def scan_analytics(spark: SparkSession, path: str, fmt: str = "json") -> DataFra
 
 def scan_completions(spark: SparkSession, path: str, fmt: str = "json", schema=COMPLETION,
                      corrupt_column: str | None = None) -> DataFrame:
-    """A8 input: dataset completion registrations. With ``corrupt_column``,
+    """A8 input: dataset completion registrations (``completions_under`` narrows
+    them to a dataset, a period and a subtree). With ``corrupt_column``,
     lines that are not valid JSON (failed fetches) are kept with their raw
     text in that column instead of being read as all-NULL rows."""
     if corrupt_column:
@@ -167,8 +196,8 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
     only the partitions present in ``df`` (dynamic partition overwrite; the
     output commit protocol makes the replacement task-atomic).
 
-    Returns the (data_type, extract_id, extract_period) partitions written —
-    the change feed for K3.
+    Returns the (data_type, extract_id, extract_period, frequency) partitions
+    written — the change feed for K3 (the session needs a checkpoint folder).
 
     The write shuffle is a range partitioning on (partition columns, row
     ordinal): Spark samples the data, so a hot period is split over as many
@@ -183,22 +212,20 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
         out = out.withColumn("extract_period", extract_period if not isinstance(extract_period, str)
                              else F.lit(extract_period))
     out = out.select(*DATA_POINT_COLUMNS, *[c for c in EXTRACT_PARTITIONS if c not in DATA_POINT_COLUMNS])
-    spark = out.sparkSession
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        if files_per_partition:
-            salt = F.pmod(F.xxhash64(*DATA_POINT_COLUMNS), F.lit(files_per_partition))
-            spread = out.repartition(*EXTRACT_PARTITIONS, salt)
-        else:
-            # The row ordinal (not a content hash) closes the key, so even
-            # identical copies spread over writer tasks.
-            spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.monotonically_increasing_id())
-        spread.write.mode("overwrite").partitionBy(*EXTRACT_PARTITIONS).parquet(root)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
-    return (read_extract_table(spark, root).select(*EXTRACT_PARTITIONS).distinct()
-            .join(out.select(*EXTRACT_PARTITIONS).distinct(), EXTRACT_PARTITIONS, "left_semi"))
+    if files_per_partition:
+        salt = F.pmod(F.xxhash64(*DATA_POINT_COLUMNS), F.lit(files_per_partition))
+        spread = out.repartition(*EXTRACT_PARTITIONS, salt)
+    else:
+        # The row ordinal (not a content hash) closes the key, so even
+        # identical copies spread over writer tasks.
+        spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.monotonically_increasing_id())
+    # The feed comes from the rows themselves, not from the table: it costs no
+    # scan of the extract's history, and later writes cannot change it.
+    feed = (out.select(*EXTRACT_PARTITIONS).distinct()
+            .withColumn("frequency", frequency_of("extract_period")).checkpoint(eager=True))
+    (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy(*EXTRACT_PARTITIONS).parquet(root))
+    return feed
 
 
 def write_payloads(batches: DataFrame, path: str, fmt: str = "parquet",

@@ -18,15 +18,21 @@ from pyspark.sql import functions as F
 from aggrex.operators.dims import sized_broadcast
 from aggrex.operators.mapping import dispatch_by_type
 from aggrex.operators.push import classify_data_points, payload_batches
-from aggrex.sources.io import EXTRACT_TABLE
+from aggrex.sources.io import EXTRACT_TABLE, UNREADABLE_FILE, split_readable
 
 
-def extract_stream(spark: SparkSession, root: str, max_files_per_trigger: int | None = None,
-                   skip_unreadable: bool = True) -> DataFrame:
-    """New files of the partitioned extract table, with its fixed schema.
-    Unreadable files are skipped (the reference drops unreadable items);
-    ``sources.io.unreadable_files`` lists them for the quarantine."""
-    r = spark.readStream.schema(EXTRACT_TABLE).option("ignoreCorruptFiles", str(skip_unreadable).lower())
+# Fixed value: the columns of Spark's binaryFile source.
+BINARY_FILE = "path string, modificationTime timestamp, length bigint, content binary"
+# Files a micro-batch takes at most, so that a backlog is worked off in batches of bounded size.
+MAX_FILES_PER_TRIGGER = 1000
+
+
+def extract_stream(spark: SparkSession, root: str,
+                   max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER) -> DataFrame:
+    """New files of the partitioned extract table, with its fixed schema. A file
+    that cannot be read fails the stream (``incremental_push`` can set such
+    files aside instead); nothing is skipped silently."""
+    r = spark.readStream.schema(EXTRACT_TABLE).option("ignoreCorruptFiles", "false")
     if max_files_per_trigger:
         r = r.option("maxFilesPerTrigger", max_files_per_trigger)
     return r.parquet(root)
@@ -55,50 +61,84 @@ def push_batch(transform, out_root: str, max_post: int = 500,
         else:
             mapped = transform(df)
         classified = classify_data_points(mapped, require_numeric=require_numeric)
-        classified = classified.persist()
-        try:
-            batches = payload_batches(classified, max_post=max_post, generation=generation,
-                                      group_cols=list(group_cols), value_as_number=require_numeric)
-            (batches.withColumn("micro_batch", F.lit(batch_id)).write.mode("overwrite")
-                    .parquet(f"{out_root}/payloads/batch_id={batch_id}"))
-            (classified.where(F.col("class") == "invalid")
-                       .withColumn("missing", F.array_join("missing", ","))
-                       .write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}"))
-        finally:
-            classified.unpersist()
+        batches = payload_batches(classified, max_post=max_post, generation=generation,
+                                  group_cols=list(group_cols), value_as_number=require_numeric)
+        (batches.withColumn("micro_batch", F.lit(batch_id)).write.mode("overwrite")
+                .parquet(f"{out_root}/payloads/batch_id={batch_id}"))
+        (classified.where(F.col("class") == "invalid")
+                   .withColumn("missing", F.array_join("missing", ","))
+                   .write.mode("overwrite").parquet(f"{out_root}/quarantine/batch_id={batch_id}"))
+    return run
+
+
+def push_readable_files(extract_root: str, out_root: str, push: Callable[[DataFrame, int], None]
+                        ) -> Callable[[DataFrame, int], None]:
+    """A ``foreachBatch`` body over new *paths*: files that read in full are
+    pushed; the others are written to ``unreadable_files`` under the batch id
+    (path, error), none of their rows are sent, and the run goes on. The files
+    of a micro-batch are at most ``max_files_per_trigger`` paths."""
+    def run(files: DataFrame, batch_id: int) -> None:
+        spark = files.sparkSession
+        paths = [r["path"] for r in files.select("path").collect()]
+        good, bad = split_readable(spark, paths, EXTRACT_TABLE, base_path=extract_root)
+        if bad:
+            (spark.createDataFrame(bad, UNREADABLE_FILE).write.mode("overwrite")
+             .parquet(f"{out_root}/unreadable_files/batch_id={batch_id}"))
+        if good:
+            push(spark.read.schema(EXTRACT_TABLE).option("basePath", extract_root).parquet(*good), batch_id)
     return run
 
 
 def incremental_push(spark: SparkSession, extract_root: str, out_root: str, checkpoint: str,
                      transform: Callable[[DataFrame], DataFrame], max_post: int = 500, generation: str = "gen2",
-                     continuous_every: str | None = None, **kw):
+                     continuous_every: str | None = None, skip_unreadable: bool = False,
+                     max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER, **kw):
     """K1 + K2: run the push consumer. By default drain everything available
     and stop (``availableNow``); with ``continuous_every`` (e.g. '5 minutes')
-    keep polling like the reference's wait loop. Returns the query handle."""
-    w = (extract_stream(spark, extract_root).writeStream
-         .foreachBatch(push_batch(transform, out_root, max_post, generation, **kw))
-         .option("checkpointLocation", checkpoint))
+    keep polling like the reference's wait loop. An unreadable file fails the
+    query, or with ``skip_unreadable`` is set aside (``push_readable_files``).
+    Returns the query handle."""
+    body = push_batch(transform, out_root, max_post, generation, **kw)
+    if skip_unreadable:
+        # The listing is the queue: the content column is not read here.
+        r = (spark.readStream.format("binaryFile").schema(BINARY_FILE).option("pathGlobFilter", "*.parquet"))
+        if max_files_per_trigger:
+            r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+        w = r.load(extract_root).select("path").writeStream.foreachBatch(
+            push_readable_files(extract_root, out_root, body))
+    else:
+        w = extract_stream(spark, extract_root, max_files_per_trigger).writeStream.foreachBatch(body)
+    w = w.option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=continuous_every) if continuous_every else w.trigger(availableNow=True)
     return w.start()
 
 
+def read_unreadable_files(spark: SparkSession, out_root: str) -> DataFrame:
+    """The files set aside so far (path, error, batch_id)."""
+    return spark.read.schema(f"{UNREADABLE_FILE}, batch_id bigint").parquet(f"{out_root}/unreadable_files")
+
+
 def read_payloads(spark: SparkSession, out_root: str) -> DataFrame:
     """A11 read side: all payload batches written so far."""
     return spark.read.parquet(f"{out_root}/payloads")
 
 
-def changed_months(written_partitions: DataFrame, run_months: DataFrame | None = None) -> DataFrame:
-    """K3: months to (re)queue: every month whose extracts were written. A
-    rewritten yearly partition re-queues the run's months of that year
-    (``run_months``: (month), period-sized, broadcast behind a size check)."""
-    p = F.col("extract_period")
-    monthly = written_partitions.where(F.length(p) == 6).select(p.alias("unit"))
+def changed_units(written_partitions: DataFrame, run_months: DataFrame | None = None) -> DataFrame:
+    """K3: (unit, frequency) to (re)queue for the partitions written
+    (``write_extract``'s feed: extract_period, frequency).
+
+    Every period whose extract was written is a unit, at its own frequency:
+    months, weeks, quarters and years. When the run is by month (``run_months``:
+    (month), period-sized), a rewritten year re-queues the run's months of that
+    year instead of itself, as monthly units are merged with their year."""
+    units = written_partitions.select(F.col("extract_period").alias("unit"), "frequency")
     if run_months is None:
-        return monthly.distinct()
+        return units.distinct()
     months = sized_broadcast(run_months.select(F.col("month").alias("unit")).distinct())
-    years = written_partitions.where(F.length(p) == 4).select(p.alias("_year")).distinct()
-    yearly = years.join(months, F.col("_year") == F.substring("unit", 1, 4)).select("unit")
-    return monthly.unionByName(yearly).distinct()
+    years = units.where(F.col("frequency") == "yearly").select(F.col("unit").alias("_year")).distinct()
+    yearly = years.join(months, F.col("_year") == F.substring("unit", 1, 4)).select(
+        "unit", F.lit("monthly").alias("frequency"))
+    return units.where(~F.col("frequency").eqNullSafe("yearly")).unionByName(yearly).distinct()
 
 
 def pending_batches(requested: DataFrame, finished: DataFrame) -> DataFrame:
@@ -142,31 +182,57 @@ def next_pending(pending: DataFrame) -> DataFrame:
                        F.min("open_since").alias("open_since"), F.count(F.lit(1)).alias("n_pending"))
 
 
+TODO_UNIT = "dataset string, period string, org_unit string"
+LEDGER_UNIT = "dataset string, period string, org_unit string, batch_id bigint"
 
-TODO_UNIT = "period string, org_unit string"
 
-
-def completion_sync_stream(spark: SparkSession, todo_root: str, ledger_path: str, out_root: str,
-                           checkpoint: str, registrations: DataFrame, dataset_pairs: DataFrame,
-                           order_col: str, direct: DataFrame | None = None, continuous_every: str | None = None):
-    """K4 as a stream: new files of (period, org_unit) units to sync arrive
-    under ``todo_root``; each micro-batch skips units already in the ledger,
-    writes the completion payloads of the rest under ``batch_id=<id>``
-    (overwrite) and then appends them to the ledger (partitioned by period).
-    A replayed batch rewrites the same payloads and appends nothing new, so
-    the run is resumable at any point. Returns the query handle."""
+def sync_batch(ledger_path: str, out_root: str, registrations: DataFrame, dataset_pairs: DataFrame,
+               order_col: str, direct: DataFrame | None = None) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` body of K4: skip units that the ledger has from
+    *other* batches, write the payloads of the rest under ``batch_id=<id>``
+    (overwrite), and put into the ledger, under the same batch id, the units
+    that have no status and so nothing to push. Units that were sent join the
+    ledger once their response says so (``record_outcomes``), so a failed push
+    is tried again. A replayed batch sees the ledger as it was for its first
+    run: it rewrites the same payloads and the same ledger rows."""
     from aggrex.operators.completion import completion_sync
 
     def run(todo: DataFrame, batch_id: int) -> None:
         if todo.isEmpty():
             return
-        ledger = spark.read.schema(TODO_UNIT).parquet(ledger_path)
+        spark = todo.sparkSession
+        ledger = spark.read.schema(LEDGER_UNIT).parquet(ledger_path)
+        ledger = ledger.where(~F.col("batch_id").eqNullSafe(F.lit(batch_id)))
         payloads, additions = completion_sync(todo, registrations, ledger, dataset_pairs, order_col, direct)
+        # Computed before it is written: the ledger is also an input.
         additions = additions.checkpoint(eager=True)
         payloads.write.mode("overwrite").parquet(f"{out_root}/completions/batch_id={batch_id}")
-        additions.write.mode("append").partitionBy("period").parquet(ledger_path)
+        (additions.withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ledger_path))
+    return run
+
 
-    w = (spark.readStream.schema(TODO_UNIT).parquet(todo_root).writeStream.foreachBatch(run)
-         .option("checkpointLocation", checkpoint))
+def completion_sync_stream(spark: SparkSession, todo_root: str, ledger_path: str, out_root: str,
+                           checkpoint: str, registrations: DataFrame, dataset_pairs: DataFrame,
+                           order_col: str, direct: DataFrame | None = None, continuous_every: str | None = None,
+                           max_files_per_trigger: int | None = MAX_FILES_PER_TRIGGER):
+    """K4 as a stream: new files of (dataset, period, org_unit) units to sync
+    arrive under ``todo_root`` and go through ``sync_batch``. Returns the query
+    handle."""
+    body = sync_batch(ledger_path, out_root, registrations, dataset_pairs, order_col, direct)
+    r = spark.readStream.schema(TODO_UNIT)
+    if max_files_per_trigger:
+        r = r.option("maxFilesPerTrigger", max_files_per_trigger)
+    w = r.parquet(todo_root).writeStream.foreachBatch(body).option("checkpointLocation", checkpoint)
     w = w.trigger(processingTime=continuous_every) if continuous_every else w.trigger(availableNow=True)
     return w.start()
+
+
+def record_outcomes(outcomes: DataFrame, ledger_path: str, batch_id: int) -> None:
+    """G3 + J8: the units whose push succeeded, appended to the ledger under
+    ``batch_id`` (a number of the caller's own, e.g. negative for outcomes, so
+    a repeated call replaces its rows). Failed pushes stay out and are due again."""
+    from aggrex.operators.completion import successful_units
+
+    (successful_units(outcomes).withColumn("batch_id", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy("batch_id").parquet(ledger_path))
