@@ -47,6 +47,7 @@ SELECT id, CASE WHEN k >= 0 AND k % 7 = 0 THEN upper(name) || ' OLD' ELSE name E
        CASE WHEN k >= 0 AND k % 17 = 0 THEN 'N0' ELSE parent_id END AS parent_id, level, path,
        CASE WHEN k >= 0 AND k % 15 = 0 THEN '{"coordinates": [1, 2], "type": "Point"}'
             WHEN k >= 0 AND k % 25 = 0 THEN '{"type":"Point","coordinates":[1,3]}'
+            WHEN k >= 0 AND k % 5 = 0 AND k % 4 = 1 THEN '{"type":"Point","coordinates":[1.0,2.00]}'
             ELSE geometry END AS geometry, k
 FROM fx_pyramid_source WHERE k < 0 OR k % 10 <> 0
 """)
@@ -84,7 +85,8 @@ FROM orders
 
 # org units already synchronised
 _view("fx_processed", [], """
-SELECT DISTINCT CAST(year(o_orderdate) AS STRING) AS period, 'C' || CAST(o_custkey AS STRING) AS org_unit
+SELECT DISTINCT 'DS' || CAST(o_orderkey % 2 + 1 AS STRING) AS dataset, CAST(year(o_orderdate) AS STRING) AS period,
+       'C' || CAST(o_custkey AS STRING) AS org_unit
 FROM orders WHERE o_custkey % 4 = 0
 """)
 

@@ -13,23 +13,30 @@ from aggrex.operators.dims import sized_broadcast
 from aggrex.operators.hierarchy import descendants_by_path, select_descendants
 from aggrex.operators.reports import COUNT_KEYS
 
+
+UNIT = ["dataset", "period", "org_unit"]
+
+
 def completions_under(registrations: DataFrame, units: DataFrame, parents: list[str],
-                      dataset: str | None = None, use_path: bool = True) -> DataFrame:
-    """Registrations of ``dataset`` for the parents and all their
-    descendants (the bulk table the reference fetches per parent)."""
+                      dataset: str | None = None, period: str | list[str] | None = None,
+                      use_path: bool = True) -> DataFrame:
+    """Registrations of ``dataset`` and ``period`` for the parents and all
+    their descendants (the bulk table the reference fetches per parent)."""
     below = descendants_by_path(units, parents) if use_path else select_descendants(units, parents)
     regs = registrations if dataset is None else registrations.where(F.col("dataSet") == F.lit(dataset))
+    if period is not None:
+        regs = regs.where(F.col("period").isin([period] if isinstance(period, str) else list(period)))
     return regs.join(sized_broadcast(below.select(F.col("id").alias("organisationUnit"))),
                      "organisationUnit", "left_semi")
 
 
 def unprocessed_org_units(todo: DataFrame, ledger: DataFrame | None) -> DataFrame:
-    """(period, org_unit) pairs not yet in the ledger; NULL ledger rows
-    are ignored; no ledger -> everything."""
+    """(dataset, period, org_unit) units not yet in the ledger; NULL ledger
+    rows are ignored; no ledger -> everything."""
     if ledger is None:
         return todo
-    done = ledger.where(F.col("org_unit").isNotNull()).select("period", "org_unit")
-    return todo.join(done, ["period", "org_unit"], "left_anti")
+    done = ledger.where(F.col("org_unit").isNotNull()).select(*UNIT)
+    return todo.join(done, UNIT, "left_anti")
 
 
 def first_registration(registrations: DataFrame, order_col: str) -> DataFrame:
@@ -42,20 +49,21 @@ def first_registration(registrations: DataFrame, order_col: str) -> DataFrame:
 
 def completion_lookup(todo: DataFrame, registrations: DataFrame, order_col: str,
                       direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(with status, without status) for the todo units: the first
-    registration from the bulk table (A8); units it lacks are looked up in
-    ``direct`` (all registrations — the reference's per-unit fetch) when
-    given. Units without any status have nothing to push but still count as
-    processed."""
-    first = first_registration(registrations, order_col).withColumnRenamed("organisationUnit", "org_unit")
-    with_status = todo.join(first, ["period", "org_unit"], "inner")
+    """(with status, without status) for the todo units (dataset, period,
+    org_unit): the first registration from the bulk table (A8); units it lacks
+    — of that dataset — take the first of ``direct`` (all registrations, the
+    reference's per-unit fetch) when given. One aggregation over both (bulk
+    before direct), one join. Units without any status have nothing to push
+    but still count as processed."""
+    every = registrations.withColumn("_direct", F.lit(0))
     if direct is not None:
-        missing = todo.join(first.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
-        fetched = first_registration(direct.join(missing.withColumnRenamed("org_unit", "organisationUnit"),
-                                                 ["period", "organisationUnit"], "left_semi"), order_col)
-        with_status = with_status.unionByName(
-            missing.join(fetched.withColumnRenamed("organisationUnit", "org_unit"), ["period", "org_unit"], "inner"))
-    without = todo.join(with_status.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
+        every = every.unionByName(direct.withColumn("_direct", F.lit(1)), allowMissingColumns=True)
+    cols = [c for c in registrations.columns]
+    first = (every.groupBy("dataSet", "period", "organisationUnit")
+             .agg(F.min_by(F.struct(*cols), F.struct("_direct", order_col)).alias("_r")).select("_r.*")
+             .withColumnsRenamed({"organisationUnit": "org_unit", "dataSet": "dataset"}))
+    with_status = todo.join(first, UNIT, "inner")
+    without = todo.join(first.select(*UNIT), UNIT, "left_anti")
     return with_status, without
 
 
@@ -63,12 +71,12 @@ def completion_payload(status: DataFrame, dataset_pairs: DataFrame) -> DataFrame
     """The registration for the target: source dataset id replaced by the
     target one (broadcast join on the configured pairs), date and completed
     carried, wrapped as ``{"completeDataSetRegistrations":[..]}``."""
-    pairs = sized_broadcast(dataset_pairs.select(F.col("source_dataset").alias("dataSet"), "target_dataset"))
-    j = status.join(pairs, "dataSet", "inner")
+    pairs = sized_broadcast(dataset_pairs.select(F.col("source_dataset").alias("dataset"), "target_dataset"))
+    j = status.join(pairs, "dataset", "inner")
     reg = F.struct(F.col("org_unit").alias("organisationUnit"), F.col("period").alias("period"),
                    F.col("completed").alias("completed"), F.col("date").alias("date"),
                    F.col("target_dataset").alias("dataSet"))
-    return j.select("period", "org_unit", F.col("target_dataset").alias("dataset"),
+    return j.select("dataset", "period", "org_unit", "target_dataset",
                     F.to_json(F.struct(F.array(reg).alias("completeDataSetRegistrations"))).alias("payload"))
 
 
@@ -95,22 +103,29 @@ def completion_summary(outcomes: DataFrame, by: list[str] = (), fetch_errors: in
     return agg
 
 
+def successful_units(outcomes: DataFrame) -> DataFrame:
+    """Units whose completion was pushed (J8 outcome 'ok'): only these are done.
+    A failed push stays out of the ledger and is tried again by the next run."""
+    return outcomes.where(F.col("outcome") == "ok").select(*UNIT).distinct()
+
+
 def merge_ledger(existing: DataFrame | None, processed: DataFrame) -> DataFrame:
     """Rows to append so the ledger holds existing ∪ processed — only the
-    new (period, org_unit) pairs, so appends stay idempotent."""
-    new = processed.select("period", "org_unit").where(F.col("org_unit").isNotNull()).distinct()
+    new (dataset, period, org_unit) units, so appends stay idempotent."""
+    new = processed.select(*UNIT).where(F.col("org_unit").isNotNull()).distinct()
     if existing is None:
         return new
-    return new.join(existing.select("period", "org_unit"), ["period", "org_unit"], "left_anti")
+    return new.join(existing.select(*UNIT), UNIT, "left_anti")
 
 
 def completion_sync(todo: DataFrame, registrations: DataFrame, ledger: DataFrame | None,
                     dataset_pairs: DataFrame, order_col: str,
                     direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """K4: one resumable step: skip processed units (C12), look up their
-    status (C13), build payloads (J4) and the ledger rows to append (G3) —
-    every processed unit is recorded, with or without a status."""
+    """K4: one resumable step: skip processed units (C12), look up their status
+    (C13), build payloads (J4). The ledger rows returned are the units without a
+    status — done, as nothing is to be pushed; units with a payload follow once
+    their outcome is known (``successful_units``)."""
     todo_now = unprocessed_org_units(todo, ledger)
-    with_status, _ = completion_lookup(todo_now, registrations, order_col, direct)
+    with_status, without = completion_lookup(todo_now, registrations, order_col, direct)
     payloads = completion_payload(with_status, dataset_pairs)
-    return payloads, merge_ledger(ledger, todo_now)
+    return payloads, merge_ledger(ledger, without)

@@ -9,12 +9,13 @@ from pyspark.sql import types as T
 
 from aggrex import fixtures
 from aggrex.operators.completion import (completion_lookup, completion_payload, completion_summary,
-                                         completion_sync, completions_under, merge_ledger, unprocessed_org_units)
+                                         completions_under, merge_ledger, unprocessed_org_units)
 from aggrex.operators.reports import COUNT_KEYS, completion_outcome
 from aggrex.registry import query
 from aggrex.schemas import COMPLETION
 from aggrex.session import checkpoint_dir
 from aggrex.sources import io
+from aggrex.streaming.incremental import record_outcomes, sync_batch
 
 COMPLETION_WITH_ORDINAL = T.StructType(COMPLETION.fields + [T.StructField("row_id", T.LongType())])
 
@@ -31,34 +32,37 @@ _PAIRS_SQL = "(VALUES " + ", ".join(f"('{s}', '{t}')" for s, t in PAIRS) + ") AS
 _CTES = [
     ("regs", f"""SELECT * FROM fx_completions WHERE dataSet IN ({_DS_SQL})
       AND organisationUnit IN (SELECT id FROM fx_pyramid_source WHERE {_IN_PARENTS_SQL})"""),
-    ("todo", """SELECT DISTINCT substr(period, 1, 4) AS period, orgUnit AS org_unit FROM fx_data_values
-      WHERE orgUnit IS NOT NULL"""),
-    ("todo_now", """SELECT * FROM todo t WHERE NOT EXISTS (SELECT 1 FROM fx_processed p
-      WHERE p.org_unit IS NOT NULL AND p.period = t.period AND p.org_unit = t.org_unit)"""),
-    ("firsts", """SELECT dataSet, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
+    ("todo", f"""SELECT DISTINCT d.dataset, substr(v.period, 1, 4) AS period, v.orgUnit AS org_unit
+      FROM fx_data_values v JOIN (VALUES {", ".join(f"('{x}')" for x, _ in PAIRS)}) AS d(dataset) ON true
+      WHERE v.orgUnit IS NOT NULL"""),
+    ("todo_now", """SELECT * FROM todo t WHERE NOT EXISTS (SELECT 1 FROM fx_processed p WHERE p.org_unit IS NOT NULL
+      AND p.dataset = t.dataset AND p.period = t.period AND p.org_unit = t.org_unit)"""),
+    ("bulk", """SELECT dataSet AS dataset, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
       arg_min(completed, row_id) AS completed, min(row_id) AS row_id
       FROM regs GROUP BY dataSet, period, organisationUnit"""),
-    ("all_firsts", f"""SELECT dataSet, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
+    ("fetched", f"""SELECT dataSet AS dataset, period, organisationUnit AS org_unit, arg_min(date, row_id) AS date,
       arg_min(completed, row_id) AS completed, min(row_id) AS row_id
       FROM fx_completions WHERE dataSet IN ({_DS_SQL}) GROUP BY dataSet, period, organisationUnit"""),
-    ("with_status", """SELECT t.period, t.org_unit, f.dataSet, f.date, f.completed, f.row_id
-      FROM todo_now t JOIN firsts f ON f.period = t.period AND f.org_unit = t.org_unit
+    # One unit (dataset, period, org unit) at a time: the bulk table if it has the unit, else the unit's own fetch.
+    ("with_status", """SELECT t.dataset, t.period, t.org_unit, b.date, b.completed, b.row_id
+      FROM todo_now t JOIN bulk b USING (dataset, period, org_unit)
       UNION ALL
-      SELECT t.period, t.org_unit, a.dataSet, a.date, a.completed, a.row_id
-      FROM todo_now t JOIN all_firsts a ON a.period = t.period AND a.org_unit = t.org_unit
-      WHERE NOT EXISTS (SELECT 1 FROM firsts f WHERE f.period = t.period AND f.org_unit = t.org_unit)"""),
-    ("payloads", f"""SELECT w.period, w.org_unit, pr.target_dataset AS dataset,
+      SELECT t.dataset, t.period, t.org_unit, f.date, f.completed, f.row_id
+      FROM todo_now t JOIN fetched f USING (dataset, period, org_unit)
+      WHERE NOT EXISTS (SELECT 1 FROM bulk b WHERE b.dataset = t.dataset AND b.period = t.period
+                        AND b.org_unit = t.org_unit)"""),
+    ("payloads", f"""SELECT w.dataset, w.period, w.org_unit, pr.target_dataset,
       '{{"completeDataSetRegistrations":[{{"organisationUnit":"' || w.org_unit || '","period":"' || w.period
       || '","completed":' || CASE WHEN w.completed THEN 'true' ELSE 'false' END || ',"date":"' || w.date
       || '","dataSet":"' || pr.target_dataset || '"}}]}}' AS payload
-      FROM with_status w JOIN {_PAIRS_SQL} ON pr.source_dataset = w.dataSet"""),
-    ("resp", """SELECT p.period, p.org_unit, p.dataset, r.body FROM payloads p
-      JOIN fx_import_reports r ON 'C' || CAST(r.batch_id AS VARCHAR) = p.org_unit"""),
-    ("outcomes", """SELECT period, org_unit, dataset, status, outcome,
+      FROM with_status w JOIN {_PAIRS_SQL} ON pr.source_dataset = w.dataset"""),
+    ("resp", """SELECT p.dataset, p.period, p.org_unit, CASE WHEN r.batch_id % 8 = 4 THEN '{ }' ELSE r.body END AS body
+      FROM payloads p JOIN fx_import_reports r ON 'C' || CAST(r.batch_id AS VARCHAR) = p.org_unit"""),
+    ("outcomes", """SELECT dataset, period, org_unit, status, outcome,
       CASE WHEN outcome = 'no_json' THEN 1 WHEN outcome = 'conflict' THEN n_conf ELSE 0 END AS push_errors, """
      + ", ".join(f"CASE WHEN outcome IN ('conflict', 'ok') THEN coalesce(CAST(json_extract(body, '$.importCount.{k}')"
                  f" AS BIGINT), 0) ELSE 0 END AS {k}" for k in COUNT_KEYS) + """
-      FROM (SELECT *, CASE WHEN NOT json_valid(body) THEN 'no_json'
+      FROM (SELECT *, CASE WHEN NOT json_valid(body) OR body = '{ }' THEN 'no_json'
                            WHEN status IN ('ERROR', 'WARNING') OR n_conf > 0 THEN 'conflict'
                            WHEN status = 'SUCCESS' THEN 'ok' ELSE 'other' END AS outcome
             FROM (SELECT *, CASE WHEN json_valid(body) THEN json_extract_string(body, '$.status') END AS status,
@@ -86,7 +90,8 @@ def _inputs(spark, sf_dir):
     regs = completions_under(_registrations(spark, sf_dir).where(F.col("dataSet").isin(*[s for s, _ in PAIRS])),
                              units, PARENTS)
     todo = (spark.table("fx_data_values").where(F.col("orgUnit").isNotNull())
-            .select(F.substring("period", 1, 4).alias("period"), F.col("orgUnit").alias("org_unit")).distinct())
+            .select(F.explode(F.array(*[F.lit(s) for s, _ in PAIRS])).alias("dataset"),
+                    F.substring("period", 1, 4).alias("period"), F.col("orgUnit").alias("org_unit")).distinct())
     pairs = spark.createDataFrame(PAIRS, "source_dataset string, target_dataset string")
     return regs, todo, spark.table("fx_processed"), pairs
 
@@ -96,9 +101,14 @@ def _direct(spark):
     return spark.table("fx_completions").where(F.col("dataSet").isin(*[s for s, _ in PAIRS]))
 
 
-@query("a8_scan_completions", _oracle("SELECT * FROM regs", "regs"))
+PERIOD = "1995"
+
+
+@query("a8_scan_completions", _oracle(f"SELECT * FROM regs WHERE dataSet = 'DS1' AND period = '{PERIOD}'", "regs"))
 def q_a8(spark, sf_dir):
-    return _inputs(spark, sf_dir)[0]
+    fixtures.register(spark, sf_dir, VIEWS)
+    return completions_under(_registrations(spark, sf_dir), spark.table("fx_pyramid_source"), PARENTS,
+                             dataset="DS1", period=PERIOD)
 
 
 @query("c12_unprocessed_org_units", _oracle("SELECT * FROM todo_now", "todo_now"))
@@ -111,7 +121,7 @@ def q_c12(spark, sf_dir):
 def q_c13(spark, sf_dir):
     regs, todo, ledger, _ = _inputs(spark, sf_dir)
     with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id", _direct(spark))
-    return with_status.select("period", "org_unit", "dataSet", "date", "completed", "row_id")
+    return with_status.select("dataset", "period", "org_unit", "date", "completed", "row_id")
 
 
 def _payloads(spark, sf_dir):
@@ -129,8 +139,10 @@ def _outcomes(spark, sf_dir):
     rep = spark.table("fx_import_reports")
     p = _payloads(spark, sf_dir)
     resp = p.join(rep, F.concat(F.lit("C"), F.col("batch_id").cast("string")) == F.col("org_unit"), "inner")
-    return completion_outcome(resp.select("period", "org_unit", "dataset", "body"),
-                              keep=["period", "org_unit", "dataset"])
+    # Some answers are empty: no error in the JSON, but no answer either.
+    body = F.when(F.col("batch_id") % 8 == 4, "{ }").otherwise(F.col("body"))
+    return completion_outcome(resp.select("dataset", "period", "org_unit", body.alias("body")),
+                              keep=["dataset", "period", "org_unit"])
 
 
 @query("j8_completion_outcome", _oracle("SELECT * FROM outcomes", "outcomes"))
@@ -146,26 +158,52 @@ def q_d6(spark, sf_dir):
     return completion_summary(_outcomes(spark, sf_dir), by=["dataset"])
 
 
-@query("g3_merge_ledger", _oracle("SELECT DISTINCT period, org_unit FROM todo_now", "todo_now"))
+@query("g3_merge_ledger", _oracle("SELECT DISTINCT dataset, period, org_unit FROM todo_now", "todo_now"))
 def q_g3(spark, sf_dir):
     _, todo, ledger, _ = _inputs(spark, sf_dir)
     return merge_ledger(ledger, unprocessed_org_units(todo, ledger))
 
 
-@query("k4_resumable_completion_sync", _oracle(
-    "SELECT period, org_unit FROM fx_processed WHERE org_unit IS NOT NULL UNION SELECT period, org_unit FROM todo",
-    "todo"))
+_K4 = [("sent", "SELECT * FROM payloads"),
+       ("ok", "SELECT DISTINCT dataset, period, org_unit FROM outcomes WHERE outcome = 'ok'"),
+       ("none", """SELECT t.* FROM todo_now t WHERE NOT EXISTS (SELECT 1 FROM with_status w
+          WHERE w.dataset = t.dataset AND w.period = t.period AND w.org_unit = t.org_unit)"""),
+       ("done", """SELECT dataset, period, org_unit FROM fx_processed WHERE org_unit IS NOT NULL
+          UNION SELECT dataset, period, org_unit FROM none UNION SELECT dataset, period, org_unit FROM ok""")]
+
+
+@query("k4_resumable_completion_sync", fixtures.with_views(VIEWS, """
+SELECT 'first' AS step, dataset, period, org_unit, payload FROM sent
+UNION ALL SELECT 'replay', dataset, period, org_unit, payload FROM sent
+UNION ALL SELECT 'second', s.dataset, s.period, s.org_unit, s.payload FROM sent s
+  WHERE NOT EXISTS (SELECT 1 FROM ok o WHERE o.dataset = s.dataset AND o.period = s.period AND o.org_unit = s.org_unit)
+UNION ALL SELECT 'ledger', dataset, period, org_unit, CAST(NULL AS VARCHAR) FROM done""", _CTES + _K4))
 def q_k4(spark, sf_dir):
-    """Two sync steps against a ledger table: the first appends every unit it
-    processed, the second finds nothing left. Returns the ledger."""
+    """A completion sync with a replayed batch and failed pushes. The payloads
+    of the first batch, again after its replay, then of the next run over the
+    same units (only what failed or had no answer is due), and the ledger."""
     regs, todo, processed, pairs = _inputs(spark, sf_dir)
-    path = f"{checkpoint_dir(spark).rstrip('/')}/ledger-{uuid.uuid4().hex}"
-    processed.write.partitionBy("period").parquet(path)
-    for step in range(2):
-        ledger = spark.read.schema("org_unit string, period string").parquet(path)
-        payloads, additions = completion_sync(todo, regs, ledger, pairs, "row_id", _direct(spark))
-        additions = additions.checkpoint(eager=True)
-        if step == 1 and not additions.isEmpty():
-            raise AssertionError("a second sync step found unprocessed units")
-        additions.write.mode("append").partitionBy("period").parquet(path)
-    return spark.read.schema("org_unit string, period string").parquet(path).select("period", "org_unit")
+    regs, todo = regs.checkpoint(eager=True), todo.checkpoint(eager=True)
+    base = f"{checkpoint_dir(spark).rstrip('/')}/sync-{uuid.uuid4().hex}"
+    ledger, out = f"{base}/ledger", f"{base}/out"
+    processed.withColumn("batch_id", F.lit(-1).cast("bigint")).write.partitionBy("batch_id").parquet(ledger)
+    body = sync_batch(ledger, out, regs, pairs, "row_id", _direct(spark))
+    sent = "dataset string, period string, org_unit string, target_dataset string, payload string"
+
+    def payloads(batch):
+        return spark.read.schema(sent).parquet(f"{out}/completions/batch_id={batch}").select(
+            "dataset", "period", "org_unit", "payload").checkpoint(eager=True)
+
+    body(todo, 0)
+    first = payloads(0)
+    body(todo, 0)  # as after a failure between the ledger's write and the stream's commit
+    replay = payloads(0)
+    record_outcomes(_outcomes(spark, sf_dir), ledger, -2)
+    body(todo, 1)
+    done = spark.read.schema("dataset string, period string, org_unit string").parquet(ledger).where(
+        "org_unit is not null").select("dataset", "period", "org_unit").distinct()
+    out_rows = first.withColumn("step", F.lit("first"))
+    for name, rows in (("replay", replay), ("second", payloads(1)),
+                       ("ledger", done.withColumn("payload", F.lit(None).cast("string")))):
+        out_rows = out_rows.unionByName(rows.withColumn("step", F.lit(name)))
+    return out_rows.select("step", "dataset", "period", "org_unit", "payload")
