@@ -33,9 +33,9 @@ def first_dataset(items: DataFrame, datasets: DataFrame) -> DataFrame:
 
 
 def scope_org_units(items: DataFrame, datasets: DataFrame, ds_org_units: DataFrame,
-                    first_only: bool = True) -> DataFrame:
-    """(item_pos, org_unit) — the org units assigned to the item's first
-    metadata dataset (or, with ``first_only=False``, to any of its datasets)."""
+                    first_only: bool = False) -> DataFrame:
+    """(item_pos, org_unit) — the org units assigned to any of the item's
+    datasets (or, with ``first_only``, to its first metadata dataset alone)."""
     if first_only:
         chosen = first_dataset(items, datasets)
     else:
@@ -131,31 +131,51 @@ def rejected_items(items: DataFrame) -> DataFrame:
 
 def skip_existing(plan: DataFrame, existing: DataFrame, overwrite: bool = False) -> DataFrame:
     """Drop units already extracted (unless ``overwrite``) and keep each
-    yearly unit once per run. ``existing`` is (item_name, period) of the
-    extract table's partitions."""
-    todo = plan if overwrite else plan.join(existing.select("item_name", "period").distinct(),
-                                            ["item_name", "period"], "left_anti")
+    yearly unit once per run. An extract belongs to an item and a month (a year
+    for yearly items) and holds all periods of that month: ``existing`` is
+    (item_name, file_period) with file_period the month or the year, so a week
+    that two months share is extracted for both."""
+    file_period = F.when(F.col("frequency") == "yearly", F.substring("month", 1, 4)).otherwise(F.col("month"))
+    todo = plan if overwrite else plan.withColumn("file_period", file_period).join(
+        existing.select("item_name", "file_period").distinct(), ["item_name", "file_period"],
+        "left_anti").drop("file_period")
     yearly = todo.where(F.col("frequency") == "yearly")
     w = Window.partitionBy("item_name", "period").orderBy("month")
     once = yearly.withColumn("_n", F.row_number().over(w)).where(F.col("_n") == 1).drop("_n")
     return todo.where(F.col("frequency") != "yearly").unionByName(once)
 
 
+def skip_existing_rates(plan: DataFrame, existing: DataFrame, download_new: bool = True,
+                        return_existing: bool = False) -> tuple[DataFrame, DataFrame]:
+    """C10, second generation: (units to extract, existing extracts handed back).
+    An extract belongs to (extract_uid, period); with ``download_new`` existing
+    ones are skipped, and handed back when ``return_existing`` (to be pushed
+    again); without it all are extracted anew."""
+    have = existing.select("extract_uid", "period").distinct()
+    if not download_new:
+        return plan, have.limit(0)
+    back = have.join(plan.select("extract_uid", "period").distinct(), ["extract_uid", "period"], "left_semi")
+    return plan.join(have, ["extract_uid", "period"], "left_anti"), back if return_existing else have.limit(0)
+
+
 def require_known_combos(unknown: DataFrame, allow_unfiltered: bool = False) -> None:
     """A5 / B4 guard: an item whose category combo does not exist would end up
     with an empty option-combo list, i.e. no filter at all (the reference
     lets that through silently). Refuse unless ``allow_unfiltered``.
-    ``unknown`` is configuration-sized; only a few names go into the message."""
+    ``unknown`` is configuration-sized."""
     if allow_unfiltered:
         return
-    names = [r[0] for r in unknown.select("cat_combo").take(20)]
+    names = sorted(r[0] for r in unknown.select("cat_combo").distinct().collect())
     if names:
         raise ValueError(f"unknown category combos (would disable the option combo filter): {names}")
 
 
-def expand_category_combos(items: DataFrame, combo_bridge: DataFrame) -> DataFrame:
+def expand_category_combos(items: DataFrame, combo_bridge: DataFrame, allow_unfiltered: bool = False) -> DataFrame:
     """C14: (item_pos, coc) — the listed option combos plus every option combo
-    of the item's category combos (A5 bridge), distinct."""
+    of the item's category combos (A5 bridge), distinct. A category combo that
+    the bridge lacks is refused, unless ``allow_unfiltered``."""
+    asked = items.select(F.explode("cat_combos").alias("cat_combo")).distinct()
+    require_known_combos(asked.join(combo_bridge, "cat_combo", "left_anti"), allow_unfiltered)
     listed = items.select("item_pos", F.explode("cat_option_combos").alias("coc"))
     via = (items.select("item_pos", F.explode("cat_combos").alias("cat_combo"))
                 .join(combo_bridge, "cat_combo").select("item_pos", "coc"))

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from aggrex import fixtures
 from aggrex.operators.dims import config_dim
 from aggrex.plans.extraction import (expand_category_combos, extraction_plan, item_data_elements, item_names,
-                                     rate_extraction_plan, rate_keys, rejected_rate_items, scope_data,
-                                     scope_org_units, skip_existing)
+                                     rate_extraction_plan, rate_keys, rejected_items, rejected_rate_items,
+                                     scope_data, scope_org_units, skip_existing, skip_existing_rates)
 from aggrex.registry import query
 from aggrex.schemas import EXTRACT_ITEM, RATE_ITEM
 from aggrex.session import checkpoint_dir
@@ -69,7 +69,8 @@ _CTES = [
     ("item_de", """SELECT item_pos, unnest(data_elements) AS data_element FROM items
        UNION SELECT f.item_pos, d.data_element FROM first_ds f JOIN ds_de d ON d.dataset_id = f.dataset_id
        WHERE f.item_pos IN (SELECT item_pos FROM items WHERE len(data_elements) = 0)"""),
-    ("item_ou", """SELECT DISTINCT f.item_pos, o.org_unit FROM first_ds f JOIN ds_ou o ON o.dataset_id = f.dataset_id"""),
+    ("item_ou", """SELECT DISTINCT i.item_pos, o.org_unit FROM (SELECT item_pos, unnest(data_sets) AS ds FROM items) i
+       JOIN ds_ou o ON o.dataset_id = i.ds"""),
     ("named", """SELECT *, CASE WHEN n = 1 THEN base ELSE base || '__' || CAST(n AS VARCHAR) END AS item_name FROM (
        SELECT *, array_to_string(data_sets, '__') AS base,
               row_number() OVER (PARTITION BY array_to_string(data_sets, '__') ORDER BY item_pos) AS n
@@ -232,17 +233,24 @@ def q_b11(spark, sf_dir):
                                                         F.coalesce("n_units", F.lit(0)).alias("n_units"))
 
 
+# One file per item and month, or per item and year for yearly items; the file's name decides.
+_FILE_SQL = "item_name || '_' || CASE WHEN frequency = 'yearly' THEN substr(month, 1, 4) ELSE month END"
+
+
 @query("c10_skip_existing", _oracle(f"""
 SELECT item_pos, item_name, frequency, month, period FROM (
-  SELECT *, row_number() OVER (PARTITION BY item_name, period ORDER BY month) AS n FROM plan p
-  WHERE NOT EXISTS (SELECT 1 FROM plan e WHERE e.month < '{EXISTING_BEFORE}' AND e.item_name = p.item_name
-                    AND e.period = p.period)) x
+  SELECT *, row_number() OVER (PARTITION BY item_name, period ORDER BY month) AS n FROM plan
+  WHERE {_FILE_SQL} NOT IN (SELECT {_FILE_SQL} FROM plan WHERE month < '{EXISTING_BEFORE}')) x
 WHERE frequency <> 'yearly' OR n = 1""", "plan"))
 def q_c10(spark, sf_dir):
+    """Months before 1998 are extracted. 1998W1 belongs to a month that is and to
+    one that is not; the latter is still to do."""
     plan = _plan(spark, sf_dir)
     path = f"{checkpoint_dir(spark).rstrip('/')}/existing-{uuid.uuid4().hex}"
-    plan.where(F.col("month") < EXISTING_BEFORE).select("item_name", "period").distinct().write.parquet(path)
-    existing = spark.read.schema("item_name string, period string").parquet(path)
+    file_period = F.when(F.col("frequency") == "yearly", F.substring("month", 1, 4)).otherwise(F.col("month"))
+    (plan.where(F.col("month") < EXISTING_BEFORE).select("item_name", file_period.alias("file_period"))
+     .distinct().write.parquet(path))
+    existing = spark.read.schema("item_name string, file_period string").parquet(path)
     return skip_existing(plan, existing)
 
 
@@ -255,23 +263,26 @@ LEFT JOIN fx_data_values v ON v.categoryOptionCombo = x.coc GROUP BY x.item_pos,
 def q_c14(spark, sf_dir):
     _, _, _, items = _setup(spark, sf_dir)
     bridge, _ = _combo_bridge(spark, sf_dir, items)
-    cocs = expand_category_combos(items, bridge)
+    cocs = expand_category_combos(items, bridge, allow_unfiltered=True)  # one item names a combo that is gone
     counts = fixtures.view(spark, sf_dir, "fx_data_values").groupBy(
         F.col("categoryOptionCombo").alias("coc")).agg(F.count(F.lit(1)).alias("n_rows"))
     return cocs.join(counts, "coc", "left").select("item_pos", "coc", F.coalesce("n_rows", F.lit(0)).alias("n_rows"))
 
 
-@query("b10_rate_extraction_plan", fixtures.with_views(["fx_analytics"], """
-SELECT p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period, count(a.row_id) AS n_cells
-FROM plan_r p LEFT JOIN fx_analytics a ON a.dx = p.rate_key AND a.pe = p.period
-GROUP BY p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period""", [
+_RATE_CTES = [
     ("run_day", "SELECT CAST(max(ts) AS DATE) AS d FROM events"),
     ("rkeys", """SELECT * FROM (VALUES ('EXA', 'DS0', 'REPORTING_RATE'), ('EXA', 'DS0', 'REPORTING_RATE_ON_TIME'),
                  ('EXB', 'DS3', 'EXPECTED_REPORTS')) AS k(extract_uid, dataset_uid, metric)"""),
     ("rperiods", """SELECT strftime(date_trunc('month', d) - to_months(CAST(n AS INTEGER)), '%Y%m') AS period
                     FROM run_day, (SELECT unnest(range(4)) AS n) r"""),
     ("plan_r", """SELECT k.extract_uid, k.dataset_uid, k.metric, k.dataset_uid || '.' || k.metric AS rate_key, p.period
-                  FROM rkeys k JOIN rperiods p ON true""")]))
+                  FROM rkeys k JOIN rperiods p ON true""")]
+
+
+@query("b10_rate_extraction_plan", fixtures.with_views(["fx_analytics"], """
+SELECT p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period, count(a.row_id) AS n_cells
+FROM plan_r p LEFT JOIN fx_analytics a ON a.dx = p.rate_key AND a.pe = p.period
+GROUP BY p.extract_uid, p.dataset_uid, p.metric, p.rate_key, p.period""", _RATE_CTES))
 def q_b10_rates(spark, sf_dir):
     """The second-generation rate plan as of the latest event, with the number
     of analytics cells available for each planned (rate key, period)."""
@@ -283,3 +294,34 @@ def q_b10_rates(spark, sf_dir):
     return (plan.join(cells, ["rate_key", "period"], "left")
                 .select("extract_uid", "dataset_uid", "metric", "rate_key", "period",
                         F.coalesce("n_cells", F.lit(0)).alias("n_cells")))
+
+
+@query("b10_rejected_items", _oracle("SELECT item_pos, 'no DATA_SETS' AS reason FROM items WHERE len(data_sets) = 0",
+                                     "items"))
+def q_b10_rejected(spark, sf_dir):
+    return rejected_items(_setup(spark, sf_dir)[3])
+
+
+# Extracts that exist: those of the periods that have any cell of an odd user.
+_HAVE_SQL = """SELECT DISTINCT p.extract_uid, p.period FROM plan_r p JOIN fx_analytics a
+  ON a.dx = p.rate_key AND a.pe = p.period AND a.row_id % 2 = 1 WHERE p.extract_uid = 'EXA'"""
+
+
+@query("c10_skip_existing_rates", fixtures.with_views(["fx_analytics"], """
+SELECT 'extract' AS what, extract_uid, period, rate_key FROM plan_r p
+WHERE NOT EXISTS (SELECT 1 FROM have h WHERE h.extract_uid = p.extract_uid AND h.period = p.period)
+UNION ALL SELECT 'handed back', extract_uid, period, CAST(NULL AS VARCHAR) FROM have""",
+                                                      _RATE_CTES + [("have", _HAVE_SQL)]))
+def q_c10_rates(spark, sf_dir):
+    """Second generation: extracts that exist are not downloaded again but handed back."""
+    fixtures.register_base_tables(spark, sf_dir, ["events"])
+    as_of = spark.table("events").agg(F.max("ts").cast("date")).first()[0]  # one value: the run's "now"
+    plan = rate_extraction_plan(config_dim(spark, RATE_ITEMS, RATE_ITEM), F.lit(as_of))
+    cells = fixtures.view(spark, sf_dir, "fx_analytics").where("row_id % 2 = 1")
+    have = (plan.where(F.col("extract_uid") == "EXA")
+            .join(cells.select(F.col("dx").alias("rate_key"), F.col("pe").alias("period")).distinct(),
+                  ["rate_key", "period"], "left_semi").select("extract_uid", "period").distinct())
+    todo, back = skip_existing_rates(plan, have, return_existing=True)
+    return (todo.select(F.lit("extract").alias("what"), "extract_uid", "period", "rate_key")
+            .unionByName(back.select(F.lit("handed back").alias("what"), "extract_uid", "period",
+                                     F.lit(None).cast("string").alias("rate_key"))))
