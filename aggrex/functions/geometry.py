@@ -13,13 +13,28 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+# A JSON number.
+NUMBER = r"-?[0-9]+(?:\.[0-9]+)?(?:[eE][+-]?[0-9]+)?"
+
+
+def canonical_numbers(text: Column) -> Column:
+    """JSON text of arrays of numbers with every number written as a double."""
+    found = F.regexp_extract_all(text, F.lit(NUMBER), F.lit(0))
+    between = F.split(text, NUMBER, -1)
+    # + 0.0 turns minus zero into zero.
+    numbers = F.concat(F.transform(found, lambda x: (x.cast("double") + F.lit(0.0)).cast("string")),
+                       F.array(F.lit("")))
+    return F.array_join(F.zip_with(between, numbers, lambda a, b: F.concat(a, b)), "")
+
+
 def canonical_geometry(g, keep: bool | Column = True) -> Column:
     """GeoJSON text -> ``type|coordinates`` with the coordinates in compact
-    JSON, so key order and blanks do not count as a change. NULL when there is
-    no geometry or when the target cannot store geometry (``keep`` false)."""
+    JSON and every number as a double, so key order, blanks and number formats
+    (1, 1.0, 1e0) do not count as a change. NULL when there is no geometry or
+    when the target cannot store geometry (``keep`` false)."""
     g = _c(g)
     t = F.get_json_object(g, "$.type")
-    coords = F.get_json_object(g, "$.coordinates")
+    coords = canonical_numbers(F.get_json_object(g, "$.coordinates"))
     canon = F.when(g.isNotNull() & t.isNotNull(), F.concat(t, F.lit("|"), coords))
     keep_col = keep if isinstance(keep, Column) else F.lit(bool(keep))
     return F.when(keep_col, canon)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from aggrex.functions.geometry import (canonical_geometry, geometry_struct, missing_org_unit_fields,
                                        org_unit_is_valid)
+from aggrex.operators.push import global_positions
 
 # The fields whose difference makes an update, in report order.
 COMPARED_FIELDS = ["name", "shortName", "openingDate", "closedDate", "parent_id", "geometry"]
@@ -29,13 +30,13 @@ def flatten_org_units(df: DataFrame) -> DataFrame:
 
 def latest_per_id(df: DataFrame, order_col: str | None) -> DataFrame:
     """One row per id; with duplicates the row with the highest ``order_col``
-    wins (the reference's dict build keeps the last one). A partial
-    aggregation, so a heavily duplicated id does not gather in one task."""
-    if order_col is None:
-        return df
+    wins (the reference's dict build keeps the last one); without an
+    ``order_col`` the last row in input order. A partial aggregation, so a
+    heavily duplicated id does not gather in one task."""
     cols = df.columns
-    return (df.groupBy("id").agg(F.max_by(F.struct(*cols), F.col(order_col)).alias("_r"))
-              .select("_r.*"))
+    order = F.col(order_col) if order_col else F.monotonically_increasing_id()
+    return (df.withColumn("_order", order).groupBy("id")
+              .agg(F.max_by(F.struct(*cols), F.col("_order")).alias("_r")).select("_r.*"))
 
 
 def org_units_to_create(source: DataFrame, target: DataFrame) -> DataFrame:
@@ -123,16 +124,27 @@ def ordered_for_sending(payloads: DataFrame) -> DataFrame:
     return payloads.orderBy(action_rank, F.col("level").asc_nulls_first(), F.col("id"))
 
 
+def numbered_for_sending(payloads: DataFrame) -> DataFrame:
+    """J3 send order as a column: ``seq`` from 0, in the order of
+    ``ordered_for_sending``, so that a stored table keeps it."""
+    rank = F.when(F.col("action") == "CREATE", F.lit(0)).otherwise(F.lit(1))
+    return (global_positions(payloads.withColumn("_rank", rank), ["_rank", "level", "id"])
+            .drop("_rank").withColumnRenamed("_pos", "seq"))
+
+
 def import_status(responses: DataFrame) -> DataFrame:
     """Per org unit request (action, id, body): the response status and
     whether it counts as success — second generation SUCCESS / OK only, first
     generation anything but ERROR. Rows without a body (not sent, invalid)
-    get status NOTVALID. A ``status_code`` column (HTTP code) is carried along."""
+    get status NOTVALID. ``response`` is the response's content as JSON text;
+    ``status_code`` (HTTP code) and ``payload`` (what was sent) are carried
+    along, so every unit counted in D3 can be looked up here."""
     status = F.get_json_object("body", "$.status")
     st = F.when(F.col("body").isNull(), F.lit(NOT_VALID)).otherwise(status)
-    extra = [c for c in ("status_code",) if c in responses.columns]  # HTTP code when recorded
+    # HTTP code and the body that was sent, when recorded: the details behind the counts of D3.
+    extra = [c for c in ("status_code", "payload") if c in responses.columns]
     return responses.select(
-        "action", "id", *extra, st.alias("status"),
+        "action", "id", *extra, st.alias("status"), F.get_json_object("body", "$.response").alias("response"),
         F.coalesce(st.isin(*SUCCESS_STATUSES), F.lit(False)).alias("success"),
         (~st.eqNullSafe(F.lit("ERROR")) & ~st.eqNullSafe(F.lit(NOT_VALID))).alias("success_gen1"))
 

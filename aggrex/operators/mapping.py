@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aggrex.functions.values import rate_100_to_1, to_number_or_null
-from aggrex.operators.dims import DEFAULT_BROADCAST_ROWS, sized_broadcast
+from aggrex.operators.dims import sized_broadcast
 from aggrex.schemas import DATA_ELEMENT, REPORTING_RATE
 
 UID_FIELDS = ["dx_uid", "category_option_combo", "attribute_option_combo"]
@@ -19,14 +19,11 @@ def uid_mapper(mapping: DataFrame, defaults: dict[str, str] | None = None,
     """C5 + C6 as a reusable transform: the per-field dimensions are split and
     size-checked once (e.g. once per stream, not once per micro-batch)."""
     defaults = defaults or {}
-    # One size check for the whole mapping; each field's slice is then
-    # broadcast (or, beyond the bound, left to the planner).
-    small = mapping.limit(DEFAULT_BROADCAST_ROWS + 1).count() <= DEFAULT_BROADCAST_ROWS
     dims = {}
     for field in UID_FIELDS:
         old, new = f"_old_{field}", f"_new_{field}"
         d = mapping.where(F.col("field") == field).select(F.col("old_uid").alias(old), F.col("new_uid").alias(new))
-        dims[field] = F.broadcast(d) if small else d
+        dims[field] = sized_broadcast(d)
 
     def apply(df: DataFrame) -> DataFrame:
         is_type = F.col("data_type") == F.lit(data_type)
@@ -63,11 +60,12 @@ def _rate_dim(rate_mapping: DataFrame) -> DataFrame:
 
 
 def overlapping_rate_keys(rate_mapping: DataFrame) -> DataFrame:
-    """Mappings whose output (uid, rate_type) is itself a key: the reference
-    applies them one after the other, so the result would depend on order."""
+    """Mappings whose output (uid, rate_type) is the key of another mapping: the
+    reference applies them one after the other, so the result would depend on
+    order. A mapping onto its own key (which may add option combos) is harmless."""
     keys = rate_mapping.select(F.col("dx_uid").alias("k_dx"), F.col("rate_type").alias("k_rt"))
-    return rate_mapping.join(keys, (F.trim("uid") == F.col("k_dx")) & (F.col("rate_type") == F.col("k_rt")),
-                             "left_semi")
+    return rate_mapping.join(keys, (F.trim("uid") == F.col("k_dx")) & (F.col("rate_type") == F.col("k_rt"))
+                             & (F.col("k_dx") != F.col("dx_uid")), "left_semi")
 
 
 def map_rates_in_place(df: DataFrame, rate_mapping: DataFrame, check: bool = True) -> DataFrame:
@@ -88,15 +86,19 @@ def map_rates_in_place(df: DataFrame, rate_mapping: DataFrame, check: bool = Tru
 
 
 def invalid_rate_mappings(rate_mapping: DataFrame, data: DataFrame | None = None) -> DataFrame:
-    """Metric mappings lacking uid, coc or aoc — only for datasets present
-    in ``data`` when it is given."""
-    m = rate_mapping
-    if data is not None:
-        present = data.select(F.col("dx_uid").alias("_p_dx")).distinct()
-        m = m.join(present, F.col("dx_uid") == F.col("_p_dx"), "left_semi")
+    """Metric mappings lacking uid, coc or aoc — only for the datasets of the
+    same extract present in ``data`` when it is given. The configuration is
+    looked through first; the data are read only if it has such a hole."""
     bad = F.array_compact(F.array(*[F.when(F.col(c).isNull(), F.lit(c.upper()))
                                     for c in ["uid", "cat_option_combo", "attr_option_combo"]]))
-    return m.withColumn("missing", F.array_join(bad, ",")).where(F.size(bad) > 0)
+    m = rate_mapping.withColumn("missing", F.array_join(bad, ",")).where(F.size(bad) > 0)
+    if data is None or m.isEmpty():
+        return m
+    keys = ["dx_uid"] + (["extract_id"] if "extract_id" in m.columns and "extract_id" in data.columns else [])
+    # Only the holes' own keys are looked for, so the data need no distinct.
+    holes = sized_broadcast(m.select(*keys).distinct())
+    present = data.select(*keys).join(holes, keys, "left_semi").distinct()
+    return m.join(present, keys, "left_semi")
 
 
 def map_rates_per_extract(df: DataFrame, rate_mapping: DataFrame, validate: bool = True) -> DataFrame:

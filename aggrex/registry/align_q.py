@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from aggrex import fixtures
 from aggrex.functions.geometry import canonical_geometry, missing_org_unit_fields, org_unit_is_valid
 from aggrex.operators.align import (COMPARED_FIELDS, alignment_summary, create_payloads, flatten_org_units,
-                                    import_status, org_unit_changes, org_units_matching, org_units_to_create,
+                                    import_status, numbered_for_sending, org_unit_changes, org_units_matching, org_units_to_create,
                                     org_units_to_update, update_payloads)
 from aggrex.operators.hierarchy import descendants_by_path, filter_level, leaf_org_unit_count, select_descendants
 from aggrex.registry import query
@@ -34,7 +34,8 @@ def _tgt(spark, sf_dir):
 
 def _canon_sql(g: str) -> str:
     return (f"CASE WHEN {g} IS NOT NULL AND json_extract_string({g}, '$.type') IS NOT NULL "
-            f"THEN json_extract_string({g}, '$.type') || '|' || CAST(json_extract({g}, '$.coordinates') AS VARCHAR) END")
+            f"THEN json_extract_string({g}, '$.type') || '|' || replace(CAST(CAST(json_extract({g}, '$.coordinates') "
+            f"AS DOUBLE[]) AS VARCHAR), ' ', '') END")
 
 
 def _obj_sql(p: str) -> str:
@@ -142,6 +143,14 @@ def q_j3(spark, sf_dir):
     return creates.unionByName(updates)
 
 
+@query("j3_send_order", fixtures.with_views(PYR, f"""
+SELECT action, id, row_number() OVER (ORDER BY action, level, id) - 1 AS seq FROM ({_PAYLOADS_SQL}) p""", _MATCH_CTE))
+def q_j3_order(spark, sf_dir):
+    """Creates before updates, parents before children, numbered in send order."""
+    p = numbered_for_sending(q_j3(spark, sf_dir))
+    return p.select("action", "id", "seq")
+
+
 # Responses to the org unit requests: the report whose batch id is the
 # customer key (creates) or the key + 7 (updates); invalid creates are not sent.
 _RESP_SQL = f"""
@@ -154,10 +163,11 @@ UNION ALL
 SELECT 'UPDATE', u.id, r.body FROM u LEFT JOIN fx_import_reports r ON 'C' || CAST(r.batch_id - 7 AS VARCHAR) = u.id
 WHERE changed <> ''"""
 _STATUS_SQL = f"""
-SELECT action, id, status, coalesce(status IN ('SUCCESS', 'OK'), false) AS success,
+SELECT action, id, status, response, coalesce(status IN ('SUCCESS', 'OK'), false) AS success,
        status IS DISTINCT FROM 'ERROR' AND status IS DISTINCT FROM 'NOTVALID' AS success_gen1
 FROM (SELECT action, id, CASE WHEN body IS NULL THEN 'NOTVALID'
-                              WHEN json_valid(body) THEN json_extract_string(body, '$.status') END AS status
+                              WHEN json_valid(body) THEN json_extract_string(body, '$.status') END AS status,
+             CASE WHEN json_valid(body) THEN CAST(json_extract(body, '$.response') AS VARCHAR) END AS response
       FROM ({_RESP_SQL}) x) y"""
 
 
@@ -191,7 +201,16 @@ def q_d3(spark, sf_dir):
 SELECT level, count(DISTINCT id) AS n_org_units FROM fx_pyramid_source
 WHERE level = (SELECT max(level) FROM fx_pyramid_source) GROUP BY level"""))
 def q_d4(spark, sf_dir):
-    return leaf_org_unit_count(_src(spark, sf_dir))
+    src = _src(spark, sf_dir)
+    return leaf_org_unit_count(src, src.select("level").distinct())
+
+
+@query("d4_leaf_org_unit_count_of_level_table", fixtures.with_views(PYR, """
+SELECT level, count(DISTINCT id) AS n_org_units FROM fx_pyramid_source WHERE level = 3 GROUP BY level"""))
+def q_d4_levels(spark, sf_dir):
+    """The level table decides how deep the pyramid is, not the units."""
+    levels = spark.createDataFrame([(1,), (2,), (3,)], "level int")
+    return leaf_org_unit_count(_src(spark, sf_dir), levels)
 
 
 _DESC_SQL = fixtures.with_views(PYR, f"""
