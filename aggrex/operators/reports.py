@@ -26,7 +26,7 @@ _LEVEL_FIELDS = [
     T.StructField("status", S), T.StructField("description", S), T.StructField("responseType", S),
     T.StructField("importCount", IMPORT_COUNT), T.StructField("conflicts", T.ArrayType(CONFLICT)),
     T.StructField("errorReports", T.ArrayType(ERROR_REPORT)),
-    T.StructField("rejectedIndexes", T.ArrayType(T.IntegerType()))]
+    T.StructField("rejectedIndexes", T.ArrayType(T.IntegerType())), T.StructField("dataSetComplete", S)]
 REPORT_BODY = T.StructType([T.StructField("httpStatus", S)] + _LEVEL_FIELDS
                            + [T.StructField("response", T.StructType(_LEVEL_FIELDS))])
 
@@ -36,10 +36,16 @@ ORG_UNIT_PROPERTY = "orgUnit"
 ORG_UNIT_ERROR_CODE = "E7612"
 
 
+# Bodies that are JSON but say nothing; the reference takes them for no answer.
+EMPTY_BODIES = ["{}", "[]", "null", '""', "0", "false"]
+
+
 def parse_reports(reports: DataFrame, body: str = "body") -> DataFrame:
-    """Add ``r`` (parsed body) and ``is_json``."""
+    """Add ``r`` (parsed body), ``is_json`` and ``is_empty`` (JSON that says nothing)."""
     return (reports.withColumn("r", F.from_json(F.col(body), REPORT_BODY))
-                   .withColumn("is_json", F.try_parse_json(F.col(body)).isNotNull()))
+                   .withColumn("is_json", F.try_parse_json(F.col(body)).isNotNull())
+                   .withColumn("is_empty", F.coalesce(F.regexp_replace(body, r"\s", "").isin(*EMPTY_BODIES),
+                                                      F.lit(False))))
 
 
 def _counts(parsed: Column, generation: str = "gen2") -> Column:
@@ -60,6 +66,7 @@ def import_summary(reports: DataFrame, by: list[str] = (), generation: str = "ge
 def _conflict_rows(arr: Column, level: str) -> Column:
     return F.transform(F.coalesce(arr, F.array().cast(T.ArrayType(CONFLICT))), lambda c: F.struct(
         F.lit("conflict").alias("kind"), F.lit(level).alias("level"), c["object"].alias("object"),
+        F.to_json(c["objects"]).alias("objects"), F.lit(None).cast(S).alias("main_klass"),
         c["objects"]["organisationUnit"].alias("org_unit"), c["value"].alias("value"),
         F.lit(None).cast(S).alias("message"), c["errorCode"].alias("error_code"), c["property"].alias("property")))
 
@@ -67,14 +74,15 @@ def _conflict_rows(arr: Column, level: str) -> Column:
 def _error_rows(arr: Column, level: str) -> Column:
     return F.transform(F.coalesce(arr, F.array().cast(T.ArrayType(ERROR_REPORT))), lambda e: F.struct(
         F.lit("error_report").alias("kind"), F.lit(level).alias("level"), e["object"].alias("object"),
+        F.lit(None).cast(S).alias("objects"), e["mainKlass"].alias("main_klass"),
         F.lit(None).cast(S).alias("org_unit"), F.lit(None).cast(S).alias("value"), e["message"].alias("message"),
         e["errorCode"].alias("error_code"), F.lit(None).cast(S).alias("property")))
 
 
 def import_conflicts(reports: DataFrame, keep: list[str] = ("batch_id",)) -> DataFrame:
     """Every conflict and error report, top level and under ``response``,
-    one row each (kind, level, object, org_unit, value, message, error_code,
-    property)."""
+    one row each (kind, level, object, objects as JSON text, main_klass,
+    org_unit, value, message, error_code, property)."""
     r = F.col("r")
     # Order of the reference's list: all conflicts (top, nested), then all
     # error reports (top, nested).
@@ -113,33 +121,66 @@ def rejected_data_points(reports: DataFrame, batch_rows: DataFrame) -> DataFrame
     return rejected_indexes(reports).join(batch_rows, ["batch_id", "pos"], "inner")
 
 
-def error_report(reports: DataFrame, batch_rows: DataFrame) -> DataFrame:
-    """One row per failed request (status not SUCCESS/OK, no JSON, or any
-    conflict): status, description, counts, number of conflicts (all kept,
-    not only the last) and of rejected rows found in the batch."""
-    p = parse_reports(reports)
+def failed_reports(reports: DataFrame, generation: str = "gen2") -> DataFrame:
+    """The reports of failed requests, parsed once, as plain columns with the
+    arrays that the details of J7 are exploded from.
+
+    Second generation: status not SUCCESS / OK, no JSON, or any conflict. First
+    generation: no JSON, or ``httpStatus`` other than OK on a body with a
+    ``response`` (its conflicts do not matter). The result is checkpointed: the
+    summary, the rejected rows and the conflicts all read it, and none of their
+    filters reaches the JSON parser.
+    """
     r = F.col("r")
     status = F.coalesce(r["response"]["status"], r["status"])
-    n_conf = (F.size(F.coalesce(r["conflicts"], F.array())) + F.size(F.coalesce(r["response"]["conflicts"], F.array()))
-              + F.size(F.coalesce(r["errorReports"], F.array()))
-              + F.size(F.coalesce(r["response"]["errorReports"], F.array())))
-    base = p.select("batch_id", "phase", "is_json", "r", status.alias("status"),
-                    F.coalesce(r["response"]["responseType"], r["responseType"]).alias("response_type"),
-                    F.coalesce(r["response"]["description"], r["description"]).alias("description"),
-                    _counts(r).alias("c"), n_conf.alias("n_conflicts"))
-    failed = base.where(~F.col("is_json") | ~F.coalesce(F.col("status").isin("SUCCESS", "OK"), F.lit(False))
-                        | (F.col("n_conflicts") > 0))
-    rejected = rejected_indexes(failed.select("batch_id", "r")).join(
-        batch_rows.select("batch_id", "pos"), ["batch_id", "pos"]).groupBy("batch_id").agg(
-        F.count(F.lit(1)).alias("n_rejected_rows"))
+    items = F.concat(_conflict_rows(r["conflicts"], "top"), _conflict_rows(r["response"]["conflicts"], "response"),
+                     _error_rows(r["errorReports"], "top"), _error_rows(r["response"]["errorReports"], "response"))
+    base = parse_reports(reports).select(
+        "batch_id", "phase", "is_json", status.alias("status"), r["httpStatus"].alias("http_status"),
+        r["response"].isNotNull().alias("has_response"),
+        F.coalesce(r["response"]["responseType"], r["responseType"]).alias("response_type"),
+        F.coalesce(r["response"]["description"], r["description"]).alias("description"),
+        F.coalesce(r["response"]["dataSetComplete"], r["dataSetComplete"]).alias("data_set_complete"),
+        _counts(r, generation).alias("c"),
+        items.alias("items"), F.coalesce(r["response"]["rejectedIndexes"], r["rejectedIndexes"]).alias("rejected"))
+    base = base.checkpoint(eager=True)
+    if generation == "gen1":
+        failed = ~F.col("is_json") | (F.col("has_response") & ~F.col("http_status").eqNullSafe(F.lit("OK")))
+    else:
+        failed = (~F.col("is_json") | ~F.coalesce(F.col("status").isin("SUCCESS", "OK"), F.lit(False))
+                  | (F.size("items") > 0))
+    return base.where(failed)
+
+
+def error_report(reports: DataFrame, batch_rows: DataFrame, generation: str = "gen2") -> DataFrame:
+    """One row per failed request: status, description, dataSetComplete,
+    counts, number of conflicts (all kept, not only the last) and of rejected
+    rows found in the batch. ``error_details`` has the rows themselves."""
+    failed = failed_reports(reports, generation)
+    rejected = (failed.select("batch_id", F.explode("rejected").alias("pos"))
+                .join(batch_rows.select("batch_id", "pos"), ["batch_id", "pos"])
+                .groupBy("batch_id").agg(F.count(F.lit(1)).alias("n_rejected_rows")))
     return (failed.join(rejected, "batch_id", "left")
                   .select("batch_id", "phase", "is_json", "status", "response_type", "description",
-                          *[F.col("c")[k].alias(k) for k in COUNT_KEYS], "n_conflicts",
+                          "data_set_complete", *[F.col("c")[k].alias(k) for k in COUNT_KEYS],
+                          F.size("items").alias("n_conflicts"),
                           F.coalesce("n_rejected_rows", F.lit(0)).alias("n_rejected_rows")))
 
 
+def error_details(reports: DataFrame, batch_rows: DataFrame, generation: str = "gen2"
+                  ) -> tuple[DataFrame, DataFrame]:
+    """J7 details of failed requests: (their rejected data points, with the
+    columns of ``batch_rows``; their conflicts and error reports, one row each)."""
+    failed = failed_reports(reports, generation)
+    rows = failed.select("batch_id", F.explode("rejected").alias("pos")).join(batch_rows, ["batch_id", "pos"])
+    conflicts = failed.select("batch_id", F.posexplode("items").alias("item_pos", "i")).select(
+        "batch_id", "item_pos", "i.*")
+    return rows, conflicts
+
+
 def completion_outcome(responses: DataFrame, keep: list[str]) -> DataFrame:
-    """Per completion registration response: no JSON -> one push error;
+    """Per completion registration response: no JSON, or JSON that says
+    nothing (``{}``) -> one push error;
     status ERROR / WARNING or any conflict -> one push error per conflict
     (counts still added); SUCCESS -> ok, counts added; anything else -> no
     counts."""
@@ -147,7 +188,7 @@ def completion_outcome(responses: DataFrame, keep: list[str]) -> DataFrame:
     r = F.col("r")
     n_conf = F.size(F.coalesce(r["conflicts"], F.array()))
     status = r["status"]
-    outcome = (F.when(~F.col("is_json"), F.lit("no_json"))
+    outcome = (F.when(~F.col("is_json") | F.col("is_empty"), F.lit("no_json"))
                 .when(status.isin("ERROR", "WARNING") | (n_conf > 0), F.lit("conflict"))
                 .when(status == "SUCCESS", F.lit("ok")).otherwise(F.lit("other")))
     counted = F.col("outcome").isin("conflict", "ok")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from aggrex import fixtures
-from aggrex.operators.reports import (COUNT_KEYS, error_report, import_conflicts, import_summary,
+from aggrex.operators.reports import (COUNT_KEYS, error_details, error_report, import_conflicts, import_summary,
                                       invalid_org_units, rejected_data_points)
 from aggrex.registry import query
 
@@ -51,6 +51,8 @@ FROM (SELECT batch_id, body, arr, unnest(range(len(arr))) AS i
 
 _CONFLICTS_CTE = [("items", _items_sql()), ("conf", """
 SELECT batch_id, CAST(item_pos AS INTEGER) AS item_pos, kind, level, json_extract_string(j, '$.object') AS object,
+       CASE WHEN kind = 'conflict' THEN CAST(json_extract(j, '$.objects') AS VARCHAR) END AS objects,
+       CASE WHEN kind = 'error_report' THEN json_extract_string(j, '$.mainKlass') END AS main_klass,
        CASE WHEN kind = 'conflict' THEN json_extract_string(j, '$.objects.organisationUnit') END AS org_unit,
        CASE WHEN kind = 'conflict' THEN json_extract_string(j, '$.value') END AS value,
        CASE WHEN kind = 'error_report' THEN json_extract_string(j, '$.message') END AS message,
@@ -120,6 +122,9 @@ SELECT c.batch_id, c.phase, json_valid(c.body) AS is_json,
                                                    json_extract_string(c.body, '$.responseType')) END AS response_type,
        CASE WHEN json_valid(c.body) THEN coalesce(json_extract_string(c.body, '$.response.description'),
                                                    json_extract_string(c.body, '$.description')) END AS description,
+       CASE WHEN json_valid(c.body) THEN coalesce(json_extract_string(c.body, '$.response.dataSetComplete'),
+                                                   json_extract_string(c.body, '$.dataSetComplete')) END
+         AS data_set_complete,
        {', '.join('c.' + k for k in COUNT_KEYS)},
        CASE WHEN json_valid(c.body) THEN CAST({' + '.join(_len(p).replace('body', 'c.body') for _, _, p in _PARTS)}
             AS INTEGER) ELSE 0 END AS n_conflicts,
@@ -132,3 +137,36 @@ WHERE NOT json_valid(c.body)
    OR {' + '.join(_len(p).replace('body', 'c.body') for _, _, p in _PARTS)} > 0""", _COUNTS_CTE + _REJ_CTE))
 def q_j7(spark, sf_dir):
     return error_report(_reports(spark, sf_dir), _batch_rows(spark, sf_dir))
+
+
+_FAILED_CTE = [("failed", f"""
+SELECT batch_id FROM fx_import_reports WHERE NOT json_valid(body)
+   OR coalesce(coalesce(json_extract_string(body, '$.response.status'), json_extract_string(body, '$.status'))
+               IN ('SUCCESS', 'OK'), false) = false
+   OR {' + '.join(_len(p) for _, _, p in _PARTS)} > 0""")]
+
+
+@query("j7_rejected_rows", fixtures.with_views(REP, """
+SELECT r.batch_id, r.pos, w.row_id, w.dataElement, w.period, w.orgUnit, w.value
+FROM rej r JOIN failed f ON f.batch_id = r.batch_id JOIN rows w ON r.batch_id = w.batch_id AND r.pos = w.pos""",
+                                               _REJ_CTE + _FAILED_CTE))
+def q_j7_rows(spark, sf_dir):
+    """The rejected data points of the failed requests, row by row."""
+    return error_details(_reports(spark, sf_dir), _batch_rows(spark, sf_dir))[0]
+
+
+@query("j7_error_conflicts", fixtures.with_views(
+    REP, "SELECT c.* FROM conf c JOIN failed f ON f.batch_id = c.batch_id", _CONFLICTS_CTE + _FAILED_CTE))
+def q_j7_conflicts(spark, sf_dir):
+    """Every conflict and error report of the failed requests."""
+    return error_details(_reports(spark, sf_dir), _batch_rows(spark, sf_dir))[1]
+
+
+@query("j7_error_report_gen1", fixtures.with_views(REP, """
+SELECT batch_id, json_valid(body) AS is_json FROM fx_import_reports
+WHERE NOT json_valid(body) OR (json_extract(body, '$.response') IS NOT NULL
+   AND json_extract_string(body, '$.httpStatus') IS DISTINCT FROM 'OK')"""))
+def q_j7_gen1(spark, sf_dir):
+    """First generation: the HTTP status decides, not the conflicts."""
+    return error_report(_reports(spark, sf_dir), _batch_rows(spark, sf_dir), generation="gen1").select(
+        "batch_id", "is_json")
