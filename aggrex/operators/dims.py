@@ -6,19 +6,32 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension is broadcast only when it has at most this many rows; beyond it
-# the join is left to the planner (sort-merge / AQE), which scales with data.
-DEFAULT_BROADCAST_ROWS = 200_000
+# A dimension is broadcast only when it provably holds at most this many bytes;
+# beyond it the join is left to the planner, which measures its inputs as they
+# are shuffled (adaptive execution broadcasts what turns out small, and splits
+# skewed partitions of what does not).
+BROADCAST_BYTES = 16 << 20
 
 
-def sized_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Return ``df`` with a broadcast hint when it provably holds <= max_rows rows."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def plan_bytes(df: DataFrame) -> int:
+    """The optimizer's size of the plan's output: file sizes for scans, upper
+    estimates for joins, unknown (huge) for rows handed over by the driver.
+    Reads no data, runs no job."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
+def is_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    return plan_bytes(df) <= max_bytes
+
+
+def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Return ``df`` with a broadcast hint when its plan's size is at most
+    ``max_bytes``. A hint that ``df`` has from ``config_dim`` stays in force."""
+    return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
 def config_dim(spark: SparkSession, rows: list, schema: T.StructType,
-               max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """A dimension built from configuration rows; its size is known on the driver."""
+               max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A dimension built from configuration rows, whose size the driver knows."""
     df = spark.createDataFrame(rows, schema)
-    return F.broadcast(df) if len(rows) <= max_rows else df
+    return F.broadcast(df) if len(repr(rows)) <= max_bytes else df

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from aggrex.operators.dims import DEFAULT_BROADCAST_ROWS
-
 
 def filter_level(units: DataFrame, level: int) -> DataFrame:
     """Ids of the org units at ``level``."""
@@ -28,40 +26,34 @@ def descendants_by_path(units: DataFrame, roots: list[str]) -> DataFrame:
     return units.where(F.arrays_overlap(F.split(F.col("path"), "/"), F.array(*[F.lit(r) for r in roots])))
 
 
-def select_descendants(units: DataFrame, roots: DataFrame | list[str], max_iterations: int = 1000,
-                       checkpoint: bool = True) -> DataFrame:
+def select_descendants(units: DataFrame, roots: DataFrame | list[str]) -> DataFrame:
     """C11: the given ids and all their descendants, any depth, cycle-safe.
 
-    Frontier iteration over (id, parent_id): each round joins the edges to
-    the newest frontier and keeps only ids not seen yet (left_anti on the
-    visited set), so a cycle ends the loop. Rounds = depth of the tree. The
-    frontier and the visited set are checkpointed to the shared checkpoint
-    folder each round, which cuts lineage and survives executor loss.
+    Pointer doubling over (id, parent_id): after round k every undecided unit
+    points 2^k levels up and knows whether one of those levels is a root, so
+    the rounds grow with the logarithm of the depth. Units that point nowhere
+    any more, and found ones, drop out of the state. A cycle without a root
+    never ends its pointers; after log2(number of units) rounds every unit has
+    seen all it can reach. Each round's state is checkpointed to the shared
+    folder, which cuts lineage and survives executor loss.
     """
     spark = units.sparkSession
-    edges = units.select("id", "parent_id").where(F.col("parent_id").isNotNull())
     if isinstance(roots, list):
         roots = spark.createDataFrame([(r,) for r in roots], "id string")
-    visited = roots.select("id").distinct()
-    if checkpoint:
-        visited = visited.checkpoint(eager=True)
-    frontier, n = visited, visited.count()
-    for _ in range(max_iterations):
-        # The new frontier is counted once per round: the count is the
-        # fixpoint test and decides whether the next round broadcasts it.
-        f = frontier.withColumnRenamed("id", "parent_id")
-        f = F.broadcast(f) if n <= DEFAULT_BROADCAST_ROWS else f
-        children = edges.join(f, "parent_id", "left_semi").select("id").distinct()
-        new = children.join(visited, "id", "left_anti")
-        if checkpoint:
-            new = new.checkpoint(eager=True)
-        n = new.count()
-        if n == 0:
+    marked = roots.select("id").distinct().withColumn("hit", F.lit(True))
+    edges = units.select("id", "parent_id").where(F.col("id").isNotNull()).distinct()
+    state = (edges.join(marked, "id", "left").select("id", F.col("parent_id").alias("up"), "hit")
+             .unionByName(marked.select("id", F.lit(None).cast("string").alias("up"), "hit")))
+    state = state.select("id", F.when(F.col("hit").isNull(), F.col("up")).alias("up"),
+                         F.coalesce("hit", F.lit(False)).alias("hit")).distinct().checkpoint(eager=True)
+    rounds = max(1, state.count()).bit_length() + 1
+    for _ in range(rounds):
+        open_units = state.where(~F.col("hit") & F.col("up").isNotNull())
+        if open_units.isEmpty():
             break
-        visited = visited.unionByName(new)
-        if checkpoint:
-            visited = visited.checkpoint(eager=True)
-        frontier = new
-    else:
-        raise RuntimeError("hierarchy deeper than max_iterations")
-    return units.join(visited, "id", "left_semi")
+        above = state.select(F.col("id").alias("up"), F.col("up").alias("_up"), F.col("hit").alias("_hit"))
+        moved = open_units.select("id", "up").join(above, "up", "left").select(
+            "id", F.col("_up").alias("up"), F.coalesce("_hit", F.lit(False)).alias("hit"))
+        state = state.where(F.col("hit")).unionByName(moved).unionByName(
+            state.where(~F.col("hit") & F.col("up").isNull())).distinct().checkpoint(eager=True)
+    return units.join(state.where("hit").select("id").distinct(), "id", "left_semi")

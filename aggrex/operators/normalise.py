@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from aggrex.operators.dims import sized_broadcast
 from aggrex.schemas import (AGGREGATED, DATA_ELEMENT, DATA_POINT_COLUMNS, DATA_TYPE_ALIASES,
-                            DATA_TYPES, INDICATOR, PUSH_COLUMNS, REPORTING_RATE)
+                            INDICATOR, PUSH_COLUMNS, REPORTING_RATE)
 
 
 def _null() -> Column:
@@ -118,8 +118,3 @@ def merge_extracts(extracts: DataFrame, months: DataFrame) -> DataFrame:
         "merge_month", F.explode(F.array(F.col("merge_month"), F.substring("merge_month", 1, 4))).alias("_key"))
     j = extracts.join(sized_broadcast(keys), F.col("extract_period") == F.col("_key"))
     return j.select("merge_month", *DATA_POINT_COLUMNS).dropDuplicates()
-
-
-def check_data_types(df: DataFrame) -> DataFrame:
-    """Rows whose data type is not a known one (for B12 reporting)."""
-    return df.where(~F.col("data_type").isin(*DATA_TYPES) | F.col("data_type").isNull())

@@ -165,14 +165,17 @@ def payload_batches(classified: DataFrame, max_post: int = 500, generation: str
         raise ValueError("max_post must be >= 1")
     order_of = PHASE_ORDER[generation]
     phase_order = F.when(F.col("class") == VALID, F.lit(order_of[VALID])).otherwise(F.lit(order_of[TO_DELETE]))
-    rows = (data_point_json(classified.where(F.col("class").isin(VALID, TO_DELETE)), value_as_number)
-            .withColumn("phase", F.col("class")).withColumn("phase_order", phase_order))
+    # Only what the order and the payload need goes through the sort; the payload text is made after it.
+    need = [*PUSH_COLUMNS, "class", *group_cols, *(["value_num"] if value_as_number else []),
+            *([tie_break] if tie_break else [])]
+    rows = (classified.where(F.col("class").isin(VALID, TO_DELETE)).select(*dict.fromkeys(need))
+            .withColumn("phase_order", phase_order))
     order = ["phase_order", *group_cols, "org_unit", "dx_uid", "period", "category_option_combo",
              "attribute_option_combo", "value"]
     if tie_break:
         order.append(tie_break)
     pos = global_positions(rows, order, group_cols=["phase_order", *group_cols])
-    batched = pos.withColumn("batch_no", (F.col("_pos") / F.lit(max_post)).cast("bigint"))
+    batched = data_point_json(pos, value_as_number).withColumn("phase", F.col("class")).withColumn("batch_no", (F.col("_pos") / F.lit(max_post)).cast("bigint"))
     agg = batched.groupBy("phase", "phase_order", *group_cols, "batch_no").agg(
         F.count(F.lit(1)).alias("n_points"),
         F.min_by("org_unit", "_pos").alias("first_org_unit"),

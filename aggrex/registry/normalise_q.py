@@ -119,20 +119,29 @@ def q_a1(spark, sf_dir):
 SELECT 'DATA_ELEMENT' AS data_type, dataElement AS dx_uid, period, orgUnit AS org_unit,
        categoryOptionCombo AS category_option_combo, attributeOptionCombo AS attribute_option_combo,
        CAST(NULL AS VARCHAR) AS rate_type, 'AGGREGATED' AS domain_type, value, period AS extract_period
-FROM fx_data_values"""))
+FROM fx_data_values WHERE period IN ('199601', '199712', '200002')"""))
 def q_a2(spark, sf_dir):
     root = _scratch(spark, "extracts")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
     io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"))
-    months = dv.select(F.col("period").alias("extract_period")).distinct()
-    # Each requested period reads only its partition folders.
+    months = spark.createDataFrame([("199601",), ("199712",), ("200002",), ("209901",)], "extract_period string")
+    # Each requested period reads only its partition folders; one of them has no extract.
     return io.scan_extracts_for_periods(spark, root, months).select(*DATA_POINT_COLUMNS, "extract_period")
 
 
 @query("a7_scan_analytics", fixtures.with_views(["fx_analytics"], """
-SELECT dx, pe AS period, ou AS orgUnit, value, row_id FROM fx_analytics"""))
+SELECT dx, pe AS period, ou AS orgUnit, CASE WHEN row_id % 3 > 0 THEN 'CO' || CAST(row_id % 3 AS VARCHAR) END
+       AS categoryOptionCombo, value FROM fx_analytics"""))
 def q_a7(spark, sf_dir):
-    return io.rename_analytics(fixtures.view(spark, sf_dir, "fx_analytics"))
+    """Cells with category option combos, dumped as JSON and read back with the fixed schema."""
+    path = _scratch(spark, "analytics")
+    _cells_with_combos(spark, sf_dir).select("dx", "pe", "ou", "co", "value").write.json(path)
+    return io.scan_analytics(spark, path)
+
+
+def _cells_with_combos(spark, sf_dir):
+    return fixtures.view(spark, sf_dir, "fx_analytics").withColumn(
+        "co", F.when(F.col("row_id") % 3 > 0, F.concat(F.lit("CO"), (F.col("row_id") % 3).cast("string"))))
 
 
 # Fixture configuration file (first-generation push configuration shape).
@@ -204,6 +213,16 @@ def q_b3(spark, sf_dir):
     return normalise_indicators(raw, carry=["row_id"])
 
 
+@query("b3_normalise_indicators_with_combos", fixtures.with_views(["fx_analytics"], """
+SELECT 'INDICATOR' AS data_type, dx AS dx_uid, pe AS period, ou AS org_unit,
+       CASE WHEN row_id % 3 > 0 THEN 'CO' || CAST(row_id % 3 AS VARCHAR) END AS category_option_combo,
+       CAST(NULL AS VARCHAR) AS attribute_option_combo, CAST(NULL AS VARCHAR) AS rate_type,
+       'AGGREGATED' AS domain_type, value, row_id FROM fx_analytics"""))
+def q_b3_combos(spark, sf_dir):
+    raw = io.rename_analytics(_cells_with_combos(spark, sf_dir))
+    return normalise_indicators(raw, map_cocs=True, carry=["row_id"])
+
+
 @query("b4_filter_category_option_combos", fixtures.with_views(["fx_data_values"], f"""
 SELECT d.* FROM (SELECT dataElement AS item_id, 'DATA_ELEMENT' AS data_type, dataElement AS dx_uid, period,
                         orgUnit AS org_unit, categoryOptionCombo AS category_option_combo,

@@ -157,3 +157,18 @@ FROM ranked GROUP BY class, phase_order, period, CAST(pos // {MAX_POST} AS BIGIN
 def q_j2(spark, sf_dir):
     c = classify_data_points(select_push_columns(mapped_data_points(spark, sf_dir), carry=["row_id"]))
     return payload_batches(c, max_post=MAX_POST, generation="gen2", tie_break="row_id")
+
+
+@query("j2_payload_batches_gen1", _oracle(f"""
+SELECT class AS phase, phase_order, period, CAST(pos // {MAX_POST} AS BIGINT) AS batch_no, count(*) AS n_points,
+       arg_min(org_unit, pos) AS first_org_unit, arg_max(org_unit, pos) AS last_org_unit,
+       '{{"dataValues":[' || string_agg(payload, ',' ORDER BY pos) || ']}}' AS body
+FROM ranked GROUP BY class, phase_order, period, CAST(pos // {MAX_POST} AS BIGINT)""", f"""
+, ranked AS (
+  SELECT *, CASE class WHEN 'to_delete' THEN 0 ELSE 1 END AS phase_order,
+         row_number() OVER (PARTITION BY class, period ORDER BY {_ORDER_SQL}) - 1 AS pos
+  FROM js WHERE class IN ('valid', 'to_delete'))"""))
+def q_j2_gen1(spark, sf_dir):
+    """First generation: deletions are sent before values."""
+    c = classify_data_points(select_push_columns(mapped_data_points(spark, sf_dir), carry=["row_id"]))
+    return payload_batches(c, max_post=MAX_POST, generation="gen1", tie_break="row_id")

@@ -29,8 +29,6 @@ ORG_UNIT = T.StructType([
     T.StructField("geometry", S),
 ])
 
-HIERARCHY = T.StructType([T.StructField("id", S), T.StructField("parent_id", S)])
-
 DATASET = T.StructType([
     T.StructField("id", S), T.StructField("name", S),
     T.StructField("organisation_units", T.ArrayType(S)),
@@ -64,31 +62,21 @@ UID_MAPPING = T.StructType([T.StructField(c, S) for c in ["field", "old_uid", "n
 RATE_MAPPING = T.StructType([T.StructField(c, S) for c in [
     "extract_id", "dx_uid", "rate_type", "uid", "cat_option_combo", "attr_option_combo"]])
 
-IMPORT_REPORT = T.StructType([
-    T.StructField("batch_id", T.LongType()), T.StructField("phase", S), T.StructField("body", S)])
-
 COMPLETION = T.StructType([
     T.StructField("dataSet", S), T.StructField("period", S),
     T.StructField("organisationUnit", S), T.StructField("date", S),
     T.StructField("completed", T.BooleanType()),
 ])
 
-PROCESSED_ORG_UNIT = T.StructType([T.StructField("period", S), T.StructField("org_unit", S)])
-
-REQUESTED_UNIT = T.StructType([T.StructField("unit", S), T.StructField("requested_at", T.TimestampType())])
-FINISHED_UNIT = T.StructType([T.StructField("unit", S), T.StructField("finished_at", T.TimestampType())])
-
 # Data-type names. Canonical (second generation) names and the
 # first-generation aliases accepted at ingest.
 DATA_ELEMENT = "DATA_ELEMENT"
 REPORTING_RATE = "REPORTING_RATE"
 INDICATOR = "INDICATOR"
-DATA_TYPES = [DATA_ELEMENT, REPORTING_RATE, INDICATOR]
 DATA_TYPE_ALIASES = {"DATAELEMENT": DATA_ELEMENT, "DATASET": REPORTING_RATE}
 
-# Domain tags.
+# Fixed value: domain tag.
 AGGREGATED = "AGGREGATED"
-TRACKER = "TRACKER"
 
 # Data point classes.
 VALID = "valid"
