@@ -77,7 +77,7 @@ def test_geometry_is_compared_without_key_order(spark):
     df = spark.createDataFrame([('{"type":"Point","coordinates":[1,2]}',), ('{"coordinates": [1, 2], "type": "Point"}',)],
                                "g string")
     canon = [r[0] for r in df.select(canonical_geometry("g")).collect()]
-    assert canon[0] == canon[1] == "Point|[1,2]"
+    assert canon[0] == canon[1] == "Point|[1.0,2.0]"
     assert df.select(canonical_geometry("g", keep=False)).first()[0] is None
     assert target_keeps_geometry("2.100") and not target_keeps_geometry("2.32")
 
@@ -89,10 +89,12 @@ def test_last_row_per_id_wins(spark):
 
 
 def test_ledger_appends_are_idempotent(spark):
-    existing = spark.createDataFrame([("2024", "A"), ("2024", None)], "period string, org_unit string")
-    processed = spark.createDataFrame([("2024", "A"), ("2024", "B"), ("2024", "B")], "period string, org_unit string")
+    unit = "dataset string, period string, org_unit string"
+    existing = spark.createDataFrame([("D", "2024", "A"), ("D", "2024", None)], unit)
+    processed = spark.createDataFrame([("D", "2024", "A"), ("D", "2024", "B"), ("D", "2024", "B"), ("E", "2024", "A")],
+                                      unit)
     new = merge_ledger(existing, processed)
-    assert [tuple(r) for r in new.collect()] == [("2024", "B")]
+    assert sorted(tuple(r) for r in new.collect()) == [("D", "2024", "B"), ("E", "2024", "A")]
     assert merge_ledger(existing.unionByName(new), processed).count() == 0
 
 
@@ -138,7 +140,7 @@ def test_unknown_types_are_set_aside(spark):
 
 def test_unreadable_extract_files_are_listed_and_skipped(spark):
     import glob
-    from aggrex.streaming.incremental import incremental_push, read_payloads
+    from aggrex.streaming.incremental import incremental_push, read_payloads, read_unreadable_files
     base = tempfile.mkdtemp(prefix="aggrex-t-")
     root = os.path.join(base, "extracts")
     df = _dp(spark, [("DATA_ELEMENT", "D", "202401", "O1", "C", "A", None, "AGGREGATED", "1")])
@@ -148,9 +150,25 @@ def test_unreadable_extract_files_are_listed_and_skipped(spark):
         fh.write(b"truncated upload")
     bad = [r["path"] for r in io.unreadable_files(spark, root).collect()]
     assert len(bad) == 1 and bad[0].endswith("part-broken.parquet")
-    q = incremental_push(spark, root, os.path.join(base, "out"), os.path.join(base, "ckpt"), lambda d: d, max_post=5)
+    q = incremental_push(spark, root, os.path.join(base, "out"), os.path.join(base, "ckpt"), lambda d: d, max_post=5,
+                         skip_unreadable=True)
     q.awaitTermination()
     assert sum(r["n_points"] for r in read_payloads(spark, os.path.join(base, "out")).collect()) == 1
+    aside = read_unreadable_files(spark, os.path.join(base, "out")).collect()
+    assert len(aside) == 1 and aside[0]["path"].endswith("part-broken.parquet") and aside[0]["error"]
+    with pytest.raises(Exception):  # by default nothing is skipped: the stream fails
+        incremental_push(spark, root, os.path.join(base, "out2"), os.path.join(base, "ckpt2"), lambda d: d,
+                         max_post=5).awaitTermination()
+
+
+def test_partly_readable_extract_is_set_aside_whole(spark):
+    from aggrex.registry.incremental_q import damage
+    base = tempfile.mkdtemp(prefix="aggrex-t-")
+    rows = [("DATA_ELEMENT", "D", "202401", f"O{i}", "C", "A", None, "AGGREGATED", str(i * 7919)) for i in range(5000)]
+    io.write_extract(_dp(spark, rows).coalesce(1), os.path.join(base, "x"), "x", F.col("period"), files_per_partition=1)
+    damage(spark, os.path.join(base, "x"), os.path.join(base, "y", "part-0.parquet"))
+    assert len(io.unreadable_files(spark, os.path.join(base, "y")).collect()) == 1
+    assert io.unreadable_files(spark, os.path.join(base, "x")).count() == 0
 
 
 def test_switching_scale_factor_in_one_session(spark):
@@ -188,12 +206,17 @@ def test_unknown_category_combos_are_refused(spark):
 
 
 def test_yearly_rewrite_requeues_the_runs_months_of_that_year(spark):
-    from aggrex.streaming.incremental import changed_months
-    written = spark.createDataFrame([("DATA_ELEMENT", "y", "2024"), ("DATA_ELEMENT", "m", "202503")],
-                                    "data_type string, extract_id string, extract_period string")
+    from aggrex.functions.periods import frequency_of
+    from aggrex.streaming.incremental import changed_units
+    written = spark.createDataFrame(
+        [("DATA_ELEMENT", "e", p) for p in ("2024", "202503", "2024W5", "2024W12", "2024Q1", "2023")],
+        "data_type string, extract_id string, extract_period string").withColumn(
+        "frequency", frequency_of("extract_period"))
     run = spark.createDataFrame([("202401",), ("202402",), ("202503",)], "month string")
-    assert sorted(r["unit"] for r in changed_months(written, run).collect()) == ["202401", "202402", "202503"]
-    assert sorted(r["unit"] for r in changed_months(written).collect()) == ["202503"]
+    assert sorted(r["unit"] for r in changed_units(written, run).collect()) == [
+        "202401", "202402", "2024Q1", "2024W12", "2024W5", "202503"]
+    assert sorted(r["unit"] for r in changed_units(written).collect()) == [
+        "2023", "2024", "2024Q1", "2024W12", "2024W5", "202503"]
 
 
 def test_first_generation_rate_plan_honours_frequency(spark):
@@ -270,23 +293,31 @@ def test_failed_fetches_are_counted(spark):
 
 
 def test_completion_sync_stream_is_resumable(spark):
-    from aggrex.streaming.incremental import completion_sync_stream
+    from aggrex.streaming.incremental import completion_sync_stream, record_outcomes
     base = tempfile.mkdtemp(prefix="aggrex-t-")
     todo_root, ledger, out, ckpt = (os.path.join(base, x) for x in ("todo", "ledger", "out", "ckpt"))
     regs = spark.createDataFrame([("DS", "2024", "A", "2024-01-01", True, 1), ("DS", "2024", "B", "2024-01-02", False, 2)],
                                  "dataSet string, period string, organisationUnit string, date string, "
                                  "completed boolean, row_id long")
     pairs = spark.createDataFrame([("DS", "TDS")], "source_dataset string, target_dataset string")
-    spark.createDataFrame([("2024", "A")], "period string, org_unit string").write.partitionBy("period").parquet(ledger)
-    units = "period string, org_unit string"
-    spark.createDataFrame([("2024", "A"), ("2024", "B")], units).write.mode("append").parquet(todo_root)
+    units = "dataset string, period string, org_unit string"
+    spark.createDataFrame([("DS", "2024", "A", -1)], units + ", batch_id long").write.partitionBy("batch_id").parquet(
+        ledger)
+    spark.createDataFrame([("DS", "2024", "A"), ("DS", "2024", "B")], units).write.mode("append").parquet(todo_root)
     completion_sync_stream(spark, todo_root, ledger, out, ckpt, regs, pairs, "row_id").awaitTermination()
-    spark.createDataFrame([("2024", "B"), ("2024", "C")], units).write.mode("append").parquet(todo_root)
+    spark.createDataFrame([("DS", "2024", "B"), ("DS", "2024", "C"), ("DX", "2024", "A")], units).write.mode(
+        "append").parquet(todo_root)
     completion_sync_stream(spark, todo_root, ledger, out, ckpt, regs, pairs, "row_id").awaitTermination()
-    got = sorted(r["org_unit"] for r in spark.read.schema(units).parquet(ledger).collect())
-    assert got == ["A", "B", "C"]  # A was already done, B only once, C has no status but counts as done
+    done = lambda: sorted((r["dataset"], r["org_unit"]) for r in spark.read.schema(units).parquet(ledger).collect())
+    # A was done before; B is sent but not known to have arrived; C and DX/A have no status and count as done.
+    assert done() == [("DS", "A"), ("DS", "C"), ("DX", "A")]
     sent = spark.read.parquet(os.path.join(out, "completions")).collect()
-    assert [(r["org_unit"], r["dataset"]) for r in sent] == [("B", "TDS")]
+    assert [(r["org_unit"], r["target_dataset"]) for r in sent] == [("B", "TDS"), ("B", "TDS")]
+    outcome = spark.createDataFrame([("DS", "2024", "B", "ok"), ("DS", "2024", "Z", "conflict")],
+                                    units + ", outcome string")
+    record_outcomes(outcome, ledger, -2)
+    record_outcomes(outcome, ledger, -2)
+    assert done() == [("DS", "A"), ("DS", "B"), ("DS", "C"), ("DX", "A")]
 
 
 def test_rate_push_through_the_stream_body(spark):
@@ -336,3 +367,83 @@ def test_payloads_written_per_period(spark):
     assert {"period=202401", "period=202402"} <= set(os.listdir(out))
     back = spark.read.parquet(out)
     assert back.where("period = '202402'").count() == 3 and back.agg(F.sum("n_points")).first()[0] == 24
+
+
+def test_replayed_completion_batch_keeps_its_payloads(spark):
+    from aggrex.streaming.incremental import sync_batch
+    base = tempfile.mkdtemp(prefix="aggrex-t-")
+    ledger, out = os.path.join(base, "ledger"), os.path.join(base, "out")
+    units = "dataset string, period string, org_unit string"
+    spark.createDataFrame([], units + ", batch_id long").write.parquet(ledger)
+    regs = spark.createDataFrame([("DS1", "2024", "A", "2024-01-01", True, 1)],
+                                 "dataSet string, period string, organisationUnit string, date string, "
+                                 "completed boolean, row_id long")
+    # A has DS1 in the bulk table and DS2 only in its own fetch.
+    direct = regs.unionByName(spark.createDataFrame([("DS2", "2024", "A", "2024-02-01", True, 2)], regs.schema))
+    pairs = spark.createDataFrame([("DS1", "T1"), ("DS2", "T2")], "source_dataset string, target_dataset string")
+    todo = spark.createDataFrame([("DS1", "2024", "A"), ("DS2", "2024", "A"), ("DS1", "2024", "B")], units)
+    body = sync_batch(ledger, out, regs, pairs, "row_id", direct)
+    for _ in range(2):
+        body(todo, 0)
+        sent = spark.read.parquet(os.path.join(out, "completions")).collect()
+        assert sorted(r["target_dataset"] for r in sent) == ["T1", "T2"]
+        done = spark.read.schema(units).parquet(ledger).select("dataset", "period", "org_unit").collect()
+        assert [tuple(r) for r in done] == [("DS1", "2024", "B")]
+
+
+def test_identity_rate_mapping_is_allowed_and_holes_of_other_extracts_are_ignored(spark):
+    from aggrex.operators.mapping import invalid_rate_mappings, overlapping_rate_keys
+    same = spark.createDataFrame([("E", "A", "R", "A", "c", "a"), ("E", "B", "R", "C", "c", "a")], RATE_MAPPING)
+    assert overlapping_rate_keys(same).count() == 0
+    chain = spark.createDataFrame([("E", "A", "R", "B", "c", "a"), ("E", "B", "R", "C", "c", "a")], RATE_MAPPING)
+    assert overlapping_rate_keys(chain).count() == 1
+    hole = spark.createDataFrame([("EXA", "DS", "R", "T", "c", "a"), ("EXB", "DS", "R", None, "c", "a")], RATE_MAPPING)
+    data = spark.createDataFrame([("EXA", "DS")], "extract_id string, dx_uid string")
+    assert invalid_rate_mappings(hole, data).count() == 0
+    both = data.unionByName(spark.createDataFrame([("EXB", "DS")], data.schema))
+    assert [r["missing"] for r in invalid_rate_mappings(hole, both).collect()] == ["UID"]
+
+
+def test_number_formats_are_no_geometry_change_and_duplicate_ids_pair_once(spark):
+    from aggrex.operators.align import org_units_matching, org_units_to_update
+    unit = "id string, name string, shortName string, openingDate string, closedDate string, parent_id string, " \
+           "level int, path string, geometry string"
+
+    def units(*rows):
+        return spark.createDataFrame([(i, n, n, "2001-01-01", None, "P", 2, "/P/" + i, g) for i, n, g in rows],
+                                     unit).coalesce(1)
+    a = units(("x", "old", None), ("x", "n", '{"type":"Point","coordinates":[1,-0,2e1]}'))
+    b = units(("x", "other", None), ("x", "n", '{"type":"Point","coordinates":[1.0, 0.00, 20]}'))
+    assert org_units_matching(a, b).count() == 1
+    assert org_units_to_update(a, b).count() == 0
+
+
+def test_descendants_of_a_deep_chain_and_of_cycles(spark):
+    from aggrex.operators.hierarchy import select_descendants
+    chain = [(f"u{i}", f"u{i - 1}" if i else None) for i in range(1100)]
+    loop = [("a", "b"), ("b", "a"), ("c", "a"), ("d", "x"), ("d", "u5")]
+    units = spark.createDataFrame(chain + loop, "id string, parent_id string")
+    got = sorted(r["id"] for r in select_descendants(units, ["u100"]).collect())
+    assert got == sorted(f"u{i}" for i in range(100, 1100))
+    assert sorted({r["id"] for r in select_descendants(units, ["a"]).collect()}) == ["a", "b", "c"]
+    assert "d" in {r["id"] for r in select_descendants(units, ["u3"]).collect()}
+
+
+def test_an_empty_answer_is_a_push_error(spark):
+    from aggrex.operators.reports import completion_outcome
+    rows = spark.createDataFrame([(1, "{}"), (2, " { } "), (3, '{"status":"SUCCESS"}'), (4, "null")], "k int, body string")
+    got = {r["k"]: (r["outcome"], r["push_errors"]) for r in completion_outcome(rows, ["k"]).collect()}
+    assert got == {1: ("no_json", 1), 2: ("no_json", 1), 3: ("ok", 0), 4: ("no_json", 1)}
+
+
+def test_existing_rate_extracts_are_skipped_or_taken_anew(spark):
+    from aggrex.plans.extraction import skip_existing_rates
+    plan = spark.createDataFrame([("E", "202401", "k1"), ("E", "202401", "k2"), ("E", "202402", "k1")],
+                                 "extract_uid string, period string, rate_key string")
+    have = spark.createDataFrame([("E", "202401"), ("X", "202401")], "extract_uid string, period string")
+    todo, back = skip_existing_rates(plan, have)
+    assert [r["period"] for r in todo.collect()] == ["202402"] and back.count() == 0
+    _, back = skip_existing_rates(plan, have, return_existing=True)
+    assert [tuple(r) for r in back.collect()] == [("E", "202401")]
+    todo, _ = skip_existing_rates(plan, have, download_new=False)
+    assert todo.count() == 3
