@@ -3,11 +3,12 @@
 import pytest
 
 import __spark_entry__ as entry
+from aggrex.registry import ORACLE
+from aggrex.registry import QUERIES as NAMES
 from compare import rows
 from conftest import SMALL
 
-ORACLE = entry.oracle_sql()
-QUERIES = entry.queries()
+QUERIES = {k: v for k, v in entry.queries().items() if k in NAMES}
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
