@@ -14,6 +14,7 @@ the piece alone and are remembered for the next documents (bounded memory).
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import json
 import re
@@ -21,11 +22,14 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame
 
-from aggrex.llm.common import pick
+from aggrex.llm.common import pick, worker_state
 
-# The patterns of the tokenizer for ASCII pieces in lower case.
-ASCII_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9]+"
-REMEMBER = 250_000  # pieces and words a task remembers, twice: those in use and those before
+# The word pattern of the tokenizer, for pieces in lower case whose letters are known.
+WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z{0}]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9{0}]+"
+# Letters beyond ASCII that are split here if the library treats them as plainly as expected; the
+# library itself splits pieces with any other character.
+LETTERS = range(0xC0, 0x250)
+REMEMBER = 200_000  # pieces and words a task remembers, twice: those in use and those before
 REMEMBER_LENGTH = 48  # longer ones are encoded anew
 
 class Merges:
@@ -168,35 +172,40 @@ def encode_words(words: set[str], merges: Merges) -> dict[str, list[int]]:
     return out
 
 
-class Codec:
-    """Encodes and decodes whole texts with one tokenizer file."""
+class Splitter:
+    """Cuts pieces of text into the words of one tokenizer file, as the library does."""
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
-        self.merges = Merges(spec["model"])
-        self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.texts = {i: t for t, i in self.merges.vocab.items()}
-        self.texts.update({i: t for t, i in self.special.items()})
+            self.spec = json.load(f)
+        self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
         self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
-        self.ascii_words = re.compile(ASCII_WORDS)
-        # Bytes as the tokenizer's printable characters; ASCII text needs it for control characters only.
+        letters = "".join(c for c in map(chr, LETTERS) if self._plain_letter(c))
+        self.words_of = re.compile(WORDS.format(letters)).findall
+        self.known_letters = re.compile(f"[\\x00-\\x7f{letters}]*").fullmatch
+        # Bytes as the tokenizer's printable characters.
         self.byte_chars = {b: self.library.pre_tokenizer.pre_tokenize_str(chr(b))[0][0]
                            for b in range(128) if not chr(b).isalnum() and chr(b) not in " \t\n\x0b\x0c\r"}
-        self.plain = {b: c for b, c in self.byte_chars.items() if c != chr(b)}
-        self.words: dict[str, list[int]] = {}
-        self.pieces: dict[str, tuple[bytes, str]] = {"": (b"", "")}
-        self.older_words: dict[str, list[int]] = {}
-        self.older_pieces: dict[str, tuple[bytes, str]] = {}
+        for c in map(chr, LETTERS):
+            for byte, char in zip(c.encode(), self.library.pre_tokenizer.pre_tokenize_str(c)[0][0]):
+                self.byte_chars[byte] = char
+        self.byte_chars = {b: c for b, c in self.byte_chars.items() if c != chr(b)}
+
+    def _plain_letter(self, c: str) -> bool:
+        """The library lower-cases ``c`` to one character of itself, as str.lower does, and takes it for a letter."""
+        small = c.lower()
+        return (len(small) == 1 and ord(small) in LETTERS and self.library.normalizer.normalize_str(c) == small
+                and len(self.library.pre_tokenizer.pre_tokenize_str(f"a{c}a{small}a")) == 1)
 
     def split(self, piece: str) -> list[str]:
         """Words of a piece without blanks, as byte characters."""
         if piece.isascii():
-            words = self.ascii_words.findall(piece.lower())
-            return [w.translate(self.plain) if not w.isalnum() else w for w in words]
+            return [w if w.isalnum() else w.translate(self.byte_chars) for w in self.words_of(piece.lower())]
+        if self.known_letters(piece):
+            return [w.encode().decode("latin-1").translate(self.byte_chars) for w in self.words_of(piece.lower())]
         normal = self.library.normalizer.normalize_str(piece)
         return [w for w, _ in self.library.pre_tokenizer.pre_tokenize_str(normal)]
 
@@ -212,6 +221,20 @@ class Codec:
                 out.extend(self.split(part))
         return out
 
+
+class Codec(Splitter):
+    """Encodes and decodes whole texts with one tokenizer file."""
+
+    def __init__(self, path: str):
+        super().__init__(path)
+        self.merges = Merges(self.spec["model"])
+        self.texts = {i: t for t, i in self.merges.vocab.items()}
+        self.texts.update({i: t for t, i in self.special.items()})
+        self.words: dict[str, list[int]] = {}
+        self.pieces: dict[str, tuple[bytes, str]] = {"": (b"", "")}
+        self.older_words: dict[str, list[int]] = {}
+        self.older_pieces: dict[str, tuple[bytes, str]] = {}
+
     def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
         """(ids as little-endian unsigned 32-bit integers, decoded text) of every text."""
         import numpy as np
@@ -222,22 +245,16 @@ class Codec:
             self.older_words, self.words = self.words, {}
         pieces, older, words = self.pieces, self.older_pieces, self.words
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh: dict[str, list[str | int]] = {}
-        new = set()
-        for p in set().union(*cut):
-            if p not in pieces:
-                known = older.get(p)
-                if known is not None:
-                    pieces[p] = known
-                    continue
-                parts = fresh[p] = self.parts(p)
-                for w in parts:
-                    if w not in words and isinstance(w, str):
-                        known = self.older_words.get(w)
-                        if known is None:
-                            new.add(w)
-                        else:
-                            words[w] = known
+        missing = set().union(*cut).difference(pieces)
+        pieces.update((p, older[p]) for p in missing.intersection(older))
+        missing.difference_update(pieces)
+        fresh = {p: self.parts(p) for p in missing}
+        new = set().union(*fresh.values()).difference(words, self.special.values())
+        words.update((w, self.older_words[w]) for w in new.intersection(self.older_words))
+        new.difference_update(words)
+        # What is remembered has no cycles to look for, and grows too large to be looked through so often.
+        collecting = gc.isenabled()
+        gc.disable()
         words.update(encode_words(new, self.merges))
         texts_of = self.texts
         for p, parts in fresh.items():
@@ -248,6 +265,8 @@ class Codec:
                 else:
                     ids += words[w]
             pieces[p] = np.array(ids, "<u4").tobytes(), " ".join([texts_of[i] for i in ids])
+        if collecting:
+            gc.enable()
         for part in cut:
             got = [pieces[p] for p in part]
             yield b"".join([x[0] for x in got]), " ".join([x[1] for x in got if x[1]])
@@ -289,8 +308,8 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
         import numpy as np
         import pyarrow as pa
 
-        codec = Codec(tokenizer)
-        for b, texts in text_batches(batches):
+        codec = worker_state(f"codec {tokenizer}", lambda: Codec(tokenizer))
+        for b, texts in text_batches(batches, rows=1024):
             coded = list(codec.encode(texts))
             cols = [b.column("doc_id").cast(pa.int64()),
                     pa.array([len(i) // 4 for i, _ in coded], pa.int64()),
