@@ -12,9 +12,6 @@ from pyspark.sql import functions as F
 
 from aggrex.session import checkpoint_dir
 
-# A task's share of input text when an operator deals rows itself.
-TARGET_TASK_BYTES = 32 << 20
-
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as Parquet below ``spark.checkpoint.dir`` and read it back.

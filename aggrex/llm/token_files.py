@@ -15,19 +15,22 @@ documents are in ascending id order over the whole table.
 
 from __future__ import annotations
 
+import gc
 import struct
 import uuid
 import zlib
+from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aggrex.llm.bpe import text_batches
-from aggrex.llm.common import TARGET_TASK_BYTES, pick
+from aggrex.llm.bpe import Splitter, text_batches
+from aggrex.llm.common import pick, worker_state
 from aggrex.session import checkpoint_dir
 
 MAGIC = b"DACS"
 BLOCK = 512  # positions per rank directory entry
+PART_ROWS = 8192  # documents per file; a file is written as a stream of segments, whatever its size
 SEGMENT_TOKENS = 1 << 20  # a segment ends with the document that passes this
 REMEMBER = 250_000  # text pieces a task remembers, twice
 REMEMBER_LENGTH = 48
@@ -113,43 +116,50 @@ class Segment:
         return out
 
 
-class PieceEncoder:
-    """Texts to ids by the tokenizers library, each distinct piece between plain
-    blanks and line ends once (no rule of the tokenizer joins across them)."""
+class PieceEncoder(Splitter):
+    """Texts to ids by the tokenizers library's model: each distinct word once, put
+    together to pieces between plain blanks and line ends (no rule of the
+    tokenizer joins across them), which are remembered for the next texts."""
 
     def __init__(self, path: str):
-        import os
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # the cores belong to Spark's tasks
-        from tokenizers import Tokenizer
-
-        self.library = Tokenizer.from_file(path)
-        self.library.no_truncation()
-        self.library.no_padding()
+        super().__init__(path)
         self.pieces: dict[str, bytes] = {"": b""}
         self.older: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
 
     def encode(self, texts: list[str]) -> list[bytes]:
         import numpy as np
 
         if len(self.pieces) > REMEMBER:
             self.older, self.pieces = self.pieces, {"": b""}
-        pieces, older = self.pieces, self.older
+        if len(self.words) > REMEMBER:
+            self.words = {}
+        pieces, older, words = self.pieces, self.older, self.words
+        collecting = gc.isenabled()
+        gc.disable()  # what is remembered has no cycles to look for
         cut = [t.replace("\n", " ").split(" ") for t in texts]
-        fresh = []
-        for p in set().union(*cut):
-            if p not in pieces:
-                known = older.get(p)
-                if known is None:
-                    fresh.append(p)
-                else:
-                    pieces[p] = known
-        for p, e in zip(fresh, self.library.encode_batch_fast(fresh, add_special_tokens=False)):
-            pieces[p] = np.array(e.ids, "<u4").tobytes()
+        missing = set().union(*cut).difference(pieces)
+        pieces.update((p, older[p]) for p in missing.intersection(older))
+        missing.difference_update(pieces)
+        fresh = {p: self.parts(p) for p in missing}
+        new = [w for w in set().union(*fresh.values()).difference(words) if isinstance(w, str)]
+        words.update((i, np.uint32(i).astype("<u4").tobytes()) for i in self.special.values())
+        tokenize = self.library.model.tokenize
+        found = [[t.id for t in tokenize(w)] for w in new]
+        data = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
+        at = 0
+        for w, ids in zip(new, found):
+            words[w] = data[at:at + 4 * len(ids)]
+            at += 4 * len(ids)
+        for p, parts in fresh.items():
+            pieces[p] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
         out = [b"".join([pieces[p] for p in part]) for part in cut]
-        for p in fresh:
-            if len(p) > REMEMBER_LENGTH:
-                del pieces[p]
+        for known, names in ((pieces, fresh), (words, new)):
+            for p in names:
+                if len(p) > REMEMBER_LENGTH:
+                    del known[p]
+        if collecting:
+            gc.enable()
         return out
 
 
@@ -165,8 +175,7 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
     in one file; such runs of repeated ids are written segment by segment.
     """
     docs = pick(docs, doc_id=id_col, text=text_col)
-    size = docs.agg(F.sum(F.octet_length("text")).alias("b"), F.count("*").alias("n")).first()
-    parts = max(1, -(-(size.b or 0) // TARGET_TASK_BYTES))
+    parts = max(1, -(-docs.count() // PART_ROWS))
     bounds = []
     if parts > 1:
         got = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
@@ -176,10 +185,10 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         import numpy as np
         import pyarrow as pa
 
-        coder = PieceEncoder(tokenizer)
+        coder = worker_state(f"pieces {tokenizer}", lambda: PieceEncoder(tokenizer))
         end = np.array([end_id], "<u4").tobytes()
         cut = np.array(bounds, np.int64)
-        for b, texts in text_batches(batches):
+        for b, texts in text_batches(batches, rows=1024):
             ids = b.column("doc_id").cast(pa.int64())
             place = np.searchsorted(cut, ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
             coded = [np.frombuffer(x + end, "<u4") for x in coder.encode(texts)]
@@ -259,8 +268,9 @@ def document_digests(segments: DataFrame) -> DataFrame:
                 segment = Segment(data)
                 ends = np.cumsum(lengths)
                 begins = ends - np.array(lengths)
-                crc = [zlib.crc32(segment.tokens(s, e).astype("<u4").tobytes())
-                       for s, e in zip(begins.tolist(), ends.tolist())]
+                # All documents of the segment are asked for, so one range has them.
+                found = memoryview(segment.tokens(0, segment.n).astype("<u4")).cast("B")
+                crc = [zlib.crc32(found[4 * s:4 * e]) for s, e in zip(begins.tolist(), ends.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids, pa.int64()), pa.array(begins + start), pa.array(lengths, pa.int64()),
                      pa.array(crc, pa.int64())], ["doc_id", "start", "n_tokens", "ids_crc32"])

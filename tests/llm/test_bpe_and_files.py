@@ -78,7 +78,7 @@ def test_segments_give_random_access():
 
 @pytest.mark.parametrize("name", ["docs", "odd_docs", "no_docs"])
 def test_token_files(name, request, library, monkeypatch):
-    monkeypatch.setattr(token_files, "TARGET_TASK_BYTES", 1 << 15)  # several files
+    monkeypatch.setattr(token_files, "PART_ROWS", 40 if name == "docs" else 3)  # several files
     monkeypatch.setattr(token_files, "SEGMENT_TOKENS", 1000)  # several segments in one
     table = request.getfixturevalue(name)
     got = sorted(map(tuple, token_files.write_and_read_back(table, PATH).collect()),
