@@ -158,10 +158,19 @@ def extract_periods(start, end, window, frequency, as_of) -> Column:
     f = F.upper(_lit(frequency))
     start = _c(start) if start is not None else F.lit(None).cast("string")
     end = _c(end) if end is not None else F.lit(None).cast("string")
-    s = F.coalesce(period_floor(period_start_date(start), f), period_floor(shift(as_of, window, f), f))
-    e = F.coalesce(period_floor(period_start_date(end), f), period_floor(_c(as_of).cast("date"), f))
-    return F.when(s < e, F.transform(_dates(s, e, f), lambda d: label(d, f))).otherwise(
-        F.array(F.coalesce(start, label(s, f))))
+    day = _c(as_of).cast("date")
+    bounds = F.named_struct(
+        F.lit("s"), period_floor(F.coalesce(period_start_date(start), shift(day, window, f)), f),
+        F.lit("e"), period_floor(F.coalesce(period_start_date(end), day), f),
+        F.lit("start"), start, F.lit("f"), f)
+    # A one-element array binds the bounds to a name: they are worked out once
+    # per row, however often the periods below refer to them.
+    return F.element_at(F.transform(F.array(bounds), _periods_between), 1)
+
+
+def _periods_between(b: Column) -> Column:
+    return F.when(b["s"] < b["e"], F.transform(_dates(b["s"], b["e"], b["f"]), lambda d: label(d, b["f"]))).otherwise(
+        F.array(F.coalesce(b["start"], label(b["s"], b["f"]))))
 
 
 def first_day_of_future_month(yyyymm, n) -> Column:

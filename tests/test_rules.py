@@ -447,3 +447,34 @@ def test_existing_rate_extracts_are_skipped_or_taken_anew(spark):
     assert [tuple(r) for r in back.collect()] == [("E", "202401")]
     todo, _ = skip_existing_rates(plan, have, download_new=False)
     assert todo.count() == 3
+
+
+def test_polling_push_takes_later_files_too(spark):
+    from aggrex.streaming.incremental import incremental_push, read_payloads
+    base = tempfile.mkdtemp(prefix="aggrex-t-")
+    root, out = os.path.join(base, "extracts"), os.path.join(base, "out")
+
+    def drop(period):
+        io.write_extract(_dp(spark, [("DATA_ELEMENT", "D", period, "O1", "C", "A", None, "AGGREGATED", "1")]), root, "x",
+                         F.col("period"))
+    drop("202401")
+    q = incremental_push(spark, root, out, os.path.join(base, "ckpt"), lambda d: d, max_post=5,
+                         continuous_every="1 second", max_files_per_trigger=1)
+    try:
+        q.processAllAvailable()
+        drop("202402")
+        q.processAllAvailable()
+        assert q.isActive
+    finally:
+        q.stop()
+    assert sorted(r["period"] for r in read_payloads(spark, out).collect()) == ["202401", "202402"]
+
+
+def test_unknown_combos_are_refused_by_the_plan(spark):
+    from aggrex.plans.extraction import expand_category_combos
+    items = spark.createDataFrame([(0, ["CC", "GONE"], [])],
+                                  "item_pos int, cat_combos array<string>, cat_option_combos array<string>")
+    bridge = spark.createDataFrame([("CC", "c1")], "cat_combo string, coc string")
+    with pytest.raises(ValueError, match="GONE"):
+        expand_category_combos(items, bridge)
+    assert expand_category_combos(items, bridge, allow_unfiltered=True).count() == 1
