@@ -191,7 +191,7 @@ def _prose(rng, n):
 
 def test_repeated_passages_are_found_wherever_they_stand(spark):
     rng = random.Random(9)
-    passage, near = _prose(rng, 70), None
+    passage, near = _prose(rng, 130), None
     near = passage.split()
     near[35] = "changed"
     near = " ".join(near)
@@ -209,7 +209,7 @@ def test_repeated_passages_are_found_wherever_they_stand(spark):
         for span in got[d].removed.split(","):
             a, b = map(int, span.split(":"))
             cut = texts[d].split()[a:b]
-            assert sum(w in passage for w in cut) >= len(cut) - 1
+            assert sum(w in passage for w in cut) >= 0.9 * len(cut)
     left = {r.doc_id: r.text for r in paragraphs.remove_runs(table, paragraphs.repeated_runs(table)).collect()}
     assert left[3] == texts[3] and left[1] == texts[1] and left[8] is None
     assert len(left[2].split()) == len(texts[2].split()) - got[2].removed_words
