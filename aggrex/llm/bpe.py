@@ -7,9 +7,9 @@ walk carries the last token of every prefix along the path, so the encoding of a
 prefix that many words share is found once. Word encodings are read back along
 the path and put together per document.
 
-Texts are cut at plain blanks and line ends first; neither normalisation nor
-the word pattern ever joins what a blank separates, so a piece's ids depend on
-the piece alone and are remembered for the next documents (bounded memory).
+Texts are cut into pieces that neither normalisation nor the word pattern ever
+joins, so a piece's ids depend on the piece alone and are remembered for the
+next documents (bounded memory).
 """
 
 from __future__ import annotations
@@ -18,18 +18,18 @@ import gc
 import hashlib
 import json
 import re
-from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame
 
-from aggrex.llm.common import pick, worker_state
+from aggrex.llm.common import pick
 
 # The word pattern of the tokenizer, for pieces in lower case whose letters are known.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d|[a-z{0}]+|[0-9]|[^ \t\n\x0b\x0c\ra-z0-9{0}]+"
 # Letters beyond ASCII that are split here if the library treats them as plainly as expected; the
 # library itself splits pieces with any other character.
 LETTERS = range(0xC0, 0x250)
-REMEMBER = 200_000  # pieces and words a task remembers, twice: those in use and those before
+REMEMBER = 150_000  # pieces and words a task remembers, twice: those in use and those before
 REMEMBER_LENGTH = 48  # longer ones are encoded anew
 
 class Merges:
@@ -182,7 +182,7 @@ class Splitter:
         with open(path, encoding="utf-8") as f:
             self.spec = json.load(f)
         self.special = {t["content"]: t["id"] for t in self.spec["added_tokens"]}
-        self.cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
+        self.special_cut = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         letters = "".join(c for c in map(chr, LETTERS) if self._plain_letter(c))
         self.words_of = re.compile(WORDS.format(letters)).findall
         self.known_letters = re.compile(f"[\\x00-\\x7f{letters}]*").fullmatch
@@ -211,10 +211,10 @@ class Splitter:
 
     def parts(self, piece: str) -> list[str | int]:
         """Words, and ids of special tokens, of a piece."""
-        if self.cut is None or "<|" not in piece:
+        if self.special_cut is None or "<|" not in piece:
             return self.split(piece)
         out: list[str | int] = []
-        for part in self.cut.split(piece):
+        for part in self.special_cut.split(piece):
             if part in self.special:
                 out.append(self.special[part])
             elif part:
@@ -222,57 +222,171 @@ class Splitter:
         return out
 
 
-class Codec(Splitter):
+class PieceCutter(Splitter):
+    """Cuts batches of texts into pieces, and tells which pieces are equal.
+
+    A batch is cut as bytes, in numpy: at blanks and line ends, and between an
+    ASCII letter or digit and ASCII punctuation (but for the apostrophe). No rule
+    of the tokenizer joins what stands on two sides of such a cut; special
+    tokens could, so texts with their first characters are left whole. Pieces
+    are told apart by a 64-bit polynomial hash, checked by a second one.
+    """
+
+    BASES = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+
+    def __init__(self, path: str):
+        import numpy as np
+
+        super().__init__(path)
+        self.kind = np.full(256, 3, np.uint8)  # 0 blank, 1 letter or digit, 2 punctuation, 3 all else
+        self.kind[[10, 32]] = 0
+        for b in range(33, 127):
+            self.kind[b] = 1 if chr(b).isalnum() else 3 if chr(b) == "'" else 2
+        self.up = [np.ones(1, np.uint64)] * 2
+        self.down = list(self.up)
+
+    def _hashes(self, data, white, start):
+        """Both hashes of the pieces: sums of byte * base ** place, the first byte's place divided out."""
+        import numpy as np
+
+        if len(self.up[0]) < len(data):
+            n = len(data) + (len(data) >> 2)
+            for i, base in enumerate(self.BASES):
+                for powers, b in ((self.up, base), (self.down, pow(base, -1, 1 << 64))):
+                    steps = np.full(n, b, np.uint64)
+                    steps[0] = 1
+                    powers[i] = np.cumprod(steps, dtype=np.uint64)
+        values = data.astype(np.uint64)
+        values += np.uint64(1)
+        values[white] = 0
+        return [np.add.reduceat(values * up[:len(data)], start) * down[start]
+                for up, down in zip(self.up, self.down)]
+
+    def cut(self, texts: list[str]):
+        """(texts left whole, distinct pieces, which of them each piece is, how many pieces there are up to
+        the end of each text)."""
+        import numpy as np
+
+        coded = [t.encode() for t in texts]
+        whole = [i for i, c in enumerate(coded) if b"<|" in c]
+        for i in whole:
+            coded[i] = b""
+        data = np.frombuffer(b" ".join(coded), np.uint8)
+        kind = self.kind[data]
+        white = kind == 0
+        before = np.append(np.uint8(0), kind[:-1])[:len(kind)]
+        # Kinds 1 and 2 side by side add up to 3 without either being 0 or 3.
+        cut = ~white & ((before == 0) | ((before + kind == 3) & (before != 3) & (kind != 3)))
+        start = np.flatnonzero(cut)
+        if not len(start):
+            return whole, [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        stop = np.flatnonzero(~white & np.append(cut[1:] | white[1:], True)) + 1
+        with np.errstate(over="ignore"):
+            first, second = self._hashes(data, white, start)
+        _, one, which = np.unique(first, return_index=True, return_inverse=True)
+        if not ((second == second[one][which]).all() and (stop - start == (stop - start)[one][which]).all()):
+            # Two pieces with one hash: nothing is cut.
+            return list(range(len(texts))), [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
+        raw = data.tobytes()
+        pieces = [raw[s:e] for s, e in zip(start[one].tolist(), stop[one].tolist())]
+        end = np.cumsum([len(c) + 1 for c in coded])
+        return whole, pieces, which, np.searchsorted(start, end, "left")
+
+
+def gather(found: list[bytes], which, ends, dtype) -> list:
+    """Per text the items of its pieces, one after the other; ``found`` has the distinct pieces' items."""
+    import numpy as np
+
+    if not len(ends):
+        return []
+    item = np.dtype(dtype).itemsize
+    flat = np.frombuffer(b"".join(found), dtype)
+    size = np.fromiter(map(len, found), np.int64, len(found)) // item
+    place = (np.cumsum(size) - size)[which]
+    size = size[which]
+    upto = np.append(0, np.cumsum(size))
+    items = flat[np.repeat(place - upto[:-1], size) + np.arange(upto[-1])]
+    return np.split(items, upto[ends][:-1])
+
+
+@contextmanager
+def no_cycle_collection():
+    """What is remembered has no cycles to look for, and grows too large to be looked through so often."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
+class Codec(PieceCutter):
     """Encodes and decodes whole texts with one tokenizer file."""
 
     def __init__(self, path: str):
         super().__init__(path)
         self.merges = Merges(self.spec["model"])
-        self.texts = {i: t for t, i in self.merges.vocab.items()}
-        self.texts.update({i: t for t, i in self.special.items()})
+        self.texts = {i: f"{t} " for t, i in (self.merges.vocab | self.special).items()}
         self.words: dict[str, list[int]] = {}
-        self.pieces: dict[str, tuple[bytes, str]] = {"": (b"", "")}
+        self.pieces: dict[bytes, tuple[bytes, bytes]] = {}
         self.older_words: dict[str, list[int]] = {}
-        self.older_pieces: dict[str, tuple[bytes, str]] = {}
+        self.older_pieces: dict[bytes, tuple[bytes, bytes]] = {}
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text) of every text."""
+    def _coded(self, parts: list[str | int], more: dict) -> tuple[bytes, bytes]:
+        """Ids, and the tokens' texts with a blank behind each, of a piece's words."""
         import numpy as np
 
+        ids: list[int] = []
+        for w in parts:
+            if isinstance(w, int):
+                ids.append(w)
+            else:
+                ids += more.get(w) or self.words[w]
+        texts = self.texts
+        return np.array(ids, "<u4").tobytes(), "".join([texts[i] for i in ids]).encode()
+
+    def _encode_words(self, words: set[str]) -> dict[str, list[int]]:
+        """Encodes the words not known yet; returns those too long to be remembered."""
+        new = words.difference(self.words)
+        self.words.update((w, self.older_words[w]) for w in new.intersection(self.older_words))
+        found = encode_words(new.difference(self.words), self.merges)
+        self.words.update((w, ids) for w, ids in found.items() if len(w) <= REMEMBER_LENGTH)
+        return {w: ids for w, ids in found.items() if len(w) > REMEMBER_LENGTH}
+
+    def _codes(self, pieces: list[bytes]) -> list[tuple[bytes, bytes]]:
         if len(self.pieces) > REMEMBER:
-            self.older_pieces, self.pieces = self.pieces, {"": (b"", "")}
+            self.older_pieces, self.pieces = self.pieces, {}
         if len(self.words) > REMEMBER:
             self.older_words, self.words = self.words, {}
-        pieces, older, words = self.pieces, self.older_pieces, self.words
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*cut).difference(pieces)
-        pieces.update((p, older[p]) for p in missing.intersection(older))
-        missing.difference_update(pieces)
-        fresh = {p: self.parts(p) for p in missing}
-        new = set().union(*fresh.values()).difference(words, self.special.values())
-        words.update((w, self.older_words[w]) for w in new.intersection(self.older_words))
-        new.difference_update(words)
-        # What is remembered has no cycles to look for, and grows too large to be looked through so often.
-        collecting = gc.isenabled()
-        gc.disable()
-        words.update(encode_words(new, self.merges))
-        texts_of = self.texts
-        for p, parts in fresh.items():
-            ids: list[int] = []
-            for w in parts:
-                if isinstance(w, int):
-                    ids.append(w)
-                else:
-                    ids += words[w]
-            pieces[p] = np.array(ids, "<u4").tobytes(), " ".join([texts_of[i] for i in ids])
-        if collecting:
-            gc.enable()
-        for part in cut:
-            got = [pieces[p] for p in part]
-            yield b"".join([x[0] for x in got]), " ".join([x[1] for x in got if x[1]])
-        for known in (pieces, words):
-            for p in [p for p in (fresh if known is pieces else new) if len(p) > REMEMBER_LENGTH]:
+        known = self.pieces
+        missing = [p for p in pieces if p not in known]
+        known.update((p, self.older_pieces[p]) for p in missing if p in self.older_pieces)
+        fresh = {p: self.split(p.decode()) for p in missing if p not in known}
+        more = self._encode_words(set().union(*fresh.values()))
+        for p, words in fresh.items():
+            known[p] = self._coded(words, more)
+        out = [known[p] for p in pieces]
+        for p in fresh:
+            if len(p) > REMEMBER_LENGTH:
                 del known[p]
+        return out
+
+    def encode(self, texts: list[str]) -> list[tuple[bytes, bytes]]:
+        """(ids as little-endian unsigned 32-bit integers, decoded text in UTF-8) of every text."""
+        whole, pieces, which, ends = self.cut(texts)
+        with no_cycle_collection():
+            codes = self._codes(pieces)
+            ids = gather([i for i, _ in codes], which, ends, "<u4")
+            decoded = gather([t for _, t in codes], which, ends, "u1")
+            # Each token's text has a blank behind it; the last one goes.
+            out = [(i.tobytes(), d.tobytes()[:-1]) for i, d in zip(ids, decoded)]
+            for i in whole:
+                parts = [p for piece in texts[i].replace("\n", " ").split(" ") for p in self.parts(piece)]
+                more = self._encode_words({w for w in parts if isinstance(w, str)})
+                coded = self._coded(parts, more)
+                out[i] = coded[0], coded[1][:-1]
+        return out
 
 
 def text_batches(batches, rows: int = 512, chars: int = 4 << 20):
@@ -308,17 +422,17 @@ def bpe_encode_decode(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", t
         import numpy as np
         import pyarrow as pa
 
-        codec = worker_state(f"codec {tokenizer}", lambda: Codec(tokenizer))
-        for b, texts in text_batches(batches, rows=1024):
-            coded = list(codec.encode(texts))
+        codec = Codec(tokenizer)
+        for b, texts in text_batches(batches, rows=1024, chars=1 << 20):
+            coded = codec.encode(texts)
             cols = [b.column("doc_id").cast(pa.int64()),
                     pa.array([len(i) // 4 for i, _ in coded], pa.int64()),
                     pa.array([hashlib.sha256(i).hexdigest() for i, _ in coded]),
-                    pa.array([hashlib.sha256(t.encode()).hexdigest() for _, t in coded])]
+                    pa.array([hashlib.sha256(t).hexdigest() for _, t in coded])]
             names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 cols += [pa.array([np.frombuffer(i, "<u4").astype("int32") for i, _ in coded], pa.list_(pa.int32())),
-                         pa.array([t for _, t in coded])]
+                         pa.array([t.decode() for _, t in coded])]
                 names += ["ids", "decoded"]
             yield pa.RecordBatch.from_arrays(cols, names)
 

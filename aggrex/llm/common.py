@@ -3,8 +3,6 @@ documents, and connected components of an edge table."""
 
 from __future__ import annotations
 
-import sys
-import types
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,21 +23,6 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def worker_state(key: str, make):
-    """``make()``, kept by this Python process under ``key`` for its next tasks.
-
-    Functions travel to the tasks by value, each with globals of its own; what is
-    dear to build lives in a module of the process instead. One entry at a
-    time, so a worker that goes on to another operator lets the last one go.
-    """
-    kept = sys.modules.setdefault("aggrex_worker_state", types.ModuleType("aggrex_worker_state")).__dict__
-    entries = kept.setdefault("entries", {})
-    if key not in entries:
-        entries.clear()
-        entries[key] = make()
-    return entries[key]
-
-
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

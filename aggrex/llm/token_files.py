@@ -15,24 +15,22 @@ documents are in ascending id order over the whole table.
 
 from __future__ import annotations
 
-import gc
 import struct
 import uuid
 import zlib
-from itertools import chain
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from aggrex.llm.bpe import Splitter, text_batches
-from aggrex.llm.common import pick, worker_state
+from aggrex.llm.bpe import PieceCutter, gather, no_cycle_collection, text_batches
+from aggrex.llm.common import pick
 from aggrex.session import checkpoint_dir
 
 MAGIC = b"DACS"
 BLOCK = 512  # positions per rank directory entry
 PART_ROWS = 8192  # documents per file; a file is written as a stream of segments, whatever its size
 SEGMENT_TOKENS = 1 << 20  # a segment ends with the document that passes this
-REMEMBER = 250_000  # text pieces a task remembers, twice
+REMEMBER = 250_000  # text pieces a task remembers, twice: those in use and those before
 REMEMBER_LENGTH = 48
 
 
@@ -116,52 +114,44 @@ class Segment:
         return out
 
 
-class PieceEncoder(Splitter):
-    """Texts to ids by the tokenizers library's model: each distinct word once, put
-    together to pieces between plain blanks and line ends (no rule of the
-    tokenizer joins across them), which are remembered for the next texts."""
+class PieceEncoder(PieceCutter):
+    """Texts to ids by the tokenizers library's model, each distinct piece once."""
 
     def __init__(self, path: str):
         super().__init__(path)
-        self.pieces: dict[str, bytes] = {"": b""}
-        self.older: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.older: dict[bytes, bytes] = {}
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
+        """Ids of distinct pieces, from memory or from the model."""
         import numpy as np
 
         if len(self.pieces) > REMEMBER:
-            self.older, self.pieces = self.pieces, {"": b""}
-        if len(self.words) > REMEMBER:
-            self.words = {}
-        pieces, older, words = self.pieces, self.older, self.words
-        collecting = gc.isenabled()
-        gc.disable()  # what is remembered has no cycles to look for
-        cut = [t.replace("\n", " ").split(" ") for t in texts]
-        missing = set().union(*cut).difference(pieces)
-        pieces.update((p, older[p]) for p in missing.intersection(older))
-        missing.difference_update(pieces)
-        fresh = {p: self.parts(p) for p in missing}
-        new = [w for w in set().union(*fresh.values()).difference(words) if isinstance(w, str)]
-        words.update((i, np.uint32(i).astype("<u4").tobytes()) for i in self.special.values())
-        tokenize = self.library.model.tokenize
-        found = [[t.id for t in tokenize(w)] for w in new]
-        data = np.fromiter(chain.from_iterable(found), "<u4").tobytes()
-        at = 0
-        for w, ids in zip(new, found):
-            words[w] = data[at:at + 4 * len(ids)]
-            at += 4 * len(ids)
-        for p, parts in fresh.items():
-            pieces[p] = words[parts[0]] if len(parts) == 1 else b"".join([words[w] for w in parts])
-        out = [b"".join([pieces[p] for p in part]) for part in cut]
-        for known, names in ((pieces, fresh), (words, new)):
-            for p in names:
-                if len(p) > REMEMBER_LENGTH:
-                    del known[p]
-        if collecting:
-            gc.enable()
+            self.older, self.pieces = self.pieces, {}
+        known, older, tokenize = self.pieces, self.older, self.library.model.tokenize
+        missing = [p for p in pieces if p not in known]
+        for p in missing:
+            ids = older.get(p)
+            if ids is None:
+                ids = np.array([t.id for w in self.split(p.decode()) for t in tokenize(w)], "<u4").tobytes()
+            known[p] = ids
+        out = [known[p] for p in pieces]
+        for p in missing:
+            if len(p) > REMEMBER_LENGTH:
+                del known[p]
         return out
 
+    def encode(self, texts: list[str]) -> list:
+        """The ids (numpy, unsigned 32-bit) of every text."""
+        import numpy as np
+
+        whole, pieces, which, ends = self.cut(texts)
+        with no_cycle_collection():
+            ids = gather(self._ids_of(pieces), which, ends, "<u4")
+        for i in whole:
+            ids[i] = np.array(self.library.encode(texts[i], add_special_tokens=False).ids, np.uint32)
+        return ids
+
 
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id",
                       text_col: str = "text") -> None:
@@ -185,13 +175,12 @@ def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int =
         import numpy as np
         import pyarrow as pa
 
-        coder = worker_state(f"pieces {tokenizer}", lambda: PieceEncoder(tokenizer))
-        end = np.array([end_id], "<u4").tobytes()
+        coder = PieceEncoder(tokenizer)
         cut = np.array(bounds, np.int64)
-        for b, texts in text_batches(batches, rows=1024):
+        for b, texts in text_batches(batches, rows=1024, chars=1 << 20):
             ids = b.column("doc_id").cast(pa.int64())
             place = np.searchsorted(cut, ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
-            coded = [np.frombuffer(x + end, "<u4") for x in coder.encode(texts)]
+            coded = [np.append(x, np.uint32(end_id)).astype("<u4") for x in coder.encode(texts)]
             # Two bytes an id where they suffice: what is shuffled stays small.
             rows = [x.astype("<u2").tobytes() if x.max() < 65536 else x.tobytes() for x in coded]
             yield pa.RecordBatch.from_arrays(
