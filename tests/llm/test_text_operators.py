@@ -215,6 +215,55 @@ def test_repeated_passages_are_found_wherever_they_stand(spark):
     assert len(left[2].split()) == len(texts[2].split()) - got[2].removed_words
 
 
+def _removed_words(report):
+    return {r.doc_id: {i for x in r.removed.split(",") if x for i in range(*map(int, x.split(":")))}
+            for r in report.collect()}
+
+
+@pytest.mark.parametrize("edit", ["none", "replaced", "inserted", "dropped"])
+def test_passages_of_51_to_60_words_are_removed_to_their_borders(spark, edit):
+    docs, span = [], {}
+    for seed in range(200):
+        rng = random.Random(seed)
+        passage = _prose(rng, rng.randint(51, 60)).split()
+        copy, at = list(passage), rng.randrange(51)
+        copy[at:at + 1] = {"none": [copy[at]], "replaced": ["changed"], "inserted": [copy[at], "added"],
+                           "dropped": []}[edit]
+        # At the end of a text, or with so much around it that the lines are unlike.
+        before, after = (rng.choice([0, rng.randint(30, 90)]) for _ in range(2))
+        docs += [(seed, " ".join([_prose(rng, rng.randint(30, 90)), *passage, _prose(rng, rng.randint(30, 90))])),
+                 (1000 + seed, " ".join([_prose(rng, before), *copy, _prose(rng, after)]))]
+        span[1000 + seed] = set(range(before, before + len(copy)))
+    got = _removed_words(paragraphs.repeated_report(spark.createDataFrame(docs, "doc_id long, text string")))
+    # A part at the border may be linked, and removed whole, as a near copy.
+    assert all(len(got[d] - span[d]) <= 3 if d in span else not got[d] for d in got)
+    assert sum(got[d] <= s for d, s in span.items()) >= 0.95 * len(span)
+    least = 1 if edit == "none" else 0.9
+    assert sum(len(got[d]) >= least * len(s) for d, s in span.items()) >= (1 if edit == "none" else 0.99) * len(span)
+
+
+def test_similar_lines_are_removed_whole(spark):
+    """Ten words in a row and single words changed: Jaccard of the lines over 0.8, inner parts unlike."""
+    rng = random.Random(4)
+    line = _prose(rng, 200).split()
+    near = line[:90] + _prose(rng, 10).split() + line[100:]
+    docs = [(1, " ".join(line)), (2, _prose(rng, 30) + "\n" + " ".join(near))]
+    got = _removed_words(paragraphs.repeated_report(spark.createDataFrame(docs, "doc_id long, text string")))
+    assert got == {1: set(), 2: set(range(30, 230))}
+
+
+def test_anchors_are_dense_and_stand_in_every_run_of_25_words():
+    rng = random.Random(2)
+    passage = _prose(rng, 25)
+    texts = [f"{_prose(rng, rng.randrange(60))} {passage} {_prose(rng, rng.randrange(60))}" for _ in range(50)]
+    cutter = paragraphs.Cutter()
+    p = cutter.paragraphs(texts + ["", "one", "the " * 500])
+    place, anchor = cutter.anchors(p)
+    of = p["word_text"][place]
+    assert set.intersection(*[set(anchor[of == i].tolist()) for i in range(50)])
+    assert (of == 52).sum() <= 70 and (of < 50).sum() <= 0.15 * (p["word_text"] < 50).sum()
+
+
 def test_similar_paragraphs_link_by_exact_jaccard():
     import numpy as np
     rng = np.random.default_rng(3)
