@@ -220,6 +220,23 @@ def _removed_words(report):
             for r in report.collect()}
 
 
+def test_a_changed_word_inside_a_passage_of_70(spark):
+    rng = random.Random(9)
+    passage = _prose(rng, 70)
+    near = passage.split()
+    near[35] = "changed"
+    texts = {1: f"{_prose(rng, 33)} {passage} {_prose(rng, 51)}", 2: f"{_prose(rng, 80)}\n{passage}",
+             3: _prose(rng, 200), 4: f"{_prose(rng, 20)} {' '.join(near)} {_prose(rng, 40)}"}
+    got = {r.doc_id: r for r in paragraphs.repeated_report(
+        spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    assert {d for d, r in got.items() if r.n_removed} == {2, 4} and got[2].removed_words >= 69
+    for d in (2, 4):
+        for span in got[d].removed.split(","):
+            a, b = map(int, span.split(":"))
+            cut = texts[d].split()[a:b]
+            assert sum(w in passage for w in cut) >= len(cut) - 1
+
+
 @pytest.mark.parametrize("edit", ["none", "replaced", "inserted", "dropped"])
 def test_passages_of_51_to_60_words_are_removed_to_their_borders(spark, edit):
     docs, span = [], {}
