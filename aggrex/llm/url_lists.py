@@ -32,6 +32,11 @@ def split_url(url: Column) -> dict[str, Column]:
     return {"host": F.when(found, host), "path": F.when(found, F.when(path == "", "/").otherwise(path))}
 
 
+def _lower_host(entry: Column) -> Column:
+    """The entry with its host, which ends at the first slash, in lower case; paths are case-sensitive."""
+    return F.concat(F.lower(F.substring_index(entry, "/", 1)), F.regexp_extract(entry, r"(?s)^[^/]*(.*)$", 1))
+
+
 def validity_intervals(events: DataFrame) -> DataFrame:
     """(kind, entry, category, valid_from, valid_to) of list events (kind, entry,
     category, event_date, action 'add' or 'remove').
@@ -40,12 +45,12 @@ def validity_intervals(events: DataFrame) -> DataFrame:
     (valid_to is exclusive). Several events of an entry on one day count as the
     last in the order remove, add, so that a removal and an addition on the same
     day leave the entry on the list; of several categories the least name
-    stays. Adding what is on the list continues it under the new category.
+    stays. Hosts are compared in lower case, paths as they are. Adding what is on the list continues it under the new category.
     Events with a NULL kind, entry or date, and other actions, are left out.
     """
     day = (events.where(F.col("kind").isin(*KINDS) & F.col("entry").isNotNull() & F.col("event_date").isNotNull()
                         & F.col("action").isin("add", "remove"))
-           .groupBy("kind", F.lower("entry").alias("entry"), "event_date")
+           .groupBy("kind", _lower_host(F.col("entry")).alias("entry"), "event_date")
            .agg(F.max((F.col("action") == "add").cast("int")).alias("on_list"),
                 F.min(F.when(F.col("action") == "add", F.col("category"))).alias("category")))
     following = F.lead("event_date").over(Window.partitionBy("kind", "entry").orderBy("event_date"))

@@ -358,3 +358,15 @@ def test_url_lists_as_of_the_fetch(spark):
     assert got[5].categories == "y" and got[2].categories == "x" and str(got[2].first_listed) == "2023-02-10"
     assert url_lists.filter_captures(captures.where("false"), intervals).isEmpty()
     assert url_lists.filter_captures(captures, intervals.where("false")).where("blocked").isEmpty()
+
+
+def test_paths_of_prefix_entries_keep_their_case(spark):
+    events = spark.createDataFrame([("prefix", "B.example.net/Bad/Thing", "p"), ("host", "C.Example.net", "h")],
+                                   "kind string, entry string, category string").withColumns(
+        {"action": F.lit("add"), "event_date": F.to_date(F.lit("2023-01-01"))})
+    pages = [(1, "https://b.Example.net/Bad/Thing"), (2, "https://b.example.net/bad/thing"),
+             (3, "https://b.example.net/Bad/Thing?q"), (4, "https://c.example.net/X"), (5, "https://b.example.net/Bad/")]
+    captures = spark.createDataFrame(pages, "page_id long, url string").withColumn(
+        "fetch_date", F.to_date(F.lit("2023-02-01")))
+    got = url_lists.filter_captures(captures, url_lists.validity_intervals(events)).where("blocked")
+    assert {r.page_id for r in got.collect()} == {1, 3, 4}
