@@ -12,7 +12,12 @@ of a text start at every ``stride``-th word, so whatever place a passage has,
 some window of the text starts on the word of an item window. A window is as
 long as what is left of the item (by size class). A walk's notes don't depend
 on the window's length, so one walk per place serves all classes. How many keys
-are drawn is tuned on edited copies of the items until the target recall.
+are drawn is tuned on edited copies of the items until every length class of
+them reaches the target recall.
+
+Short items have too few windows for that. They, and classes that miss the
+target with the most keys, are found exactly: cut into one piece more than they
+may have edits, one piece at least is in the text as it is.
 """
 
 from __future__ import annotations
@@ -33,7 +38,9 @@ WINDOW = 9  # least words of an item window; items with fewer are one window
 CLASSES = (LEAST_WORDS, 6, 7, WINDOW, 13, 20, 30, 45, 70, 110, 170, 256)  # window sizes, in words
 NOTES = 4  # notes per key
 KEYS = (4, 8, 12, 16, 24)  # keys per class and walk, tried until the target recall
-TARGET = 0.95
+TARGET = 0.95  # of the copies of each length class
+SHORT = 25  # items of fewer words are found by pieces
+LENGTHS = (SHORT, 35, 50, 80, 130, 256)  # least words of the length classes
 ITEM_BYTES = 32 << 20  # items sent to the executors at a time; more items take more passes
 REMEMBER = 300_000
 
@@ -104,6 +111,8 @@ class Index:
     hashes: object = None  # sorted window keys
     item: object = None
     offset: object = None
+    piece_sizes: list[int] = field(default_factory=list)
+    pieces: tuple = ()  # sorted piece hashes, with item and offset
 
     def steps(self) -> int:
         return max(max(NOTES, int(1.5 * s)) for s in self.sizes)
@@ -123,22 +132,34 @@ def _size_class(left: int) -> int:
     return max(c for c in CLASSES if c <= max(left, CLASSES[0]))
 
 
-def build_index(items: list[tuple], keys: int | None = None) -> Index:
-    """Index of (id, text) items; ``keys`` is tuned if not given."""
+def _length_class(n_words: int) -> int:
+    """Least words of the item's length class; 0 for short items."""
+    return max((c for c in LENGTHS if c <= n_words), default=0)
+
+
+def build_index(items: list[tuple], keys: int | None = None, exact: set[int] = frozenset({0})) -> Index:
+    """Index of (id, text) items; ``keys``, and the length classes that are found by
+    pieces (``exact``), are tuned if not given."""
     import numpy as np
 
     words = [_words(t) for _, t in items]
-    least = min(len(w) for w in words)
-    stride = max(1, min(STRIDE, least - WINDOW + 1))
     if keys is None:
-        for keys in KEYS:
-            if _recall(items, keys) >= TARGET:
-                break
+        keys, exact = _tuned(items)
+    by_piece = [_length_class(len(w)) in exact for w in words]
+    least = min((len(w) for w, x in zip(words, by_piece) if not x), default=WINDOW)
+    stride = max(1, min(STRIDE, least - WINDOW + 1))
     index = Index([i for i, _ in items], words, stride, keys)
     known: dict[str, int] = {}
-    parts, all_sizes = [], set()
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    parts, all_sizes, pieces, piece_sizes = [none], set(), [none], set()
     for n, ws in enumerate(words):
         symbols = np.append(word_symbols(ws, known), np.uint64(0))
+        if by_piece[n]:
+            cuts = [len(ws) * k // (budget(len(ws)) + 1) for k in range(budget(len(ws)) + 2)]
+            for a, b in zip(cuts, cuts[1:]):
+                piece_sizes.add(b - a)
+                pieces.append((_grams(symbols[a:b], b - a), np.array([n]), np.array([a])))
+            continue
         starts = np.arange(max(1, len(ws) - WINDOW + 1))
         by_size: dict[int, list[int]] = {}
         for o in starts.tolist():
@@ -149,35 +170,68 @@ def build_index(items: list[tuple], keys: int | None = None) -> Index:
             notes = walk(symbols, offsets, max(NOTES, int(1.5 * size)))
             for h in _keys(notes, size, keys):
                 parts.append((h, np.full(len(h), n), offsets))
-    hashes, item, offset = (np.concatenate(x) for x in zip(*parts))
-    order = np.argsort(hashes, kind="stable")
-    index.sizes = sorted(all_sizes)
-    index.hashes, index.item, index.offset = hashes[order], item[order], offset[order]
+
+    def in_order(rows):
+        hashes, item, offset = (np.concatenate(x) for x in zip(*rows))
+        order = np.argsort(hashes, kind="stable")
+        return hashes[order], item[order], offset[order]
+
+    index.sizes, index.piece_sizes = sorted(all_sizes), sorted(piece_sizes)
+    index.hashes, index.item, index.offset = in_order(parts)
+    index.pieces = in_order(pieces)
     return index
 
 
+def _grams(symbols, size: int):
+    """Hashes of all runs of ``size`` symbols."""
+    import numpy as np
+
+    n = max(0, len(symbols) - size + 1)
+    h = np.full(n, size, np.uint64)
+    with np.errstate(over="ignore"):
+        for k in range(size):
+            h = h * np.uint64(0x9E3779B97F4A7C15) + symbols[k:n + k]
+        return _mix(h, 73)
+
+
 def budget(n_words: int) -> int:
     """Edits that an item of so many words may have."""
     return int((1 - SIMILARITY) * n_words + 1e-9)
 
 
-def _recall(items: list[tuple], keys: int, most: int = 60) -> float:
-    """Share of edited copies of the items, at the least similarity, that the keys find."""
+def _tuned(items: list[tuple]) -> tuple[int, set[int]]:
+    """(keys, length classes to find by pieces): the fewest keys under which every class
+    reaches the target; a class that the most keys miss is found by pieces."""
+    classes: dict[int, list[tuple]] = {}
+    for item in items:
+        classes.setdefault(_length_class(len(_words(item[1]))), []).append(item)
+    exact, most = {0}, KEYS[0]
+    for c in sorted(classes.keys() - exact):
+        reached = next((k for k in KEYS if _recall(classes[c], k) >= TARGET), None)
+        if reached is None:
+            exact.add(c)
+        else:
+            most = max(most, reached)
+    return most, exact
+
+
+def _recall(items: list[tuple], keys: int, most: int = 60, copies: int = 4, exact: set[int] = frozenset({0})) -> float:
+    """Share of edited copies of the items, ``copies`` each at the least similarity, that are candidates."""
     import random
 
     rng = random.Random(3)
     some = rng.sample(items, min(most, len(items)))
-    index = build_index(some, keys)
+    index = build_index(some, keys, exact)
     scanner = Scanner(index)
     found = 0
-    for n, item in enumerate(index.words):
+    for n, item in enumerate(index.words * copies):
         words = list(item)
         for _ in range(budget(len(item))):  # words replaced, inserted or dropped
             at = rng.randrange(len(words))
             words[at:at + 1] = [[f"x{rng.random()}"], [words[at], f"x{rng.random()}"], []][rng.randrange(3)]
         filler = [f"y{rng.random()}" for _ in range(rng.randrange(20, 40))]
-        found += any(i == n for _, i, _ in scanner.candidates([filler + words + filler]))
-    return found / max(1, len(some))
+        found += any(i == n % len(some) for _, i, _ in scanner.candidates([filler + words + filler]))
+    return found / max(1, len(some) * copies)
 
 
 def edit_distance_within(item, text) -> int:
@@ -222,6 +276,8 @@ class Scanner:
         self.known: dict[str, int] = {}
         self.table = np.zeros(1 << 22, bool)
         self.table[(index.hashes >> np.uint64(42)).astype(np.int64)] = True
+        self.piece_table = np.zeros(1 << 22, bool)
+        self.piece_table[(index.pieces[0] >> np.uint64(42)).astype(np.int64)] = True
 
     def candidates(self, texts: list[list[str]]):
         """(text number, item number, word where the item would start)."""
@@ -242,26 +298,38 @@ class Scanner:
         begin = np.array(begin)
         stop = np.append(begin[1:], len(flat)) - 1
         symbols[stop] = 0
+        out = set()
+
+        def look_up(h, at, text, table, rows):
+            hashes, item, offset = rows
+            maybe = np.flatnonzero(table[(h >> np.uint64(42)).astype(np.int64)])
+            if not len(maybe):
+                return
+            hm = h[maybe]
+            lo, hi = np.searchsorted(hashes, hm, "left"), np.searchsorted(hashes, hm, "right")
+            for p in np.flatnonzero(hi > lo):
+                t = int(text[maybe[p]])
+                place = int(at[maybe[p]] - begin[t])
+                for r in range(lo[p], hi[p]):
+                    out.add((t, int(item[r]), place - int(offset[r])))
+
+        if index.piece_sizes:
+            everywhere = np.arange(len(flat))
+            each = np.repeat(np.arange(len(texts)), stop + 1 - begin)
+            for size in index.piece_sizes:
+                look_up(_grams(symbols, size), everywhere, each, self.piece_table, index.pieces)
+        if not index.sizes:
+            return sorted(out)
         counts = -(-(stop - begin) // index.stride)
         of = np.repeat(np.arange(len(texts)), counts)
         starts = begin[of] + index.stride * (np.arange(len(of)) - np.repeat(np.cumsum(counts) - counts, counts))
-        out = set()
+        rows = index.hashes, index.item, index.offset
         for s in range(0, len(starts), 1 << 16):
             at, text = starts[s:s + (1 << 16)], of[s:s + (1 << 16)]
             notes = walk(symbols, at, index.steps())
             for size in index.sizes:
                 for h in _keys(notes, size, index.keys):
-                    maybe = np.flatnonzero(self.table[(h >> np.uint64(42)).astype(np.int64)])
-                    if not len(maybe):
-                        continue
-                    hm = h[maybe]
-                    lo = np.searchsorted(index.hashes, hm, "left")
-                    hi = np.searchsorted(index.hashes, hm, "right")
-                    for p in np.flatnonzero(hi > lo):
-                        t = int(text[maybe[p]])
-                        place = int(at[maybe[p]] - begin[t])
-                        for r in range(lo[p], hi[p]):
-                            out.add((t, int(index.item[r]), place - int(index.offset[r])))
+                    look_up(h, at, text, self.table, rows)
         return sorted(out)
 
     def matches(self, texts: list[str]):
@@ -297,14 +365,11 @@ def _slices(benchmark: DataFrame, id_col: str, text_col: str):
              .where(F.size(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")) >= LEAST_WORDS))
     size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
     parts = -(-size // ITEM_BYTES)
-    keys = None
     for p in range(parts):
         mine = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == p).orderBy("item_id", "text")
         rows = [(r["item_id"], r["text"]) for r in mine.collect() if len(_words(r["text"])) >= LEAST_WORDS]
         if rows:
-            index = build_index(rows, keys)
-            keys = index.keys
-            yield index
+            yield build_index(rows)
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",

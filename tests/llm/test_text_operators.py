@@ -163,6 +163,25 @@ def test_benchmark_matches_equal_brute_force(spark):
     assert kept.count() == len([1 for d, _ in docs if d not in {x for x, _ in found}])
 
 
+@pytest.mark.parametrize("least, most", [(5, 9), (10, 14), (15, 17), (18, 24), (25, 34), (35, 60)])
+def test_edited_copies_of_every_length_are_found(least, most):
+    """Copies with as many edits as the item may have, among many long items that could hide short ones."""
+    rng = random.Random(least)
+    items = [(i, _prose(rng, rng.randint(least, most))) for i in range(40)]
+    items += [(100 + i, _prose(rng, 60)) for i in range(60)]
+    scanner = decontaminate.Scanner(decontaminate.build_index(items))
+    found, of = 0, 0
+    for i, text in items[:40] * 5:
+        words = text.split()
+        for _ in range(decontaminate.budget(len(words))):
+            at = rng.randrange(len(words))
+            words[at:at + 1] = [["new"], [words[at], "new"], []][rng.randrange(3)]
+        around = [_prose(rng, rng.randrange(20, 40)) for _ in range(2)]
+        found += i in {m[1] for m in scanner.matches([f"{around[0]} {' '.join(words)} {around[1]}"])}
+        of += 1
+    assert found == of if most < decontaminate.SHORT else found >= 0.94 * of
+
+
 def test_decontamination_of_odd_tables(spark, odd_docs, no_docs):
     items = spark.createDataFrame([(1, "the quick brown fox jumps over the lazy dog")], "item_id long, text string")
     got = decontaminate.contaminated(odd_docs, items).collect()
