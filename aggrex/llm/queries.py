@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aggrex.llm import (bpe, decontaminate, embeddings, paragraphs, pii, quality, simhash, token_files, toxicity,
-                        url_lists)
+from aggrex.llm import (bpe, decontaminate, embeddings, paragraphs, pii, quality, quality_rules, simhash,
+                        token_files, toxicity, url_lists)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -200,3 +200,60 @@ def op9(spark, sf_dir):
 @query("op10_bpe_round_trip")
 def op10(spark, sf_dir):
     return bpe.bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def _rules_oracle() -> str:
+    white = quality_rules.WHITE[1:-1]
+    rates = {"symbol_rate": "n_symbols * 1000 // n_words", "word_size": "word_chars * 100 // n_words",
+             "stutter_rate": "n_stutters * 1000 // n_words",
+             "dup_line_rate": "n_dup_lines * 1000 // greatest(n_lines, 1)",
+             "repeat_rate": "n_repeat_words * 1000 // n_words"}
+    judged = quality_rules.JUDGED
+    values = " UNION ALL ".join(f"SELECT rid, lang, source, '{m}' AS measure, {sql} AS v, {judged[m][0]} AS least,"
+                                f" {judged[m][1]} AS two_sided FROM ok" for m, sql in rates.items())
+
+    def quartiles(by):
+        keys = "".join(f"{b}, " for b in by)
+        return (f"SELECT {keys}measure, max(total) AS total, min(bin) FILTER (4 * upto >= total) AS q1,"
+                f" min(bin) FILTER (4 * upto >= 3 * total) AS q3 FROM (SELECT {keys}measure, bin,"
+                f" sum(count(*)) OVER (PARTITION BY {keys}measure ORDER BY bin) AS upto,"
+                f" sum(count(*)) OVER (PARTITION BY {keys}measure) AS total FROM b GROUP BY {keys}measure, bin)"
+                f" GROUP BY {keys}measure")
+
+    def chosen(q):
+        return (f"CASE WHEN own.total >= {quality_rules.LEAST_GROUP} THEN own.{q}"
+                f" WHEN language.total >= {quality_rules.LEAST_GROUP} THEN language.{q} ELSE every.{q} END")
+
+    failed = ", ".join(f"max(measure) FILTER (measure = '{m}' AND beyond)" for m in judged)
+    return f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, lang, source, coalesce(text, '') AS t FROM documents),
+w AS (SELECT *, regexp_extract_all(t, '[^{white}]+') AS words,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^{white}]')) AS lines FROM d),
+wins AS (SELECT rid, i, words[i:i + 7] AS win FROM (SELECT rid, words, unnest(range(1, len(words) - 6)) AS i FROM w)),
+again AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, win) AS c FROM wins) WHERE c > 1),
+covered AS (SELECT rid, sum(least(8, coalesce(following - i, 8))) AS n FROM (
+    SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) AS following FROM again) GROUP BY rid),
+m AS (SELECT rid, doc_id, lang, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(t) - length(regexp_replace(t, '{quality_rules.SYMBOLS}', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    len(list_filter(words, lambda x, i: i > 1 AND x = words[i - 1])) AS n_stutters,
+    CAST(coalesce(n, 0) AS BIGINT) AS n_repeat_words FROM w LEFT JOIN covered USING (rid)),
+ok AS (SELECT * FROM m WHERE NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words)),
+x AS ({values}),
+b AS (SELECT *, v - v % (1 << greatest(length(bin(v)) - 6, 0)) AS bin FROM x),
+own AS ({quartiles(["lang", "source"])}), language AS ({quartiles(["lang"])}), every AS ({quartiles([])}),
+q AS (SELECT own.lang, own.source, own.measure, {chosen("q1")} AS q1, {chosen("q3")} AS q3 FROM own
+    JOIN language ON own.measure = language.measure AND own.lang IS NOT DISTINCT FROM language.lang
+    JOIN every ON own.measure = every.measure),
+f AS (SELECT rid, x.measure, v > q3 + 3 * greatest(q3 - q1, least) OR (two_sided AND v < q1 - 3 * greatest(q3 - q1, least))
+    AS beyond FROM x JOIN q ON x.measure = q.measure AND x.lang IS NOT DISTINCT FROM q.lang
+    AND x.source IS NOT DISTINCT FROM q.source),
+g AS (SELECT rid, concat_ws(',', {failed}) AS failed FROM f GROUP BY rid)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, g.rid IS NULL AS base_failed,
+    coalesce(failed = '', false) AS kept, coalesce(failed, '') AS failed FROM m LEFT JOIN g USING (rid)
+"""
+
+
+@query("op13_quality_rules", _rules_oracle())
+def op13(spark, sf_dir):
+    return quality_rules.judge(table(spark, sf_dir, "documents"))
