@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aggrex.llm import (bpe, decontaminate, embeddings, paragraphs, pii, quality, quality_rules, simhash,
-                        token_files, toxicity, url_lists)
+from aggrex.llm import (bpe, decontaminate, embeddings, hard_negatives, paragraphs, pii, quality, quality_rules,
+                        simhash, token_files, toxicity, url_lists)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -202,6 +202,30 @@ def op10(spark, sf_dir):
     return bpe.bpe_encode_decode(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
 
 
+@query("op11_hard_negatives", """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(CAST(embedding AS DOUBLE[]), lambda c: floor(256 * c)) AS x FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL)) = 0
+    AND len(list_filter(embedding, lambda c: NOT isfinite(c))) = 0),
+s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+    CAST(list_inner_product(a.x, b.x) AS BIGINT) AS score
+    FROM e a JOIN e b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)),
+p AS (SELECT anchor_id, id, score FROM s WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT p.anchor_id, p.id AS positive_id, CAST(row_number() OVER w AS INT) AS rank, n.id AS negative_id,
+    p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON n.anchor_id = p.anchor_id AND NOT n.same AND 80 * p.score <= 100 * n.score
+    AND 100 * n.score <= 100 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.id ORDER BY n.score DESC, n.id) QUALIFY row_number() OVER w <= 5
+""")
+def op11(spark, sf_dir):
+    """Labels of ids divisible by 7 count as the next label, anchors are the ids divisible by 100."""
+    vectors = table(spark, sf_dir, "embeddings").withColumn(
+        "label", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.hard_negatives(vectors)
+
+
 def _rules_oracle() -> str:
     white = quality_rules.WHITE[1:-1]
     rates = {"symbol_rate": "n_symbols * 1000 // n_words", "word_size": "word_chars * 100 // n_words",
