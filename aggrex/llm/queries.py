@@ -7,8 +7,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from aggrex.llm import (bpe, decontaminate, embeddings, hard_negatives, paragraphs, pii, quality, quality_rules,
-                        simhash, token_files, toxicity, url_lists)
+from aggrex.llm import (bpe, decontaminate, embeddings, hard_negatives, paragraphs, phrases, pii, quality,
+                        quality_rules, simhash, token_files, toxicity, url_lists)
 
 QUERIES = {}
 ORACLE: dict[str, str] = {}
@@ -226,6 +226,32 @@ def op11(spark, sf_dir):
     return hard_negatives.hard_negatives(vectors)
 
 
+@query("op12_phrases", r"""
+WITH d AS (SELECT coalesce(lang, 'und') AS lang, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(string_split_regex(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws FROM p),
+s AS (SELECT lang, ws, unnest(range(1, len(ws) + 1)) AS i FROM w),
+f AS (SELECT lang, ws[i:i + k - 1] AS x, count(*) AS a FROM s, (VALUES (1), (2), (3), (4)) t(k)
+    WHERE i + k - 1 <= len(ws) GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, count(*) AS n FROM s GROUP BY lang),
+c AS (SELECT * FROM f WHERE len(x) > 1),
+cuts AS (SELECT lang, x, a, unnest(range(1, len(x))) AS k FROM c),
+scored AS (SELECT q.*, l.a AS l, r.a AS r, CAST(2000000::HUGEINT * q.a // (l.a + r.a) AS BIGINT) AS score FROM cuts q
+    JOIN f l ON l.lang = q.lang AND l.x = q.x[1:k] JOIN f r ON r.lang = q.lang AND r.x = q.x[k + 1:]),
+lowest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, x ORDER BY score, k) = 1),
+inside AS (SELECT lang, a AS longer, x[j:j + m - 1] AS x FROM (SELECT lang, a, x, m, unnest(range(1, len(x) - m + 2)) AS j
+    FROM c, (VALUES (2), (3)) t(m) WHERE m < len(x))),
+kept AS (SELECT * FROM lowest q WHERE NOT EXISTS (SELECT 1 FROM inside i WHERE i.lang = q.lang AND i.x = q.x
+    AND 100::HUGEINT * i.longer >= 80::HUGEINT * q.a)),
+ranked AS (SELECT lang, array_to_string(x, ' ') AS phrase, a, l, r, score, row_number() OVER (PARTITION BY lang
+    ORDER BY score DESC, a DESC, array_to_string(x, ' ')) AS rank FROM kept)
+SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+""")
+def op12(spark, sf_dir):
+    return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
 def _rules_oracle() -> str:
     white = quality_rules.WHITE[1:-1]
     rates = {"symbol_rate": "n_symbols * 1000 // n_words", "word_size": "word_chars * 100 // n_words",

@@ -28,7 +28,7 @@ def db():
 
 def test_every_operator_has_a_query():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
     assert set(ORACLE) <= set(entry.oracle_sql())
 
 
