@@ -187,8 +187,8 @@ def op7(spark, sf_dir):
 
 @query("op8_repeated_paragraphs")
 def op8(spark, sf_dir):
-    """The documents that lose repeated paragraphs, with the documents that keep them."""
-    return paragraphs.repeated_report(table(spark, sf_dir, "documents")).where("n_removed > 0")
+    """Every document with its classes of repeated paragraphs and passages, and the runs it loses."""
+    return paragraphs.repeated_report(table(spark, sf_dir, "documents"))
 
 
 @query("op9_compression_quality")
