@@ -30,10 +30,14 @@ def flatten_org_units(df: DataFrame) -> DataFrame:
 
 def latest_per_id(df: DataFrame, order_col: str | None) -> DataFrame:
     """One row per id; with duplicates the row with the highest ``order_col``
-    wins (the reference's dict build keeps the last one); without an
-    ``order_col`` the last row in input order. A partial aggregation, so a
-    heavily duplicated id does not gather in one task."""
+    wins (the reference's dict build keeps the last one). ``row_order``
+    (``scan_pyramid``) is the input order of files, and is used when it is there;
+    without it the rows count in the order in which Spark reads them, which for
+    files depends on how they are packed into partitions. A partial aggregation, so a heavily duplicated id does not gather in
+    one task."""
     cols = df.columns
+    if order_col is None and "row_order" in cols:
+        order_col = "row_order"
     order = F.col(order_col) if order_col else F.monotonically_increasing_id()
     return (df.withColumn("_order", order).groupBy("id")
               .agg(F.max_by(F.struct(*cols), F.col("_order")).alias("_r")).select("_r.*"))

@@ -121,6 +121,19 @@ def rejected_data_points(reports: DataFrame, batch_rows: DataFrame) -> DataFrame
     return rejected_indexes(reports).join(batch_rows, ["batch_id", "pos"], "inner")
 
 
+def request_failed(generation: str = "gen2") -> Column:
+    """J7's rule over parsed reports (``parse_reports``): the request did not succeed."""
+    r = F.col("r")
+    if generation == "gen1":
+        return ~F.col("is_json") | (r["response"].isNotNull() & ~r["httpStatus"].eqNullSafe(F.lit("OK")))
+    status = F.coalesce(r["response"]["status"], r["status"])
+    n_items = F.lit(0)
+    for level in (r, r["response"]):
+        for name in ("conflicts", "errorReports"):
+            n_items = n_items + F.coalesce(F.size(level[name]), F.lit(0))
+    return ~F.col("is_json") | ~F.coalesce(status.isin("SUCCESS", "OK"), F.lit(False)) | (n_items > 0)
+
+
 def failed_reports(reports: DataFrame, generation: str = "gen2") -> DataFrame:
     """The reports of failed requests, parsed once, as plain columns with the
     arrays that the details of J7 are exploded from.

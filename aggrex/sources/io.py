@@ -9,6 +9,11 @@ folder per period.
 
 from __future__ import annotations
 
+import time
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -17,6 +22,8 @@ from aggrex.functions.periods import frequency_of
 from aggrex.schemas import (ANALYTICS, CATEGORY_COMBO, COMPLETION, DATA_POINT, DATA_POINT_COLUMNS,
                             DATA_VALUE, DATASET, ORG_UNIT)
 
+# Fixed value: the folder name of a NULL partition value.
+NO_PARTITION = "__HIVE_DEFAULT_PARTITION__"
 EXTRACT_PARTITIONS = ["data_type", "extract_id", "extract_period"]
 # The extract table: data point columns plus the partition columns, all text
 # (period labels such as 202401 must never be inferred as numbers).
@@ -70,6 +77,23 @@ def scan_extracts_for_periods(spark: SparkSession, root: str, periods: DataFrame
     return df.join(sized_broadcast(periods.select("extract_period").distinct()), "extract_period", "left_semi")
 
 
+# What the Parquet and JSON readers say, in the chain of causes, of a file they cannot make sense of.
+# Spark's own FAILED_READ_FILE says as much of a file that it could not get at.
+DAMAGE_CAUSES = ["is not a Parquet file", "CANNOT_READ_FILE_FOOTER", "ParquetDecodingException", "ParquetCryptoRuntime",
+                 "can not read class org.apache.parquet.format", "TProtocolException", "could not read page",
+                 "CorruptStatistics", "MALFORMED_RECORD_IN_PARSING", "MalformedInputException", "PARQUET_COLUMN_DATA_TYPE",
+                 "FAILED_READ_FILE.PARQUET", "SNAPPY", "ZstdIOException", "Corrupted block", "negative value in size"]
+# What such a message holds when the file itself is not to blame.
+NO_DAMAGE = ["FILE_NOT_EXIST", "FileNotFoundException", "AccessControlException", "Permission denied", "OutOfMemoryError",
+             "ExecutorLostFailure", "FetchFailed", "No space left on device", "Connection refused", "SocketTimeout"]
+
+
+def is_damage(error: Exception) -> bool:
+    """The reader could not make sense of a file, as opposed to not getting at it."""
+    text = str(error)
+    return not any(x in text for x in NO_DAMAGE) and any(x in text for x in DAMAGE_CAUSES)
+
+
 def split_readable(spark: SparkSession, paths: list[str], schema=DATA_POINT, fmt: str = "parquet",
                    base_path: str | None = None) -> tuple[list[str], list[tuple[str, str]]]:
     """(readable paths, [(unreadable path, error)]). Every column of every row is
@@ -82,8 +106,11 @@ def split_readable(spark: SparkSession, paths: list[str], schema=DATA_POINT, fmt
             r = r.option("basePath", base_path)
         try:
             r.load(some).write.format("noop").mode("overwrite").save()
-        except Exception as e:  # noqa: BLE001 - whatever the reader raises is the finding
-            return (str(e).strip().splitlines() or [type(e).__name__])[0][:500]
+        except (PySparkException, Py4JJavaError) as e:
+            if not is_damage(e):
+                raise
+            lines = [x for x in str(e).strip().splitlines() if "Exception: " in x or x.startswith("[")]
+            return (lines or [type(e).__name__])[0].strip()[:500]
         return None
 
     good, bad, todo = [], [], [list(paths)] if paths else []
@@ -118,11 +145,25 @@ def scan_extract_files(spark: SparkSession, folder: str, glob: str) -> DataFrame
     return _canonical(spark.read.schema(DATA_POINT).option("pathGlobFilter", glob).parquet(folder))
 
 
-def scan_pyramid(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    """A3: organisation units with their nine fields (JSON dump or Parquet)."""
+def with_row_order(scan: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """``scan`` (a direct read of files) with ``row_order``: rows of one file in their order,
+    files by path — the input order, however Spark packs files into partitions. A
+    Parquet row knows its place in the file; a line of text has its block's start and its
+    place among the block's rows, which one task reads in order."""
+    place = (F.col("_metadata.row_index") if fmt == "parquet" else F.monotonically_increasing_id())
+    block = F.lit(0).cast("long") if fmt == "parquet" else F.col("_metadata.file_block_start")
+    return scan.select("*", F.struct(F.col("_metadata.file_path").alias("file"), block.alias("block"),
+                                     place.alias("place")).alias("row_order"))
+
+
+def scan_pyramid(spark: SparkSession, path: str, fmt: str = "parquet", row_order: bool = False) -> DataFrame:
+    """A3: organisation units with their nine fields (JSON dump or Parquet), with
+    ``row_order`` also the input order ("the last row of an id wins", C2)."""
     if fmt == "json":
-        return _reader(spark, ORG_UNIT, "json").load(path)
-    return spark.read.schema(ORG_UNIT).parquet(path)
+        out = _reader(spark, ORG_UNIT, "json").load(path)
+    else:
+        out = spark.read.schema(ORG_UNIT).parquet(path)
+    return with_row_order(out, fmt) if row_order else out
 
 
 # Dataset metadata as paged by the API: one row per (dataset, page).
@@ -191,13 +232,16 @@ def scan_completions(spark: SparkSession, path: str, fmt: str = "json", schema=C
 
 
 def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
-                  extract_period=None, files_per_partition: int | None = None) -> DataFrame:
+                  extract_period=None, files_per_partition: int | None = None,
+                  feed: bool = True) -> DataFrame | None:
     """A10: write data points into the partitioned extract table, replacing
     only the partitions present in ``df`` (dynamic partition overwrite; the
     output commit protocol makes the replacement task-atomic).
 
     Returns the (data_type, extract_id, extract_period, frequency) partitions
-    written — the change feed for K3 (the session needs a checkpoint folder).
+    written — the change feed for K3 (the session needs a checkpoint folder);
+    nothing without ``feed``. ``write_extract_version`` makes the change of all
+    partitions, and its feed, one commit.
 
     The write shuffle is a range partitioning on (partition columns, row
     ordinal): Spark samples the data, so a hot period is split over as many
@@ -221,11 +265,61 @@ def write_extract(df: DataFrame, root: str, extract_id: str | None = None,
         spread = out.repartitionByRange(*EXTRACT_PARTITIONS, F.monotonically_increasing_id())
     # The feed comes from the rows themselves, not from the table: it costs no
     # scan of the extract's history, and later writes cannot change it.
-    feed = (out.select(*EXTRACT_PARTITIONS).distinct()
-            .withColumn("frequency", frequency_of("extract_period")).checkpoint(eager=True))
+    rows = (out.select(*EXTRACT_PARTITIONS).distinct().withColumn("frequency", frequency_of("extract_period"))
+            .checkpoint(eager=True)) if feed else None
     (spread.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(*EXTRACT_PARTITIONS).parquet(root))
-    return feed
+    return rows
+
+
+# The switch of a versioned extract table: one row per partition and version.
+SWITCH = ("version string, data_type string, extract_id string, extract_period string, frequency string, "
+          "written_at timestamp")
+
+
+def write_extract_version(df: DataFrame, root: str, extract_id: str | None = None, extract_period=None,
+                          files_per_partition: int | None = None, version: str | None = None) -> DataFrame:
+    """A10 for readers that must never see half of a rewrite: the data goes into a
+    folder of its own (``data/version=...``), then one file with a row per partition
+    switches all of them at once (``switches``). Until that file stands, readers
+    see the old extract; a writer that dies before leaves a folder nobody reads.
+
+    The switch file is the change feed as well (K3): what is written and what is to be
+    queued are one commit. Returns its rows. ``version`` names sort by time; a
+    repeated write of one version replaces it.
+    """
+    spark = df.sparkSession
+    version = version or f"{time.time_ns():020d}-{uuid.uuid4().hex[:8]}"
+    folder = f"{root}/data/version={version}"
+    write_extract(df, folder, extract_id, extract_period, files_per_partition, feed=False)
+    # From the files that were written: no second evaluation of the input. An empty write has no folder.
+    written = (spark.read.schema(EXTRACT_TABLE).parquet(folder).select(*EXTRACT_PARTITIONS).distinct()
+               .withColumn("frequency", frequency_of("extract_period")))
+    # One task, one file: its rename is the switch. A row per partition of this write.
+    (written.select(F.lit(version).alias("version"), *EXTRACT_PARTITIONS, "frequency",
+                    F.current_timestamp().alias("written_at")).coalesce(1)
+     .write.mode("overwrite").parquet(f"{root}/switches/of={version}"))
+    return spark.read.schema(SWITCH).parquet(f"{root}/switches/of={version}")
+
+
+def read_switches(spark: SparkSession, root: str) -> DataFrame:
+    """All switches of a versioned extract table so far."""
+    return spark.read.schema(f"{SWITCH}, of string").parquet(f"{root}/switches").drop("of")
+
+
+def read_extract_versions(spark: SparkSession, root: str, switches: DataFrame | None = None) -> DataFrame:
+    """The versioned extract table: every partition in its latest version. The
+    switches that are there when the table is opened decide (or those given, to read
+    an earlier state); the join prunes folders."""
+    from aggrex.operators.dims import sized_broadcast
+
+    seen = read_switches(spark, root) if switches is None else switches
+    latest = seen.groupBy(*EXTRACT_PARTITIONS).agg(F.max("version").alias("version"))
+    # What counts is the state now, whenever the rows are read.
+    latest = latest.checkpoint(eager=True)
+    schema = T.StructType(EXTRACT_TABLE.fields + [T.StructField("version", T.StringType())])
+    data = spark.read.schema(schema).option("basePath", f"{root}/data").parquet(f"{root}/data")
+    return data.join(sized_broadcast(latest), [*EXTRACT_PARTITIONS, "version"], "left_semi").drop("version")
 
 
 def write_payloads(batches: DataFrame, path: str, fmt: str = "parquet",
