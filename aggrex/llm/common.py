@@ -38,6 +38,16 @@ def fold(doc_id: Column | str, n: int = 3) -> Column:
     return F.pmod(F.crc32(F.coalesce(c.cast("string"), F.lit("")).cast("binary")), F.lit(n)).cast("int")
 
 
+def bounded_sample(rows: DataFrame, most: int, *by: str) -> DataFrame:
+    """``rows`` as they are when there are at most ``most``; else one of each value of ``by``, the first ``most``
+    by the hash of ``by``. ``rows`` is a stored table; only hashes are sorted."""
+    if rows.count() <= most:
+        return rows
+    hashed = rows.withColumn("_hash", F.xxhash64(*by)).dropDuplicates(["_hash"])
+    last = hashed.select("_hash").orderBy("_hash").limit(most).agg(F.max("_hash")).first()[0]
+    return hashed.where(F.col("_hash") <= last).drop("_hash")
+
+
 def connected_components(edges: DataFrame, max_rounds: int = 200) -> DataFrame:
     """(node, component) for every node of ``edges`` (a, b); component is the
     smallest node reachable.

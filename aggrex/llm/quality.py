@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aggrex.llm.bpe import text_batches
-from aggrex.llm.common import fold, materialise, pick
+from aggrex.llm.common import bounded_sample, fold, materialise, pick
 
 SAMPLE_ROWS = 4_000  # labelled rows of each label that a dictionary is built from
 SAMPLE_PIECES = 6_000  # pieces of them
@@ -75,20 +75,24 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     Rows of fold 1 are held out: nothing of them is read here. The samples are
     the first rows in hash order of the id, at most ``SAMPLE_ROWS`` of each
-    label and ``CALIBRATION_ROWS``; ids labelled twice count with the lower
+    label and ``CALIBRATION_ROWS``, also when ids stand at many texts; labels above 0
+    count as 1, all others as 0; ids labelled twice count with the lower
     label. None if a label has no row to learn from.
     """
     import numpy as np
     import zstandard
 
     marks = (pick(labels, doc_id=id_col, quality=label_col).where("doc_id is not null and quality is not null")
-             .groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality"))
+             .groupBy("doc_id").agg(F.min((F.col("quality") > 0).cast("int")).alias("quality"))
              .withColumn("fold", fold("doc_id")).where("fold <> 1"))
     texts = pick(docs, doc_id=id_col, text=text_col)
     building = _by_hash(marks.where("fold = 0 and quality = 1"), SAMPLE_ROWS).unionByName(
         _by_hash(marks.where("fold = 0 and quality = 0"), SAMPLE_ROWS))
     checking = _by_hash(marks.where("fold = 2"), CALIBRATION_ROWS)
-    sample = materialise(texts.join(F.broadcast(building.unionByName(checking)), "doc_id"), "quality-sample")
+    found = materialise(texts.join(F.broadcast(building.unionByName(checking)), "doc_id"), "quality-sample")
+    # An id may stand at many texts: rows are bounded as well.
+    building = [bounded_sample(found.where(f"fold = 0 and quality = {q}"), SAMPLE_ROWS, "doc_id", "text") for q in (1, 0)]
+    checking = bounded_sample(found.where("fold = 2"), CALIBRATION_ROWS, "doc_id", "text")
 
     def pieces(batches):
         import pyarrow as pa
@@ -99,10 +103,10 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             yield pa.RecordBatch.from_arrays([pa.array([q for q, _ in cut], pa.int32()),
                                               pa.array([x for _, x in cut], pa.binary())], ["quality", "piece"])
 
-    cut = sample.where("fold = 0").select("quality", "text").mapInArrow(pieces, "quality int, piece binary")
     dictionaries = []
-    for q in (1, 0):
-        got = [bytes(r["piece"]) for r in cut.where(F.col("quality") == q).distinct()
+    for rows in building:
+        cut = rows.select("quality", "text").mapInArrow(pieces, "quality int, piece binary")
+        got = [bytes(r["piece"]) for r in cut.distinct()
                .orderBy(F.xxhash64("piece"), "piece").limit(SAMPLE_PIECES).collect()]
         if not got:
             return None
@@ -121,7 +125,7 @@ def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 [b.column("quality"), pa.array([sizes.features(t) for t in part], pa.list_(pa.float64()))],
                 ["quality", "x"])
 
-    data = (sample.where("fold = 2").select("quality", "text")
+    data = (checking.select("quality", "text")
             .mapInArrow(measure, "quality int, x array<double>").collect())
     y = np.array([r["quality"] for r in data], float)
     if not len(y) or y.min() == y.max():

@@ -74,17 +74,23 @@ def _capture_date(spark_sql: bool) -> str:
             else "CAST(DATE '2023-01-01' + CAST(page_id % 730 AS INT) AS DATE)")
 
 
+# host with user and port, and path, of http(s) URLs.
+URL_PARTS = r"^(?i:https?)://([^/?#\s]+)([^?#\s]*)"
+
 URL_ORACLE = f"""
 WITH events AS ({URL_EVENTS.format(**_digits(False))}),
-days AS (SELECT kind, lower(entry) AS entry, event_date, max(CAST(action = 'add' AS INT)) AS on_list,
+days AS (SELECT kind, lower(regexp_extract(entry, '^[^/]*')) || substr(entry, length(regexp_extract(entry, '^[^/]*')) + 1)
+    AS entry, event_date, max(CAST(action = 'add' AS INT)) AS on_list,
     min(category) FILTER (action = 'add') AS category FROM events GROUP BY ALL),
 spans AS (SELECT *, coalesce(lead(event_date) OVER (PARTITION BY kind, entry ORDER BY event_date),
     DATE '9999-12-31') AS valid_to FROM days),
 live AS (SELECT * FROM spans WHERE on_list = 1),
-captures AS (SELECT page_id, {_capture_date(False)} AS day, {_digits(False)['host']} AS host,
-    CASE WHEN {_digits(False)['path']} = '' THEN '/' ELSE {_digits(False)['path']} END AS path FROM pages),
+parts AS (SELECT page_id, {_capture_date(False)} AS day, regexp_extract(url, '{URL_PARTS}', 1) AS rest,
+    regexp_extract(url, '{URL_PARTS}', 2) AS path FROM pages),
+captures AS (SELECT page_id, day, regexp_replace(regexp_replace(lower(rest), '^.*@', ''), ':[0-9]*$|\\.$', '') AS host,
+    CASE WHEN path = '' THEN '/' ELSE path END AS path FROM parts),
 hits AS (SELECT c.page_id, l.category, l.event_date FROM captures c JOIN live l
-    ON l.event_date <= c.day AND c.day < l.valid_to AND CASE l.kind
+    ON c.host <> '' AND l.event_date <= c.day AND c.day < l.valid_to AND CASE l.kind
       WHEN 'host' THEN c.host = l.entry
       WHEN 'domain' THEN c.host = l.entry OR ends_with(c.host, '.' || l.entry)
       ELSE c.host || c.path = l.entry

@@ -26,12 +26,13 @@ UNIT_LEAVES = 2048  # leaves of a subtree that one unit of work holds
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  shingle_words: int = 4, seed: int = 42) -> DataFrame:
-    """(doc_id, fp): the 64-bit SimHash of every whole text, as a signed long.
+    """(doc_id, fp, text_hash): the 64-bit SimHash of every whole text, as a signed long.
 
     A-Z are lower-cased, words are runs without ASCII white space, shingles are
     ``shingle_words`` words joined by a blank (repeats count; a shorter text is
     one shingle), hashed by XXH64 of their UTF-8 bytes. A bit is set if it is
-    set in over half the hashes. No words, or NULL: zero.
+    set in over half the hashes. No words, or NULL: zero. text_hash (XXH64 of the
+    whole text) tells unlike texts of one id apart.
     """
 
     def run(batches):
@@ -57,10 +58,11 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     ones += np.unpackbits(h[at:at + 65536].astype(">u8").view(np.uint8).reshape(-1, 8), axis=1).sum(
                         axis=0, dtype=np.int64)
                 out[i] = np.packbits(ones * 2 > len(h)).view(">u8")[0]
-            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(out.view(np.int64))],
-                                             ["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column("doc_id").cast(pa.int64()), pa.array(out.view(np.int64)),
+                                              b.column("text_hash")], ["doc_id", "fp", "text_hash"])
 
-    return pick(docs, doc_id=id_col, text=text_col).mapInArrow(run, "doc_id bigint, fp bigint")
+    return pick(docs, doc_id=id_col, text=text_col).withColumn("text_hash", F.xxhash64("text")).mapInArrow(
+        run, "doc_id bigint, fp bigint, text_hash bigint")
 
 
 def choices(n_leaves: int, max_distance: int) -> tuple[int, list[tuple[int, ...]]]:
@@ -255,6 +257,25 @@ def trie_links(leaves: DataFrame, max_distance: int = 4) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint")
 
 
+def _groups(prints: DataFrame, max_distance: int) -> DataFrame:
+    """(fp, component, component_id) of every fingerprint: the least fingerprint and the least doc_id
+    of its group. Copies are merged to one leaf before any join."""
+    leaves = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "leaves")
+    edges = materialise(trie_links(leaves, max_distance), "links")
+    if edges.isEmpty():
+        named = leaves.select("fp", F.col("fp").alias("component"), F.col("first_id").alias("component_id"))
+    else:
+        groups = materialise(connected_components(edges), "groups").withColumnRenamed("node", "fp")
+        member = leaves.join(groups, "fp").select("fp", "component", "first_id")
+        least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
+        linked = materialise(groups.join(least, "component").select(
+            "fp", "component", F.col("component_id").alias("linked_id")), "linked")
+        named = leaves.join(linked, "fp", "left").select(
+            "fp", F.coalesce("component", "fp").alias("component"),
+            F.coalesce("linked_id", "first_id").alias("component_id"))
+    return materialise(named, "named")
+
+
 def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
                    max_distance: int = 4) -> DataFrame:
     """One row per document: doc_id, fp (long), component_id.
@@ -263,39 +284,38 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     ``max_distance`` or fewer differing bits, the document's own included.
     Texts without words share fingerprint zero and link like any other. Rows
     whose id is NULL keep their row and can connect others; a group of such
-    rows alone has component_id NULL. Copies are merged to one leaf before any
-    join. Other columns are not read; an empty table gives an empty result.
+    rows alone has component_id NULL. Other columns are not read; an empty table
+    gives an empty result.
     """
     prints = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
-    leaves = materialise(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "leaves")
-    edges = materialise(trie_links(leaves, max_distance), "links")
-    if edges.isEmpty():
-        named = leaves.select("fp", F.col("first_id").alias("component_id"))
-    else:
-        groups = materialise(connected_components(edges), "groups").withColumnRenamed("node", "fp")
-        member = leaves.join(groups, "fp").select("fp", "component", "first_id")
-        least = member.groupBy("component").agg(F.min("first_id").alias("component_id"))
-        linked = materialise(groups.join(least, "component").select("fp", F.col("component_id").alias("linked_id")),
-                             "linked")
-        named = leaves.join(linked, "fp", "left").select(
-            "fp", F.coalesce("linked_id", "first_id").alias("component_id"))
-    named = materialise(named, "named")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(_groups(prints, max_distance), "fp").select("doc_id", "fp", "component_id")
 
 
-def keep_one_of_each_group(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents whose id is their group's component_id; all columns as they were.
-
-    Of several rows with a kept id one stays. Rows without an id stay: nothing
-    tells which of them is the first.
+def keep_one_of_each_group(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle_words: int = 4,
+                           max_distance: int = 4) -> DataFrame:
+    """One row of every group, all columns as they were: the one with the least id, of unlike
+    texts under one id the one with the least hash of the text. Rows without an id come
+    last: they stay only in groups that have no row with an id, one row of each. Of rows
+    that repeat id and text the one with the least hash of all columns stays.
     """
-    groups = materialise(simhash_groups(docs, **parameters), "kept-ids")
-    kept = groups.where("doc_id = component_id").groupBy("doc_id").count()
-    rows = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
-    twice = materialise(kept.where("count > 1").select("doc_id"), "repeated-ids")
+    prints = materialise(fingerprints(docs, id_col, text_col, shingle_words), "fingerprints")
+    first = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")
+    kept = (prints.join(_groups(prints, max_distance), "fp").groupBy("component")
+            .agg(F.min(first).alias("k")).select("k.doc_id", "k.text_hash"))
+    kept = materialise(kept.select(F.col("doc_id").alias("_kept_id"), F.col("text_hash").alias("_kept_text")), "kept")
+    columns = docs.columns
+    text_hash = F.xxhash64(docs[text_col])
+    rows = docs.join(kept, docs[id_col].cast("long").eqNullSafe(F.col("_kept_id"))
+                     & (text_hash == F.col("_kept_text")), "left_semi")
+    # Rows that repeat id and text: few or none, found without the texts.
+    several = prints.groupBy("doc_id", "text_hash").count().where("count > 1")
+    twice = materialise(several.select(F.col("doc_id").alias("_twice_id"), F.col("text_hash").alias("_twice_text")),
+                        "repeated-rows")
     if not twice.isEmpty():
-        again = rows.join(twice, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-        rows = rows.join(twice, "doc_id", "left_anti").unionByName(again)
-    if not groups.where("doc_id is null").isEmpty():
-        rows = rows.unionByName(docs.where("doc_id is null"))
-    return rows.select(docs.columns)
+        same = (rows[id_col].cast("long").eqNullSafe(F.col("_twice_id"))
+                & (F.xxhash64(rows[text_col]) == F.col("_twice_text")))
+        again = (rows.join(twice, same, "left_semi").select(F.struct(*[F.col(c) for c in columns]).alias("_row"))
+                 .groupBy(F.col("_row")[id_col].alias("_id"), F.xxhash64(F.col("_row")[text_col]).alias("_text"))
+                 .agg(F.min_by("_row", F.xxhash64("_row")).alias("_row")).select("_row.*"))
+        rows = rows.join(twice, same, "left_anti").unionByName(again)
+    return rows.select(columns)

@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from aggrex.llm.bpe import text_batches
-from aggrex.llm.common import materialise, pick
+from aggrex.llm.common import bounded_sample, materialise, pick
 
 SAMPLE_ROWS = 20_000  # labelled rows learnt from, in hash order of their ids
 FEATURES = 4096  # features kept, at most
@@ -147,23 +147,24 @@ def _features(rows: DataFrame, schema: str, known: dict[str, int] | None = None)
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           label_col: str = "toxic", sample_rows: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Fit on at most ``sample_rows`` labelled rows (the first in hash order of the id).
+    """Fit on at most ``sample_rows`` labelled rows (the first in hash order of the id; of ids that stand at
+    many texts, the first in hash order of the texts).
 
     Labels are 0 or 1, so the ordered grades are made from them: 0 is label 0;
     a row of label 1 is graded 1 or 2 by how many different toxic expressions
     it holds (fewer than the median of such rows, or not). Toxic expressions
     are the features whose log odds for label 1 reach ``LEXICON_ODDS``.
-    Rows with NULL ids or labels teach nothing; an id labelled twice, or a text
+    Labels above 0 count as 1, all others as 0. Rows with NULL ids or labels teach nothing; an id labelled twice, or a text
     that several rows hold, counts once, with its higher label. Without rows of both labels the model has no
     features and says grade 0 for all.
     """
     marks = (pick(labels, doc_id=id_col, toxic=label_col).where("doc_id is not null and toxic is not null")
-             .groupBy("doc_id").agg(F.max("toxic").cast("int").alias("toxic")))
+             .groupBy("doc_id").agg(F.max((F.col("toxic") > 0).cast("int")).alias("toxic")))
     chosen = marks.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     rows = pick(docs, doc_id=id_col, text=text_col).join(F.broadcast(chosen), "doc_id")
     # A text copied many times would lift all its words; each text teaches once.
     once = rows.groupBy(F.xxhash64("text").alias("h")).agg(F.max(F.struct("toxic", "text")).alias("r"))
-    sample = materialise(once.select("r.text", "r.toxic"), "toxicity-sample")
+    sample = bounded_sample(materialise(once.select("r.text", "r.toxic"), "toxicity-sample"), sample_rows, "text")
     n = {r["toxic"]: r["count"] for r in sample.groupBy("toxic").count().collect()}
     if not (n.get(0) and n.get(1)):
         return OrdinalModel({}, [], [20.0, 21.0])

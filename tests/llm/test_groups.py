@@ -78,7 +78,20 @@ def test_keep_one_of_each_group(odd_docs):
     ids = sorted((r.doc_id for r in kept.collect() if r.doc_id is not None))
     # 2, 3 and 6 have no words; 1 is there twice and has a copy without an id.
     assert ids == [1, 2, 4, 5, 7, 8]
-    assert kept.where("doc_id is null").count() == 2
+    # Both rows without an id are copies of rows that have one.
+    assert kept.where("doc_id is null").count() == 0
+
+
+def test_one_row_of_each_group_whatever_its_ids(spark):
+    """Unlike texts under one id, copies with and without ids, and groups without any id."""
+    texts = [" ".join(f"{c}{i}" for i in range(30)) for c in "abcde"]
+    rows = [(1, texts[0], 1), (1, texts[1], 2), (None, texts[2], 3), (None, texts[2], 4), (5, texts[2], 5),
+            (None, texts[3], 6), (None, texts[3], 7), (2, texts[0], 8), (6, texts[4], 9), (6, texts[4], 9)]
+    for parts in (1, 4):
+        kept = simhash.keep_one_of_each_group(
+            spark.createDataFrame(rows, "doc_id long, text string, fp long").repartition(parts))
+        got = sorted(((r.doc_id, r.text) for r in kept.collect()), key=str)
+        assert got == sorted([(1, texts[0]), (1, texts[1]), (5, texts[2]), (None, texts[3]), (6, texts[4])], key=str)
 
 
 def _vectors(spark):

@@ -13,6 +13,7 @@ import corpus_pipeline
 from aggrex.llm import decontaminate, pii, toxicity
 from aggrex.llm.queries import ORACLE, QUERIES
 from compare import rows
+from compare import rows as rows_of
 from plain import simhash_components
 
 SF = "/root/testdata/sf0.001"
@@ -37,6 +38,19 @@ def test_query_equals_sql(name, spark, db):
     assert rows(QUERIES[name](spark, SF).toPandas()) == rows(db.execute(ORACLE[name]).df())
 
 
+def test_url_lists_equal_sql_on_odd_urls(spark, tmp_path):
+    """Paths with upper-case letters, hosts with ports, users and closing dots, and what is no URL."""
+    urls = ["http://Example.com/Dir/Page", "https://EXAMPLE.com/dir/page", "http://user@a.Example.com:8080/x/Y/",
+            "http://a.example.com./x/Y/z", "HTTPS://b.org", "http://b.org:80", "ftp://b.org/x", "", None, "http:///x",
+            "http://c.net?q=A/b", "http://c.net/A/b#f"]
+    rows = [(i, urls[i % len(urls)]) for i in range(900)] + [(5, urls[1])]
+    spark.createDataFrame(rows, "page_id long, url string").write.parquet(str(tmp_path / "pages.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW pages AS SELECT * FROM read_parquet('{tmp_path}/pages.parquet/*.parquet')")
+    got = QUERIES["op2_url_list_asof"](spark, str(tmp_path)).toPandas()
+    assert got.blocked.any() and rows_of(got) == rows_of(con.execute(ORACLE["op2_url_list_asof"]).df())
+
+
 @pytest.mark.parametrize("name", sorted(set(QUERIES) - set(ORACLE)))
 def test_query_has_a_row_for_every_document(name, spark, docs):
     got = QUERIES[name](spark, SF)

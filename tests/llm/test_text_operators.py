@@ -76,6 +76,23 @@ def test_quality_of_odd_tables(spark, odd_docs, no_docs):
     assert model is None and {r.score for r in quality.score(odd_docs, model).collect()} == {0.5}
 
 
+def test_labels_beyond_0_and_1_and_one_id_at_many_texts(spark, monkeypatch):
+    """Labels above 0 count as 1; samples are bounded by rows, not by ids."""
+    rows = [(i, ("good calm words here " if i % 2 else "vile nasty rude speech ") * 5 + f"n{i} m{i}") for i in range(120)]
+    rows += [(1, f"another text of the same id {i}") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, [0, 1, 2, 7, -3][i % 2 * 4 if i % 2 else 1 + i % 3], i % 2 * 5)
+                                    for i in range(120)], "doc_id long, toxic int, quality int")
+    model = toxicity.learn(docs, labels, sample_rows=100)
+    assert toxicity.score(docs, model).count() == len(rows)
+    plain = labels.selectExpr("doc_id", "int(toxic > 0) toxic", "int(quality > 0) quality")
+    assert toxicity.learn(docs, plain, sample_rows=100) == model
+    assert toxicity.learn(docs, labels).features
+    for name in ("SAMPLE_ROWS", "CALIBRATION_ROWS"):
+        monkeypatch.setattr(quality, name, 30)
+    assert quality.learn(docs, labels) == quality.learn(docs, plain)
+
+
 # --- personal data
 
 def _compare_pii(table):
