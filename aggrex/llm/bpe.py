@@ -229,12 +229,10 @@ class PieceCutter(Splitter):
     ASCII letter or digit and ASCII punctuation (but for the apostrophe). No rule
     of the tokenizer joins what stands on two sides of such a cut; special
     tokens could, so texts with their first characters are left whole. Pieces
-    are grouped by a 64-bit hash, and the bytes of every piece are compared with
-    those of its group's first; where they differ, pieces are grouped by their bytes.
+    are told apart by their bytes: up to seven of them, with their number, are one
+    64-bit integer; longer pieces are numbered by a table of the batch's long pieces.
     """
 
-    BASE = 0x9E3779B97F4A7C15
-
     def __init__(self, path: str):
         import numpy as np
 
@@ -243,42 +241,23 @@ class PieceCutter(Splitter):
         self.kind[[10, 32]] = 0
         for b in range(33, 127):
             self.kind[b] = 1 if chr(b).isalnum() else 3 if chr(b) == "'" else 2
-        self.up = self.down = np.ones(1, np.uint64)
-
-    def _hashes(self, data, white, start):
-        """Hashes of the pieces: sums of byte * base ** place, the first byte's place divided out."""
-        import numpy as np
+        self.first = np.array([(1 << 8 * n) - 1 for n in range(8)], np.uint64)
 
-        if len(self.up) < len(data):
-            n = len(data) + (len(data) >> 2)
-            for name, base in (("up", self.BASE), ("down", pow(self.BASE, -1, 1 << 64))):
-                steps = np.full(n, base, np.uint64)
-                steps[0] = 1
-                setattr(self, name, np.cumprod(steps, dtype=np.uint64))
-        values = data.astype(np.uint64)
-        values += np.uint64(1)
-        values[white] = 0
-        values *= self.up[:len(data)]
-        return np.add.reduceat(values, start) * self.down[start]
-
-    def _groups(self, data, white, start, stop):
+    def _groups(self, data, raw: bytes, start, stop):
         """(first piece of every group of equal pieces, which group each piece is in)."""
         import numpy as np
 
-        with np.errstate(over="ignore"):
-            _, one, which = np.unique(self._hashes(data, white, start), return_index=True, return_inverse=True)
         size = stop - start
-        first = one[which]
-        other = np.flatnonzero(first != np.arange(len(start)))
-        if (size[other] == size[first[other]]).all():
-            n = size[other]
-            inside = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-            if (data[np.repeat(start[other], n) + inside] == data[np.repeat(start[first[other]], n) + inside]).all():
-                return one, which
-        # Unlike pieces with one hash, which some texts make likely: by their bytes.
-        raw, known = data.tobytes(), {}
-        which = np.array([known.setdefault(raw[s:e], len(known)) for s, e in zip(start.tolist(), stop.tolist())])
-        return np.unique(which, return_index=True)[1], which
+        padded = np.append(data, np.zeros(8, np.uint8))
+        # The eight bytes from every place on, read where they stand.
+        eight = np.ndarray((len(data),), "<u8", padded, strides=(1,))
+        key = eight[start] & self.first[np.minimum(size, 7)] | (np.minimum(size, 8).astype(np.uint64) << np.uint64(56))
+        long = np.flatnonzero(size > 7)
+        known: dict[bytes, int] = {}
+        key[long] = np.fromiter((known.setdefault(raw[s:e], len(known)) for s, e in zip(
+            start[long].tolist(), stop[long].tolist())), np.uint64, len(long)) | np.uint64(8 << 56)
+        _, one, which = np.unique(key, return_index=True, return_inverse=True)
+        return one, which
 
     def cut(self, texts: list[str]):
         """(texts left whole, distinct pieces, which of them each piece is, how many pieces there are up to
@@ -299,8 +278,8 @@ class PieceCutter(Splitter):
         if not len(start):
             return whole, [], np.zeros(0, np.int64), np.zeros(len(texts), np.int64)
         stop = np.flatnonzero(~white & np.append(cut[1:] | white[1:], True)) + 1
-        one, which = self._groups(data, white, start, stop)
         raw = data.tobytes()
+        one, which = self._groups(data, raw, start, stop)
         pieces = [raw[s:e] for s, e in zip(start[one].tolist(), stop[one].tolist())]
         end = np.cumsum([len(c) + 1 for c in coded])
         return whole, pieces, which, np.searchsorted(start, end, "left")

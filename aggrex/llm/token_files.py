@@ -18,6 +18,7 @@ from __future__ import annotations
 import struct
 import uuid
 import zlib
+from array import array
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -124,21 +125,18 @@ class PieceEncoder(PieceCutter):
 
     def _ids_of(self, pieces: list[bytes]) -> list[bytes]:
         """Ids of distinct pieces, from memory or from the model."""
-        import numpy as np
-
         if len(self.pieces) > REMEMBER:
             self.older, self.pieces = self.pieces, {}
-        known, older, tokenize = self.pieces, self.older, self.library.model.tokenize
-        missing = [p for p in pieces if p not in known]
-        for p in missing:
-            ids = older.get(p)
-            if ids is None:
-                ids = np.array([t.id for w in self.split(p.decode()) for t in tokenize(w)], "<u4").tobytes()
-            known[p] = ids
-        out = [known[p] for p in pieces]
-        for p in missing:
-            if len(p) > REMEMBER_LENGTH:
-                del known[p]
+        known, older, tokenize = self.pieces, self.older.get, self.library.model.tokenize
+        out = list(map(known.get, pieces))
+        for i, p in enumerate(pieces):
+            if out[i] is None:
+                ids = older(p)
+                if ids is None:
+                    ids = array("I", [t.id for w in self.split(p.decode()) for t in tokenize(w)]).tobytes()
+                out[i] = ids
+                if len(p) <= REMEMBER_LENGTH:
+                    known[p] = ids
         return out
 
     def encode(self, texts: list[str]) -> list:

@@ -45,10 +45,8 @@ def test_unlike_pieces_with_equal_hashes(library):
         word = "".join("ab"[i.bit_count() & 1] for i in range(1 << k))
         texts += [word, word.translate({97: "b", 98: "a"}), f"x {word} y", f"{word.swapcase()} {word}"]
     texts += ["the cat, the cat", ""]
-    data = np.frombuffer(" ".join(texts[:2]).encode(), np.uint8)
+    texts += ["a a\0 a\0\0 \0 \0\0", "abcdefg abcdefg\0 abcdefgh abcdefgi abcdefghabcdefgh"]
     cutter = token_files.PieceEncoder(PATH)
-    hashes = cutter._hashes(data, data == 32, np.array([0, 1025]))
-    assert hashes[0] == hashes[1]  # the hash alone would not do
     for text, got, ids in zip(texts, bpe.Codec(PATH).encode(texts), cutter.encode(texts)):
         want, decoded = _pairs(library, text)
         assert got == (want, decoded.encode()) and ids.astype("<u4").tobytes() == want
