@@ -17,7 +17,9 @@ them reaches the target recall.
 
 Short items have too few windows for that. They, and classes that miss the
 target with the most keys, are found exactly: cut into one piece more than they
-may have edits, one piece at least is in the text as it is.
+may have edits, one piece at least is in the text as it is. The cuts are chosen
+so that the pieces' words are rare, and where a piece occurs, enough of the
+item's other words must stand near their places before anything else is done.
 """
 
 from __future__ import annotations
@@ -41,7 +43,9 @@ KEYS = (4, 8, 12, 16, 24)  # keys per class and walk, tried until the target rec
 TARGET = 0.95  # of the copies of each length class
 SHORT = 25  # items of fewer words are found by pieces
 LENGTHS = (SHORT, 35, 50, 80, 130, 256)  # least words of the length classes
-ITEM_BYTES = 32 << 20  # items sent to the executors at a time; more items take more passes
+INDEX_BYTES = 64 << 20  # index sent to the executors at a time; more items take more passes
+WORD_BYTES = KEYS[-1] * 16 + 200  # most that a word of an item adds to an index: a window's keys, the word in list and set
+PAIRS = 1 << 18  # occurrences of pieces times their items looked at together
 REMEMBER = 300_000
 
 
@@ -113,6 +117,13 @@ class Index:
     offset: object = None
     piece_sizes: list[int] = field(default_factory=list)
     pieces: tuple = ()  # sorted piece hashes, with item and offset
+    short: object = None  # symbols of the items found by pieces, a row each, closed by 0
+    row: object = None  # item -> row of ``short``
+
+    def nbytes(self) -> int:
+        """Bytes of the arrays and of the words."""
+        arrays = [self.hashes, self.item, self.offset, *self.pieces, self.short, self.row]
+        return sum(a.nbytes for a in arrays) + sum(60 + len(w) for ws in self.words for w in ws)
 
     def steps(self) -> int:
         return max(max(NOTES, int(1.5 * s)) for s in self.sizes)
@@ -137,12 +148,39 @@ def _length_class(n_words: int) -> int:
     return max((c for c in LENGTHS if c <= n_words), default=0)
 
 
+def cuts(words: list[str], counts: dict[str, int], pieces: int) -> list[int]:
+    """Bounds that cut ``words`` into so many pieces with the least sum of expected occurrences.
+
+    A piece is expected as often as its words' shares multiplied; ``counts`` are word
+    counts (an unknown word counts as one). Any cut finds the same, the choice saves work.
+    """
+    from math import log2
+
+    n, total = len(words), max(2, sum(counts.values()))
+    rare = [log2(total) - log2(counts.get(w, 1)) for w in words]
+    # best[b] = least sum for the first b words in so many pieces, with the bounds.
+    best = {0: (0.0, [0])}
+    for k in range(1, pieces + 1):
+        step = {}
+        for b in range(k, n - (pieces - k) + 1):
+            bits = 0.0
+            for a in range(b - 1, k - 2, -1):
+                bits += rare[a]
+                if a in best and (b not in step or best[a][0] + 2.0 ** -bits < step[b][0]):
+                    step[b] = best[a][0] + 2.0 ** -bits, best[a][1] + [b]
+        best = step
+    return best[n][1]
+
+
 def build_index(items: list[tuple], keys: int | None = None, exact: set[int] = frozenset({0})) -> Index:
     """Index of (id, text) items; ``keys``, and the length classes that are found by
     pieces (``exact``), are tuned if not given."""
+    from collections import Counter
+
     import numpy as np
 
     words = [_words(t) for _, t in items]
+    counts = Counter(w for ws in words for w in ws)
     if keys is None:
         keys, exact = _tuned(items)
     by_piece = [_length_class(len(w)) in exact for w in words]
@@ -150,15 +188,20 @@ def build_index(items: list[tuple], keys: int | None = None, exact: set[int] = f
     stride = max(1, min(STRIDE, least - WINDOW + 1))
     index = Index([i for i, _ in items], words, stride, keys)
     known: dict[str, int] = {}
-    none = (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+    none = (np.zeros(0, np.uint64), np.zeros(0, np.int32), np.zeros(0, np.int32))
+    index.row = np.full(len(words), -1, np.int32)
+    index.row[by_piece] = np.arange(sum(by_piece))
+    index.short = np.zeros((sum(by_piece), max((len(w) for w, x in zip(words, by_piece) if x), default=0) + 1),
+                           np.uint64)
     parts, all_sizes, pieces, piece_sizes = [none], set(), [none], set()
     for n, ws in enumerate(words):
         symbols = np.append(word_symbols(ws, known), np.uint64(0))
         if by_piece[n]:
-            cuts = [len(ws) * k // (budget(len(ws)) + 1) for k in range(budget(len(ws)) + 2)]
-            for a, b in zip(cuts, cuts[1:]):
+            index.short[index.row[n], :len(ws)] = symbols[:-1]
+            bounds = cuts(ws, counts, budget(len(ws)) + 1)
+            for a, b in zip(bounds, bounds[1:]):
                 piece_sizes.add(b - a)
-                pieces.append((_grams(symbols[a:b], b - a), np.array([n]), np.array([a])))
+                pieces.append((_grams(symbols[a:b], b - a), np.array([n], np.int32), np.array([a], np.int32)))
             continue
         starts = np.arange(max(1, len(ws) - WINDOW + 1))
         by_size: dict[int, list[int]] = {}
@@ -169,7 +212,7 @@ def build_index(items: list[tuple], keys: int | None = None, exact: set[int] = f
             offsets = np.array(offsets)
             notes = walk(symbols, offsets, max(NOTES, int(1.5 * size)))
             for h in _keys(notes, size, keys):
-                parts.append((h, np.full(len(h), n), offsets))
+                parts.append((h, np.full(len(h), n, np.int32), offsets.astype(np.int32)))
 
     def in_order(rows):
         hashes, item, offset = (np.concatenate(x) for x in zip(*rows))
@@ -300,24 +343,49 @@ class Scanner:
         symbols[stop] = 0
         out = set()
 
-        def look_up(h, at, text, table, rows):
+        # Room for shifts beyond both ends.
+        room = index.short.shape[1]
+        padded = np.pad(symbols, room)
+
+        def near_places(start, item):
+            """Whether an item that starts at ``start``, moved by as many words as it may have edits, misses no more
+            words than that: true wherever the item is, as an edit takes one word of the item and moves the rest by one."""
+            rows = index.short[index.row[item]]
+            n = (rows != 0).sum(axis=1)
+            most = (1 - SIMILARITY) * n + 1e-9
+            most = most.astype(np.int64)
+            here = np.zeros(rows.shape, bool)
+            columns = np.arange(rows.shape[1])
+            for shift in range(-int(most.max(initial=0)), int(most.max(initial=0)) + 1):
+                mine = np.flatnonzero(most >= abs(shift))
+                there = np.clip(start[mine, None] + columns + room + shift, 0, len(padded) - 1)
+                here[mine] |= padded[there] == rows[mine]
+            return (here & (rows != 0)).sum(axis=1) >= n - most
+
+        def look_up(h, at, text, table, rows, check=None):
             hashes, item, offset = rows
             maybe = np.flatnonzero(table[(h >> np.uint64(42)).astype(np.int64)])
             if not len(maybe):
                 return
-            hm = h[maybe]
-            lo, hi = np.searchsorted(hashes, hm, "left"), np.searchsorted(hashes, hm, "right")
-            for p in np.flatnonzero(hi > lo):
-                t = int(text[maybe[p]])
-                place = int(at[maybe[p]] - begin[t])
-                for r in range(lo[p], hi[p]):
-                    out.add((t, int(item[r]), place - int(offset[r])))
+            lo = np.searchsorted(hashes, h[maybe], "left")
+            many = np.searchsorted(hashes, h[maybe], "right") - lo
+            until = np.cumsum(many)
+            # Occurrences times items, so many at a time.
+            for s in range(0, int(until[-1]), PAIRS):
+                pair = np.arange(s, min(s + PAIRS, int(until[-1])))
+                p = np.searchsorted(until, pair, "right")
+                r = lo[p] + pair - (until[p] - many[p])
+                t, start, i = text[maybe[p]], at[maybe[p]] - offset[r], item[r]
+                if check is not None:
+                    good = check(start, i)
+                    t, start, i = t[good], start[good], i[good]
+                out.update(zip(t.tolist(), i.tolist(), (start - begin[t]).tolist()))
 
         if index.piece_sizes:
             everywhere = np.arange(len(flat))
             each = np.repeat(np.arange(len(texts)), stop + 1 - begin)
             for size in index.piece_sizes:
-                look_up(_grams(symbols, size), everywhere, each, self.piece_table, index.pieces)
+                look_up(_grams(symbols, size), everywhere, each, self.piece_table, index.pieces, near_places)
         if not index.sizes:
             return sorted(out)
         counts = -(-(stop - begin) // index.stride)
@@ -359,15 +427,32 @@ class Scanner:
             yield t, self.index.ids[i], edits, 1 - edits / len(self.index.words[i]), first
 
 
-def _slices(benchmark: DataFrame, id_col: str, text_col: str):
-    """Indexes of the items, each of at most about ``ITEM_BYTES`` of text."""
-    items = (pick(benchmark, item_id=id_col, text=text_col).where("item_id is not null and text is not null")
-             .where(F.size(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " ")) >= LEAST_WORDS))
-    size = items.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0]
-    parts = -(-size // ITEM_BYTES)
+def _items(benchmark: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(item_id, text, n_words) of the items searched for."""
+    items = pick(benchmark, item_id=id_col, text=text_col).where("item_id is not null and text is not null")
+    return items.withColumn("n_words", F.size(F.split(F.trim(F.regexp_replace(F.lower("text"), r"\s+", " ")), " "))
+                            ).where(F.col("n_words") >= LEAST_WORDS)
+
+
+def _slices(items: DataFrame):
+    """Indexes of the items' different texts, under each text's SHA-256, of at most ``INDEX_BYTES`` each
+    (or of one item, if its own windows take more)."""
+    texts = items.select(F.sha2("text", 256).alias("item"), "text", "n_words").dropDuplicates(["text"])
+    n_words = texts.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
+    parts = -(-n_words * WORD_BYTES // INDEX_BYTES)
     for p in range(parts):
-        mine = items.where(F.pmod(F.xxhash64("text", "item_id"), F.lit(parts)) == p).orderBy("item_id", "text")
-        rows = [(r["item_id"], r["text"]) for r in mine.collect() if len(_words(r["text"])) >= LEAST_WORDS]
+        # A part's texts are a small share of its index; what the hash deals unevenly is cut here.
+        mine = texts.where(F.pmod(F.xxhash64("text"), F.lit(parts)) == p).orderBy("item")
+        rows, size = [], 0
+        for r in mine.collect():
+            n = len(_words(r["text"]))
+            if n < LEAST_WORDS:
+                continue
+            if rows and (size + n) * WORD_BYTES > INDEX_BYTES:
+                yield build_index(rows)
+                rows, size = [], 0
+            rows.append((r["item"], r["text"]))
+            size += n
         if rows:
             yield build_index(rows)
 
@@ -379,15 +464,21 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     An item is found where some run of the text's words is within ``budget``
     word edits of the item's words (lower case, cut at white space). Items of fewer than ``LEAST_WORDS`` words or
     with a NULL id or text are not searched; NULL texts hold nothing; a NULL
-    doc_id stays NULL; repeated rows are found each. The benchmark goes to the
-    executors in slices of bounded size, one pass over the documents each.
+    doc_id stays NULL; repeated rows are found each. Items with the same text are
+    searched once and found under each id. The index goes to the executors in slices
+    of bounded size, one pass over the documents each.
     """
     spark = docs.sparkSession
     table = pick(docs, doc_id=id_col, text=text_col)
-    out = spark.createDataFrame([], "doc_id bigint, item_id bigint, edits int, similarity double, near_word int")
-    for index in _slices(benchmark, item_col, item_text_col):
-        out = out.unionByName(_scan(table, spark.sparkContext.broadcast(index)))
-    return out
+    items = _items(benchmark, item_col, item_text_col)
+    found = spark.createDataFrame([], FOUND)
+    for index in _slices(items):
+        found = found.unionByName(_scan(table, spark.sparkContext.broadcast(index)))
+    return found.join(items.select("item_id", F.sha2("text", 256).alias("item")), "item").select(
+        "doc_id", F.col("item_id").cast("long").alias("item_id"), "edits", "similarity", "near_word")
+
+
+FOUND = "doc_id bigint, item string, edits int, similarity double, near_word int"
 
 
 def _scan(table: DataFrame, shared) -> DataFrame:
@@ -401,17 +492,17 @@ def _scan(table: DataFrame, shared) -> DataFrame:
                 ids = b.column("doc_id").cast(pa.int64())
                 t, item, edits, similarity, first = zip(*found)
                 yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(t)), pa.array(item, pa.int64()), pa.array(edits, pa.int32()),
+                    [ids.take(pa.array(t)), pa.array(item, pa.string()), pa.array(edits, pa.int32()),
                      pa.array(similarity, pa.float64()), pa.array(first, pa.int32())],
-                    ["doc_id", "item_id", "edits", "similarity", "near_word"])
+                    ["doc_id", "item", "edits", "similarity", "near_word"])
 
-    return table.mapInArrow(run, "doc_id bigint, item_id bigint, edits int, similarity double, near_word int")
+    return table.mapInArrow(run, FOUND)
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text") -> DataFrame:
     """The rows of ``docs`` that hold no item of the benchmark; columns as they were."""
     spark = docs.sparkSession
-    for index in _slices(benchmark, "item_id", "text"):
+    for index in _slices(_items(benchmark, "item_id", "text")):
         shared = spark.sparkContext.broadcast(index)
 
         def run(batches, shared=shared):

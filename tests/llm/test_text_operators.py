@@ -211,7 +211,7 @@ def test_decontamination_of_odd_tables(spark, odd_docs, no_docs):
 
 
 def test_items_are_sent_in_slices(spark, monkeypatch):
-    monkeypatch.setattr(decontaminate, "ITEM_BYTES", 200)
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 30 * decontaminate.WORD_BYTES)
     items = [(i, " ".join(f"i{i}w{j}" for j in range(15))) for i in range(8)]
     docs = [(i, "before it " + t + " after it") for i, t in items]
     got = decontaminate.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
@@ -219,6 +219,53 @@ def test_items_are_sent_in_slices(spark, monkeypatch):
     assert sorted((r.doc_id, r.item_id) for r in got.collect()) == [(i, i) for i in range(8)]
 
 
+def test_an_index_is_bounded_by_its_own_bytes(spark, monkeypatch):
+    """Items whose index would take over 100 MB come in slices that each keep the bound, long and short items alike."""
+    rng = random.Random(4)
+    items = [(i, " ".join(f"w{rng.randrange(50_000)}" for _ in range(rng.choice([6, 20, 300, 900])))) for i in range(700)]
+    words = sum(len(t.split()) for _, t in items)
+    assert words * decontaminate.WORD_BYTES > 100 << 20
+    monkeypatch.setattr(decontaminate, "INDEX_BYTES", 16 << 20)
+    monkeypatch.setattr(decontaminate, "_tuned", lambda items: (decontaminate.KEYS[-1], {0}))  # the largest index
+    slices, seen = 0, 0
+    for index in decontaminate._slices(decontaminate._items(
+            spark.createDataFrame(items, "item_id long, text string"), "item_id", "text")):
+        assert index.nbytes() <= 16 << 20
+        slices, seen = slices + 1, seen + len(index.ids)
+    assert seen == 700 and slices >= 6
+
+
+def test_items_of_equal_text_are_found_under_each_id(spark):
+    text = "one two three four five six seven eight nine ten"
+    items = spark.createDataFrame([(1, text), (2, text), (2, text), (3, "a b c d e f"), (3, text.title()), (None, text)],
+                                  "item_id long, text string")
+    docs = spark.createDataFrame([(5, f"x {text} y"), (6, "a b c d x f g")], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items).collect()
+    assert sorted((r.doc_id, r.item_id, r.edits) for r in got) == [
+        (5, 1, 0), (5, 2, 0), (5, 2, 0), (5, 3, 0), (6, 3, 1)]
+
+
+def test_pieces_are_cut_where_words_are_rare():
+    counts = {"the": 500, "of": 400, "a": 300, "rare": 1, "odd": 2}
+    bounds = decontaminate.cuts("the of rare the of a odd the a".split(), counts, 2)
+    a, b = bounds[1:2] * 2
+    assert bounds[0] == 0 and bounds[-1] == 9 and 3 <= b <= 6  # a rare word on either side
+    for n in range(5, 25):
+        pieces = decontaminate.budget(n) + 1
+        bounds = decontaminate.cuts(["the"] * n, counts, pieces)
+        assert len(bounds) == pieces + 1 and all(y > x for x, y in zip(bounds, bounds[1:]))
+
+
+def test_hot_pieces_lead_to_few_candidates():
+    """A piece on every line of a long text is looked at together; candidates are where the rest of the item is near."""
+    items = [(i, f"in the year of our lord name{i}") for i in range(300)] + [(300, "of the in a the of in the a of")]
+    scanner = decontaminate.Scanner(decontaminate.build_index(items, 4, {0}))
+    text = ("in the year of our " * 4000) + "in the year of lord name7 " + "in the year of our " * 10
+    found = scanner.candidates([decontaminate._words(text)])
+    assert {i for _, i, _ in found} == {7}
+    assert {m[1] for m in scanner.matches([text])} == {7}
+
+
 # --- paragraphs
 
 def _prose(rng, n):
