@@ -133,6 +133,38 @@ def test_no_vectors(spark):
     assert sorted(tuple(r) for r in embeddings.near_vectors(only).collect()) == [(1, 0, 1, True), (2, 0, 2, True)]
 
 
+def test_vectors_of_each_length_have_an_index(spark, monkeypatch):
+    """Lengths of many vectors, and one long vector; a length that the sample lacks is compared whole."""
+    rng = random.Random(8)
+    rows = []
+    for dim in (3, 8, 24):
+        for _ in range(12):
+            centre = [rng.gauss(0, 1) for _ in range(dim)]
+            rows += [[x + rng.gauss(0, 0.1) for x in centre] for _ in range(6)]
+    rows += [[rng.gauss(0, 1) for _ in range(3000)], [1.0], [2.0], [-1.0]]
+    rows = list(enumerate(rows))
+    monkeypatch.setattr(embeddings, "CELL", 4)
+    want = sorted(vector_links(rows))
+    for sample in (20_000, 40):
+        monkeypatch.setattr(embeddings, "SAMPLE", sample)
+        got = embeddings.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+        found = sorted((r.vec_id, r.n_links, r.component_id) for r in got)
+        assert all(a[1] <= b[1] for a, b in zip(found, want)) and len(found) == len(want)
+        assert sum(r[1] for r in found) >= 0.9 * sum(r[1] for r in want)
+
+
+def test_visits_go_on_until_the_target_is_met():
+    """Where neighbours lie in far cells, more than the first 256 cells are visited."""
+    import numpy as np
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(600, 64))
+    x /= np.sqrt((x * x).sum(axis=1, keepdims=True))
+    first, second = embeddings._codebook(x[:, :32], 60, 1), embeddings._codebook(x[:, 32:], 60, 1)
+    n = embeddings.tune_visits(x, first, second, 0.3, 0.98)
+    assert 256 < n <= 3600
+    assert embeddings.tune_visits(x, first, second, 0.999, 0.98) < 256
+
+
 def test_visits_are_the_nearest_cells_in_order():
     import numpy as np
     rng = np.random.default_rng(0)
