@@ -26,4 +26,4 @@ def query(name: str, oracle: str | None = None):
 def load_all() -> None:
     # Imported for their registrations.
     from aggrex.registry import (  # noqa: F401
-        align_q, completion_q, incremental_q, loop_q, normalise_q, period_q, plan_q, push_q, report_q)
+        align_q, completion_q, incremental_q, loop_q, normalise_q, pages_q, period_q, plan_q, push_q, report_q)
