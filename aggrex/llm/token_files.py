@@ -19,6 +19,7 @@ import struct
 import uuid
 import zlib
 from array import array
+from bisect import bisect_left, bisect_right
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ from aggrex.session import checkpoint_dir
 MAGIC = b"DACS"
 BLOCK = 512  # positions per rank directory entry
 PART_ROWS = 8192  # documents per file; a file is written as a stream of segments, whatever its size
+MOST_PARTS = 10_000  # files; beyond PART_ROWS times as many documents files grow instead
+SAMPLE_ROWS = 64  # rows per file that the ranges are cut from; they decide the balance alone
+FIRST, LAST = -(1 << 63), (1 << 63) - 1
 SEGMENT_TOKENS = 1 << 20  # a segment ends with the document that passes this
 REMEMBER = 250_000  # text pieces a task remembers, twice: those in use and those before
 REMEMBER_LENGTH = 48
@@ -151,38 +155,87 @@ class PieceEncoder(PieceCutter):
         return ids
 
 
+def _bounds(keys: DataFrame) -> list[tuple[int, int]]:
+    """Where the ranges of (doc_id, hash) begin, from a sample of at most about
+    ``MOST_PARTS * SAMPLE_ROWS`` rows. Hashes are read only where an id fills a range."""
+    n = keys.count()
+    parts = max(1, min(MOST_PARTS, -(-n // PART_ROWS)))
+    if parts == 1:
+        return []
+
+    def cut(*columns):
+        got = keys.select(*columns).sample(min(1.0, parts * SAMPLE_ROWS / n), seed=7).toPandas()
+        got = got.sort_values(list(columns))
+        return list(got.iloc[[len(got) * i // parts for i in range(1, parts)]].itertuples(index=False, name=None)
+                    ) if len(got) else []
+
+    ids = [d for d, in cut("doc_id")]
+    return cut("doc_id", "hash") if len(set(ids)) < len(ids) else [(d, FIRST) for d in ids]
+
+
+class Ranges:
+    """Which range a row belongs to. Rows equal to several bounds are copies of
+    one text under one id: any of these ranges may have them, so they are dealt
+    in turn, by their number within the task, which a repeated task deals alike."""
+
+    def __init__(self, bounds: list[tuple[int, int]], task: int = 0):
+        import numpy as np
+
+        self.ids = np.array([d for d, _ in bounds], np.int64)
+        self.hashes = [h for _, h in bounds]
+        self.task, self.dealt = task, {}
+
+    def of(self, ids, hashes):
+        """Range numbers (numpy) of rows, given numpy arrays."""
+        import numpy as np
+
+        low, high = (np.searchsorted(self.ids, ids, side=side) for side in ("left", "right"))
+        place = high.astype(np.int32)
+        for i in np.flatnonzero(high > low).tolist():
+            first, h = int(low[i]), int(hashes[i])
+            begin = bisect_left(self.hashes, h, first, int(high[i]))
+            end = bisect_right(self.hashes, h, begin, int(high[i]))
+            if end - begin > 1:
+                turn = self.dealt.get(begin, self.task)
+                self.dealt[begin] = turn + 1
+                end = begin + 1 + turn % (end - begin)
+            place[i] = end
+        return place
+
+
 def write_token_files(docs: DataFrame, path: str, tokenizer: str, end_id: int = 2, id_col: str = "doc_id",
                       text_col: str = "text") -> None:
     """Encode every whole text, append ``end_id``, and write the files at ``path``.
 
-    Range bounds of the ids come from a pass over the ids alone; texts are
-    encoded where they are read, and only ids are shuffled, once, straight to
-    the range they belong to. NULL texts are empty (the end id only); NULL ids
-    come first; documents of one id stand next to each other ordered by their
-    ids' bytes. A range holds whole ids, so rows repeating one id stay together
-    in one file; such runs of repeated ids are written segment by segment.
+    Range bounds come from a sample of the ids alone; texts are encoded where
+    they are read, and only ids are shuffled, once, straight to the range they
+    belong to. NULL texts are empty (the end id only); NULL ids come first;
+    documents of one id stand next to each other, within a file ordered by their
+    ids' bytes. One id in a large share of the rows spreads over as many files as
+    its share, by the hash of the text; copies of one text under one id are dealt
+    in turn.
     """
-    docs = pick(docs, doc_id=id_col, text=text_col)
-    parts = max(1, -(-docs.count() // PART_ROWS))
-    bounds = []
-    if parts > 1:
-        got = docs.agg(F.percentile_approx("doc_id", [i / parts for i in range(1, parts)], 100 * parts)).first()[0]
-        bounds = sorted(set(got or []))
+    docs = pick(docs, doc_id=id_col, text=text_col).withColumn("doc_id", F.col("doc_id").cast("bigint"))
+    # NULL ids take the least number; that number itself, as an id, then comes after them.
+    docs = docs.withColumn("hash", F.when(F.col("doc_id") == FIRST, F.lit(LAST)).otherwise(F.xxhash64("text")))
+    bounds = _bounds(docs.select(F.coalesce("doc_id", F.lit(FIRST)).alias("doc_id"), "hash"))
 
     def encode(batches):
         import numpy as np
         import pyarrow as pa
+        from pyspark import TaskContext
 
         coder = PieceEncoder(tokenizer)
-        cut = np.array(bounds, np.int64)
+        ranges = Ranges(bounds, TaskContext.get().partitionId())
         for b, texts in text_batches(batches, rows=1024, chars=1 << 20):
-            ids = b.column("doc_id").cast(pa.int64())
-            place = np.searchsorted(cut, ids.fill_null(-(1 << 63)).to_numpy(zero_copy_only=False), side="right")
+            ids = b.column("doc_id")
+            place = ranges.of(ids.fill_null(FIRST).to_numpy(zero_copy_only=False),
+                              b.column("hash").to_numpy(zero_copy_only=False))
             coded = [np.append(x, np.uint32(end_id)).astype("<u4") for x in coder.encode(texts)]
             # Two bytes an id where they suffice: what is shuffled stays small.
             rows = [x.astype("<u2").tobytes() if x.max() < 65536 else x.tobytes() for x in coded]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place.astype(np.int32)), ids, pa.array([len(x) for x in coded], pa.int64()),
+                [pa.array(place), ids, pa.array([len(x) for x in coded], pa.int64()),
                  pa.array(rows, pa.binary())], ["part", "doc_id", "n", "ids"])
 
     def segments(batches):

@@ -106,3 +106,33 @@ def test_token_files(name, request, library, monkeypatch):
         want.append((d, start, len(ids), crc_of_ids(ids)))
         start += len(ids)
     assert got == want
+
+
+def test_one_id_in_most_rows_spreads_over_files(spark, library, monkeypatch, tmp_path):
+    """Half the rows under one id, copies of one text among them, a third under NULL, and the least number as an id."""
+    monkeypatch.setattr(token_files, "PART_ROWS", 30)
+    least = -(1 << 63)
+    rows = [(5, f"word {i} of a text") for i in range(200)] + [(5, "the same text")] * 200
+    rows += [(None, f"no id {i}") for i in range(250)] + [(least, "least")] * 3 + [(i, f"text {i}") for i in range(147)]
+    table = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    path = str(tmp_path / "tokens")
+    token_files.write_token_files(table, path, PATH)
+    files = token_files.read_token_files(spark, path).select("part", "start", "n_tokens", "doc_ids", "lengths").collect()
+    assert max(sum(len(f.doc_ids) for f in files if f.part == p) for p in {f.part for f in files}) <= 4 * 30
+    assert len({f.part for f in files if 5 in f.doc_ids}) >= 8 and len({f.part for f in files if None in f.doc_ids}) >= 4
+    files.sort(key=lambda f: f.start)
+    order = [d for f in files for d in f.doc_ids]
+    assert order == sorted((d for d, _ in rows), key=lambda d: (d is not None, d or 0))
+    assert [f.start for f in files] == [sum(f.n_tokens for f in files[:i]) for i in range(len(files))]
+    got = sorted((r.doc_id is not None, r.doc_id or 0, r.n_tokens, r.ids_crc32)
+                 for r in token_files.document_digests(token_files.read_token_files(spark, path)).collect())
+    coded = [(d, library.encode(t, add_special_tokens=False).ids + [2]) for d, t in rows]
+    assert got == sorted((d is not None, d or 0, len(ids), crc_of_ids(ids)) for d, ids in coded)
+
+
+def test_ranges_deal_copies_alike_when_a_task_is_repeated():
+    bounds = [(1, token_files.FIRST), (5, 3), (5, 9), (5, 9), (5, 9), (7, token_files.FIRST)]
+    ids, hashes = np.array([0, 1, 5, 5, 5, 5, 5, 5, 5, 6, 7]), np.array([4, 4, 2, 3, 8, 9, 9, 9, 10, 0, 0])
+    first = token_files.Ranges(bounds, task=4).of(ids, hashes).tolist()
+    assert first[:5] == [0, 1, 1, 2, 2] and sorted(first[5:8]) == [3, 4, 5] and first[8:] == [5, 5, 6]
+    assert token_files.Ranges(bounds, task=4).of(ids, hashes).tolist() == first
