@@ -194,7 +194,8 @@ def _joined(spans: Column) -> Column:
 
 
 def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per document: doc_id, counts of the base kinds, sha256 of the base spans, all spans."""
+    """Per document: doc_id, counts of the base kinds, sha256 of the base spans, all spans,
+    and their scores after context in hundredths, in the order of the spans."""
     found = pii_spans(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
     base = F.filter("pii", lambda s: s["place"] < len(BASE))
     return found.select(
@@ -202,7 +203,8 @@ def pii_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         *[_count(p).alias(f"n_{k}") for p, k in enumerate(BASE)],
         F.sha2(_joined(base), 256).alias("base_sha256"), _joined(F.col("pii")).alias("spans"),
         F.size(F.filter("pii", lambda s: s["place"] >= len(BASE))).cast("long").alias("n_added"),
-        F.aggregate("pii", F.lit(0.0), lambda acc, s: F.greatest(acc, s["score"])).alias("top_score"))
+        F.array_join(F.transform("pii", lambda s: F.round(s["score"] * 100).cast("int").cast("string")), ",")
+        .alias("scores"))
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:

@@ -124,6 +124,8 @@ def _pii_oracle() -> str:
                 f" generate_subscripts(regexp_extract_all(t, '{pii.PLAIN[kind]}'), 1) AS i FROM d")
 
     kinds = " UNION ALL ".join(found(p, k) for p, k in enumerate(pii.KINDS))
+    bases = " ".join(f"WHEN '{k}' THEN {round(pii.SCORES[k] * 100)}" for k in pii.KINDS)
+    raised = " OR ".join(f"kind = '{k}' AND regexp_matches(around, '(^|[^a-z])({pii.RAISES[k]})')" for k in pii.KINDS)
     return f"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t FROM documents),
 raw AS ({kinds}),
@@ -147,21 +149,23 @@ ok AS (SELECT l.*, lower(concat(substr(t, greatest(s - {pii.CONTEXT}, 0) + 1, s
       WHEN 'phone' THEN length(digits) BETWEEN 10 AND 15
       WHEN 'iban' THEN coalesce(rest = 1, false)
       ELSE NOT regexp_matches(v, '^(000|666|9)|-00-|-0000$') END),
-kept AS (SELECT * FROM ok WHERE place < 4 OR kind = 'iban' OR {pii.SCORES['ssn']}
-    + CASE WHEN regexp_matches(around, '(^|[^a-z])({pii.RAISES['ssn']})') THEN 0.25 ELSE 0 END
-    - CASE WHEN regexp_matches(around, '(^|[^a-z])({pii.LOWERS})') THEN 0.25 ELSE 0 END >= {pii.ADDED_SCORE}),
+rated AS (SELECT *, least(100, greatest(0, CASE kind {bases} END + CASE WHEN {raised} THEN 25 ELSE 0 END
+    - CASE WHEN regexp_matches(around, '(^|[^a-z])({pii.LOWERS})') THEN 25 ELSE 0 END)) AS score FROM ok),
+kept AS (SELECT * FROM rated WHERE place < 4 OR score >= {round(pii.ADDED_SCORE * 100)}),
 g AS (SELECT rid, {', '.join(f"count(*) FILTER (kind = '{k}') AS n_{k}" for k in pii.BASE)},
     coalesce(string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) FILTER (place < 4), '') AS base,
     string_agg(kind || ':' || s || ':' || e, ',' ORDER BY s, place) AS spans,
-    count(*) FILTER (place >= 4) AS n_added FROM kept GROUP BY rid)
+    count(*) FILTER (place >= 4) AS n_added, string_agg(score, ',' ORDER BY s, place) AS scores
+    FROM kept GROUP BY rid)
 SELECT doc_id, {', '.join(f"coalesce(n_{k}, 0) AS n_{k}" for k in pii.BASE)}, sha256(coalesce(base, '')) AS base_sha256,
-    coalesce(spans, '') AS spans, coalesce(n_added, 0) AS n_added FROM d LEFT JOIN g USING (rid)
+    coalesce(spans, '') AS spans, coalesce(n_added, 0) AS n_added, coalesce(scores, '') AS scores
+FROM d LEFT JOIN g USING (rid)
 """
 
 
 @query("op4_pii_spans", _pii_oracle())
 def op4(spark, sf_dir):
-    return pii.pii_report(table(spark, sf_dir, "documents")).drop("top_score")
+    return pii.pii_report(table(spark, sf_dir, "documents"))
 
 
 @query("op5_embedding_groups", """

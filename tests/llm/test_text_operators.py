@@ -125,6 +125,19 @@ def test_pii_added_kinds_need_checksum_and_context(spark):
     assert got[5] == ""  # a word against it takes back what the word for it gave
 
 
+def test_context_raises_and_lowers_every_kind(spark):
+    said = [("mail me: a@b.co", "100"), ("contact a@b.co", "100"), ("a@b.co", "90"), ("for example a@b.co", "65"),
+            ("1.2.3.4", "60"), ("our server 1.2.3.4", "85"), ("version 1.2.3.4", "35"),
+            ("server version 1.2.3.4", "60"), ("card 4111 1111 1111 1111", "100"), ("4111 1111 1111 1111", "80"),
+            ("order no. 4111 1111 1111 1111", "55"), ("call +1 (555) 123-4567", "95"),
+            ("invoice +1 (555) 123-4567", "45"), ("ssn 078-05-1120", "65"),
+            ("version " + "." * 40 + " 1.2.3.4", "60"), ("1.2.3.4 is a test", "35"), ("contest 1.2.3.4", "60"),
+            ("a@b.co, 1.2.3.4 on that host", "90,85"), ("", ""), (None, "")]
+    got = [r.scores for r in pii.pii_report(spark.createDataFrame(
+        [(i, t) for i, (t, _) in enumerate(said)], "doc_id long, text string")).orderBy("doc_id").collect()]
+    assert got == [s for _, s in said]
+
+
 def test_redaction_keeps_rows_and_columns(odd_docs):
     got = pii.redact(odd_docs)
     assert got.columns == odd_docs.columns and got.count() == odd_docs.count()
