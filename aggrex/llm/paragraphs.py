@@ -239,12 +239,15 @@ def _copies(ids: DataFrame) -> DataFrame:
 
 class _Firsts:
     """Leaves out rows whose text another row has and holds first. Two Bloom filters, of the texts in several
-    rows and of their first rows, let some copies through; these do no harm but the work."""
+    rows and of the rows to keep among those that the first one knows (their first rows, and rows whose text stands
+    alone but looks repeated to it), let some copies through; these do no harm but the work. No other row is left out."""
 
-    def __init__(self, copies: DataFrame):
-        n = copies.count()
-        self.repeated = _bloom(copies.select(F.col("text_hash").alias("content")), n)
-        self.first = _bloom(copies.select(F.xxhash64("first_doc", "text_hash").alias("content")), n)
+    def __init__(self, ids: DataFrame, copies: DataFrame):
+        self.repeated = _bloom(copies.select(F.col("text_hash").alias("content")), copies.count())
+        alone = _known(ids, "text_hash", self.repeated).join(copies, "text_hash", "left_anti")
+        keep = materialise(copies.select(F.col("first_doc").alias("doc_id"), "text_hash").unionByName(alone).select(
+            F.xxhash64("doc_id", "text_hash").alias("content")), "rows-to-keep")
+        self.first = _bloom(keep, keep.count())
 
     def columns(self, docs: DataFrame) -> DataFrame:
         return docs.select("doc_id", F.xxhash64("text").alias("text_hash"), F.xxhash64(
@@ -362,6 +365,24 @@ def _bloom(contents: DataFrame, count: int, most_bits: int = 27) -> tuple[bytes,
     return table.tobytes(), bits
 
 
+def _known(rows: DataFrame, column: str, bloom: tuple[bytes, int]) -> DataFrame:
+    """The rows whose ``column`` the Bloom filter knows: all that were put in, and some others."""
+    import numpy as np
+
+    shared = rows.sparkSession.sparkContext.broadcast(bloom)
+
+    def run(batches):
+        import pyarrow as pa
+
+        data, bits = shared.value
+        table = np.unpackbits(np.frombuffer(data, np.uint8)).astype(bool)
+        for b in batches:
+            yield b.filter(pa.array(np.logical_and.reduce([
+                table[x] for x in _bloom_places(b.column(column).to_numpy().view(np.uint64), bits)])))
+
+    return rows.mapInArrow(run, rows.schema)
+
+
 def _bloom_places(content, bits: int):
     import numpy as np
 
@@ -742,7 +763,7 @@ def _repeats(docs: DataFrame, similarity: float, least_run: int) -> tuple[DataFr
     key = ["doc_id", "text_hash"]
     ids = materialise(_text_ids(docs), "ids")
     copies = materialise(_copies(ids), "copies")
-    firsts = _Firsts(copies)
+    firsts = _Firsts(ids, copies)
     copied = materialise(ids.join(copies, "text_hash").where("doc_id <> first_doc").select(*key, "first_doc").distinct(),
                          "copied")
 

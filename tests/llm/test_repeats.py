@@ -129,3 +129,16 @@ def test_line_classes_equal_a_plain_version(spark):
         for c in r.class_ids:
             got[c].add(r.doc_id)
     assert len(want) > 20 and sorted(tuple(sorted(m)) for m in got.values()) == want
+
+
+def test_texts_that_the_copy_filter_takes_for_repeated_are_not_left_out(spark):
+    """Half of the texts have copies, so the Bloom filter of copies knows a few per cent of the others by mistake."""
+    rng = random.Random(31)
+    passage = prose(rng, 30)
+    rows = [(i, f"copy {i % 7000} {prose(random.Random(i % 7000), 3)}", "") for i in range(14_000)]
+    alone = range(20_000, 20_400)
+    rows += [(i, f"{prose(rng, 6)}\n{passage}\n{prose(rng, 6)}", "") for i in alone]
+    got = {r.doc_id: r for r in report(spark, rows) if r.doc_id in alone}
+    assert len(got) == 400 and got[20_000].n_removed == 0
+    assert [i for i in alone if i > 20_000 and got[i].removed_words < 20] == []
+    assert all(set(got[i].class_ids) & set(got[20_000].class_ids) for i in alone)
