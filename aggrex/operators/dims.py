@@ -49,6 +49,13 @@ def sized_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFram
     return F.broadcast(df) if is_small(df, max_bytes) else df
 
 
+def settled_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``df`` computed once (checkpointed) and broadcast when its rows are measured to take at most
+    ``max_bytes``: for dimensions derived from data, whose estimate is the size of the data."""
+    done = df.checkpoint(eager=True)
+    return F.broadcast(done) if measured_bytes(done) <= max_bytes else done
+
+
 def config_dim(spark: SparkSession, rows: list, schema: T.StructType,
                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """A dimension built from configuration rows, whose size the driver knows."""

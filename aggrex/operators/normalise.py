@@ -4,13 +4,16 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from aggrex.operators.dims import sized_broadcast
+from aggrex.operators.dims import settled_broadcast, sized_broadcast
 from aggrex.schemas import (AGGREGATED, DATA_ELEMENT, DATA_POINT_COLUMNS, DATA_TYPE_ALIASES,
                             INDICATOR, PUSH_COLUMNS, REPORTING_RATE)
 
+# Months of a year that one set, a 64-bit number, holds; of more there are several sets.
+MONTHS_OF_SET = 60
+
 
 def _null() -> Column:
     return F.lit(None).cast("string")
@@ -109,12 +112,27 @@ def merge_extracts(extracts: DataFrame, months: DataFrame) -> DataFrame:
 
     ``extracts`` carries the 9 data point columns and ``extract_period``
     (``yyyyMM`` or ``yyyy``, the partition column). ``months`` is (month).
-    Each month contributes two join keys — itself and its year — so one
-    equi-join (broadcast, period-sized) reads the extracts once, and a year's
-    rows join every month of that year. The distinct is a hash aggregate with
-    map-side combine, so heavily duplicated rows collapse before the shuffle.
+    The months of a year are numbered, so an extract period stands for a set of
+    them: a month for itself, a year for all of its months. A row is shuffled once
+    per extract it stands in, not once per month: equal rows of a year are one
+    group of a hash aggregate with map-side combine, whose sets are united, and
+    only then is a row repeated for every month of its set. Both period-sized
+    tables are computed once and broadcast.
     """
-    keys = months.select(F.col("month").alias("merge_month")).distinct().select(
-        "merge_month", F.explode(F.array(F.col("merge_month"), F.substring("merge_month", 1, 4))).alias("_key"))
-    j = extracts.join(sized_broadcast(keys), F.col("extract_period") == F.col("_key"))
-    return j.select("merge_month", *DATA_POINT_COLUMNS).dropDuplicates()
+    year = Window.partitionBy("_year").orderBy("merge_month")
+    numbered = (months.select(F.col("month").alias("merge_month")).where("merge_month is not null").distinct()
+                .withColumn("_year", F.substring("merge_month", 1, 4))
+                .withColumn("_n", F.row_number().over(year) - 1)
+                .select("merge_month", "_year", F.floor(F.col("_n") / MONTHS_OF_SET).alias("_part"),
+                        F.expr(f"shiftleft(1L, _n % {MONTHS_OF_SET})").alias("_bit"))
+                .checkpoint(eager=True))
+    sets = settled_broadcast(
+        numbered.select(F.explode(F.array("merge_month", "_year")).alias("_key"), "_year", "_part", "_bit")
+        .groupBy("_key", "_year", "_part").agg(F.bit_or("_bit").alias("_set")))
+    members = settled_broadcast(numbered.groupBy("_year", "_part").agg(
+        F.collect_list(F.struct("_bit", "merge_month")).alias("_months")))
+    rows = (extracts.join(sets, F.col("extract_period") == F.col("_key"))
+            .groupBy(*DATA_POINT_COLUMNS, "_year", "_part").agg(F.bit_or("_set").alias("_set")))
+    every = rows.join(members, ["_year", "_part"]).withColumn("_m", F.explode("_months"))
+    return (every.where(F.col("_set").bitwiseAND(F.col("_m._bit")) != 0)
+            .select(F.col("_m.merge_month").alias("merge_month"), *DATA_POINT_COLUMNS))

@@ -205,3 +205,18 @@ def test_extract_periods_by_frequency(spark):
     assert r["y"] == ["2022", "2023", "2024"]
     assert r["rev"] == ["202409"]  # start not before end: just the start
     assert r["m"] == ["202405", "202406", "202407", "202408"]  # window 3 + the current period
+
+
+def test_merge_shuffles_rows_by_extract_not_by_month(spark):
+    from aggrex.operators.normalise import MONTHS_OF_SET, merge_extracts
+    from aggrex.schemas import DATA_POINT
+    months = [f"2024{i:03d}" for i in range(2 * MONTHS_OF_SET + 5)] + ["2024", "202302", None]
+    rows = [("D", "both", "p", "O", None, "A", None, "X", "1", e) for e in ("2024", "2024007", "2024007", "2023")]
+    rows += [("D", "month", "p", "O", "C", "A", None, "X", None, e) for e in (months[3], months[-4], "2025", None)]
+    ex = spark.createDataFrame(rows, DATA_POINT.simpleString()[:-1] + ",extract_period:string>")
+    got = merge_extracts(ex, spark.createDataFrame([(m,) for m in months], "month string"))
+    pairs = [(r["merge_month"], r["dx_uid"]) for r in got.collect()]
+    assert len(pairs) == len(set(pairs))
+    assert set(pairs) == {(m, "both") for m in months if m} | {(months[3], "month"), (months[-4], "month")}
+    # Rows move before they are repeated for every month.
+    assert "hashpartitioning(merge_month" not in got._jdf.queryExecution().executedPlan().toString()
