@@ -52,38 +52,59 @@ def q_k1(spark, sf_dir):
     return read_payloads(spark, out).select(*J2_COLUMNS)
 
 
+# Rows of a file of the extract that is damaged: no task writes more into one file, however large the extract is.
+DAMAGED_FILE_ROWS = 3_000_000
+
+
 def damage(spark, source: str, target: str) -> None:
     """Write to ``target`` a copy of the one Parquet file under ``source`` whose
-    footer is whole and whose data pages are not."""
-    content = bytearray(spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
-                        .option("recursiveFileLookup", "true").load(source).first()["content"])
-    half = len(content) // 2
-    content[4:half] = bytes(half - 4)
-    jvm = spark.sparkContext._jvm
-    path = jvm.org.apache.hadoop.fs.Path(target)
-    out = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).create(path)
+    footer is whole and whose data pages are not. The half that is kept is copied
+    from stream to stream: the file is never held in memory."""
+    found = _parquet_files(spark, source).first()
+    half = found["length"] // 2
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    path, copy = jvm.org.apache.hadoop.fs.Path(found["path"]), jvm.org.apache.hadoop.fs.Path(target)
+    nothing = spark.sparkContext._gateway.new_array(jvm.byte, 1 << 20)
+    taken, out = path.getFileSystem(conf).open(path), copy.getFileSystem(conf).create(copy)
     try:
-        out.write(content)
+        out.writeInt(taken.readInt())
+        for at in range(4, half, 1 << 20):
+            out.write(nothing, 0, min(1 << 20, half - at))
+        taken.seek(half)
+        jvm.org.apache.hadoop.io.IOUtils.copyBytes(taken, out, 1 << 16, False)
     finally:
         out.close()
+        taken.close()
+
+
+def _parquet_files(spark, root: str):
+    """(path, length) of the Parquet files under ``root``; their content is not read."""
+    return (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet")
+            .option("recursiveFileLookup", "true").load(root).select("path", "length"))
 
 
 @query("k1_damaged_extract", push_oracle("""
 SELECT 'sent' AS what, period, count(*) AS n FROM cls WHERE class IN ('valid', 'to_delete') GROUP BY period
 UNION ALL SELECT 'set aside', NULL, 1"""))
 def q_k1_damaged(spark, sf_dir):
-    """Good extracts and one whose data pages are damaged (footer whole). Every
-    point of the good ones is sent, none of the damaged one's, which is listed."""
+    """Good extracts and one whose data pages are damaged (footers whole) in every
+    file. Every point of the good ones is sent, none of the damaged one's, whose files
+    are listed."""
     root, out, ckpt = _scratch(spark, "extracts"), _scratch(spark, "push"), _scratch(spark, "stream")
     other = _scratch(spark, "other")
     dv = normalise_data_values(fixtures.view(spark, sf_dir, "fx_data_values"))
     io.write_extract(dv, root, extract_id="dsA", extract_period=F.col("period"))
-    io.write_extract(dv.coalesce(1), other, "dsB", SPLIT_MONTH, files_per_partition=1)
-    damage(spark, other, f"{root}/data_type=DATA_ELEMENT/extract_id=dsB/extract_period={SPLIT_MONTH}/part-0.parquet")
+    files = -(-dv.count() // DAMAGED_FILE_ROWS) or 1
+    io.write_extract(dv, other, "dsB", SPLIT_MONTH, files_per_partition=files)
+    for i, file in enumerate(_parquet_files(spark, other).toLocalIterator()):
+        damage(spark, file["path"],
+               f"{root}/data_type=DATA_ELEMENT/extract_id=dsB/extract_period={SPLIT_MONTH}/part-{i}.parquet")
     transform = uid_mapper(config_dim(spark, UID_ROWS, UID_MAPPING), UID_DEFAULTS)
     incremental_push(spark, root, out, ckpt, transform, max_post=MAX_POST, skip_unreadable=True).awaitTermination()
     sent = read_payloads(spark, out).groupBy("period").agg(F.sum("n_points").alias("n"))
-    aside = read_unreadable_files(spark, out).agg(F.count_distinct("path").alias("n"))
+    # Extracts, each a folder of the table; one has as many files as its size needs.
+    aside = read_unreadable_files(spark, out).agg(
+        F.count_distinct(F.regexp_replace("path", "/[^/]*$", "")).alias("n"))
     return (sent.select(F.lit("sent").alias("what"), "period", "n")
             .unionByName(aside.select(F.lit("set aside").alias("what"), F.lit(None).cast("string").alias("period"),
                                       "n")))

@@ -478,3 +478,23 @@ def test_unknown_combos_are_refused_by_the_plan(spark):
     with pytest.raises(ValueError, match="GONE"):
         expand_category_combos(items, bridge)
     assert expand_category_combos(items, bridge, allow_unfiltered=True).count() == 1
+
+
+def test_a_large_damaged_extract_is_many_damaged_files(spark, monkeypatch):
+    """No task writes the whole damaged extract into one file; all of its files are damaged, none of its points sent."""
+    import __spark_entry__ as entry
+    from aggrex.operators.push import classify_data_points
+    from aggrex.registry import incremental_q
+    from aggrex.registry.push_q import mapped_data_points
+    sf, damaged, one = "/root/testdata/sf0.001", [], incremental_q.damage
+    monkeypatch.setattr(incremental_q, "DAMAGED_FILE_ROWS", 400)
+    monkeypatch.setattr(incremental_q, "damage", lambda s, source, target: damaged.append(target) or one(s, source, target))
+    # Tiny shuffle partitions would be put together again.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = entry.queries()["k1_damaged_extract"](spark, sf).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    sendable = classify_data_points(mapped_data_points(spark, sf)).where("class in ('valid', 'to_delete')").count()
+    assert len(damaged) > 1 and [r["n"] for r in got if r["what"] == "set aside"] == [1]
+    assert sum(r["n"] for r in got if r["what"] == "sent") == sendable
