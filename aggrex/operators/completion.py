@@ -48,13 +48,14 @@ def first_registration(registrations: DataFrame, order_col: str) -> DataFrame:
 
 
 def completion_lookup(todo: DataFrame, registrations: DataFrame, order_col: str,
-                      direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                      direct: DataFrame | None = None, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """(with status, without status) for the todo units (dataset, period,
     org_unit): the first registration from the bulk table (A8); units it lacks
     — of that dataset — take the first of ``direct`` (all registrations, the
     reference's per-unit fetch) when given. One aggregation over both (bulk
     before direct), one join. Units without any status have nothing to push
-    but still count as processed."""
+    but still count as processed. With ``scratch`` the join is written
+    there (replacing what an earlier call left), so that who reads both results does not run it twice."""
     every = registrations.withColumn("_direct", F.lit(0))
     if direct is not None:
         every = every.unionByName(direct.withColumn("_direct", F.lit(1)), allowMissingColumns=True)
@@ -62,8 +63,12 @@ def completion_lookup(todo: DataFrame, registrations: DataFrame, order_col: str,
     first = (every.groupBy("dataSet", "period", "organisationUnit")
              .agg(F.min_by(F.struct(*cols), F.struct("_direct", order_col)).alias("_r")).select("_r.*")
              .withColumnsRenamed({"organisationUnit": "org_unit", "dataSet": "dataset"}))
-    with_status = todo.join(first, UNIT, "inner")
-    without = todo.join(first.select(*UNIT), UNIT, "left_anti")
+    looked_up = todo.join(first.withColumn("_found", F.lit(True)), UNIT, "left")
+    if scratch is not None:
+        looked_up.write.mode("overwrite").parquet(scratch)
+        looked_up = todo.sparkSession.read.schema(looked_up.schema).parquet(scratch)
+    with_status = looked_up.where(F.col("_found").isNotNull()).drop("_found")
+    without = looked_up.where(F.col("_found").isNull()).select(*UNIT, *[c for c in todo.columns if c not in UNIT])
     return with_status, without
 
 
@@ -120,12 +125,12 @@ def merge_ledger(existing: DataFrame | None, processed: DataFrame) -> DataFrame:
 
 def completion_sync(todo: DataFrame, registrations: DataFrame, ledger: DataFrame | None,
                     dataset_pairs: DataFrame, order_col: str,
-                    direct: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+                    direct: DataFrame | None = None, scratch: str | None = None) -> tuple[DataFrame, DataFrame]:
     """K4: one resumable step: skip processed units (C12), look up their status
     (C13), build payloads (J4). The ledger rows returned are the units without a
     status — done, as nothing is to be pushed; units with a payload follow once
-    their outcome is known (``successful_units``)."""
+    their outcome is known (``successful_units``). ``scratch``: see ``completion_lookup``."""
     todo_now = unprocessed_org_units(todo, ledger)
-    with_status, without = completion_lookup(todo_now, registrations, order_col, direct)
+    with_status, without = completion_lookup(todo_now, registrations, order_col, direct, scratch)
     payloads = completion_payload(with_status, dataset_pairs)
     return payloads, merge_ledger(ledger, without)

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from aggrex import fixtures
 from aggrex.operators.completion import (completion_lookup, completion_payload, completion_summary,
                                          completions_under, merge_ledger, unprocessed_org_units)
+from aggrex.operators.dims import config_dim
 from aggrex.operators.reports import COUNT_KEYS, completion_outcome
 from aggrex.registry import query
 from aggrex.schemas import COMPLETION
@@ -18,6 +19,8 @@ from aggrex.sources import io
 from aggrex.streaming.incremental import record_outcomes, sync_batch
 
 COMPLETION_WITH_ORDINAL = T.StructType(COMPLETION.fields + [T.StructField("row_id", T.LongType())])
+DATASET_PAIR = T.StructType([T.StructField("source_dataset", T.StringType()),
+                             T.StructField("target_dataset", T.StringType())])
 
 VIEWS = ["fx_completions", "fx_processed", "fx_pyramid_source", "fx_data_values", "fx_import_reports"]
 # Fixture configuration: parents whose subtree is synchronised and the
@@ -92,7 +95,7 @@ def _inputs(spark, sf_dir):
     todo = (spark.table("fx_data_values").where(F.col("orgUnit").isNotNull())
             .select(F.explode(F.array(*[F.lit(s) for s, _ in PAIRS])).alias("dataset"),
                     F.substring("period", 1, 4).alias("period"), F.col("orgUnit").alias("org_unit")).distinct())
-    pairs = spark.createDataFrame(PAIRS, "source_dataset string, target_dataset string")
+    pairs = config_dim(spark, PAIRS, DATASET_PAIR)
     return regs, todo, spark.table("fx_processed"), pairs
 
 
@@ -101,6 +104,12 @@ def _direct(spark):
     return spark.table("fx_completions").where(F.col("dataSet").isin(*[s for s, _ in PAIRS]))
 
 
+def _stored(df, path):
+    """``df`` written as Parquet and read back: computed once, and no later filter reaches what it is made of."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 PERIOD = "1995"
 
 
@@ -124,8 +133,8 @@ def q_c13(spark, sf_dir):
     return with_status.select("dataset", "period", "org_unit", "date", "completed", "row_id")
 
 
-def _payloads(spark, sf_dir):
-    regs, todo, ledger, pairs = _inputs(spark, sf_dir)
+def _payloads(spark, sf_dir, inputs=None):
+    regs, todo, ledger, pairs = inputs or _inputs(spark, sf_dir)
     with_status, _ = completion_lookup(unprocessed_org_units(todo, ledger), regs, "row_id", _direct(spark))
     return completion_payload(with_status, pairs)
 
@@ -135,9 +144,9 @@ def q_j4(spark, sf_dir):
     return _payloads(spark, sf_dir)
 
 
-def _outcomes(spark, sf_dir):
+def _outcomes(spark, sf_dir, inputs=None):
+    p = _payloads(spark, sf_dir, inputs)
     rep = spark.table("fx_import_reports")
-    p = _payloads(spark, sf_dir)
     resp = p.join(rep, F.concat(F.lit("C"), F.col("batch_id").cast("string")) == F.col("org_unit"), "inner")
     # Some answers are empty: no error in the JSON, but no answer either.
     body = F.when(F.col("batch_id") % 8 == 4, "{ }").otherwise(F.col("body"))
@@ -183,27 +192,28 @@ def q_k4(spark, sf_dir):
     of the first batch, again after its replay, then of the next run over the
     same units (only what failed or had no answer is due), and the ledger."""
     regs, todo, processed, pairs = _inputs(spark, sf_dir)
-    regs, todo = regs.checkpoint(eager=True), todo.checkpoint(eager=True)
     base = f"{checkpoint_dir(spark).rstrip('/')}/sync-{uuid.uuid4().hex}"
+    regs, todo = _stored(regs, f"{base}/regs"), _stored(todo, f"{base}/todo")
     ledger, out = f"{base}/ledger", f"{base}/out"
     processed.withColumn("batch_id", F.lit(-1).cast("bigint")).write.partitionBy("batch_id").parquet(ledger)
     body = sync_batch(ledger, out, regs, pairs, "row_id", _direct(spark))
     sent = "dataset string, period string, org_unit string, target_dataset string, payload string"
 
-    def payloads(batch):
-        return spark.read.schema(sent).parquet(f"{out}/completions/batch_id={batch}").select(
-            "dataset", "period", "org_unit", "payload").checkpoint(eager=True)
+    def payloads(batch, step):
+        return _stored(spark.read.schema(sent).parquet(f"{out}/completions/batch_id={batch}").select(
+            "dataset", "period", "org_unit", "payload"), f"{base}/{step}")
 
     body(todo, 0)
-    first = payloads(0)
+    first = payloads(0, "first")
     body(todo, 0)  # as after a failure between the ledger's write and the stream's commit
-    replay = payloads(0)
-    record_outcomes(_outcomes(spark, sf_dir), ledger, -2)
+    replay = payloads(0, "replay")
+    answers = _stored(_outcomes(spark, sf_dir, (regs, todo, processed, pairs)), f"{base}/answers")
+    record_outcomes(answers, ledger, -2)
     body(todo, 1)
     done = spark.read.schema("dataset string, period string, org_unit string").parquet(ledger).where(
         "org_unit is not null").select("dataset", "period", "org_unit").distinct()
     out_rows = first.withColumn("step", F.lit("first"))
-    for name, rows in (("replay", replay), ("second", payloads(1)),
+    for name, rows in (("replay", replay), ("second", payloads(1, "second")),
                        ("ledger", done.withColumn("payload", F.lit(None).cast("string")))):
         out_rows = out_rows.unionByName(rows.withColumn("step", F.lit(name)))
     return out_rows.select("step", "dataset", "period", "org_unit", "payload")

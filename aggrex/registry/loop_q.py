@@ -13,7 +13,7 @@ from aggrex.operators.dims import config_dim
 from aggrex.operators.mapping import uid_mapper
 from aggrex.operators.normalise import normalise_data_values
 from aggrex.registry import query
-from aggrex.registry.completion_q import _CTES, _K4, VIEWS, _direct, _inputs, _outcomes
+from aggrex.registry.completion_q import _CTES, _K4, VIEWS, _direct, _inputs, _outcomes, _stored
 from aggrex.registry.push_q import MAX_POST, UID_DEFAULTS, UID_ROWS
 from aggrex.registry.push_q import _oracle as push_oracle
 from aggrex.schemas import UID_MAPPING
@@ -107,16 +107,16 @@ def q_k4_again(spark, sf_dir):
     """The sync as a stream, run twice over one file of units: the second run, for which no file came, sends
     again what failed or had no answer, and nothing else."""
     regs, todo, processed, pairs = _inputs(spark, sf_dir)
-    regs = regs.checkpoint(eager=True)
-    ledger, out, units, ckpt = _scratch(spark, "ledger", "out", "todo", "stream")
+    ledger, out, units, ckpt, kept, answers = _scratch(spark, "ledger", "out", "todo", "stream", "regs", "answers")
+    regs = _stored(regs, kept)
     processed.withColumn("batch_id", F.lit(-1).cast("bigint")).write.partitionBy("batch_id").parquet(ledger)
-    todo.write.parquet(units)
+    todo = _stored(todo, units)
 
     def run():
         completion_sync_stream(spark, units, ledger, out, ckpt, regs, pairs, "row_id", _direct(spark)).awaitTermination()
 
     run()
-    record_outcomes(_outcomes(spark, sf_dir), ledger, -2, out, 0)
+    record_outcomes(_stored(_outcomes(spark, sf_dir, (regs, todo, processed, pairs)), answers), ledger, -2, out, 0)
     run()
     sent = spark.read.schema("dataset string, period string, org_unit string, payload string, batch_id long").parquet(
         f"{out}/completions")

@@ -375,7 +375,8 @@ def sync_batch(ledger_path: str, out_root: str, registrations: DataFrame, datase
             return
         ledger = spark.read.schema(LEDGER_UNIT).parquet(ledger_path)
         ledger = ledger.where(~F.col("batch_id").eqNullSafe(F.lit(batch_id)))
-        payloads, additions = completion_sync(todo, registrations, ledger, dataset_pairs, order_col, direct)
+        payloads, additions = completion_sync(todo, registrations, ledger, dataset_pairs, order_col, direct,
+                                              scratch=f"{out_root}/looked_up")
         # Computed before it is written: the ledger is also an input.
         additions = additions.checkpoint(eager=True)
         payloads.write.mode("overwrite").parquet(f"{out_root}/completions/batch_id={batch_id}")

@@ -214,3 +214,21 @@ def test_a_writer_that_dies_before_its_switch_changes_nothing(spark):
     enqueue_switches(spark, root, asked, ckpt).awaitTermination()
     got = sorted(r.unit for r in read_log(spark, asked, "unit string, requested_at timestamp").collect())
     assert got == ["202401", "202401", "202402", "202402"]
+
+
+def test_completion_sync_looks_its_units_up_once(spark, tmp_path):
+    """Both results of a step read the stored look-up: no join with the registrations is left in their plans."""
+    from aggrex.operators.completion import completion_sync
+    unit = "dataset string, period string, org_unit string"
+    regs = spark.createDataFrame([("A", "2024", "O1", "2024-01-01", True, 2), ("A", "2024", "O1", "2024-01-02", False, 1),
+                                  ("A", None, "O3", "2024-01-01", True, 3)],
+                                 "dataSet string, period string, organisationUnit string, date string, "
+                                 "completed boolean, row_id long")
+    todo = spark.createDataFrame([("A", "2024", "O1"), ("A", "2024", "O2"), ("A", None, "O3"), ("A", "2024", "O9")], unit)
+    ledger = spark.createDataFrame([("A", "2024", "O9"), ("A", "2024", None)], unit)
+    pairs = spark.createDataFrame([("A", "TA")], "source_dataset string, target_dataset string")
+    payloads, done = completion_sync(todo, regs, ledger, pairs, "row_id", scratch=str(tmp_path / "looked_up"))
+    for df in (payloads, done):
+        assert "min_by" not in df._jdf.queryExecution().optimizedPlan().toString()
+    assert [(r["org_unit"], '"date":"2024-01-02"' in r["payload"]) for r in payloads.collect()] == [("O1", True)]
+    assert sorted(r["org_unit"] for r in done.collect()) == ["O2", "O3"]
